@@ -48,11 +48,6 @@ def _money_out(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
-def _attached(flow: DataFrame, spark: SparkSession, folder: str, job) -> tuple:
-    tables_ = settlement.prepare(fx.dimensions(spark, folder), job)
-    return tables_, settlement._Attacher(tables_, flow)
-
-
 # Filters and rules
 
 @query
@@ -96,56 +91,53 @@ def flow_dedup(spark, folder):
     return _money_out(latest(fx.normal_flow(spark, folder), NORMAL.dedup_keys).drop("arrival"))
 
 
+def _lookup(spark, folder, job, *names):
+    """A keyed flow and the means to join the named sides to it."""
+    flow = fx.normal_flow(spark, folder) if job is NORMAL else fx.incre_flow(spark, folder)
+    tables_ = settlement.Lookups(fx.dimensions(spark, folder), job, names=names)
+    return settlement.lookup_keys(flow, job), settlement.Attacher(tables_, flow)
+
+
 @query
 def txn_code_lookup(spark, folder):
-    flow = fx.normal_flow(spark, folder)
-    return settlement.with_code(flow, NORMAL, settlement.prepare(fx.dimensions(spark, folder), NORMAL)).select(
+    return settlement.with_code(*_lookup(spark, folder, NORMAL, "codes")).select(
         "id", "txn_key", "filter_flag", "dc_flag")
 
 
 @query
 def txn_code_lookup_incre(spark, folder):
-    flow = fx.incre_flow(spark, folder)
-    return settlement.with_code(flow, INCRE, settlement.prepare(fx.dimensions(spark, folder), INCRE)).select(
+    return settlement.with_code(*_lookup(spark, folder, INCRE, "codes")).select(
         "plt_ssn", "txn_key", "filter_flag", "dc_flag")
 
 
-def _keyed(flow, spark, folder, job):
-    keyed = settlement._keys(flow, job)
-    return keyed, _attached(keyed, spark, folder, job)[1]
-
-
 @query
 def group_concat_lookup(spark, folder):
-    flow, attacher = _keyed(fx.normal_flow(spark, folder), spark, folder, NORMAL)
-    return settlement.with_groups(flow, NORMAL, attacher).select("id", "mid", "group_id", "in_store_group")
+    return settlement.with_groups(*_lookup(spark, folder, NORMAL, "groups")).select(
+        "id", "mid", "group_id", "in_store_group")
 
 
 @query
 def terminal_mapping(spark, folder):
-    flow, attacher = _keyed(fx.normal_flow(spark, folder), spark, folder, NORMAL)
-    return settlement.with_terminal(flow, NORMAL, attacher).select(
+    return settlement.with_terminal(*_lookup(spark, folder, NORMAL, "terminals")).select(
         "id", "mid", "tid", "map_result_from_terminal")
 
 
 @query
 def store_mapping_normal(spark, folder):
-    flow, attacher = _keyed(fx.normal_flow(spark, folder), spark, folder, NORMAL)
-    grouped = settlement.with_groups(flow, NORMAL, attacher)
-    return settlement.with_store(grouped, NORMAL, attacher).select(
+    flow, attacher = _lookup(spark, folder, NORMAL, "groups", "stores")
+    return settlement.with_store(settlement.with_groups(flow, attacher), attacher).select(
         "id", "mid", "store_no", "map_result_from_rsv")
 
 
 @query
 def store_mapping_incre(spark, folder):
-    flow, attacher = _keyed(fx.incre_flow(spark, folder), spark, folder, INCRE)
-    return settlement.with_store(flow, INCRE, attacher).select(
+    return settlement.with_store(*_lookup(spark, folder, INCRE, "stores")).select(
         "plt_ssn", "store_no", "map_result_from_rsv")
 
 
 def _resolved(flow, spark, folder, job):
-    tables_ = settlement.prepare(fx.dimensions(spark, folder), job)
-    return settlement.enrich(flow, job, tables_).select(job.row_key, job.merchant, "mer_no")
+    tables_ = settlement.Lookups(fx.dimensions(spark, folder), job)
+    return settlement.enrich(flow, tables_).select(job.row_key, job.merchant, "mer_no")
 
 
 @query

@@ -41,9 +41,13 @@ def measure(frames: dict[str, DataFrame]) -> dict[str, int]:
     """Bytes of each frame, counted in one job that returns one row per frame."""
     job = None
     for name, df in frames.items():
-        one = df.agg(F.lit(name).alias("name"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes"))
-        job = one if job is None else job.unionAll(one)
-    return {} if job is None else {r["name"]: int(r["bytes"]) for r in job.collect()}
+        rows = df.select(F.lit(name).alias("name"), _row_bytes(df).alias("bytes"))
+        job = rows if job is None else job.unionAll(rows)
+    sizes = dict.fromkeys(frames, 0)
+    if job is not None:
+        totals = job.groupBy("name").agg(F.sum("bytes").alias("bytes")).collect()
+        sizes.update({r["name"]: int(r["bytes"]) for r in totals})
+    return sizes
 
 
 def _estimated_bytes(df: DataFrame) -> int:

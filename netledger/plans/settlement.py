@@ -8,7 +8,7 @@ shuffled once for deduplication and once, already summed per task, for the total
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -83,60 +83,75 @@ INCRE = Job(
     store_type=lookups.INCRE_STORE_TYPE, settle_when=True)
 
 
-@dataclass
-class Lookups:
-    """The dimension tables, one row per key, with the measured way to join each."""
+# The five lookup sides of a settlement.
+SIDES = ("codes", "groups", "terminals", "stores", "fees")
 
-    codes: DataFrame
-    groups: DataFrame
-    terminals: DataFrame
-    stores: DataFrame
-    fees: DataFrame
-    small: set[str]
-    policy: JoinPolicy = field(default_factory=JoinPolicy)
 
+class Lookups:
+    """The dimensions reduced to one row per key, with the measured way to join each.
 
-def prepare(dims: Dimensions, job: Job, policy: JoinPolicy = JoinPolicy()) -> Lookups:
-    """Measure the dimensions and reduce each to one row per key.
+    A reduced side is never larger than its input (a joined group list holds the same
+    characters plus separators, covered by the row overhead), so measuring the input
+    bounds what is broadcast and needs no shuffle.
+    """
 
-    The reduced side is never larger than its input (a joined group list holds the
-    same characters plus separators, covered by the row overhead), so measuring the
-    input bounds what is broadcast and needs no shuffle.
+    def __init__(self, dims: Dimensions, job: Job, policy: JoinPolicy = JoinPolicy(),
+                 names: tuple[str, ...] = SIDES):
+        self.dims, self.job, self.policy = dims, job, policy
+        mappings = dims.mappings.select("type_id", "src_item", "map_result")
+        inputs = {
+            "codes": dims.codes.select("txn_key", "sett_flg", "dc_flg"),
+            "groups": dims.groups.select("item", "group_id"),
+            "terminals": mappings.filter(F.col("type_id") == lookups.TERMINAL_TYPE),
+            "stores": mappings.filter(F.col("type_id") == job.store_type),
+            "fees": dims.fees,
+        }
+        self.small = fits_broadcast({name: inputs[name] for name in names}, policy)
+
+    def side(self, name: str) -> DataFrame:
+        dims = self.dims
+        if name == "codes":
+            return lookups.codes(dims.codes)
+        if name == "groups":
+            return lookups.group_lists(dims.groups).withColumnRenamed("item", "_merchant")
+        if name == "terminals":
+            return lookups.first_mapping(dims.mappings, lookups.TERMINAL_TYPE, "_terminal_item",
+                                         "_terminal_result")
+        if name == "stores":
+            return lookups.first_mapping(dims.mappings, self.job.store_type, "_store_item",
+                                         "_store_result")
+        return lookups.best_profile(dims.fees).select(
+            F.col("mer_no").alias("_merchant"), F.lit(True).alias("_has_profile"), "credit_calc_type",
+            "credit_calc_rate", "credit_calc_amt", "credit_min_amt", "credit_max_amt")
+
+
+class Attacher:
+    """Joins lookup sides to a flow; sides with an equal key share one division of it.
+
+    ``weigh`` is the flow before deduplication: it tells which keys are heavy.
     """
-    types = F.col("type_id")
-    mappings = dims.mappings.select("type_id", "src_item", "map_result")
-    small = fits_broadcast({
-        "codes": dims.codes.select("txn_key", "sett_flg", "dc_flg"),
-        "groups": dims.groups.select("item", "group_id"),
-        "terminals": mappings.filter(types == lookups.TERMINAL_TYPE),
-        "stores": mappings.filter(types == job.store_type),
-        "fees": dims.fees,
-    }, policy)
-    profile = lookups.best_profile(dims.fees).select(
-        F.col("mer_no").alias("_merchant"), F.lit(True).alias("has_profile"),
-        "credit_calc_type", "credit_calc_rate", "credit_calc_amt", "credit_min_amt", "credit_max_amt")
-    return Lookups(
-        codes=lookups.codes(dims.codes),
-        groups=lookups.group_lists(dims.groups).withColumnRenamed("item", "_merchant"),
-        terminals=lookups.first_mapping(dims.mappings, lookups.TERMINAL_TYPE, "_terminal_item",
-                                        "_terminal_result"),
-        stores=lookups.first_mapping(dims.mappings, job.store_type, "_store_item", "_store_result"),
-        fees=profile, small=small, policy=policy)
-
-
-class _Attacher:
-    """Chooses broadcast or divided join per dimension; equal keys share one division."""
 
     def __init__(self, tables: Lookups, weigh: DataFrame):
-        self.tables, self.weigh, self.spreads = tables, weigh, {}
+        self.tables, self.weigh = tables, weigh
+        self.spreads: dict[str, Spread] = {}
 
     def __call__(self, flow: DataFrame, name: str, key: str) -> DataFrame:
-        dim = getattr(self.tables, name)
+        side = self.tables.side(name)
         if name in self.tables.small:
-            return attach(flow, dim, [key], True)
+            return attach(flow, side, [key], True)
         if key not in self.spreads:
-            self.spreads[key] = Spread(self.weigh, [key], f"_part{key}", self.tables.policy)
-        return attach(flow, dim, [key], False, self.spreads[key])
+            self.spreads[key] = Spread(lookup_keys(self.weigh, self.tables.job), [key], f"_part{key}",
+                                       self.tables.policy)
+        return attach(flow, side, [key], False, self.spreads[key])
+
+
+def lookup_keys(flow: DataFrame, job: Job) -> DataFrame:
+    """The keys that are known before any lookup; a store key may still be withdrawn."""
+    store = job.store_upper()
+    return flow.withColumns({
+        "txn_key": job.txn_key(), "_merchant": F.col(job.merchant),
+        "_terminal_item": key_of(job.merchant, job.terminal, sep=","),
+        "_store_item": F.when(store.isNotNull(), job.store_item(store))})
 
 
 def trades(flow: DataFrame, job: Job) -> DataFrame:
@@ -144,41 +159,34 @@ def trades(flow: DataFrame, job: Job) -> DataFrame:
     return latest(flow, job.dedup_keys).filter(job.trade())
 
 
-def with_code(flow: DataFrame, job: Job, tables: Lookups, weigh: DataFrame | None = None) -> DataFrame:
+def with_code(flow: DataFrame, attacher: Attacher) -> DataFrame:
     """filter_flag and dc_flag of the transaction code; a miss leaves false and 0."""
-    keyed = flow.withColumn("txn_key", job.txn_key())
-    weigh = keyed if weigh is None else weigh.withColumn("txn_key", job.txn_key())
-    coded = _Attacher(tables, weigh)(keyed, "codes", "txn_key")
-    return (coded.withColumn("filter_flag", F.coalesce("filter_flag", F.lit(False)))
-            .withColumn("dc_flag", F.coalesce("dc_flag", F.lit(0))))
-
-
-def _keys(flow: DataFrame, job: Job) -> DataFrame:
-    return (flow.withColumn("_merchant", F.col(job.merchant))
-            .withColumn("_terminal_item", key_of(job.merchant, job.terminal, sep=",")))
+    return attacher(flow, "codes", "txn_key").withColumns({
+        "filter_flag": F.coalesce("filter_flag", F.lit(False)),
+        "dc_flag": F.coalesce("dc_flag", F.lit(0))})
 
 
-def with_groups(flow: DataFrame, job: Job, attacher: _Attacher) -> DataFrame:
+def with_groups(flow: DataFrame, attacher: Attacher) -> DataFrame:
     """group_id: all groups of the merchant, empty when it has none."""
-    grouped = attacher(flow, "groups", "_merchant")
-    return (grouped.withColumn("group_id", F.coalesce("group_id", F.lit("")))
-            .withColumn("in_store_group", F.coalesce("in_store_group", F.lit(False))))
+    return attacher(flow, "groups", "_merchant").withColumns({
+        "group_id": F.coalesce("group_id", F.lit("")),
+        "in_store_group": F.coalesce("in_store_group", F.lit(False))})
 
 
-def with_terminal(flow: DataFrame, job: Job, attacher: _Attacher) -> DataFrame:
-    mapped = attacher(flow, "terminals", "_terminal_item")
-    return mapped.withColumn("map_result_from_terminal", F.coalesce("_terminal_result", F.lit("")))
+def with_terminal(flow: DataFrame, attacher: Attacher) -> DataFrame:
+    return attacher(flow, "terminals", "_terminal_item").withColumn(
+        "map_result_from_terminal", F.coalesce("_terminal_result", F.lit("")))
 
 
-def with_store(flow: DataFrame, job: Job, attacher: _Attacher) -> DataFrame:
+def with_store(flow: DataFrame, attacher: Attacher) -> DataFrame:
     """store_no and its mapping; the key is NULL where the flow names no store."""
+    job = attacher.tables.job
     store = job.store()
-    keyed = (flow.withColumn("store_no", store)
-             .withColumn("_store_item", F.when(F.col("store_no").isNotNull(),
-                                               job.store_item(F.col("store_no")))))
-    mapped = attacher(keyed, "stores", "_store_item")
-    return (mapped.withColumn("map_result_from_rsv", F.coalesce("_store_result", F.lit("")))
-            .withColumn("store_no", F.coalesce("store_no", F.lit(""))))
+    keyed = flow.withColumns({
+        "_store_item": F.when(store.isNotNull(), job.store_item(store)),
+        "store_no": F.coalesce(store, F.lit(""))})
+    return attacher(keyed, "stores", "_store_item").withColumn(
+        "map_result_from_rsv", F.coalesce("_store_result", F.lit("")))
 
 
 def resolve_merchant(job: Job) -> Column:
@@ -194,46 +202,44 @@ def with_fee(flow: DataFrame, job: Job) -> DataFrame:
     Flags stay false outside the eligible rows. ``exchange`` is always 0 in the stored
     detail; the computed amount is in ``fee``.
     """
-    eligible = F.col("filter_flag") == F.lit(job.settle_when)
-    found = F.coalesce("has_profile", F.lit(False))
+    found = F.coalesce("_has_profile", F.lit(False))
     raw = money.raw_fee(F.col("_amount"), F.col("credit_calc_type"), F.col("credit_calc_rate"),
                         F.col("credit_calc_amt"), job.rate_divisor)
-    return (flow.withColumn("_amount", job.amount())
-            .withColumn("eligible", eligible)
-            .withColumn("no_fee_profile", F.col("eligible") & ~found)
-            .withColumn("supported_calc_type",
-                        F.col("eligible") & found & money.is_supported(F.col("credit_calc_type")))
-            .withColumn("_raw_fee", raw)
-            .withColumn("fee", F.when(F.col("eligible") & found, money.clamp(
-                F.col("_raw_fee"), F.col("credit_min_amt"), F.col("credit_max_amt"),
-                job.unbounded_negative_cap)))
-            .withColumn("settled", filters.settles())
-            .withColumn("net", F.when(F.col("settled"), money.signed_net(
-                F.col("_amount"), F.col("fee"), F.col("dc_flag"))))
-            .withColumn("fee", F.coalesce("fee", F.lit(Decimal("0.00"))))
-            .withColumn("exchange", F.lit(0.0)))
-
-
-def enrich(flow: DataFrame, job: Job, tables: Lookups, weigh: DataFrame | None = None) -> DataFrame:
+    fee = money.clamp(F.col("_raw_fee"), F.col("credit_min_amt"), F.col("credit_max_amt"),
+                      job.unbounded_negative_cap)
+    net = money.signed_net(F.col("_amount"), F.col("_fee"), F.col("dc_flag"))
+    flagged = flow.withColumns({
+        "_amount": job.amount(),
+        "eligible": F.col("filter_flag") == F.lit(job.settle_when)})
+    checked = flagged.withColumns({
+        "_raw_fee": raw,
+        "no_fee_profile": F.col("eligible") & ~found,
+        "supported_calc_type": F.col("eligible") & found & money.is_supported(F.col("credit_calc_type"))})
+    priced = checked.withColumns({
+        "_fee": F.when(F.col("eligible") & found, fee),
+        "settled": filters.settles()})
+    return priced.withColumns({
+        "net": F.when(F.col("settled"), net),
+        "fee": F.coalesce("_fee", F.lit(Decimal("0.00"))),
+        "exchange": F.lit(0.0)})
+
+
+def enrich(flow: DataFrame, tables: Lookups, weigh: DataFrame | None = None) -> DataFrame:
     """All lookups on an already filtered flow; the row count does not change."""
-    weigh = _keys(flow if weigh is None else weigh, job)
-    if len(tables.small) < 5:
-        store = job.store_upper()
-        weigh = weigh.withColumn("_store_item", F.when(store.isNotNull(), job.store_item(store)))
-    attacher = _Attacher(tables, weigh)
-    coded = with_code(flow, job, tables, weigh)
-    grouped = with_groups(_keys(coded, job), job, attacher)
-    with_profile = attacher(grouped, "fees", "_merchant")
-    mapped = with_store(with_terminal(with_profile, job, attacher), job, attacher)
+    job = tables.job
+    attacher = Attacher(tables, flow if weigh is None else weigh)
+    coded = with_code(lookup_keys(flow, job), attacher)
+    # Groups and fee profiles have the same key, so a divided flow is exchanged once.
+    profiled = attacher(with_groups(coded, attacher), "fees", "_merchant")
+    mapped = with_store(with_terminal(profiled, attacher), attacher)
     return mapped.withColumn("mer_no", resolve_merchant(job))
 
 
 def settle(flow: DataFrame, dims: Dimensions, job: Job, policy: JoinPolicy = JoinPolicy(),
            deduplicate: bool = True) -> DataFrame:
     """The settled flow: every kept trade with its enrichment, fee and net amount."""
-    tables = prepare(dims, job, policy)
     kept = trades(flow, job) if deduplicate else flow.filter(job.trade())
-    done = with_fee(enrich(kept, job, tables, weigh=flow), job)
+    done = with_fee(enrich(kept, Lookups(dims, job, policy), weigh=flow), job)
     return done.drop(*[c for c in done.columns if c.startswith("_")])
 
 

@@ -20,7 +20,7 @@ from netledger import schemas
 from netledger.operators import parse
 from netledger.operators.joins import JoinPolicy
 from netledger.operators.totals import merge_maps
-from netledger.plans.settlement import (NORMAL, Dimensions, Job, detail, enrich, prepare, settle,
+from netledger.plans.settlement import (NORMAL, SIDES, Dimensions, Job, Lookups, detail, enrich, settle,
                                         with_fee)
 from netledger.sinks.tables import read_latest, read_totals, write_batch
 from netledger.sources.messages import with_arrival
@@ -101,9 +101,9 @@ def running_totals(messages: DataFrame, dims: Dimensions, job: Job,
     Stream lookups are broadcast joins, so every dimension has to be of broadcast size;
     larger ones need ``SettlementStream``.
     """
-    tables = prepare(dims, job, policy)
-    if len(tables.small) < 5:
+    tables = Lookups(dims, job, policy)
+    if tables.small != set(SIDES):
         raise ValueError("a dimension is larger than the broadcast limit: use SettlementStream")
     flow = parse.usable(reader_of(job)(messages)).filter(job.trade())
-    settled = with_fee(enrich(flow, job, tables), job)
+    settled = with_fee(enrich(flow, tables), job)
     return merge_maps(settled.filter("settled"), "mer_no", "net", "total")
