@@ -190,11 +190,11 @@ def key_delete(spark, folder):
 
 def _fees(spark, folder, divisor, unbounded=False):
     flow = fx.normal_flow(spark, folder).withColumn("mer_no", F.col("mid"))
-    profiles = lookups.best_profile(fx.fees(spark, folder))
+    fees = fx.fees(spark, folder)
     raw = money.raw_fee(F.col("txn_amt"), F.col("credit_calc_type"), F.col("credit_calc_rate"),
                         F.col("credit_calc_amt"), divisor)
     fee = money.clamp(raw, F.col("credit_min_amt"), F.col("credit_max_amt"), unbounded)
-    return lookup(flow, profiles, ["mer_no"]).select(
+    return lookup(flow, lookups.best_profile(fees), ["mer_no"], bound=fees).select(
         "id", "mid", as_double("txn_amt").alias("txn_amt"),
         as_double(F.coalesce(fee, F.lit(0))).alias("fee"),
         money.is_supported(F.col("credit_calc_type")).alias("supported"))

@@ -70,7 +70,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 def _settle_batch(spark: SparkSession, args) -> None:
     """The whole message folder as batch 0 of the run."""
     run = SettlementStream(JOBS[args.flow], lambda s: load.open_dimensions(s, args.dimensions), args.run)
-    run.process(messages.file_messages(spark, args.messages), 0)
+    run.process_all(messages.file_messages(spark, args.messages))
 
 
 def _stream(spark: SparkSession, args) -> None:

@@ -27,4 +27,5 @@ def one_cell(spark, key: str, row_key: str, column: str, value: str | None) -> D
 
 def delete_keys(table: DataFrame, keys: DataFrame, key: str, **options) -> DataFrame:
     """``table`` without the rows whose key is listed."""
-    return lookup(table, keys.select(key).distinct(), [key], how="left_anti", **options)
+    listed = keys.select(key)
+    return lookup(table, listed.distinct(), [key], how="left_anti", bound=listed, **options)

@@ -112,20 +112,23 @@ class Spread:
 
 def attach(flow: DataFrame, dim: DataFrame, keys: list[str], broadcast: bool,
            spread: Spread | None = None, how: str = "left") -> DataFrame:
-    """Join ``dim`` (at most one row per key) to ``flow`` on equally named columns."""
+    """Join ``dim`` (at most one row per key) to ``flow`` on equally named columns.
+
+    ``broadcast`` is the outcome of ``fits_broadcast``; without it ``spread`` divides.
+    """
     if broadcast:
         return flow.join(F.broadcast(dim), keys, how)
-    if spread is None:
-        spread = Spread(flow, keys, "_part_" + "_".join(keys))
     divided = spread.divide(flow)
     return divided.join(spread.copy(dim), keys + [spread.part], how)
 
 
-def lookup(flow: DataFrame, dim: DataFrame, keys: list[str],
-           policy: JoinPolicy = JoinPolicy(), how: str = "left") -> DataFrame:
-    """``attach`` after measuring ``dim``; ``how`` may also be left_semi or left_anti."""
-    fits = bool(fits_broadcast({"dim": dim}, policy))
-    if fits:
+def lookup(flow: DataFrame, dim: DataFrame, keys: list[str], policy: JoinPolicy = JoinPolicy(),
+           how: str = "left", bound: DataFrame | None = None) -> DataFrame:
+    """``attach`` after measuring; ``how`` may also be left_semi or left_anti.
+
+    ``bound`` is what ``dim`` was reduced from: never smaller, and cheaper to measure.
+    """
+    if fits_broadcast({"dim": dim if bound is None else bound}, policy):
         return attach(flow, dim, keys, True, how=how)
     spread = Spread(flow, keys, "_part", policy)
     return attach(flow, dim, keys, False, spread, how).drop("_part")

@@ -19,7 +19,10 @@ def read_messages(raw: DataFrame, keys: dict[str, str], key_columns: list[str])
     schema = schemas.message_schema(keys)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
     others = [c for c in raw.columns if c != "value"]
-    parsed = raw.select("value", *others, F.from_json("value", schema, options).alias("m"))
+    # The one-element explode keeps the optimizer from copying from_json into every
+    # expression and filter above it: each message is parsed once.
+    parsed = raw.select("value", *others, F.explode(
+        F.array(F.from_json("value", schema, options))).alias("m"))
 
     columns, problems = [], []
     for key, name in keys.items():

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from netledger.operators.joins import lookup
+
 _COMPARE = {
     "=": lambda a, b: a == b,
     "!=": lambda a, b: a != b,
@@ -70,6 +72,5 @@ def first_ranked(table: DataFrame, target: str, order: list[Column], *conditions
 
 def has_match(flow: DataFrame, table: DataFrame, keys: list[str], **options) -> DataFrame:
     """Rows of ``flow`` that have a row in ``table``."""
-    from netledger.operators.joins import lookup
-
-    return lookup(flow, table.select(*keys).distinct(), keys, how="left_semi", **options)
+    listed = table.select(*keys)
+    return lookup(flow, listed.distinct(), keys, how="left_semi", bound=listed, **options)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from netledger import schemas
 from netledger.plans.settlement import Dimensions
 from netledger.sources import flowfiles
-from netledger.sources.dimensions import keep_last, parse_dimension
+from netledger.sources.dimensions import keep_last, parse_dimension, read_dimension
 from netledger.sources.lines import read_lines
 
 
@@ -22,6 +22,12 @@ def load_dimensions(spark: SparkSession, files: dict[str, str], target: str) ->
             "overwrite").parquet(f"{target}/{name}")
 
 
+def read_dimensions(spark: SparkSession, files: dict[str, str]) -> Dimensions:
+    """The four tables straight from their files, by name."""
+    return Dimensions(**{name: read_dimension(spark, name, files[name])
+                         for name in schemas.DIMENSION_COLUMNS})
+
+
 def open_dimensions(spark: SparkSession, target: str) -> Dimensions:
     """The loaded tables; call again to see newly loaded files."""
     return Dimensions(**{name: spark.read.parquet(f"{target}/{name}")

@@ -62,19 +62,33 @@ class SettlementStream:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Settle one micro-batch; safe to repeat."""
-        spark = batch.sparkSession
-        rows = with_arrival(batch)
-        if self.fan_out:
-            rows = rows.repartition(self.fan_out)
-        parsed = reader_of(self.job)(rows).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = self._parse(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_batch(parse.quarantined(parsed), self.quarantine_path, batch_id)
-            # Dimensions are opened per batch, so reloaded files take effect.
-            settled = settle(parse.usable(parsed), self.dimensions(spark), self.job, self.policy)
-            stored = detail(settled, layout_of(self.job))
-            written = write_batch(stored, self.detail_path, batch_id)
+            self._settle(parsed, batch_id)
         finally:
             parsed.unpersist()
+
+    def process_all(self, messages: DataFrame, batch_id: int = 0) -> None:
+        """Settle a large batch of messages.
+
+        The parsed messages become a table of the run instead of cached blocks, so the
+        lookups and the quarantine read columns, and a lost executor costs no parsing.
+        """
+        parsed = self._parse(messages)
+        written = write_batch(parsed, f"{self.folder}/parsed", batch_id)
+        self._settle(messages.sparkSession.read.schema(parsed.schema).parquet(written), batch_id)
+
+    def _parse(self, batch: DataFrame) -> DataFrame:
+        rows = with_arrival(batch)
+        return reader_of(self.job)(rows.repartition(self.fan_out) if self.fan_out else rows)
+
+    def _settle(self, parsed: DataFrame, batch_id: int) -> None:
+        spark = parsed.sparkSession
+        write_batch(parse.quarantined(parsed), self.quarantine_path, batch_id)
+        # Dimensions are opened per batch, so reloaded files take effect.
+        settled = settle(parse.usable(parsed), self.dimensions(spark), self.job, self.policy)
+        stored = detail(settled, layout_of(self.job))
+        written = write_batch(stored, self.detail_path, batch_id)
         batch_detail = spark.read.schema(stored.schema).parquet(written)
         totals = merge_maps(batch_detail.filter(F.col("net").isNotNull())
                             .withColumnRenamed("merNo", "mer_no"), "mer_no", "net", "total")

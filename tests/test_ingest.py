@@ -6,7 +6,7 @@ import json
 
 from netledger import schemas
 from netledger.operators import parse
-from netledger.plans.load import ingest_incre, ingest_normal, load_dimensions, open_dimensions
+from netledger.plans.load import ingest_incre, ingest_normal, load_dimensions, open_dimensions, read_dimensions
 from netledger.sources.dimensions import parse_dimension, read_dimension
 from netledger.sources.flowfiles import bad_lines, delimited_fields, fixed_width_fields
 from netledger.sources.lines import read_lines, split_paths
@@ -138,12 +138,13 @@ def test_last_line_wins_across_blocks(spark, tmp_path):
 
 def test_load_job(spark, tmp_path):
     target = str(tmp_path / "dims")
-    load_dimensions(spark, {
+    files = {
         "fees": put(tmp_path / "f.txt", FEE, "bad"), "groups": put(tmp_path / "g.txt", GROUP),
         "mappings": put(tmp_path / "m.txt", MAP),
-        "codes": put(tmp_path / "c.txt", "K|T01|d|B001|1|-1|G|0|20140819141406|loader|||")}, target)
-    dims = open_dimensions(spark, target)
-    assert [dims.fees.count(), dims.groups.count(), dims.mappings.count(), dims.codes.count()] == [1] * 4
+        "codes": put(tmp_path / "c.txt", "K|T01|d|B001|1|-1|G|0|20140819141406|loader|||")}
+    load_dimensions(spark, files, target)
+    for dims in (open_dimensions(spark, target), read_dimensions(spark, files)):
+        assert [dims.fees.count(), dims.groups.count(), dims.mappings.count(), dims.codes.count()] == [1] * 4
     assert spark.read.parquet(f"{target}/quarantine/fees").first().line == "bad"
 
 
