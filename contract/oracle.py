@@ -232,6 +232,8 @@ ORACLES: dict[str, str] = {
         FROM ik""",
     "rule_flags": f"""WITH {NORMAL} SELECT id, proc_code, resp_code, proc_code NOT IN ('01', '02')
         OR (tran_stat = '4' AND resp_code <> '00') AS filter_flag FROM nf""",
+    "trade_rules": f"""WITH {INCRE} SELECT plt_ssn, trans_cd_pay,
+        plt_ssn IN (SELECT plt_ssn FROM ik) AS filter_flag FROM inf""",
     "flagged_rows": f"""WITH {NORMAL} SELECT id, mid, {_double('txn_amt')} AS txn_amt FROM nf
         WHERE proc_code NOT IN ('01', '02') OR (tran_stat = '4' AND resp_code <> '00')""",
     "cleared_trades": f"""WITH {NORMAL}, {CODES} SELECT id, txn_key, sett_flg FROM nf f

@@ -62,6 +62,13 @@ def incre_filter(spark, folder):
     return _money_out(flow.select("plt_ssn", "trans_cd_pay", "rsvd6", "trans_amt"))
 
 
+@query
+def trade_rules(spark, folder):
+    """The INCRE trade filter as rules that flag instead of dropping."""
+    return filters.flag_by_rules(fx.incre_flow(spark, folder), filters.INCRE_RULES).select(
+        "plt_ssn", "trans_cd_pay", "filter_flag")
+
+
 RULES = ["proc_code NOT IN ('01', '02')", "tran_stat = '4' AND resp_code <> '00'"]
 
 

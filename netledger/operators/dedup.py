@@ -17,5 +17,11 @@ def top_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def latest(df: DataFrame, keys: list[str], arrival: str = "arrival") -> DataFrame:
-    """Last arrival per key wins; ``arrival`` is any orderable column (or struct)."""
-    return top_one(df, keys, [F.col(arrival).desc()])
+    """Last arrival per key wins; ``arrival`` is any orderable column (or struct).
+
+    Rows that tie on it are ordered by a hash of their values, so a repeated task
+    chooses the same one.
+    """
+    others = [c for c in df.columns if c != arrival and c not in keys]
+    order = [F.col(arrival).desc()] + ([F.xxhash64(*others).asc()] if others else [])
+    return top_one(df, keys, order)

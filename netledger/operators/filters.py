@@ -22,6 +22,21 @@ ROUTED_KIND = 1001
 PLAIN_KIND = 1002
 
 
+# The two trade filters as rule text, for ``flag_by_rules``.
+NORMAL_RULES = [
+    "proc_code NOT IN ('01', '02')",
+    "resp_code NOT IN ('00', '10', '11', '16', 'A2', 'A4', 'A5', 'A6', 'Y1', 'Y3')",
+    "tran_stat NOT IN ('1', '2', '3')",
+]
+_SUCCEEDED = "pay_st = '0' AND trans_st_rsvl = '0' AND trans_st = '0' AND prod_style = '51A2'"
+INCRE_RULES = [
+    f"{_SUCCEEDED} AND trans_cd_pay IN ('02S221X1', '02V523X1', '07S30609') "
+    "AND rout_inst_id_cd = '3748020000' AND rsvd6 = 1001",
+    f"{_SUCCEEDED} AND trans_cd_pay IN ('02S221X0', '02V523X0', '02R222X0')",
+    f"{_SUCCEEDED} AND trans_cd_pay = '07S30609' AND rsvd6 = 1002",
+]
+
+
 def normal_trade() -> Column:
     return (~F.col("proc_code").isin(EXCLUDED_PROC)
             | ~F.col("resp_code").isin(EXCLUDED_RESP)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings a cluster session should carry; the jobs give the same results without.
 RECOMMENDED_CONF = {
@@ -17,6 +17,9 @@ RECOMMENDED_CONF = {
 }
 
 
+_LOCAL_FOLDER: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -27,9 +30,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="netledger-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not _LOCAL_FOLDER:
+        _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="netledger-"))
+    return _LOCAL_FOLDER[0]
 
 
 def work_path(spark: SparkSession, label: str) -> str:
@@ -43,14 +46,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back (cuts the lineage)."""
-    spark = df.sparkSession
-    path = work_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def gbk_session(spark: SparkSession) -> SparkSession:
     """A sibling session on the same context that accepts Java charsets.
 
@@ -58,10 +53,9 @@ def gbk_session(spark: SparkSession) -> SparkSession:
     live in the sibling only, so the caller's session keeps its settings.
     """
     session = spark.newSession()
-    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions",
-                "spark.checkpoint.dir"):
-        value = spark.conf.get(key, None)
-        if value is not None and session.conf.get(key, None) != value:
+    for key, value in spark.conf.getAll.items():
+        if (key.startswith("spark.sql.") and session.conf.get(key, None) != value
+                and session.conf.isModifiable(key)):
             session.conf.set(key, value)
     session.conf.set("spark.sql.legacy.javaCharsets", "true")
     session.conf.set("spark.sql.legacy.codingErrorAction", "true")

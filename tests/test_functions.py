@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from netledger import fixtures as fx
 from netledger.functions.sqlfunctions import register
 from netledger.functions.text import contains_item, decode_list, describe, key_of, pieces, slice_text
 from netledger.operators import filters
@@ -62,6 +63,12 @@ def test_rules_flag_without_dropping(spark):
     assert [r.id for r in filters.keep_flagged(flagged).collect()] == ["a"]
 
 
+def test_rule_text_is_the_trade_filter(spark):
+    flow = fx.normal_flow(spark, "/root/testdata/sf0.001")
+    flagged = filters.flag_by_rules(flow, filters.NORMAL_RULES)
+    assert flagged.filter(F.col("filter_flag") != filters.normal_trade()).isEmpty()
+
+
 def test_pattern_index_is_like(spark):
     keys = ["0200|01|00", "0400|20|00", "02000200", "0202020", "2|0", ""]
     index = {(r.msg_part, r.proc_part, r.ser_part): r.txn_key

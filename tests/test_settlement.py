@@ -159,6 +159,13 @@ def test_last_arrival_wins_before_the_filter(spark):
     assert set(got) == {"a"} and got["a"].txn_amt == dec("2.00")
 
 
+def test_ties_on_arrival_are_settled_by_value(spark):
+    tied = [dict(id="a", txn_amt=dec(f"{i}.00")) for i in range(1, 9)]
+    kept = {settle(normal_rows(spark, rows_).repartition(n), dimensions(spark), NORMAL).first().txn_amt
+            for n, rows_ in ((1, tied), (5, tied[::-1]))}
+    assert len(kept) == 1
+
+
 def test_incre_key_has_three_parts(spark):
     dims = dimensions(spark, codes_=[("02S221X0", "1", -1)])
     flow = incre_rows(spark, [dict(arrival=1), dict(term_id_pay="T2", arrival=2), dict(arrival=3)])

@@ -48,6 +48,8 @@ def test_wide_rows(spark):
     wide = cells.wide_rows(frame(spark, rows, "k string, c string, v string, t int"), "k", "c", "v", "t",
                            ["a", "b"])
     assert {r.k: (r.a, r.b) for r in wide.collect()} == {"r1": ("2", ""), "r2": (None, None)}
+    found = cells.wide_rows(frame(spark, rows, "k string, c string, v string, t int"), "k", "c", "v", "t")
+    assert found.columns == ["k", "a", "b", "c"]
 
 
 def test_point_reads(spark):
