@@ -12,6 +12,7 @@ CENT = Decimal("0.01")
 # Settlement flags that mean "cleared".
 CLEARED = ["1", "2", "3", "4", "5", "6"]
 
+# Fee types, percentage and fixed amount.
 RATE_TYPE = "10"
 FIXED_TYPE = "11"
 

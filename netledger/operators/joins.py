@@ -27,14 +27,14 @@ class JoinPolicy:
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    """Upper bound for a row's size as a hashed lookup row."""
+    """Upper bound for a row's size in a hash table, which holds the key a second time."""
     total = F.lit(ROW_OVERHEAD + 16 * len(df.columns))
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             total = total + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
         elif not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)):
             total = total + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
-    return total.cast("long")
+    return (total * 2).cast("long")
 
 
 def measure(frames: dict[str, DataFrame]) -> dict[str, int]:
@@ -50,18 +50,11 @@ def measure(frames: dict[str, DataFrame]) -> dict[str, int]:
     return sizes
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's own estimate; saves a measuring job for sides that are clearly large."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def fits_broadcast(frames: dict[str, DataFrame], policy: JoinPolicy) -> set[str]:
     """Names of the frames whose measured size is within the limit."""
     if policy.broadcast_bytes <= 0:
         return set()
-    candidates = {n: df for n, df in frames.items()
-                  if _estimated_bytes(df) <= 64 * policy.broadcast_bytes}
-    return {n for n, size in measure(candidates).items() if size <= policy.broadcast_bytes}
+    return {n for n, size in measure(frames).items() if size <= policy.broadcast_bytes}
 
 
 @dataclass
@@ -114,12 +107,13 @@ def attach(flow: DataFrame, dim: DataFrame, keys: list[str], broadcast: bool,
            spread: Spread | None = None, how: str = "left") -> DataFrame:
     """Join ``dim`` (at most one row per key) to ``flow`` on equally named columns.
 
-    ``broadcast`` is the outcome of ``fits_broadcast``; without it ``spread`` divides.
+    ``broadcast`` is the outcome of ``fits_broadcast``; without it ``spread`` divides and
+    the merge hint keeps an underestimated side from being broadcast after all.
     """
     if broadcast:
         return flow.join(F.broadcast(dim), keys, how)
     divided = spread.divide(flow)
-    return divided.join(spread.copy(dim), keys + [spread.part], how)
+    return divided.join(spread.copy(dim).hint("merge"), keys + [spread.part], how)
 
 
 def lookup(flow: DataFrame, dim: DataFrame, keys: list[str], policy: JoinPolicy = JoinPolicy(),

@@ -70,7 +70,7 @@ INCRE_BYTES = {
     "RSVD6": (2367, 2379),
 }
 
-# Dimension files: columns in file order with their types.
+# Columns of the dimension files in file order, with their types.
 FEE_COLUMNS = {
     "mer_no": "string",
     "apptype_id": "int",
@@ -125,7 +125,7 @@ MAPPING_COLUMNS = {
     "upd_user_id": "string",
 }
 
-# A dimension line is stored under the text of these columns run together.
+# A dimension line is stored under the text of these columns run together.
 LOADER_KEYS = {
     "fees": ["mer_no", "apptype_id"],
     "codes": ["txn_key"],
@@ -139,7 +139,8 @@ DIMENSION_COLUMNS = {
     "mappings": MAPPING_COLUMNS,
 }
 
-# Detail store: stored column -> column of the settled flow, in write order.
+# Stored detail column -> column of the settled flow, in write order;
+# fee and net are added.
 NORMAL_DETAIL = {
     "id": "id",
     "mId": "mid",
@@ -189,7 +190,7 @@ INCRE_DETAIL = {
     "fee": "fee",
     "net": "net",
 }
-# Columns of the SQL views over the detail store, in view order.
+# Columns of the SQL views over the detail store, in view order.
 NORMAL_VIEW = [
     "mId", "tId", "txnAmt", "exchange", "procCode", "respCode", "tranStat",
     "serConcode", "msgType", "filterFlag", "RSV4", "dcFlag", "merNo", "groupId",

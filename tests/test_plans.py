@@ -9,6 +9,7 @@ import pytest
 from contract.queries import QUERIES
 from netledger import fixtures as fx
 from netledger.operators.dedup import latest
+from netledger.operators.joins import JoinPolicy
 from netledger.plans.settlement import INCRE, NORMAL, settle, summary
 
 FOLDER = "/root/testdata/sf0.001"
@@ -43,6 +44,15 @@ def test_flow_is_exchanged_twice(spark, job):
     assert "Python" not in chain and "NestedLoop" not in chain and "Cartesian" not in chain
 
 
+def test_divided_flow_is_exchanged_once_per_key(spark):
+    """Codes, merchant (groups and fees together), terminal and store, deduplication, totals."""
+    flow, dims = fx.normal_flow(spark, FOLDER), fx.dimensions(spark, FOLDER)
+    plan = plan_of(summary(settle(flow, dims, NORMAL, JoinPolicy(broadcast_bytes=0, rows_per_part=500))))
+    assert plan.count("SortMergeJoin") == 5
+    on_merchant = [line for line in plan.splitlines() if "Exchange hashpartitioning(_merchant" in line]
+    assert len(on_merchant) == 3  # the flow once, each of the two sides once
+
+
 def test_duplicates_are_cut_before_the_exchange(spark):
     plan = plan_of(latest(fx.normal_flow(spark, FOLDER), ["id"]))
     assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")
