@@ -312,6 +312,8 @@ ORACLES: dict[str, str] = {
         SELECT *, row_number() OVER (PARTITION BY id ORDER BY resp_code DESC, l_shipdate DESC,
           l_extendedprice DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC) AS rn FROM nf) t
         WHERE rn = 1""",
+    "record_text": f"""WITH {NORMAL} SELECT id, 'mid:' || mid || ' tid:' || tid || ' txn_amt:'
+        || CAST(txn_amt AS VARCHAR) AS text FROM nf""",
     "map_merge": f"""SELECT user_id, {_double('sum(CAST(value AS DECIMAL(14,2)))')} AS total FROM events
         GROUP BY user_id""",
     "point_read": "SELECT coalesce(max(c_mktsegment), '') AS value FROM customer WHERE c_custkey = 7",

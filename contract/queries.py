@@ -12,7 +12,7 @@ from netledger import fixtures as fx
 from netledger import schemas
 from netledger.functions import money
 from netledger.functions.sqlfunctions import register, square
-from netledger.functions.text import decode_list
+from netledger.functions.text import decode_list, describe
 from netledger.operators import cells, filters, lookups, parse, pointreads
 from netledger.operators.dedup import latest, top_one
 from netledger.operators.joins import JoinPolicy, lookup
@@ -303,6 +303,12 @@ def keyed_upsert(spark, folder):
     return _money_out(tables.read_latest(spark, path, "id").select("id", "mid", "resp_code", "txn_amt"))
 
 
+@query
+def record_text(spark, folder):
+    """``name:value`` text of each record."""
+    return fx.normal_flow(spark, folder).select("id", describe(["mid", "tid", "txn_amt"]).alias("text"))
+
+
 @query
 def map_merge(spark, folder):
     events = fx.table(spark, folder, "events").withColumn("value", F.col("value").cast("decimal(14,2)"))

@@ -18,6 +18,7 @@ from netledger import schemas
 from netledger.plans import load
 from netledger.plans.export import export_summary
 from netledger.plans.settlement import INCRE, NORMAL
+from netledger.session import RECOMMENDED_CONF
 from netledger.sinks import messages as message_sinks
 from netledger.sinks import tables
 from netledger.sources import messages
@@ -85,7 +86,10 @@ def _stream(spark: SparkSession, args) -> None:
 
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
-    spark = SparkSession.builder.appName(f"netledger-{args.command}").getOrCreate()
+    builder = SparkSession.builder.appName(f"netledger-{args.command}")
+    for key, value in RECOMMENDED_CONF.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     if args.command == "load":
         files = {n: getattr(args, n) for n in schemas.DIMENSION_COLUMNS if getattr(args, n)}
         load.load_dimensions(spark, files, args.target)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from netledger import schemas
 from netledger.functions.text import is_blank, text_or_blank
+from netledger.operators.once import with_once
 
 
 def read_messages(raw: DataFrame, keys: dict[str, str], key_columns: list[str]) -> DataFrame:
@@ -19,10 +20,7 @@ def read_messages(raw: DataFrame, keys: dict[str, str], key_columns: list[str])
     schema = schemas.message_schema(keys)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
     others = [c for c in raw.columns if c != "value"]
-    # The one-element explode keeps the optimizer from copying from_json into every
-    # expression and filter above it: each message is parsed once.
-    parsed = raw.select("value", *others, F.explode(
-        F.array(F.from_json("value", schema, options))).alias("m"))
+    parsed = with_once(raw, "m", F.from_json("value", schema, options))
 
     columns, problems = [], []
     for key, name in keys.items():

@@ -9,6 +9,7 @@ from netledger import schemas
 from netledger.functions.text import pieces
 from netledger.operators.dedup import top_one
 from netledger.operators.lookups import loader_key
+from netledger.operators.once import with_once
 from netledger.sources.lines import read_lines
 
 # Columns the loader leaves empty, and those a line must carry as numbers.
@@ -32,7 +33,7 @@ def parse_positions(lines: DataFrame, types: dict[str, str],
                     positions: dict[str, int] | None = None) -> DataFrame:
     """Typed columns by configured 0-based position; ``problem`` marks unusable lines."""
     positions = positions or {name: i for i, name in enumerate(types)}
-    split = lines.withColumn("_p", pieces(F.trim("line")))
+    split = with_once(lines, "_p", pieces(F.trim("line")))
     columns, problem = _typed({n: F.get("_p", F.lit(i)) for n, i in positions.items()}, types)
     return split.select(*columns, *lines.columns, problem.alias("problem"))
 
@@ -44,7 +45,7 @@ def parse_codes(lines: DataFrame) -> DataFrame:
     columns are taken from the end and all pieces before them form the key.
     """
     spaced = F.replace(F.replace("line", F.lit("|||"), F.lit("| | |")), F.lit("||"), F.lit("| |"))
-    split = lines.withColumn("_p", pieces(F.trim(spaced))).withColumn("_n", F.size("_p"))
+    split = with_once(lines, "_p", pieces(F.trim(spaced))).withColumn("_n", F.size("_p"))
     names = list(schemas.CODE_COLUMNS)
     parts = {name: F.get("_p", F.col("_n") - len(names) + i) for i, name in enumerate(names)}
     parts["txn_key"] = F.when(F.col("_n") >= len(names), F.array_join(

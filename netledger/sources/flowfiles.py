@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from netledger import schemas
 from netledger.functions.text import slice_encoded
+from netledger.operators.once import with_once
 from netledger.sources.lines import read_lines
 
 
@@ -15,10 +16,9 @@ def delimited_fields(lines: DataFrame, positions: dict[str, int] = schemas.NORMA
 
     ``problem`` names lines that are too short.
     """
-    parts = F.split("line", r"\|")
     needed = max(positions.values()) + 1
     short = F.when(F.size("parts") < needed, F.lit("too few columns"))
-    return (lines.withColumn("parts", parts)
+    return (with_once(lines, "parts", F.split("line", r"\|"))
             .select(*[F.trim(F.get("parts", F.lit(i))).alias(name) for name, i in positions.items()],
                     *[c for c in lines.columns], short.alias("problem")))
 
@@ -26,7 +26,7 @@ def delimited_fields(lines: DataFrame, positions: dict[str, int] = schemas.NORMA
 def fixed_width_fields(lines: DataFrame, ranges: dict[str, tuple[int, int]] = schemas.INCRE_BYTES,
                        charset: str = "GBK") -> DataFrame:
     """Cut the configured byte ranges out of a line; the line is encoded once."""
-    raw = lines.withColumn("_raw", F.encode("line", charset))
+    raw = with_once(lines, "_raw", F.encode("line", charset))
     first_end = min(end for _, end in ranges.values())
     short = F.when(F.octet_length("_raw") < first_end, F.lit("too few bytes"))
     return raw.select(*[slice_encoded(F.col("_raw"), b, e, charset).alias(name)
