@@ -29,6 +29,11 @@ class Dimensions:
     mappings: DataFrame
     fees: DataFrame
 
+    def files(self) -> frozenset[str]:
+        """The files the tables are read from; empty when some table has none."""
+        names = [df.inputFiles() for df in (self.codes, self.groups, self.mappings, self.fees)]
+        return frozenset(f for part in names for f in part) if all(names) else frozenset()
+
 
 def _normal_store() -> Column:
     return F.when(F.col("in_store_group") & (F.length("rsv4") >= 24), slice_text("rsv4", 20, 24))
@@ -107,8 +112,22 @@ class Lookups:
             "fees": dims.fees,
         }
         self.small = fits_broadcast({name: inputs[name] for name in names}, policy)
+        self._kept: dict[str, DataFrame] = {}
+
+    def keep(self) -> Lookups:
+        """Cache the sides of broadcast size, for use by many batches."""
+        self._kept = {name: self.side(name).persist() for name in self.small}
+        return self
+
+    def release(self) -> None:
+        for side in self._kept.values():
+            side.unpersist()
+        self._kept = {}
 
     def side(self, name: str) -> DataFrame:
+        """The reduced dimension: at most one row per key."""
+        if name in self._kept:
+            return self._kept[name]
         dims = self.dims
         if name == "codes":
             return lookups.codes(dims.codes)
@@ -235,12 +254,18 @@ def enrich(flow: DataFrame, tables: Lookups, weigh: DataFrame | None = None) ->
     return mapped.withColumn("mer_no", resolve_merchant(job))
 
 
+def settle_with(flow: DataFrame, tables: Lookups, deduplicate: bool = True) -> DataFrame:
+    """``settle`` with lookup sides that were prepared before."""
+    job = tables.job
+    kept = trades(flow, job) if deduplicate else flow.filter(job.trade())
+    done = with_fee(enrich(kept, tables, weigh=flow), job)
+    return done.drop(*[c for c in done.columns if c.startswith("_")])
+
+
 def settle(flow: DataFrame, dims: Dimensions, job: Job, policy: JoinPolicy = JoinPolicy(),
            deduplicate: bool = True) -> DataFrame:
     """The settled flow: every kept trade with its enrichment, fee and net amount."""
-    kept = trades(flow, job) if deduplicate else flow.filter(job.trade())
-    done = with_fee(enrich(kept, Lookups(dims, job, policy), weigh=flow), job)
-    return done.drop(*[c for c in done.columns if c.startswith("_")])
+    return settle_with(flow, Lookups(dims, job, policy), deduplicate)
 
 
 def summary(settled: DataFrame) -> DataFrame:

@@ -20,8 +20,8 @@ from netledger import schemas
 from netledger.operators import parse
 from netledger.operators.joins import JoinPolicy
 from netledger.operators.totals import merge_maps
-from netledger.plans.settlement import (NORMAL, SIDES, Dimensions, Job, Lookups, detail, enrich, settle,
-                                        with_fee)
+from netledger.plans.settlement import (NORMAL, SIDES, Dimensions, Job, Lookups, detail, enrich,
+                                        settle_with, with_fee)
 from netledger.sinks.tables import read_latest, read_totals, write_batch
 from netledger.sources.messages import with_arrival
 
@@ -47,6 +47,8 @@ class SettlementStream:
     folder: str
     fan_out: int | None = None
     policy: JoinPolicy = field(default_factory=JoinPolicy)
+    _tables: Lookups | None = field(default=None, init=False, repr=False)
+    _files: frozenset[str] = field(default=frozenset(), init=False, repr=False)
 
     @property
     def detail_path(self) -> str:
@@ -85,8 +87,7 @@ class SettlementStream:
     def _settle(self, parsed: DataFrame, batch_id: int) -> None:
         spark = parsed.sparkSession
         write_batch(parse.quarantined(parsed), self.quarantine_path, batch_id)
-        # Dimensions are opened per batch, so reloaded files take effect.
-        settled = settle(parse.usable(parsed), self.dimensions(spark), self.job, self.policy)
+        settled = settle_with(parse.usable(parsed), self._lookups(spark))
         stored = detail(settled, layout_of(self.job))
         written = write_batch(stored, self.detail_path, batch_id)
         batch_detail = spark.read.schema(stored.schema).parquet(written)
@@ -94,6 +95,16 @@ class SettlementStream:
                             .withColumnRenamed("merNo", "mer_no"), "mer_no", "net", "total")
         write_batch(totals, self.totals_path, batch_id)
 
+    def _lookups(self, spark: SparkSession) -> Lookups:
+        """The lookup sides; prepared again when the dimensions have other files."""
+        dims = self.dimensions(spark)
+        files = dims.files()
+        if self._tables is None or not files or files != self._files:
+            if self._tables is not None:
+                self._tables.release()
+            self._tables, self._files = Lookups(dims, self.job, self.policy).keep(), files
+        return self._tables
+
     def start(self, messages: DataFrame, once: bool = False) -> StreamingQuery:
         """Run every ``INTERVAL`` until stopped, or over what is there with ``once``."""
         trigger = {"availableNow": True} if once else {"processingTime": INTERVAL}

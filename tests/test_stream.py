@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from netledger.plans.load import open_dimensions
 from netledger.plans.settlement import INCRE, NORMAL
 from netledger.sinks.tables import compact_latest, compact_totals, read_latest, read_totals
 from netledger.sources.messages import file_messages, file_stream, union
@@ -81,6 +82,29 @@ def test_dimensions_are_opened_per_batch(spark, tmp_path):
     assert totals(spark, stream) == {"M1": dec("197.00")}
 
 
+def test_reloaded_dimension_files_take_effect(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "dims")
+
+    def load(fee):
+        dims = dimensions(spark, fees_=[("M1", 1, "1", "11", "0", fee, "-1", "99")])
+        for name in ("codes", "groups", "mappings", "fees"):
+            getattr(dims, name).write.mode("overwrite").parquet(f"{target}/{name}")
+
+    load("1")
+    stream = SettlementStream(NORMAL, lambda s: open_dimensions(s, target), str(tmp_path / "run"))
+    put(source, "1.json", message(ID="a"))
+    run(spark, stream, source)
+    first = stream._tables
+    put(source, "2.json", message(ID="b"))
+    run(spark, stream, source)
+    assert stream._tables is first
+    load("2")
+    put(source, "3.json", message(ID="c"))
+    run(spark, stream, source)
+    assert stream._tables is not first
+    assert totals(spark, stream) == {"M1": dec("296.00")}
+
+
 def test_new_run_starts_from_the_earliest_message(spark, tmp_path):
     source = tmp_path / "in"
     put(source, "1.json", message(ID="a"))
