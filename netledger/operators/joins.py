@@ -57,29 +57,48 @@ def fits_broadcast(frames: dict[str, DataFrame], policy: JoinPolicy) -> set[str]
     return {n for n, size in measure(frames).items() if size <= policy.broadcast_bytes}
 
 
+def _heaviest(counts: DataFrame, keys: list[str], policy: JoinPolicy) -> DataFrame:
+    """Keys with more than a part's rows and their number of parts, counted once.
+
+    At most ``max_heavy_keys`` rows, so broadcasting them is bounded.
+    """
+    heavy = (counts.filter(F.col("_rows") > policy.rows_per_part)
+             .orderBy(F.desc("_rows"), *keys).limit(policy.max_heavy_keys)
+             .select(*keys, F.ceil(F.col("_rows") / policy.rows_per_part).cast("int").alias("_parts")))
+    ensure_checkpoint_dir(heavy.sparkSession)
+    return heavy.checkpoint()
+
+
+def heavy_values(weigh: DataFrame, columns: list[str], policy: JoinPolicy) -> dict[str, DataFrame]:
+    """The heavy values of several text key columns, from one scan of ``weigh``."""
+    cells = F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).alias("_value")) for c in columns])
+    counts = (weigh.select(F.explode(cells).alias("cell")).select("cell.*")
+              .filter(F.col("_value").isNotNull()).groupBy("_column", "_value")
+              .agg(F.count(F.lit(1)).alias("_rows")))
+    heavy = _heaviest(counts, ["_column", "_value"], policy)
+    return {c: heavy.filter(F.col("_column") == c).select(F.col("_value").alias(c), "_parts") for c in columns}
+
+
 @dataclass
 class Spread:
     """Division of the heaviest values of ``keys`` into parts.
 
     ``weigh`` holds the key columns of the flow (before deduplication is fine: the
-    counts only decide how many parts a key gets, never the result).
+    counts only decide how many parts a key gets, never the result). ``heavy`` is given
+    where the values were counted together with other keys.
     """
 
     weigh: DataFrame
     keys: list[str]
     part: str
     policy: JoinPolicy = field(default_factory=JoinPolicy)
+    heavy: DataFrame | None = None
 
     def __post_init__(self) -> None:
-        counts = (self.weigh.select(*self.keys).na.drop("any").groupBy(*self.keys)
-                  .agg(F.count(F.lit(1)).alias("_rows"))
-                  .filter(F.col("_rows") > self.policy.rows_per_part)
-                  .orderBy(F.desc("_rows"), *self.keys).limit(self.policy.max_heavy_keys)
-                  .select(*self.keys, F.ceil(F.col("_rows") / self.policy.rows_per_part)
-                          .cast("int").alias("_parts")))
-        ensure_checkpoint_dir(counts.sparkSession)
-        # Counted once; at most max_heavy_keys rows, so the broadcast below is bounded.
-        self.heavy = counts.checkpoint()
+        if self.heavy is None:
+            counts = (self.weigh.select(*self.keys).na.drop("any").groupBy(*self.keys)
+                      .agg(F.count(F.lit(1)).alias("_rows")))
+            self.heavy = _heaviest(counts, self.keys, self.policy)
 
     def divide(self, flow: DataFrame) -> DataFrame:
         """Add the part number; rows without a key are scattered as they match nothing."""

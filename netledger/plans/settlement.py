@@ -18,7 +18,7 @@ from netledger.functions import money
 from netledger.functions.text import key_of, slice_text
 from netledger.operators import filters, lookups
 from netledger.operators.dedup import latest
-from netledger.operators.joins import JoinPolicy, Spread, attach, fits_broadcast
+from netledger.operators.joins import JoinPolicy, Spread, attach, fits_broadcast, heavy_values
 from netledger.operators.totals import merchant_totals
 
 
@@ -88,8 +88,10 @@ INCRE = Job(
     store_type=lookups.INCRE_STORE_TYPE, settle_when=True)
 
 
-# The five lookup sides of a settlement.
-SIDES = ("codes", "groups", "terminals", "stores", "fees")
+# The five lookup sides of a settlement and their keys.
+SIDE_KEYS = {"codes": "txn_key", "groups": "_merchant", "fees": "_merchant",
+             "terminals": "_terminal_item", "stores": "_store_item"}
+SIDES = tuple(SIDE_KEYS)
 
 
 class Lookups:
@@ -102,7 +104,7 @@ class Lookups:
 
     def __init__(self, dims: Dimensions, job: Job, policy: JoinPolicy = JoinPolicy(),
                  names: tuple[str, ...] = SIDES):
-        self.dims, self.job, self.policy = dims, job, policy
+        self.dims, self.job, self.policy, self.names = dims, job, policy, names
         mappings = dims.mappings.select("type_id", "src_item", "map_result")
         inputs = {
             "codes": dims.codes.select("txn_key", "sett_flg", "dc_flg"),
@@ -154,14 +156,21 @@ class Attacher:
         self.tables, self.weigh = tables, weigh
         self.spreads: dict[str, Spread] = {}
 
-    def __call__(self, flow: DataFrame, name: str, key: str) -> DataFrame:
-        side = self.tables.side(name)
+    def __call__(self, flow: DataFrame, name: str) -> DataFrame:
+        key, side = SIDE_KEYS[name], self.tables.side(name)
         if name in self.tables.small:
             return attach(flow, side, [key], True)
-        if key not in self.spreads:
-            self.spreads[key] = Spread(lookup_keys(self.weigh, self.tables.job), [key], f"_part{key}",
-                                       self.tables.policy)
-        return attach(flow, side, [key], False, self.spreads[key])
+        return attach(flow, side, [key], False, self._spread(key))
+
+    def _spread(self, key: str) -> Spread:
+        """All large sides' keys are counted together on the first use."""
+        if not self.spreads:
+            job, policy = self.tables.job, self.tables.policy
+            large = [SIDE_KEYS[n] for n in self.tables.names if n not in self.tables.small]
+            weigh = lookup_keys(self.weigh, job)
+            for column, heavy in heavy_values(weigh, list(dict.fromkeys(large)), policy).items():
+                self.spreads[column] = Spread(weigh, [column], f"_part{column}", policy, heavy)
+        return self.spreads[key]
 
 
 def lookup_keys(flow: DataFrame, job: Job) -> DataFrame:
@@ -180,20 +189,20 @@ def trades(flow: DataFrame, job: Job) -> DataFrame:
 
 def with_code(flow: DataFrame, attacher: Attacher) -> DataFrame:
     """filter_flag and dc_flag of the transaction code; a miss leaves false and 0."""
-    return attacher(flow, "codes", "txn_key").withColumns({
+    return attacher(flow, "codes").withColumns({
         "filter_flag": F.coalesce("filter_flag", F.lit(False)),
         "dc_flag": F.coalesce("dc_flag", F.lit(0))})
 
 
 def with_groups(flow: DataFrame, attacher: Attacher) -> DataFrame:
     """group_id: all groups of the merchant, empty when it has none."""
-    return attacher(flow, "groups", "_merchant").withColumns({
+    return attacher(flow, "groups").withColumns({
         "group_id": F.coalesce("group_id", F.lit("")),
         "in_store_group": F.coalesce("in_store_group", F.lit(False))})
 
 
 def with_terminal(flow: DataFrame, attacher: Attacher) -> DataFrame:
-    return attacher(flow, "terminals", "_terminal_item").withColumn(
+    return attacher(flow, "terminals").withColumn(
         "map_result_from_terminal", F.coalesce("_terminal_result", F.lit("")))
 
 
@@ -204,7 +213,7 @@ def with_store(flow: DataFrame, attacher: Attacher) -> DataFrame:
     keyed = flow.withColumns({
         "_store_item": F.when(store.isNotNull(), job.store_item(store)),
         "store_no": F.coalesce(store, F.lit(""))})
-    return attacher(keyed, "stores", "_store_item").withColumn(
+    return attacher(keyed, "stores").withColumn(
         "map_result_from_rsv", F.coalesce("_store_result", F.lit("")))
 
 
@@ -249,7 +258,7 @@ def enrich(flow: DataFrame, tables: Lookups, weigh: DataFrame | None = None) ->
     attacher = Attacher(tables, flow if weigh is None else weigh)
     coded = with_code(lookup_keys(flow, job), attacher)
     # Groups and fee profiles have the same key, so a divided flow is exchanged once.
-    profiled = attacher(with_groups(coded, attacher), "fees", "_merchant")
+    profiled = attacher(with_groups(coded, attacher), "fees")
     mapped = with_store(with_terminal(profiled, attacher), attacher)
     return mapped.withColumn("mer_no", resolve_merchant(job))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from netledger.operators.joins import JoinPolicy, Spread, attach, fits_broadcast, lookup, measure
+from netledger.operators.joins import JoinPolicy, Spread, attach, fits_broadcast, heavy_values, lookup, measure
 from tests.helpers import frame
 
 TINY = JoinPolicy(broadcast_bytes=0, rows_per_part=50, null_parts=16)
@@ -46,6 +46,12 @@ def test_heavy_key_and_missing_keys_are_spread(flow):
     assert parts["k1"] == 1
 
 
+def test_several_keys_are_counted_together(spark, flow):
+    heavy = heavy_values(flow.withColumn("w", F.lit("all")), ["k", "w"], TINY)
+    assert [(r.k, r["_parts"]) for r in heavy["k"].collect()] == [("hot", 20)]
+    assert [(r.w, r["_parts"]) for r in heavy["w"].collect()] == [("all", 60)]
+
+
 def test_copies_are_bounded_by_the_flow(flow, dim):
     spread = Spread(flow, ["k"], "part", TINY)
     assert spread.copy(dim).count() == 3 + 1000 // 50
