@@ -474,7 +474,10 @@ def _message_files(spark, folder, job) -> tuple[str, int]:
 def _streamed(spark, folder, job):
     path, per_batch = _message_files(spark, folder, job)
     stream = SettlementStream(job, lambda s: fx.dimensions(s, folder), work_path(spark, "run"))
-    stream.start(messages.file_stream(spark, path, per_batch), once=True).awaitTermination()
+    try:
+        stream.start(messages.file_stream(spark, path, per_batch), once=True).awaitTermination()
+    finally:
+        stream.close()
     return _money_out(stream.totals(spark))
 
 

@@ -81,7 +81,10 @@ def _stream(spark: SparkSession, args) -> None:
         source = messages.file_stream(spark, args.messages, args.max_per_trigger)
     else:
         source = messages.kafka_stream(spark, args.servers, args.topics, args.max_per_trigger)
-    stream.start(source, once=args.once).awaitTermination()
+    try:
+        stream.start(source, once=args.once).awaitTermination()
+    finally:
+        stream.close()
 
 
 def main(argv: list[str] | None = None) -> None:

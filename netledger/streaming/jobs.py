@@ -78,7 +78,16 @@ class SettlementStream:
         """
         parsed = self._parse(messages)
         written = write_batch(parsed, f"{self.folder}/parsed", batch_id)
-        self._settle(messages.sparkSession.read.schema(parsed.schema).parquet(written), batch_id)
+        try:
+            self._settle(messages.sparkSession.read.schema(parsed.schema).parquet(written), batch_id)
+        finally:
+            self.close()
+
+    def close(self) -> None:
+        """Free the cached lookup sides; a later batch prepares them again."""
+        if self._tables is not None:
+            self._tables.release()
+            self._tables = None
 
     def _parse(self, batch: DataFrame) -> DataFrame:
         rows = with_arrival(batch)
@@ -100,8 +109,7 @@ class SettlementStream:
         dims = self.dimensions(spark)
         files = dims.files()
         if self._tables is None or not files or files != self._files:
-            if self._tables is not None:
-                self._tables.release()
+            self.close()
             self._tables, self._files = Lookups(dims, self.job, self.policy).keep(), files
         return self._tables
 

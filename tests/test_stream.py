@@ -27,8 +27,10 @@ def put(folder, name, *lines):
     part.rename(folder / name)
 
 
-def run(spark, stream, folder, per_trigger=1):
+def run(spark, stream, folder, per_trigger=1, close=True):
     stream.start(file_stream(spark, str(folder), per_trigger), once=True).awaitTermination()
+    if close:
+        stream.close()
 
 
 def totals(spark, stream):
@@ -65,6 +67,7 @@ def test_a_repeated_batch_counts_once_and_a_new_version_replaces(spark, tmp_path
     stream.process(file_messages(spark, str(source)), 1)
     assert {r.id: r.txnAmt for r in stream.detail(spark).collect()} == {"a": dec("7.00"), "b": dec("100.00")}
 
+    stream.close()
     compact_latest(spark, stream.detail_path, "id", str(tmp_path / "detail2"))
     compact_totals(spark, stream.totals_path, str(tmp_path / "totals2"))
     assert read_latest(spark, str(tmp_path / "detail2"), "id").count() == 2
@@ -93,15 +96,17 @@ def test_reloaded_dimension_files_take_effect(spark, tmp_path):
     load("1")
     stream = SettlementStream(NORMAL, lambda s: open_dimensions(s, target), str(tmp_path / "run"))
     put(source, "1.json", message(ID="a"))
-    run(spark, stream, source)
+    run(spark, stream, source, close=False)
     first = stream._tables
     put(source, "2.json", message(ID="b"))
-    run(spark, stream, source)
+    run(spark, stream, source, close=False)
     assert stream._tables is first
     load("2")
     put(source, "3.json", message(ID="c"))
-    run(spark, stream, source)
+    run(spark, stream, source, close=False)
     assert stream._tables is not first
+    stream.close()
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
     assert totals(spark, stream) == {"M1": dec("296.00")}
 
 
@@ -157,4 +162,5 @@ def test_runs_until_stopped(spark, tmp_path):
     running.processAllAvailable()
     assert running.isActive
     running.stop()
+    stream.close()
     assert totals(spark, stream) == {"M1": dec("99.00")}
