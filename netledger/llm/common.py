@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from array import array
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +22,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def in_arrow(frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+             schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` on workers that can import this package: its sources go along once per application."""
+    context = frame.sparkSession.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[2]
+        archive = Path(tempfile.mkdtemp(prefix="netledger-code-")) / "netledger_code.zip"
+        with zipfile.ZipFile(archive, "w") as bundle:
+            for source in sorted((root / "netledger").rglob("*.py")):
+                bundle.write(source, source.relative_to(root))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+    return frame.mapInArrow(run, schema)
+
+
 def text_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     """The UTF-8 bytes of a text column."""
     return batch.column(name).cast(pa.binary()).to_pylist()
@@ -38,7 +62,7 @@ def arrow_columns(frame: DataFrame, compute: Callable[[pa.RecordBatch], list[pa.
                 [batch.column(c) for c in passed] + made, [*passed, *fields.names])
 
     schema = T.StructType([frame.schema[c] for c in passed] + list(fields.fields))
-    return frame.mapInArrow(run, schema)
+    return in_arrow(frame, run, schema)
 
 
 def written(frame: DataFrame, label: str) -> DataFrame:
@@ -79,5 +103,62 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             .union(current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()))
 
 
-def hex_sha256(column: Column) -> Column:
-    return F.sha2(column, 256)
+class Words(dict):
+    """Numbers and 64-bit hashes of words, kept per worker process and emptied at ``limit`` bytes.
+
+    A list of words becomes an array of numbers with one dictionary lookup a word; whatever depends
+    on the word alone is then computed once per distinct word and gathered by number.
+    """
+
+    def __init__(self, limit: int = 12_000_000) -> None:
+        super().__init__()
+        self.limit, self.held, self.hashes = limit, 0, array("Q")
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self.hashes)
+        self.hashes.append(int.from_bytes(blake2b(word, digest_size=8).digest(), "little"))
+        self.held += len(word) + 24
+        return number
+
+    def full(self) -> bool:
+        return self.held > self.limit
+
+    def forget(self) -> None:
+        self.clear()
+        self.held, self.hashes = 0, array("Q")
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def hashed(self, words: list[bytes]) -> np.ndarray:
+        """The 64-bit hash of each word."""
+        if self.full():
+            self.forget()
+        numbers = self.numbers(words)
+        return np.frombuffer(self.hashes, np.uint64)[numbers] if len(words) else np.zeros(0, np.uint64)
+
+
+_MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """A bijective scramble of 64-bit values."""
+    out = values ^ (values >> np.uint64(32))
+    out = out * np.uint64(0xD6E8FEB86659FD93)
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    return out ^ (out >> np.uint64(32))
+
+
+def gram_hashes(hashes: np.ndarray, size: int, way: int = 0) -> np.ndarray:
+    """A 64-bit hash of each window of ``size`` word hashes; ``way`` 0 and 1 are independent."""
+    count = len(hashes) - size + 1
+    if count < 1:
+        return np.zeros(0, np.uint64)
+    factor = np.uint64(_MIX[way])
+    base = mixed(hashes + factor) if way else hashes
+    out = base[:count].copy()
+    for step in range(1, size):
+        out *= factor
+        out += base[step:step + count]
+    return mixed(out)

@@ -26,6 +26,27 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
+OP5 = """
+WITH a AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS s FROM pages),
+p AS (
+  SELECT page_id, translate(regexp_extract(s, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(s, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
+c AS (
+  SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)[.]', '')
+    || regexp_replace(regexp_replace(path, '[.]html$', ''), '/$', '') END AS canon FROM p),
+listed AS (SELECT DISTINCT canon FROM c WHERE regexp_matches(host, '(^|[.])(spam-farm|cheap-pills)[.]')),
+rules(verdict, h, t) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+  ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+best AS (
+  SELECT page_id, max_by(h || t, length(h || t)) AS rule, max_by(verdict, length(h || t)) AS v FROM c, rules
+  WHERE (host = h OR host LIKE '%.' || h) AND starts_with(path, t) GROUP BY page_id)
+SELECT page_id, host, path, rule,
+  coalesce(v, CASE WHEN canon IN (SELECT canon FROM listed WHERE canon IS NOT NULL) THEN 'block' ELSE 'allow' END) AS verdict
+FROM c LEFT JOIN best USING (page_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1,
+    "op5_url_filter": OP5,
 }

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netledger.llm import bpe, decontaminate
+from netledger.llm import bpe, decontaminate, quality, resample, secrets, urlfilter
 from netledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,7 +34,44 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents, vocabulary(), keep=["doc_id"])
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    base = F.filter("secrets", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, secrets.BASE_KINDS), F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+                        secrets.listed(F.col("secrets")).alias("spans"))
+
+
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: the URLs of sites that are known for spam, as far as the pages hold them."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    host = urlfilter.host_of(F.col("url"))
+    listed = pages.filter(F.col("url").isNotNull() & host.rlike(r"(^|\.)(spam-farm|cheap-pills)\."))
+    judged = urlfilter.filter_urls(pages, listed, URL_RULES, keep=["page_id"])
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), keep=["doc_id"])
+
+
+def op10_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = resample.labelled(table(spark, sf_dir, "labels"), "quality = 1 AND toxic = 0", 100_000)
+    return resample.resample(table(spark, sf_dir, "documents").select("doc_id", "text"), target, keep=["doc_id"])
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op3_bpe": op3_bpe,
+    "op4_secrets": op4_secrets,
+    "op5_url_filter": op5_url_filter,
+    "op9_quality": op9_quality,
+    "op10_resampling": op10_resampling,
 }
