@@ -46,7 +46,24 @@ SELECT page_id, host, path, rule,
 FROM c LEFT JOIN best USING (page_id)
 """
 
+OP8 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all({_FOLD}, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s:s + least(3, len(w)) - 1], ' ') AS g
+  FROM d, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS u(s) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+inter AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+link AS MATERIALIZED (
+  SELECT a, b FROM inter JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1,
     "op5_url_filter": OP5,
+    "op8_minhash": OP8,
 }
