@@ -11,7 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,6 +73,46 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+MAX_BLOCKS = 1 << 20
+
+
+def bloom_mask(value: Column, bits: int = 6) -> Column:
+    """``bits`` bits of a 64-bit block, chosen by six bits of a hash each."""
+    second, mask = F.xxhash64(F.lit(1), value), F.lit(0).cast("bigint")
+    for k in range(bits):
+        place = F.shiftrightunsigned(second, 6 * k).bitwiseAND(63).cast("int")
+        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), place))
+    return mask
+
+
+def bloom(listed: DataFrame, value: str, blocks: int, bits: int = 6) -> DataFrame:
+    """Blocked Bloom filter of the listed values as (block, mask): at most ``blocks`` rows."""
+    return listed.groupBy(F.pmod(F.xxhash64(value), F.lit(blocks)).alias("block")).agg(
+        F.bit_or(bloom_mask(F.col(value), bits)).alias("mask"))
+
+
+def marked(frame: DataFrame, value: str, listed: DataFrame, listed_value: str, mark: str = "_may", bits: int = 6,
+           per_block: int = 5, max_blocks: int = MAX_BLOCKS) -> DataFrame:
+    """The frame with a boolean that is true for all listed values (and few others).
+
+    The broadcast side has at most ``max_blocks`` rows, however many values are listed.
+    """
+    blocks = max(1, min(max_blocks, -(-listed.count() // per_block)))
+    own = bloom_mask(F.col(value), bits)
+    return (frame.withColumn("_block", F.pmod(F.xxhash64(value), F.lit(blocks)))
+            .join(F.broadcast(bloom(listed, listed_value, blocks, bits).toDF("_block", "_mask")), "_block", "left")
+            .withColumn(mark, F.coalesce(F.col(value).isNotNull() & (F.col("_mask").bitwiseAND(own) == own), F.lit(False)))
+            .drop("_block", "_mask"))
+
+
+def sift(frame: DataFrame, value: str, listed: DataFrame, listed_value: str,
+         both: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """The rows whose value may be listed, before a join that decides; with ``both`` also those that cannot."""
+    judged = marked(frame, value, listed, listed_value, "_may")
+    may = judged.filter("_may").drop("_may")
+    return (may, judged.filter("NOT _may").drop("_may")) if both else may
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root) of each node of (a, b) links; root is the smallest node that can be reached.
 

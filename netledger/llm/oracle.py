@@ -46,6 +46,20 @@ SELECT page_id, host, path, rule,
 FROM c LEFT JOIN best USING (page_id)
 """
 
+OP7 = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+places AS (SELECT r, s, array_to_string(w[s:s + 34], ' ') AS k FROM d, unnest(range(1, len(w) - 33)) AS u(s)),
+twice AS (SELECT k FROM places GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, s + i AS p FROM places JOIN twice USING (k), unnest(range(0, 35)) AS u(i)),
+lost AS (SELECT r, count(*) AS n FROM gone GROUP BY r),
+words AS (SELECT r, p, w[p] AS x FROM d, unnest(range(1, len(w) + 1)) AS u(p)),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN lost USING (r) LEFT JOIN kept USING (r)
+"""
+
 OP8 = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(regexp_extract_all({_FOLD}, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
@@ -65,5 +79,6 @@ FROM d LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1,
     "op5_url_filter": OP5,
+    "op7_substring_dedup": OP7,
     "op8_minhash": OP8,
 }

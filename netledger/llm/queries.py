@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netledger.llm import bpe, decontaminate, neardup, quality, resample, secrets, urlfilter
+from netledger.llm import bpe, decontaminate, neardup, quality, resample, secrets, substring, urlfilter
 from netledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,11 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.remove_repeats(documents, window=35, digest=True, keep=["doc_id"])
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
@@ -76,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op3_bpe": op3_bpe,
     "op4_secrets": op4_secrets,
     "op5_url_filter": op5_url_filter,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_minhash": op8_minhash,
     "op9_quality": op9_quality,
     "op10_resampling": op10_resampling,

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from netledger.llm.common import marked
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,21 +54,6 @@ def ruled(pages: DataFrame, rules: list[tuple[str, str, str]]) -> Column:
     return out
 
 
-def _mask(url: Column, bits: int) -> Column:
-    """``bits`` bits of a 64-bit block, six bits of a second hash each."""
-    second, mask = F.xxhash64(F.lit(1), url), F.lit(0).cast("bigint")
-    for k in range(bits):
-        place = F.shiftrightunsigned(second, 6 * k).bitwiseAND(63).cast("int")
-        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), place))
-    return mask
-
-
-def bloom(listed: DataFrame, url: str, blocks: int, bits: int) -> DataFrame:
-    """(block, mask) of the listed URLs: at most ``blocks`` rows."""
-    return listed.groupBy(F.pmod(F.xxhash64(url), F.lit(blocks)).alias("block")).agg(
-        F.bit_or(_mask(F.col(url), bits)).alias("mask"))
-
-
 def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]], url: str = "url",
                 listed_url: str = "url", bits: int = 6, urls_per_block: int = 5, max_blocks: int = 1 << 20,
                 salts: int = 32, keep: list[str] | None = None) -> DataFrame:
@@ -74,15 +61,10 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
     names = ["host", "path", "rule", "listed", "verdict"]
     keep = [c for c in (pages.columns if keep is None else keep) if c not in names]
     urls = listed.select(canonical(F.col(listed_url)).alias("_url")).filter("_url IS NOT NULL").distinct()
-    blocks = max(1, min(max_blocks, -(-urls.count() // urls_per_block)))
     asked = pages.select(*keep, F.col(url).alias("_asked")).withColumns(
         {"host": host_of(F.col("_asked")), "path": path_of(F.col("_asked")), "_url": canonical(F.col("_asked"))})
     asked = asked.withColumn("_rule", ruled(asked, rules))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("_url"), F.lit(blocks)))
-    passed = (asked.join(F.broadcast(bloom(urls, "_url", blocks, bits)), "block", "left")
-              .withColumn("_may", F.coalesce(F.col("_url").isNotNull()
-                          & (F.col("mask").bitwiseAND(_mask(F.col("_url"), bits)) == _mask(F.col("_url"), bits)),
-                          F.lit(False))))
+    passed = marked(asked, "_url", urls, "_url", "_may", bits, urls_per_block, max_blocks)
     salted = passed.filter("_may").withColumn("_salt", F.pmod(F.xxhash64(*keep, "_asked"), F.lit(salts)).cast("int"))
     exact = urls.withColumn("listed", F.lit(True)).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     hits = salted.join(exact.hint("shuffle_hash"), ["_url", "_salt"], "left")
