@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netledger.llm import bpe, decontaminate, neardup, quality, resample, secrets, substring, urlfilter
+from netledger.llm import bpe, decontaminate, langid, neardup, quality, resample, secrets, substring, urlfilter
 from netledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,15 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.contaminated().alias("contaminated"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trained on three quarters of the documents; the rest is held out."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = langid.train(documents.filter(~held_out & F.col("lang").isNotNull()))
+    judged = documents.select("doc_id", "text", held_out.alias("held_out"))
+    return langid.identify(judged, model, keep=["doc_id", "held_out"]).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(documents, vocabulary(), keep=["doc_id"])
@@ -78,6 +87,7 @@ def op10_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op2_language_id": op2_language_id,
     "op3_bpe": op3_bpe,
     "op4_secrets": op4_secrets,
     "op5_url_filter": op5_url_filter,
