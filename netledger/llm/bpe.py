@@ -275,18 +275,22 @@ def decode(encoded: DataFrame, path: str, ids: str = "token_ids", into: str = "d
     return arrow_columns(encoded, compute, T.StructType([T.StructField(into, T.StringType())]), keep)
 
 
-def round_trip(documents: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Digests of a whole text's ids and of what they decode to, without carrying either."""
+def round_trip(documents: DataFrame, path: str, text: str = "text", keep: list[str] | None = None,
+               with_ids: bool = False) -> DataFrame:
+    """Digests of a whole text's ids and of what they decode to; ``with_ids`` adds the packed token_ids."""
     content = _sent(documents, path)
+    fields = T.StructType(DIGESTS.fields + ENCODED.fields[:1]) if with_ids else DIGESTS
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         bpe = _bpe(content.value)
-        counts, ids, texts = [], [], []
+        counts, ids, texts, packed = [], [], [], []
         for data in text_bytes(batch, text):
             tokens = bpe.encode((data or b"").decode())
             counts.append(len(tokens))
+            packed.append(tokens.astype("<i4").tobytes() if with_ids else None)
             ids.append(hashlib.sha256(bpe.listed(tokens)).hexdigest())
             texts.append(hashlib.sha256(bpe.decode(tokens).decode("utf-8", "replace").encode()).hexdigest())
-        return [pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
+        made = [pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
+        return [*made, pa.array(packed, pa.binary())] if with_ids else made
 
-    return arrow_columns(documents, compute, DIGESTS, keep)
+    return arrow_columns(documents, compute, fields, keep)

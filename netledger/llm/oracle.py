@@ -46,6 +46,24 @@ SELECT page_id, host, path, rule,
 FROM c LEFT JOIN best USING (page_id)
 """
 
+OP6 = """
+WITH c AS (
+  SELECT *, conv_id || ':' || turn AS own, conv_id || ':' || (turn - 1) AS asked, CAST(to_json(text) AS VARCHAR) AS j FROM conversations),
+firsts AS (SELECT conv_id, own, count(*) AS n FROM c WHERE role = 'user' GROUP BY ALL),
+answers AS (SELECT conv_id, asked, min(turn) AS answered FROM c WHERE role = 'assistant' GROUP BY ALL)
+SELECT c.conv_id, turn, 0 AS place, 'message' AS kind, NULL AS call_id, 'plain' AS status, '' AS problems, 0 AS level,
+  '{"content":' || j || ',"role":"' || role || '","type":"message"}' AS record
+FROM c WHERE role NOT IN ('user', 'assistant')
+UNION ALL
+SELECT c.conv_id, turn, 0, 'call', own, CASE WHEN answered IS NULL THEN 'unanswered' ELSE 'linked' END, '', 0,
+  '{"arguments":{"message":' || j || ',"turn":' || turn || '},"id":"' || own || '","name":"reply","type":"tool_call"}'
+FROM c LEFT JOIN answers a ON a.conv_id = c.conv_id AND a.asked = c.own WHERE role = 'user'
+UNION ALL
+SELECT c.conv_id, turn, 0, 'result', c.asked, CASE WHEN f.own IS NULL THEN 'orphan' ELSE 'linked' END, '', 0,
+  '{"content":' || j || ',"id":"' || c.asked || '","type":"tool_result"}'
+FROM c LEFT JOIN firsts f ON f.conv_id = c.conv_id AND f.own = c.asked WHERE role = 'assistant'
+"""
+
 OP7 = """
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
@@ -79,6 +97,7 @@ FROM d LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1,
     "op5_url_filter": OP5,
+    "op6_chat": OP6,
     "op7_substring_dedup": OP7,
     "op8_minhash": OP8,
 }

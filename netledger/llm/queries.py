@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netledger.llm import bpe, decontaminate, langid, neardup, quality, resample, secrets, substring, urlfilter
+from netledger.llm import bpe, chat, decontaminate, langid, neardup, quality, resample, secrets, substring, urlfilter
 from netledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,28 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+REPLY = {"reply": {"message": ("string", True), "turn": ("integer", True)}}
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns as tool traffic: a user's turn is a call that needs the one before, the assistant's turn after it its result."""
+    turns = table(spark, sf_dir, "conversations")
+
+    def name(turn: Column) -> Column:
+        return F.concat_ws(":", "conv_id", turn)
+
+    call = F.to_json(F.struct(F.array(F.struct(
+        name(F.col("turn")).alias("id"), F.lit("reply").alias("name"),
+        F.struct(F.col("text").alias("message"), F.col("turn")).alias("arguments"),
+        F.array(name(F.col("turn") - 2)).alias("after"))).alias("tool_calls")))
+    result = F.to_json(F.struct(name(F.col("turn") - 1).alias("tool_call_id"), F.col("text").alias("content")))
+    traffic = turns.select(
+        "conv_id", "turn", F.when(F.col("role") == "user", "assistant").when(F.col("role") == "assistant", "tool")
+        .otherwise(F.col("role")).alias("role"),
+        F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", result).otherwise(F.col("text")).alias("text"))
+    return chat.link_tools(traffic, REPLY)
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_repeats(documents, window=35, digest=True, keep=["doc_id"])
@@ -91,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op3_bpe": op3_bpe,
     "op4_secrets": op4_secrets,
     "op5_url_filter": op5_url_filter,
+    "op6_chat": op6_chat,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_minhash": op8_minhash,
     "op9_quality": op9_quality,
