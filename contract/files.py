@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netledger import fixtures as fx
+from contract import fixtures as fx
 from netledger import schemas
 from netledger.session import gbk_session, work_path
 from netledger.sources.lines import write_lines
@@ -34,7 +34,7 @@ def fee_file(spark: SparkSession, folder: str) -> str:
 
 def mapping_file(spark: SparkSession, folder: str) -> str:
     """Mappings in table order; the second line of a key replaces the first."""
-    maps = fx.mappings(gbk_session(spark), folder).filter(F.col("map_id") == "100000")
+    maps = fx.mappings(gbk_session(spark), folder)
     lines = F.array(*[F.concat(F.concat_ws(
         "|", "inst_id", "bat_date", "map_id", "type_id", "src_item", F.concat(F.col("map_result"), F.lit(tail)),
         F.lit("19900101"), F.lit("99999999"), F.lit(version), F.lit("20131018153535"), F.lit("loader  ")),

@@ -306,14 +306,15 @@ ORACLES: dict[str, str] = {
         map_result_from_rsv AS "mapResultFromRSV" FROM done""",
     "normal_rejects": f"{NORMAL_DONE} {_REJECTS.format(key='id')}",
     "incre_rejects": f"{INCRE_DONE} {_REJECTS.format(key='plt_ssn')}",
-    "export_lines": f"""{NORMAL_DONE} SELECT mer_no || ', ' || CAST(CAST(sum(net) AS DECIMAL(28,6)) AS VARCHAR)
-        AS line FROM done WHERE net IS NOT NULL GROUP BY mer_no""",
+    "export_lines": f"""{NORMAL_DONE} SELECT mer_no || ', '
+        || regexp_replace(regexp_replace(CAST(sum(net) AS VARCHAR), '([.][0-9]*?)0+$', '\\1'), '[.]$', '') AS line FROM done WHERE net IS NOT NULL GROUP BY mer_no""",
     "keyed_upsert": f"""WITH {NORMAL} SELECT id, mid, resp_code, {_double('txn_amt')} AS txn_amt FROM (
         SELECT *, row_number() OVER (PARTITION BY id ORDER BY resp_code DESC, l_shipdate DESC,
           l_extendedprice DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC) AS rn FROM nf) t
         WHERE rn = 1""",
-    "record_text": f"""WITH {NORMAL} SELECT id, 'mid:' || mid || ' tid:' || tid || ' txn_amt:'
-        || CAST(txn_amt AS VARCHAR) AS text FROM nf""",
+    "record_text": f"""WITH {NORMAL} SELECT id, 'id:' || id || ' msg_type:' || msg_type || ' proc_code:' || proc_code
+        || ' ser_concode:' || ser_concode || ' txn_amt:' || CAST(txn_amt AS VARCHAR) || ' tid:' || tid || ' mid:' || mid
+        || ' tran_stat:' || tran_stat || ' resp_code:' || resp_code || ' rsv4:' || rsv4 AS text FROM nf""",
     "map_merge": f"""SELECT user_id, {_double('sum(CAST(value AS DECIMAL(14,2)))')} AS total FROM events
         GROUP BY user_id""",
     "point_read": "SELECT coalesce(max(c_mktsegment), '') AS value FROM customer WHERE c_custkey = 7",
@@ -372,8 +373,9 @@ ORACLES: dict[str, str] = {
         credit_calc_type, {_double('credit_calc_rate')} AS credit_calc_rate,
         {_double('credit_calc_amt')} AS credit_calc_amt, {_double('credit_min_amt')} AS credit_min_amt,
         {_double('credit_max_amt')} AS credit_max_amt FROM fees WHERE CAST(mer_no AS BIGINT) % 50 <> 0""",
-    "mapping_load": f"""WITH {MAPS} SELECT '100000' AS map_id, type_id, src_item, map_result || 'new' AS map_result,
-        1 AS rcd_ver, '' AS upd_datetime FROM maps""",
+    "mapping_load": f"""WITH {MAPS}, two(map_id, other) AS (VALUES ('100000', NULL), ('200000', 'LATER'))
+        SELECT map_id, type_id, src_item, coalesce(other, map_result) || 'new' AS map_result,
+        1 AS rcd_ver, '' AS upd_datetime FROM maps, two""",
     "variable_arity_load": """SELECT CASE p_partkey % 3 WHEN 0 THEN 'K' WHEN 1 THEN '0200|01|' ELSE 'a|b|c|' END
           || CAST(p_partkey AS VARCHAR) AS txn_key,
         lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') AS txn_code, '消费' || p_name AS txn_des,
@@ -385,4 +387,30 @@ ORACLES: dict[str, str] = {
         mchnt_id_pay, term_id_pay, trans_cd_pay, pay_st, CAST(trans_amt AS VARCHAR) AS trans_amt,
         rtrim(rsvd1) AS rsvd1, CAST(rsvd6 AS VARCHAR) AS rsvd6 FROM inf""",
     "file_to_settlement": INCRE_TOTALS,
+    "stream_running_totals_divided": NORMAL_TOTALS,
+    "stream_with_duplicates": NORMAL_TOTALS.replace("PARTITION BY id ORDER", "PARTITION BY id, resp_code ORDER"),
+    "incre_keyed_upsert": """SELECT l_orderkey AS plt_ssn, l_suppkey AS mchnt_id_pay, l_linenumber AS term_id_pay,
+        CAST(l_quantity AS DOUBLE) AS qty FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag DESC,
+        l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC) AS rn FROM lineitem) t WHERE rn = 1""",
+    "dimension_upsert": """SELECT lpad(CAST(s_suppkey AS VARCHAR), 15, '0') AS mer_no,
+        CASE WHEN s_suppkey % 2 = 0 THEN 2.5 ELSE 1.5 END::DOUBLE AS rate
+        FROM supplier WHERE s_suppkey % 3 <> 0 OR s_suppkey % 2 = 0""",
+    "amount_limits": """SELECT problem, count(*) AS messages, CAST(sum(amount) AS DOUBLE) AS amount FROM (SELECT
+        CASE l_linenumber WHEN 1 THEN 'txn_amt has more than 2 decimals' WHEN 2 THEN 'txn_amt is out of range'
+          WHEN 3 THEN 'txn_amt is not a number' ELSE '' END AS problem,
+        CASE l_linenumber WHEN 1 THEN l_partkey + 0.24 WHEN 4 THEN l_partkey + 0.5
+          WHEN 2 THEN NULL WHEN 3 THEN NULL ELSE l_partkey END::DECIMAL(14,2) AS amount FROM lineitem) t GROUP BY problem""",
+    "ingest_rejects": """SELECT CASE WHEN l_linenumber = 2 THEN 'too few columns' ELSE 'message' END AS kind,
+        CASE WHEN l_linenumber = 2 THEN 'short|' ELSE '' END || l_orderkey AS text, count(*) AS lines FROM lineitem GROUP BY 1, 2""",
+    "multi_file_flow": f"WITH {NORMAL} SELECT mid, 2 * count(*) AS lines FROM nf GROUP BY mid",
+    "single_cell_write": """SELECT CAST(user_id AS VARCHAR) AS user_id,
+        CASE WHEN user_id = 7 THEN '' ELSE arg_max(event_id, event_id) FILTER (event_type = 'click')::VARCHAR END AS click,
+        arg_max(event_id, event_id) FILTER (event_type = 'view')::VARCHAR AS view FROM events GROUP BY user_id""",
+    "cell_maps": """SELECT user_id, string_agg(event_type || '=' || last, ',' ORDER BY event_type) AS cells FROM (
+        SELECT user_id, event_type, max(event_id) AS last FROM events GROUP BY ALL) t GROUP BY user_id""",
+    "table_if_absent": "SELECT CAST(n_regionkey AS BIGINT) AS r_regionkey, n_name AS r_name FROM nation",
+    "message_key_shape": f"""WITH {NORMAL} SELECT '{{"ID":"' || id || '","MSG_TYPE":"' || msg_type || '","PROC_CODE":"' || proc_code
+        || '","SER_CONCODE":"' || ser_concode || '","TXN_AMT":"' || CAST(txn_amt AS VARCHAR) || '","TID":"' || tid || '","MID":"' || mid
+        || '","TRAN_STATUS":"' || tran_stat || '","RESP_CODE":"' || resp_code || '","RSV4":"' || rsv4 || '"}}' AS value,
+        true AS key_fits FROM nf""",
 }

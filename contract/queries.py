@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contract import files
-from netledger import fixtures as fx
+from contract import fixtures as fx
 from netledger import schemas
 from netledger.functions import money
 from netledger.functions.sqlfunctions import register, square
@@ -17,12 +18,13 @@ from netledger.operators import cells, filters, lookups, parse, pointreads
 from netledger.operators.dedup import latest, top_one
 from netledger.operators.joins import JoinPolicy, lookup
 from netledger.operators.totals import merge_maps
-from netledger.plans import export, settlement
+from netledger.plans import export, load, settlement
 from netledger.plans.settlement import INCRE, NORMAL
-from netledger.session import work_path
+from netledger.session import gbk_session, work_path
+from netledger.sinks import messages as message_sinks
 from netledger.sinks import tables
 from netledger.sources import dimensions, flowfiles, messages
-from netledger.sources.lines import read_lines
+from netledger.sources.lines import read_lines, write_lines
 from netledger.streaming.jobs import SettlementStream, running_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,7 +176,7 @@ def like_lookup(spark, folder):
         "id", F.when(F.length("msg_type") >= 3, F.substring("msg_type", 2, 2)).alias("msg_part"),
         F.when(F.length("proc_code") >= 2, F.substring("proc_code", 1, 2)).alias("proc_part"),
         F.col("ser_concode").alias("ser_part"))
-    index = lookups.pattern_index(fx.txn_codes(spark, folder))
+    index = lookups.first_like(flow, fx.txn_codes(spark, folder))
     return lookup(flow, index, ["msg_part", "proc_part", "ser_part"]).select(
         "id", "msg_part", "proc_part", "ser_part", "txn_key")
 
@@ -305,8 +307,9 @@ def keyed_upsert(spark, folder):
 
 @query
 def record_text(spark, folder):
-    """``name:value`` text of each record."""
-    return fx.normal_flow(spark, folder).select("id", describe(["mid", "tid", "txn_amt"]).alias("text"))
+    """``name:value`` text of all fields of each record."""
+    flow = fx.normal_flow(spark, folder)
+    return flow.select("id", describe(list(schemas.NORMAL_KEYS.values())).alias("text"))
 
 
 @query
@@ -426,13 +429,12 @@ def props_parse(spark, folder):
 @query
 def decode_fn(spark, folder):
     events = fx.table(spark, folder, "events")
-    by_list = decode_list(F.concat((F.col("user_id") % 90).cast("string"),
-                                   F.lit(",1,1,86,2,74,3,18,4,39,5,40,6,68,7")))
+    ranks = [str(n) for pair in lookups.APPTYPE_RANK for n in pair]
+    by_list = decode_list(F.concat((F.col("user_id") % 90).cast("string"), F.lit("," + ",".join(ranks))))
     return events.select("event_id", by_list.alias("with_last"),
                          decode_list(F.concat((F.col("user_id") % 3).cast("string"),
                                               F.lit(",1,10,1,11,2,20,9"))).alias("last_wins"),
-                         F.expr("decode(CAST(user_id % 90 AS INT), 1, 1, 86, 2, 74, 3, 18, 4, 39, 5, 40, 6, 68, 7)")
-                         .cast("int").alias("plain"))
+                         F.expr(f"decode(CAST(user_id % 90 AS INT), {', '.join(ranks)})").cast("int").alias("plain"))
 
 
 @query
@@ -491,10 +493,9 @@ def stream_equals_batch_incre(spark, folder):
     return _streamed(spark, folder, INCRE)
 
 
-@query
-def stream_running_totals(spark, folder):
+def _running_totals(spark, folder, policy):
     path, per_batch = _message_files(spark, folder, NORMAL)
-    totals = running_totals(messages.file_stream(spark, path, per_batch), fx.dimensions(spark, folder), NORMAL)
+    totals = running_totals(messages.file_stream(spark, path, per_batch), fx.dimensions(spark, folder), NORMAL, policy)
     out, checkpoint = work_path(spark, "state"), work_path(spark, "checkpoint")
     (totals.writeStream.outputMode("update").trigger(availableNow=True)
      .option("checkpointLocation", checkpoint)
@@ -503,6 +504,155 @@ def stream_running_totals(spark, folder):
     return _money_out(tables.read_latest(spark, out, "mer_no"))
 
 
+@query
+def stream_running_totals(spark, folder):
+    return _running_totals(spark, folder, JoinPolicy())
+
+
+@query
+def stream_running_totals_divided(spark, folder):
+    """The same with no dimension of broadcast size."""
+    return _running_totals(spark, folder, DIVIDED)
+
+
+@query
+def stream_with_duplicates(spark, folder):
+    """The whole flow, with its repeated ids, in three batches by response code."""
+    flow = fx.normal_flow(spark, folder)
+    path, run = work_path(spark, "messages"), work_path(spark, "run")
+    stream = SettlementStream(NORMAL, lambda s: fx.dimensions(s, folder), run, fan_out=3)
+    try:
+        for code in ("00", "05", "10"):
+            part = flow.filter(F.col("resp_code") == code)
+            part.select(_positioned(part)).write.mode("append").text(path)
+            stream.start(messages.file_stream(spark, path), once=True).awaitTermination()
+    finally:
+        stream.close()
+    return _money_out(stream.totals(spark))
+
+
+def _positioned(flow: DataFrame) -> Column:
+    """Messages that carry the flow's own order as their line positions."""
+    place = F.struct(
+        F.concat_ws("/", F.col("arrival.l_shipdate").cast("string"),
+                    F.lpad((F.col("arrival.l_extendedprice") * 100).cast("decimal(18,0)").cast("string"), 18, "0")).alias("path"),
+        F.col("arrival.l_partkey").cast("long").alias("block"),
+        (F.col("arrival.l_suppkey") * 1000 + F.col("arrival.l_quantity")).cast("long").alias("row"))
+    return F.to_json(F.struct(*[F.col(name).cast("string").alias(key) for key, name in schemas.NORMAL_KEYS.items()],
+                              place.alias(schemas.POSITION))).alias("value")
+
+
+# Stores and jobs
+
+@query
+def incre_keyed_upsert(spark, folder):
+    """A keyed view whose batches hold a key once per terminal: the newest batch, then the last arrival wins."""
+    li = fx.table(spark, folder, "lineitem")
+    flow = li.select(F.col("l_orderkey").alias("plt_ssn"), F.col("l_suppkey").alias("mchnt_id_pay"),
+                     F.col("l_linenumber").alias("term_id_pay"), F.col("l_quantity").cast("double").alias("qty"), "l_returnflag",
+                     F.struct("l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").alias("arrival"))
+    path = work_path(spark, "keyed")
+    for batch_id, flag in enumerate(("A", "N", "R")):
+        batch = latest(flow.filter(F.col("l_returnflag") == flag), INCRE.dedup_keys)
+        tables.write_batch(batch.drop("l_returnflag"), path, batch_id)
+    compacted = work_path(spark, "compacted")
+    tables.compact_latest(spark, path, "plt_ssn", compacted)
+    return tables.read_latest(spark, compacted, "plt_ssn")
+
+
+@query
+def dimension_upsert(spark, folder):
+    """Two loads with keys in common: the second adds some and replaces others."""
+    supplier = fx.table(gbk_session(spark), folder, "supplier")
+    key = F.col("s_suppkey")
+    target = work_path(spark, "dimensions")
+    for keep, rate in ((key % 3 != 0, "1.5"), (key % 2 == 0, "2.5")):
+        path = work_path(spark, "fees")
+        write_lines(supplier.filter(keep).select(F.concat_ws(
+            "|", fx.merchant_id(key), F.lit("1"), F.lit("1"), F.lit("10"), F.lit(rate), F.lit("0"), F.lit("0"), F.lit("9"))), path)
+        load.load_dimensions(spark, {"fees": path}, target)
+    stored = load.open_version(spark, target, "fees", load.published(spark, target, "fees"))
+    return stored.select("mer_no", F.col("credit_calc_rate").cast("double").alias("rate"))
+
+
+@query
+def amount_limits(spark, folder):
+    """Amounts with too many decimals or digits are set aside with the reason, never rounded."""
+    line = F.col("l_linenumber")
+    amount = (F.when(line == 1, F.concat(F.col("l_partkey").cast("string"), F.lit(".239")))
+              .when(line == 2, F.concat(F.lit("9999999"), F.lpad(F.col("l_partkey").cast("string"), 8, "0"), F.lit(".00")))
+              .when(line == 3, F.lit("1,5")).when(line == 4, F.concat(F.col("l_partkey").cast("string"), F.lit(".5000")))
+              .otherwise(F.col("l_partkey").cast("string")))
+    raw = fx.table(spark, folder, "lineitem").select(F.to_json(F.struct(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("ID"), amount.alias("TXN_AMT"))).alias("value"))
+    parsed = parse.read_normal(raw)
+    return parsed.groupBy(F.coalesce("problem", F.lit("")).alias("problem")).agg(
+        F.count(F.lit(1)).alias("messages"), F.sum("txn_amt").cast("double").alias("amount"))
+
+
+@query
+def ingest_rejects(spark, folder):
+    """Every line of a file gives a message or a reject; short lines keep their text."""
+    li = fx.table(gbk_session(spark), folder, "lineitem")
+    line = F.concat_ws("|", F.col("l_orderkey").cast("string"), *[F.lit("")] * 67, F.lit("end"))
+    short = F.concat_ws("|", F.lit("short"), F.col("l_orderkey").cast("string"))
+    path = work_path(spark, "lines")
+    write_lines(li.select(F.when(F.col("l_linenumber") == 2, short).otherwise(line)), path)
+    good, bad = load.ingest(spark, "normal", path)
+    ids = good.select(F.get_json_object("value", "$.ID").alias("text"), F.lit("message").alias("kind"))
+    rows = ids.unionByName(bad.select(F.col("line").alias("text"), F.col("problem").alias("kind")))
+    return rows.groupBy("kind", "text").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query
+def multi_file_flow(spark, folder):
+    """A comma list of files with blank entries; a blank list reads nothing."""
+    first, second = files.normal_file(spark, folder), files.normal_file(spark, folder)
+    lines = read_lines(spark, f" {first}, ,{second},")
+    none = read_lines(spark, " , ")
+    fields = flowfiles.delimited_fields(lines.unionByName(none))
+    return fields.groupBy(F.col("MID").alias("mid")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query
+def single_cell_write(spark, folder):
+    """One cell put over a wide table of the events; the other cells stay."""
+    events = fx.table(spark, folder, "events").select(
+        F.col("user_id").cast("string").alias("user_id"), "event_type", F.col("event_id").cast("string").alias("value"), "event_id")
+    cell = cells.one_cell(spark, "user_id", "7", "click", None)
+    put = cell.select("user_id", F.lit("click").alias("event_type"), F.col("click").alias("value"),
+                      F.lit(1 << 40).alias("event_id"))
+    return cells.wide_rows(events.unionByName(put), "user_id", "event_type", "value", "event_id", ["click", "view"])
+
+
+@query
+def cell_maps(spark, folder):
+    """Wide rows whose column names are not given: one map per key, here as text."""
+    events = fx.table(spark, folder, "events").withColumn("value", F.col("event_id").cast("string"))
+    wide = cells.wide_rows(events, "user_id", "event_type", "value", "event_id")
+    entries = F.transform(F.array_sort(F.map_entries("cells")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return wide.select("user_id", F.array_join(entries, ",").alias("cells"))
+
+
+@query
+def table_if_absent(spark, folder):
+    """Creating a table a second time leaves its rows."""
+    name, path = f"regions_{uuid.uuid4().hex}", work_path(spark, "table")
+    tables.create_if_absent(spark, name, "r_regionkey BIGINT, r_name STRING", path)
+    fx.table(spark, folder, "nation").select(F.col("n_regionkey").cast("long").alias("r_regionkey"),
+                                             F.col("n_name").alias("r_name")).write.insertInto(name)
+    tables.create_if_absent(spark, name, "r_regionkey BIGINT, r_name STRING", path)
+    return spark.table(name)
+
+
+@query
+def message_key_shape(spark, folder):
+    """Keyed messages for a topic: its name and the time of sending in milliseconds."""
+    text = fx.normal_flow(spark, folder).select(parse.message_text(schemas.NORMAL_KEYS).alias("value"))
+    keyed = message_sinks.keyed(text, "flow")
+    return keyed.select("value", F.col("key").rlike(r"^flow_[0-9]{13}$").alias("key_fits"))
+
+
 # Files
 
 @query
@@ -536,7 +686,7 @@ def gbk_fixed_width(spark, folder):
 @query
 def file_to_settlement(spark, folder):
     """Fixed-width file to messages to records to totals, end to end."""
-    records = parse.usable(parse.read_incre(flowfiles.incre_messages(spark, files.incre_file(spark, folder))))
-    flow = records.withColumn("arrival", F.lit(0))
-    return _money_out(settlement.summary(settlement.settle(flow, fx.dimensions(
+    found = flowfiles.incre_messages(spark, files.incre_file(spark, folder))
+    records = parse.usable(parse.read_incre(found, positioned=True))
+    return _money_out(settlement.summary(settlement.settle(records, fx.dimensions(
         records.sparkSession, folder), INCRE)))

@@ -1,11 +1,11 @@
 """Command line: ``spark-submit`` or ``python -m netledger <job> ...``.
 
     load       dimension files -> tables
-    ingest     flow files -> JSON messages (folder or Kafka topic)
+    ingest     flow files -> JSON messages (folder or Kafka topic); unusable lines go aside
     settle     messages in a folder -> detail and totals, as a batch
     stream     messages of a Kafka topic or folder -> detail and totals, until stopped
     export     totals of a run -> ``merchant, total`` lines
-    query      SQL over the detail views of a run
+    query      SQL over the detail views of a run -> table, or a preview of some rows
 """
 
 from __future__ import annotations
@@ -41,6 +41,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     p.add_argument("--flow", choices=JOBS, required=True)
     p.add_argument("--files", required=True, help="comma separated")
     p.add_argument("--target", help="folder for JSON text")
+    p.add_argument("--rejects", help="folder for unusable lines; default: the target with _rejects")
     p.add_argument("--servers")
     p.add_argument("--topic")
 
@@ -64,8 +65,15 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     p = jobs.add_parser("query")
     p.add_argument("--flow", choices=JOBS, required=True)
     p.add_argument("--run", required=True)
+    p.add_argument("--target", help="folder for the whole result")
+    p.add_argument("--show", type=int, help="print so many rows")
     p.add_argument("sql")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.command == "query" and not args.target and args.show is None:
+        parser.error("query needs --target or --show")
+    if args.command == "ingest" and not args.target and not args.rejects:
+        parser.error("ingest to a topic needs --rejects")
+    return args
 
 
 def _settle_batch(spark: SparkSession, args) -> None:
@@ -97,8 +105,8 @@ def main(argv: list[str] | None = None) -> None:
         files = {n: getattr(args, n) for n in schemas.DIMENSION_COLUMNS if getattr(args, n)}
         load.load_dimensions(spark, files, args.target)
     elif args.command == "ingest":
-        ingest = load.ingest_normal if args.flow == "normal" else load.ingest_incre
-        out = ingest(spark, args.files)
+        out, bad = load.ingest(spark, args.flow, args.files)
+        bad.write.mode("append").parquet(args.rejects or f"{args.target.rstrip('/')}_rejects")
         if args.topic:
             message_sinks.to_kafka(message_sinks.keyed(out, args.topic), args.servers, args.topic)
         else:
@@ -108,12 +116,16 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "stream":
         _stream(spark, args)
     elif args.command == "export":
-        export_summary(tables.read_totals(spark, f"{args.run}/totals"), args.target)
+        export_summary(tables.read_totals(spark, f"{args.run}/totals", f"{args.run}/committed"), args.target)
     else:
         job = JOBS[args.flow]
-        latest = tables.read_latest(spark, f"{args.run}/detail", stored_key(job))
+        latest = tables.read_latest(spark, f"{args.run}/detail", stored_key(job), f"{args.run}/committed")
         tables.create_views(spark, **{job.name: latest})
-        spark.sql(args.sql).show(100, truncate=False)
+        result = spark.sql(args.sql)
+        if args.target:
+            result.write.mode("overwrite").parquet(args.target)
+        if args.show is not None:
+            result.show(args.show, truncate=False)
 
 
 if __name__ == "__main__":

@@ -17,16 +17,11 @@ def slice_text(value: Column | str, begin: int, end: int) -> Column:
     return F.substring(_col(value), begin + 1, end - begin)
 
 
-def slice_bytes(value: Column | str, begin: int, end: int, charset: str = "GBK") -> Column:
-    """Bytes [begin, end) of ``value`` in ``charset``, decoded and trimmed.
+def slice_encoded(raw: Column, begin: int, end: int, charset: str = "GBK") -> Column:
+    """Bytes [begin, end) of encoded text, decoded and trimmed; NULL when it ends before ``end``.
 
-    NULL when the text ends before ``end``. GBK needs ``session.gbk_session``.
+    GBK needs ``session.gbk_session``.
     """
-    return slice_encoded(F.encode(_col(value), charset), begin, end, charset)
-
-
-def slice_encoded(raw: Column, begin: int, end: int, charset: str = "GBK") -> Column:
-    """``slice_bytes`` on bytes that are already encoded."""
     part = F.trim(F.decode(F.substring(raw, begin + 1, end - begin), charset))
     return F.when(F.octet_length(raw) >= end, part)
 
@@ -73,21 +68,24 @@ def decode_list(text: Column | str) -> Column:
 
     The last matching pair wins; without a match the last piece is the result.
     """
-    parts = F.split(F.regexp_replace(_col(text), ",+$", ""), ",")
-    wanted = F.trim(F.element_at(parts, 1))
-    # Pairs start at 0-based odd positions; the last piece never starts a pair.
-    starts = F.when(F.size(parts) >= 3, F.sequence(F.lit(1), F.size(parts) - 2, F.lit(2))).otherwise(
-        F.array().cast("array<int>"))
-    hits = F.filter(starts, lambda i: F.trim(F.get(parts, i)) == wanted)
-    result = F.coalesce(F.get(parts, F.try_element_at(hits, F.lit(-1)) + 1), F.element_at(parts, -1))
-    return result.try_cast("int")
+    def result(parts: Column) -> Column:
+        wanted = F.trim(F.element_at(parts, 1))
+        # Pairs start at 0-based odd positions; the last piece never starts a pair.
+        starts = F.when(F.size(parts) >= 3, F.sequence(F.lit(1), F.size(parts) - 2, F.lit(2))).otherwise(
+            F.array().cast("array<int>"))
+        hits = F.filter(starts, lambda i: F.trim(F.get(parts, i)) == wanted)
+        return F.coalesce(F.get(parts, F.try_element_at(hits, F.lit(-1)) + 1), F.element_at(parts, -1))
+
+    # The outer transform binds the pieces to a name, so the text is split once.
+    split = F.array(F.split(F.regexp_replace(_col(text), ",+$", ""), ","))
+    return F.get(F.transform(split, result), F.lit(0)).try_cast("int")
 
 
 def decode_list_sql(arg: str) -> str:
     """The same rule as SQL text, for registration as a SQL function."""
-    parts = f"split(regexp_replace({arg}, ',+$', ''), ',')"
+    parts = "p"
     starts = (f"CASE WHEN size({parts}) >= 3 THEN sequence(1, size({parts}) - 2, 2) "
               "ELSE CAST(array() AS ARRAY<INT>) END")
     hits = f"filter({starts}, i -> trim(get({parts}, i)) = trim(element_at({parts}, 1)))"
-    return (f"try_cast(coalesce(get({parts}, try_element_at({hits}, -1) + 1), "
-            f"element_at({parts}, -1)) AS INT)")
+    result = f"coalesce(get({parts}, try_element_at({hits}, -1) + 1), element_at({parts}, -1))"
+    return f"try_cast(get(transform(array(split(regexp_replace({arg}, ',+$', ''), ',')), p -> {result}), 0) AS INT)"

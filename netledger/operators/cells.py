@@ -7,21 +7,17 @@ from pyspark.sql import functions as F
 
 from netledger.operators.joins import lookup
 
-MAX_COLUMNS = 10_000
-
 
 def wide_rows(cells: DataFrame, key: str, column: str, value: str, order: str,
               columns: list[str] | None = None) -> DataFrame:
     """One row per key; the last written cell wins and a NULL value is empty text.
 
-    Without ``columns`` the column names are read from the cells; they become a schema,
-    so more than ``MAX_COLUMNS`` of them is an error.
+    Without ``columns`` the row's cells are one map column ``cells``, which holds any number of names.
     """
     if columns is None:
-        names = cells.select(column).distinct().orderBy(column).limit(MAX_COLUMNS + 1).collect()
-        if len(names) > MAX_COLUMNS:
-            raise ValueError(f"more than {MAX_COLUMNS} column names")
-        columns = [r[0] for r in names]
+        last = cells.groupBy(key, column).agg(F.max(F.struct(F.col(order), F.coalesce(
+            F.col(value).cast("string"), F.lit("")).alias("v")))["v"].alias("v"))
+        return last.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(column, "v")))).alias("cells"))
     aggregates = []
     for name in columns:
         mine = F.col(column) == name

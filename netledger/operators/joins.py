@@ -22,8 +22,7 @@ ROW_OVERHEAD = 64
 class JoinPolicy:
     broadcast_bytes: int = 128 << 20
     rows_per_part: int = 1_000_000
-    max_heavy_keys: int = 100_000
-    null_parts: int = 4096
+    heavy_keys: int = 100_000
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -60,13 +59,14 @@ def fits_broadcast(frames: dict[str, DataFrame], policy: JoinPolicy) -> set[str]
 def _heaviest(counts: DataFrame, keys: list[str], policy: JoinPolicy) -> DataFrame:
     """Keys with more than a part's rows and their number of parts, counted once.
 
-    At most ``max_heavy_keys`` rows, so broadcasting them is bounded.
+    A part holds ``rows_per_part`` rows, or a ``heavy_keys``-th of all rows of such keys where that is more: no more keys
+    than ``heavy_keys`` can have so many, so the list that is broadcast is bounded and no key is left out by number.
     """
-    heavy = (counts.filter(F.col("_rows") > policy.rows_per_part)
-             .orderBy(F.desc("_rows"), *keys).limit(policy.max_heavy_keys)
-             .select(*keys, F.ceil(F.col("_rows") / policy.rows_per_part).cast("int").alias("_parts")))
-    ensure_checkpoint_dir(heavy.sparkSession)
-    return heavy.checkpoint()
+    ensure_checkpoint_dir(counts.sparkSession)
+    heavy = counts.filter(F.col("_rows") > policy.rows_per_part).checkpoint()
+    rows = heavy.agg(F.sum("_rows")).first()[0] or 0
+    part = max(policy.rows_per_part, -(-rows // policy.heavy_keys))
+    return heavy.filter(F.col("_rows") > part).select(*keys, F.ceil(F.col("_rows") / part).cast("long").alias("_parts"))
 
 
 def heavy_values(weigh: DataFrame, columns: list[str], policy: JoinPolicy) -> dict[str, DataFrame]:
@@ -85,7 +85,8 @@ class Spread:
 
     ``weigh`` holds the key columns of the flow (before deduplication is fine: the
     counts only decide how many parts a key gets, never the result). ``heavy`` is given
-    where the values were counted together with other keys.
+    where the values were counted together with other keys. ``mark`` names columns that tell most rows apart; by
+    default all columns do, which keeps them from being pruned.
     """
 
     weigh: DataFrame
@@ -93,6 +94,7 @@ class Spread:
     part: str
     policy: JoinPolicy = field(default_factory=JoinPolicy)
     heavy: DataFrame | None = None
+    mark: list[str] | None = None
 
     def __post_init__(self) -> None:
         if self.heavy is None:
@@ -105,19 +107,19 @@ class Spread:
         if self.part in flow.columns:
             return flow
         # The task number keeps exact copies apart and is the same in a retried task.
-        mark = F.xxhash64(F.spark_partition_id(), *flow.columns)
+        mark = F.xxhash64(F.spark_partition_id(), *(self.mark or flow.columns))
         keyless = F.lit(False)
         for key in self.keys:
             keyless = keyless | F.col(key).isNull()
         marked = flow.withColumn("_mark", mark)
         joined = marked.join(F.broadcast(self.heavy), self.keys, "left")
         return joined.withColumn(self.part, F.when(
-            keyless, F.pmod("_mark", F.lit(self.policy.null_parts))).otherwise(
-            F.coalesce(F.pmod("_mark", "_parts"), F.lit(0))).cast("int")).drop("_mark", "_parts")
+            keyless, F.col("_mark")).otherwise(
+            F.coalesce(F.pmod("_mark", "_parts"), F.lit(0)))).drop("_mark", "_parts")
 
     def copy(self, dim: DataFrame) -> DataFrame:
         """One copy of a heavy key's lookup row per part."""
-        parts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+        parts = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
         return (dim.join(F.broadcast(self.heavy), self.keys, "left")
                 .withColumn(self.part, F.explode(parts)).drop("_parts"))
 

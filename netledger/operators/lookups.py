@@ -39,10 +39,11 @@ def group_lists(groups: DataFrame) -> DataFrame:
     counted = (groups.select("item", "group_id").groupBy("item", "group_id")
                .agg(F.count(F.lit(1)).cast("int").alias("times")))
     lists = counted.groupBy("item").agg(
-        F.array_sort(F.collect_list(F.struct("group_id", "times"))).alias("ids"))
+        F.array_sort(F.collect_list(F.struct("group_id", "times"))).alias("ids"),
+        F.coalesce(F.max(contains_item("group_id", STORE_GROUP)), F.lit(False)).alias("in_store_group"))
     repeated = F.flatten(F.transform("ids", lambda g: F.array_repeat(g["group_id"], g["times"])))
-    joined = lists.select("item", F.array_join(repeated, ",").alias("group_id"))
-    return joined.withColumn("in_store_group", contains_item("group_id", STORE_GROUP))
+    # An id may itself hold a comma, as its pieces count.
+    return lists.select("item", F.array_join(repeated, ",").alias("group_id"), "in_store_group")
 
 
 def first_mapping(mappings: DataFrame, type_id: str, key_name: str, result_name: str) -> DataFrame:
@@ -73,33 +74,36 @@ def best_profile(fees: DataFrame) -> DataFrame:
         F.col("credit_calc_amt").asc(), F.col("credit_min_amt").asc(), F.col("credit_max_amt").asc()])
 
 
+def _pairs_of(text: Column) -> Column:
+    """The distinct two-character pieces of a text."""
+    return F.when(F.length(text) >= 2, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substring(text, i, F.lit(2))))
+    ).otherwise(F.array().cast("array<string>"))
+
+
 def pattern_index(txn_codes: DataFrame) -> DataFrame:
-    """First txn_key for every pattern ``%aa%bb%c%`` that matches some key.
+    """Per key, each two-character pair, each pair after the first such one, and what follows: (msg_part, proc_part, rest, txn_key).
 
-    ``aa`` and ``bb`` are two characters, ``c`` is any text. A key matches when ``bb``
-    follows the first ``aa`` and ``c`` follows the first such ``bb``, so each key lists
-    its own matches and the lookup becomes an equality join instead of a loop over
-    all keys.
+    A key matches ``%aa%bb%c%`` when ``bb`` follows the first ``aa`` and ``c`` stands in the rest after the first such
+    ``bb``. The rows per key grow with the square of its length.
     """
-    def pairs_of(text: Column) -> Column:
-        return F.when(F.length(text) >= 2, F.array_distinct(F.transform(
-            F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substring(text, i, F.lit(2))))
-        ).otherwise(F.array().cast("array<string>"))
-
     def after_first(text: Column, part: Column) -> Column:
         return F.substr(text, F.instr(text, part) + 2)
 
     keys = txn_codes.select("txn_key").distinct()
-    first = keys.select("txn_key", F.explode(pairs_of(F.col("txn_key"))).alias("msg_part")).withColumn(
+    first = keys.select("txn_key", F.explode(_pairs_of(F.col("txn_key"))).alias("msg_part")).withColumn(
         "rest", after_first(F.col("txn_key"), F.col("msg_part")))
-    second = first.select("txn_key", "msg_part", "rest",
-                          F.explode(pairs_of(F.col("rest"))).alias("proc_part")).withColumn(
+    return first.select("txn_key", "msg_part", "rest", F.explode(_pairs_of(F.col("rest"))).alias("proc_part")).withColumn(
         "rest", after_first(F.col("rest"), F.col("proc_part")))
-    rest = F.col("rest")
-    texts = F.when(F.length(rest) >= 1, F.flatten(F.transform(
-        F.sequence(F.lit(1), F.length(rest)), lambda i: F.transform(
-            F.sequence(F.lit(1), F.length(rest) - i + 1), lambda n: F.substring(rest, i, n))))
-    ).otherwise(F.array().cast("array<string>"))
-    third = second.select("txn_key", "msg_part", "proc_part", F.explode(F.array_distinct(
-        F.concat(F.array(F.lit("")), texts))).alias("ser_part"))
-    return third.groupBy("msg_part", "proc_part", "ser_part").agg(F.min("txn_key").alias("txn_key"))
+
+
+def first_like(patterns: DataFrame, txn_codes: DataFrame) -> DataFrame:
+    """(msg_part, proc_part, ser_part) -> first txn_key for each distinct pattern that some key matches.
+
+    The pairs are joined by equality, so the text comparison only sees keys that hold both.
+    """
+    parts = ["msg_part", "proc_part", "ser_part"]
+    asked = patterns.select(*parts).na.drop("any").distinct()
+    found = asked.join(pattern_index(txn_codes), parts[:2]).filter(
+        (F.col("ser_part") == "") | (F.instr("rest", F.col("ser_part")) > 0))
+    return found.groupBy(*parts).agg(F.min("txn_key").alias("txn_key"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netledger import schemas
+from netledger.operators.dedup import top_one
+from netledger.operators.lookups import loader_key
 from netledger.plans.settlement import Dimensions
 from netledger.sources import flowfiles
 from netledger.sources.dimensions import keep_last, parse_dimension, read_dimension
@@ -13,13 +16,42 @@ from netledger.sources.lines import read_lines
 
 
 def load_dimensions(spark: SparkSession, files: dict[str, str], target: str) -> None:
-    """Load each named dimension file into ``target/<name>``; bad lines go aside."""
+    """Put each named dimension file into ``target/<name>``: new keys are added, known ones replaced; bad lines go aside.
+
+    A load writes a new ``version=N`` of the table and then appends N to the table's list of published versions, one small
+    file that appears at once. Readers open the last published version; those that still read an older one keep it.
+    """
     for name, paths in files.items():
         parsed = parse_dimension(read_lines(spark, paths), name)
+        current = published(spark, target, name)
+        number = 0 if current is None else current + 1
         bad = parsed.filter(F.col("problem").isNotNull()).select("line", "problem")
-        bad.write.mode("overwrite").parquet(f"{target}/quarantine/{name}")
-        keep_last(parsed, schemas.LOADER_KEYS[name], list(schemas.DIMENSION_COLUMNS[name])).write.mode(
-            "overwrite").parquet(f"{target}/{name}")
+        bad.write.mode("overwrite").parquet(f"{target}/quarantine/{name}/version={number}")
+        columns = list(schemas.DIMENSION_COLUMNS[name])
+        rows = keep_last(parsed, schemas.LOADER_KEYS[name], columns)
+        if current is not None:
+            # The lines' session can read GBK, so they stand on the left.
+            both = rows.withColumn("_load", F.lit(1)).unionByName(
+                open_version(spark, target, name, current).withColumn("_load", F.lit(0))).withColumn(
+                "_key", loader_key(schemas.LOADER_KEYS[name]))
+            rows = top_one(both, ["_key"], [F.col("_load").desc()]).select(*columns)
+        rows.write.mode("overwrite").parquet(f"{target}/{name}/version={number}")
+        spark.createDataFrame([(name, number)], "name string, version long").coalesce(1).write.mode("append").parquet(
+            f"{target}/published")
+
+
+def published(spark: SparkSession, target: str, name: str) -> int | None:
+    """The last published version of a table; None before the first load."""
+    try:
+        versions = spark.read.schema("name string, version long").parquet(f"{target}/published")
+    except AnalysisException:
+        return None
+    return versions.filter(F.col("name") == name).agg(F.max("version")).first()[0]
+
+
+def open_version(spark: SparkSession, target: str, name: str, version: int) -> DataFrame:
+    schema = ", ".join(f"{c} {kind}" for c, kind in schemas.DIMENSION_COLUMNS[name].items())
+    return spark.read.schema(schema).parquet(f"{target}/{name}/version={version}")
 
 
 def read_dimensions(spark: SparkSession, files: dict[str, str]) -> Dimensions:
@@ -29,9 +61,22 @@ def read_dimensions(spark: SparkSession, files: dict[str, str]) -> Dimensions:
 
 
 def open_dimensions(spark: SparkSession, target: str) -> Dimensions:
-    """The loaded tables; call again to see newly loaded files."""
-    return Dimensions(**{name: spark.read.parquet(f"{target}/{name}")
-                         for name in schemas.DIMENSION_COLUMNS})
+    """The loaded tables as last published; call again to see later loads."""
+    versions = {name: published(spark, target, name) for name in schemas.DIMENSION_COLUMNS}
+    absent = [name for name, version in versions.items() if version is None]
+    if absent:
+        raise ValueError(f"not loaded into {target}: {', '.join(absent)}")
+    return Dimensions(**{name: open_version(spark, target, name, version) for name, version in versions.items()})
+
+
+def ingest(spark: SparkSession, flow: str, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Messages of a flow's files, and the lines that gave none with the reason."""
+    lines = read_lines(spark, paths)
+    if flow == "normal":
+        fields, names = flowfiles.delimited_fields(lines), list(schemas.NORMAL_POSITIONS)
+    else:
+        fields, names = flowfiles.fixed_width_fields(lines), list(schemas.INCRE_BYTES)
+    return flowfiles.to_messages(fields, names), flowfiles.bad_lines(fields)
 
 
 def ingest_normal(spark: SparkSession, paths: str | list[str]) -> DataFrame:

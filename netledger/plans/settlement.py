@@ -152,14 +152,16 @@ class Attacher:
     ``weigh`` is the flow before deduplication: it tells which keys are heavy.
     """
 
-    def __init__(self, tables: Lookups, weigh: DataFrame):
-        self.tables, self.weigh = tables, weigh
+    def __init__(self, tables: Lookups, weigh: DataFrame, plain: bool = False):
+        self.tables, self.weigh, self.plain = tables, weigh, plain
         self.spreads: dict[str, Spread] = {}
 
     def __call__(self, flow: DataFrame, name: str) -> DataFrame:
         key, side = SIDE_KEYS[name], self.tables.side(name)
         if name in self.tables.small:
             return attach(flow, side, [key], True)
+        if self.plain:
+            return flow.join(side.hint("merge"), [key], "left")
         return attach(flow, side, [key], False, self._spread(key))
 
     def _spread(self, key: str) -> Spread:
@@ -169,7 +171,7 @@ class Attacher:
             large = [SIDE_KEYS[n] for n in self.tables.names if n not in self.tables.small]
             weigh = lookup_keys(self.weigh, job)
             for column, heavy in heavy_values(weigh, list(dict.fromkeys(large)), policy).items():
-                self.spreads[column] = Spread(weigh, [column], f"_part{column}", policy, heavy)
+                self.spreads[column] = Spread(weigh, [column], f"_part{column}", policy, heavy, job.dedup_keys)
         return self.spreads[key]
 
 
@@ -252,10 +254,13 @@ def with_fee(flow: DataFrame, job: Job) -> DataFrame:
         "exchange": F.lit(0.0)})
 
 
-def enrich(flow: DataFrame, tables: Lookups, weigh: DataFrame | None = None) -> DataFrame:
-    """All lookups on an already filtered flow; the row count does not change."""
+def enrich(flow: DataFrame, tables: Lookups, weigh: DataFrame | None = None, plain: bool = False) -> DataFrame:
+    """All lookups on an already filtered flow; the row count does not change.
+
+    ``plain`` joins large sides without dividing heavy keys, for a stream, whose keys cannot be counted before.
+    """
     job = tables.job
-    attacher = Attacher(tables, flow if weigh is None else weigh)
+    attacher = Attacher(tables, flow if weigh is None else weigh, plain)
     coded = with_code(lookup_keys(flow, job), attacher)
     # Groups and fee profiles have the same key, so a divided flow is exchanged once.
     profiled = attacher(with_groups(coded, attacher), "fees")
@@ -288,6 +293,6 @@ def rejects(settled: DataFrame, job: Job) -> DataFrame:
             .filter(F.col("reason").isNotNull()).select(job.row_key, "reason"))
 
 
-def detail(settled: DataFrame, layout: dict[str, str]) -> DataFrame:
-    """The stored detail columns."""
-    return settled.select(*[F.col(source).alias(name) for name, source in layout.items()])
+def detail(settled: DataFrame, layout: dict[str, str], *more: str) -> DataFrame:
+    """The stored detail columns, and ``more`` as they are."""
+    return settled.select(*[F.col(source).alias(name) for name, source in layout.items()], *more)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(14, 2)
+WIDE = T.DecimalType(38, 18)
 RATE = T.DecimalType(15, 5)
 
 # JSON key -> column of a NORMAL message.
@@ -204,7 +205,14 @@ INCRE_VIEW = [
 ]
 
 
+# Where an ingested line stood: an extra key of its message, so that later jobs know the order of a file's lines.
+POSITION = "_position"
+POSITION_TYPE = "struct<path: string, block: bigint, row: bigint>"
+
+
 def message_schema(keys: dict[str, str]) -> T.StructType:
-    """All-string JSON schema plus the raw text of messages that do not parse."""
+    """All-string JSON schema, the line's position, and the raw text of messages that do not parse."""
     fields = [T.StructField(key, T.StringType()) for key in keys]
-    return T.StructType(fields + [T.StructField("_broken", T.StringType())])
+    place = T.StructType([T.StructField("path", T.StringType()), T.StructField("block", T.LongType()),
+                          T.StructField("row", T.LongType())])
+    return T.StructType(fields + [T.StructField(POSITION, place), T.StructField("_broken", T.StringType())])

@@ -19,24 +19,49 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> str:
     return target
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a table's folder from whatever store holds it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def read_latest(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """Keyed view: the newest batch that holds a key supplies its row."""
-    return top_one(read_batches(spark, path), [key], [F.col("batch_id").desc()]).drop("batch_id")
+def commit(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Mark a batch as whole, after all of its tables are written."""
+    write_batch(spark.range(1).select(F.lit(True).alias("whole")), path, batch_id)
+
+
+def read_batches(spark: SparkSession, path: str, committed: str | None = None) -> DataFrame:
+    """All batches, or those that are marked below ``committed``."""
+    rows = spark.read.parquet(path)
+    if committed is None:
+        return rows
+    return rows.join(spark.read.parquet(committed).select("batch_id"), "batch_id", "left_semi")
+
+
+def read_latest(spark: SparkSession, path: str, key: str, committed: str | None = None) -> DataFrame:
+    """Keyed view: the newest batch that holds a key supplies its row.
+
+    A batch can hold a key more than once where rows are deduplicated by more than the key. Then the last arrival
+    wins (column ``arrival``, if the table has one), and rows of one arrival are ordered by their values.
+    """
+    return _newest(read_batches(spark, path, committed), key).drop("batch_id", "arrival")
+
+
+def _newest(rows: DataFrame, key: str) -> DataFrame:
+    arrival = [F.col("arrival").desc()] if "arrival" in rows.columns else []
+    others = [c for c in rows.columns if c not in (key, "batch_id", "arrival")]
+    return top_one(rows, [key], [F.col("batch_id").desc(), *arrival, F.xxhash64(*others).asc() if others else F.col(key)])
 
 
 def compact_latest(spark: SparkSession, path: str, key: str, target: str) -> None:
     """Rewrite the keyed view as one batch at ``target`` (while no job writes)."""
     last = read_batches(spark, path).agg(F.max("batch_id")).first()[0]
-    write_batch(read_latest(spark, path, key), target, last)
+    write_batch(_newest(read_batches(spark, path), key).drop("batch_id"), target, last)
 
 
-def read_totals(spark: SparkSession, path: str) -> DataFrame:
+def read_totals(spark: SparkSession, path: str, committed: str | None = None) -> DataFrame:
     """mer_no -> total over all batches."""
-    return read_batches(spark, path).groupBy("mer_no").agg(F.sum("total").alias("total"))
+    return read_batches(spark, path, committed).groupBy("mer_no").agg(F.sum("total").alias("total"))
 
 
 def compact_totals(spark: SparkSession, path: str, target: str) -> None:

@@ -44,6 +44,7 @@ def parse_codes(lines: DataFrame) -> DataFrame:
     Runs of pipes get a blank between them first, so empty pieces count. The other 11
     columns are taken from the end and all pieces before them form the key.
     """
+    # The two replacements decide which pieces count.
     spaced = F.replace(F.replace("line", F.lit("|||"), F.lit("| | |")), F.lit("||"), F.lit("| |"))
     split = with_once(lines, "_p", pieces(F.trim(spaced))).withColumn("_n", F.size("_p"))
     names = list(schemas.CODE_COLUMNS)

@@ -35,9 +35,10 @@ def fixed_width_fields(lines: DataFrame, ranges: dict[str, tuple[int, int]] = sc
 
 
 def to_messages(fields: DataFrame, names: list[str]) -> DataFrame:
-    """One JSON object per usable line, in column ``value``."""
+    """One JSON object per usable line, in column ``value``; it carries where the line stood."""
+    place = [F.col("position").alias(schemas.POSITION)] if "position" in fields.columns else []
     return (fields.filter(F.col("problem").isNull())
-            .select(F.to_json(F.struct(*names)).alias("value")))
+            .select(F.to_json(F.struct(*names, *place)).alias("value")))
 
 
 def normal_messages(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -49,4 +50,6 @@ def incre_messages(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def bad_lines(fields: DataFrame) -> DataFrame:
-    return fields.filter(F.col("problem").isNotNull()).select("line", "problem")
+    """Lines that gave no message, with the reason and where they stood."""
+    place = ["position"] if "position" in fields.columns else []
+    return fields.filter(F.col("problem").isNotNull()).select("line", "problem", *place)

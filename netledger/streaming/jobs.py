@@ -20,9 +20,9 @@ from netledger import schemas
 from netledger.operators import parse
 from netledger.operators.joins import JoinPolicy
 from netledger.operators.totals import merge_maps
-from netledger.plans.settlement import (NORMAL, SIDES, Dimensions, Job, Lookups, detail, enrich,
+from netledger.plans.settlement import (NORMAL, Dimensions, Job, Lookups, detail, enrich,
                                         settle_with, with_fee)
-from netledger.sinks.tables import read_latest, read_totals, write_batch
+from netledger.sinks.tables import commit, drop, read_latest, read_totals, write_batch
 from netledger.sources.messages import with_arrival
 
 INTERVAL = "5 seconds"
@@ -62,6 +62,11 @@ class SettlementStream:
     def quarantine_path(self) -> str:
         return f"{self.folder}/quarantine"
 
+    @property
+    def committed_path(self) -> str:
+        """Marks of whole batches; readers skip a batch that is still being written."""
+        return f"{self.folder}/committed"
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Settle one micro-batch; safe to repeat."""
         parsed = self._parse(batch).persist(StorageLevel.MEMORY_AND_DISK)
@@ -74,12 +79,14 @@ class SettlementStream:
         """Settle a large batch of messages.
 
         The parsed messages become a table of the run instead of cached blocks, so the
-        lookups and the quarantine read columns, and a lost executor costs no parsing.
+        lookups and the quarantine read columns, and a lost executor costs no parsing. It is dropped
+        when the batch is whole.
         """
         parsed = self._parse(messages)
         written = write_batch(parsed, f"{self.folder}/parsed", batch_id)
         try:
             self._settle(messages.sparkSession.read.schema(parsed.schema).parquet(written), batch_id)
+            drop(messages.sparkSession, written)
         finally:
             self.close()
 
@@ -97,12 +104,13 @@ class SettlementStream:
         spark = parsed.sparkSession
         write_batch(parse.quarantined(parsed), self.quarantine_path, batch_id)
         settled = settle_with(parse.usable(parsed), self._lookups(spark))
-        stored = detail(settled, layout_of(self.job))
+        stored = detail(settled, layout_of(self.job), "arrival")
         written = write_batch(stored, self.detail_path, batch_id)
         batch_detail = spark.read.schema(stored.schema).parquet(written)
         totals = merge_maps(batch_detail.filter(F.col("net").isNotNull())
                             .withColumnRenamed("merNo", "mer_no"), "mer_no", "net", "total")
         write_batch(totals, self.totals_path, batch_id)
+        commit(spark, self.committed_path, batch_id)
 
     def _lookups(self, spark: SparkSession) -> Lookups:
         """The lookup sides; prepared again when the dimensions have other files."""
@@ -121,22 +129,20 @@ class SettlementStream:
                 .queryName(f"{self.job.name}_settlement_{self.folder.rsplit('/', 1)[-1]}").start())
 
     def totals(self, spark: SparkSession) -> DataFrame:
-        return read_totals(spark, self.totals_path)
+        return read_totals(spark, self.totals_path, self.committed_path)
 
     def detail(self, spark: SparkSession) -> DataFrame:
-        return read_latest(spark, self.detail_path, stored_key(self.job))
+        return read_latest(spark, self.detail_path, stored_key(self.job), self.committed_path)
 
 
 def running_totals(messages: DataFrame, dims: Dimensions, job: Job,
                    policy: JoinPolicy = JoinPolicy()) -> DataFrame:
     """Streaming mer_no -> total, kept in the state store (no deduplication).
 
-    Stream lookups are broadcast joins, so every dimension has to be of broadcast size;
-    larger ones need ``SettlementStream``.
+    Dimensions of broadcast size are broadcast; a larger one is joined by an exchange of the micro-batch
+    on its key.
     """
     tables = Lookups(dims, job, policy)
-    if tables.small != set(SIDES):
-        raise ValueError("a dimension is larger than the broadcast limit: use SettlementStream")
     flow = parse.usable(reader_of(job)(messages)).filter(job.trade())
-    settled = with_fee(enrich(flow, tables), job)
+    settled = with_fee(enrich(flow, tables, plain=True), job)
     return merge_maps(settled.filter("settled"), "mer_no", "net", "total")

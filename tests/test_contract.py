@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from contract.oracle import ORACLES
+from contract.queries import QUERIES
 from tests.compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
@@ -16,10 +18,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert difference(contract.queries()[name](spark, FOLDER), contract.oracle_sql()[name], con) is None
 

@@ -6,39 +6,36 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from netledger import fixtures as fx
+from contract import fixtures as fx
 from netledger.functions.sqlfunctions import register
 from netledger.functions.text import contains_item, decode_list, describe, key_of, pieces, slice_text
 from netledger.operators import filters
-from netledger.operators.lookups import pattern_index
+from netledger.operators.lookups import first_like
 from tests.helpers import codes, frame, normal_rows
 
 
-def model_decode(text):
-    parts = text.rstrip(",").split(",")
-    result = parts[-1]
-    for i in range(1, len(parts) - 1, 2):
-        if parts[i].strip() == parts[0].strip():
-            result = parts[i + 1]
-    return int(result)
-
-
-numbers = st.lists(st.integers(0, 4), min_size=1, max_size=9)
+@st.composite
+def decode_case(draw):
+    """A translation text and its result: the table says what each key means last."""
+    wanted = draw(st.integers(0, 3))
+    table = draw(st.lists(st.tuples(st.integers(0, 3), st.integers(10, 99)), max_size=4))
+    default = draw(st.integers(100, 200))
+    text = ",".join([str(wanted), *(f"{a},{b}" for a, b in table), str(default)])
+    return text, dict(table).get(wanted, default)
 
 
 @settings(max_examples=3, deadline=None)
-@given(st.lists(numbers, min_size=30, max_size=30))
-def test_decode_list_model(spark, lists):
-    texts = [",".join(map(str, x)) for x in lists]
+@given(st.lists(decode_case(), min_size=30, max_size=30))
+def test_decode_list_model(spark, cases):
     register(spark)
-    df = frame(spark, [(t,) for t in texts], "t string")
-    for row in df.select("t", decode_list("t").alias("a"), F.expr("decode_list(t)").alias("b")).collect():
-        assert row.a == row.b == model_decode(row.t)
+    df = frame(spark, cases, "t string, expected int")
+    for row in df.select("*", decode_list("t").alias("a"), F.expr("decode_list(t)").alias("b")).collect():
+        assert row.a == row.b == row.expected
 
 
-def test_decode_list_reference_forms(spark):
-    df = frame(spark, [("68,1,1,86,2,74,3,18,4,39,5,40,6,68,7",), ("x,1,1,2",), ("1,1,5,1,6,0",), ("3",)], "t string")
-    assert [r[0] for r in df.select(decode_list("t")).collect()] == [7, 2, 6, 3]
+def test_decode_list_forms(spark):
+    df = frame(spark, [("7,5,50,6,60,7,70,0",), ("q,1,10,99",), (" 4 ,4,1,4,2,0",), ("8",), ("3,3,5,,,",)], "t string")
+    assert [r[0] for r in df.select(decode_list("t")).collect()] == [70, 99, 2, 8, 5]
 
 
 def test_sqr(spark):
@@ -71,8 +68,11 @@ def test_rule_text_is_the_trade_filter(spark):
 
 def test_pattern_index_is_like(spark):
     keys = ["0200|01|00", "0400|20|00", "02000200", "0202020", "2|0", ""]
+    pairs = ["20", "02", "00", "01", "|0", "40", "99"]
+    texts = ["", "0", "00", "20", "|00", "7", "0200"]
+    asked = frame(spark, [(a, b, c) for a in pairs for b in pairs for c in texts], "msg_part string, proc_part string, ser_part string")
     index = {(r.msg_part, r.proc_part, r.ser_part): r.txn_key
-             for r in pattern_index(codes(spark, [(k, "1", 1) for k in keys])).collect()}
+             for r in first_like(asked, codes(spark, [(k, "1", 1) for k in keys])).collect()}
 
     def like(key, parts):
         at = 0
@@ -83,9 +83,8 @@ def test_pattern_index_is_like(spark):
             at = found + len(part)
         return True
 
-    pairs = ["20", "02", "00", "01", "|0", "40", "99"]
     for a in pairs:
         for b in pairs:
-            for c in ["", "0", "00", "20", "|00", "7", "0200"]:
+            for c in texts:
                 expected = min((k for k in keys if like(k, (a, b, c))), default=None)
                 assert index.get((a, b, c)) == expected, (a, b, c)

@@ -71,7 +71,7 @@ def test_delimited_flow(spark, tmp_path):
     assert (good.ID, good.MID, good.RSV4, good.TXN_AMT) == ("1", 'a"b\\c', tricky, "12.50")
     assert [r.line for r in bad_lines(fields).collect()] == ["too|few"]
     message = json.loads(ingest_normal(spark, path).first().value)
-    assert set(message) == set(schemas.NORMAL_KEYS)
+    assert set(message) == {*schemas.NORMAL_KEYS, schemas.POSITION}
 
 
 def test_several_files_and_none(spark, tmp_path):
@@ -146,6 +146,12 @@ def test_load_job(spark, tmp_path):
     for dims in (open_dimensions(spark, target), read_dimensions(spark, files)):
         assert [dims.fees.count(), dims.groups.count(), dims.mappings.count(), dims.codes.count()] == [1] * 4
     assert spark.read.parquet(f"{target}/quarantine/fees").first().line == "bad"
+    # A second load adds keys, replaces known ones, and leaves what a reader of the first version has opened.
+    before = open_dimensions(spark, target)
+    other = FEE.replace(FEE.split("|")[0], "M9", 1)
+    load_dimensions(spark, {"fees": put(tmp_path / "f2.txt", other)}, target)
+    after = open_dimensions(spark, target)
+    assert (before.fees.count(), after.fees.count(), after.codes.count()) == (1, 2, 1)
 
 
 def test_session_settings_stay_with_the_caller(spark, tmp_path):

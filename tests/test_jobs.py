@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from netledger.__main__ import main
 from tests.test_ingest import FEE, normal_line, put
 
@@ -18,7 +20,7 @@ def test_files_to_export(spark, tmp_path, capsys):
     main(["ingest", "--flow", "normal", "--files", flow, "--target", inbox])
     main(["settle", "--flow", "normal", "--dimensions", dims, "--run", run, "--messages", inbox])
     main(["export", "--run", run, "--target", out])
-    expected = ["M1, 99.400000", "R1, 99.400000"]
+    expected = ["M1, 99.4", "R1, 99.4"]
     assert sorted(r.value for r in spark.read.text(out).collect()) == expected
 
     streamed = str(tmp_path / "streamed")
@@ -26,5 +28,17 @@ def test_files_to_export(spark, tmp_path, capsys):
     main(["export", "--run", streamed, "--target", out])
     assert sorted(r.value for r in spark.read.text(out).collect()) == expected
 
-    main(["query", "--flow", "normal", "--run", streamed, "SELECT merNo, txnAmt FROM normal_specifics"])
+    result = str(tmp_path / "result")
+    main(["query", "--flow", "normal", "--run", streamed, "--show", "5", "--target", result,
+          "SELECT merNo, n FROM normal_specifics CROSS JOIN (SELECT explode(sequence(1, 300)) AS n) ORDER BY n"])
     assert "R1" in capsys.readouterr().out
+    assert spark.read.parquet(result).count() == 600
+    with pytest.raises(SystemExit):
+        main(["query", "--flow", "normal", "--run", streamed, "SELECT 1"])
+
+
+def test_ingest_keeps_unusable_lines(spark, tmp_path):
+    flow, target = put(tmp_path / "n.txt", normal_line(ID="1"), "too|short"), str(tmp_path / "in")
+    main(["ingest", "--flow", "normal", "--files", flow, "--target", target])
+    bad = spark.read.parquet(f"{target}_rejects").first()
+    assert (bad.line, bad.problem, spark.read.text(target).count()) == ("too|short", "too few columns", 1)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from netledger.operators.joins import JoinPolicy, Spread, attach, fits_broadcast, heavy_values, lookup, measure
 from tests.helpers import frame
 
-TINY = JoinPolicy(broadcast_bytes=0, rows_per_part=50, null_parts=16)
+TINY = JoinPolicy(broadcast_bytes=0, rows_per_part=50)
 
 
 @pytest.fixture(scope="module")

@@ -7,7 +7,7 @@ import re
 import pytest
 
 from contract.queries import QUERIES
-from netledger import fixtures as fx
+from contract import fixtures as fx
 from netledger.operators.dedup import latest
 from netledger.operators.joins import JoinPolicy
 from netledger.plans.settlement import INCRE, NORMAL, settle, summary

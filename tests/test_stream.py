@@ -6,12 +6,13 @@ import json
 
 from pyspark.sql import functions as F
 
+from netledger import schemas
 from netledger.plans.load import open_dimensions
 from netledger.plans.settlement import INCRE, NORMAL
 from netledger.sinks.tables import compact_latest, compact_totals, read_latest, read_totals
 from netledger.sources.messages import file_messages, file_stream, union
 from netledger.streaming.jobs import SettlementStream, running_totals
-from tests.helpers import dec, dimensions
+from tests.helpers import dec, dimensions, frame
 
 
 def message(**fields):
@@ -90,8 +91,12 @@ def test_reloaded_dimension_files_take_effect(spark, tmp_path):
 
     def load(fee):
         dims = dimensions(spark, fees_=[("M1", 1, "1", "11", "0", fee, "-1", "99")])
-        for name in ("codes", "groups", "mappings", "fees"):
-            getattr(dims, name).write.mode("overwrite").parquet(f"{target}/{name}")
+        for name, columns in schemas.DIMENSION_COLUMNS.items():
+            table = getattr(dims, name)
+            filled = table.select(*[(F.col(c) if c in table.columns else F.lit(None)).cast(kind).alias(c)
+                                    for c, kind in columns.items()])
+            filled.write.parquet(f"{target}/{name}/version={fee}")
+            frame(spark, [(name, int(fee))], "name string, version long").write.mode("append").parquet(f"{target}/published")
 
     load("1")
     stream = SettlementStream(NORMAL, lambda s: open_dimensions(s, target), str(tmp_path / "run"))

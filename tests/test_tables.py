@@ -49,7 +49,7 @@ def test_wide_rows(spark):
                            ["a", "b"])
     assert {r.k: (r.a, r.b) for r in wide.collect()} == {"r1": ("2", ""), "r2": (None, None)}
     found = cells.wide_rows(frame(spark, rows, "k string, c string, v string, t int"), "k", "c", "v", "t")
-    assert found.columns == ["k", "a", "b", "c"]
+    assert {r.k: r.cells for r in found.collect()} == {"r1": {"a": "2", "b": ""}, "r2": {"c": "9"}}
 
 
 def test_point_reads(spark):
@@ -85,7 +85,27 @@ def test_export_replaces_and_is_plain(spark, tmp_path):
     schema = "mer_no string, total decimal(38,9)"
     export_summary(frame(spark, [("OLD", dec("1.000000000"))], schema), path)
     export_summary(frame(spark, [("M1", dec("123456789.500000000"))], schema), path)
-    assert [r.value for r in spark.read.text(path).collect()] == ["M1, 123456789.500000"]
+    assert [r.value for r in spark.read.text(path).collect()] == ["M1, 123456789.5"]
+
+
+def test_export_keeps_every_digit(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = [(str(i), dec(v)) for i, v in enumerate(("0.00000000012", "-0.00000000010", "0", "100", "123456789012345.00000000001"))]
+    export_summary(frame(spark, rows, "mer_no string, total decimal(38,11)"), path)
+    assert sorted(r.value for r in spark.read.text(path).collect()) == [
+        "0, 0.00000000012", "1, -0.0000000001", "2, 0", "3, 100", "4, 123456789012345.00000000001"]
+
+
+def test_equal_keys_of_a_batch_have_one_winner(spark, tmp_path):
+    path = str(tmp_path / "detail")
+    rows = [("a", v, v % 7) for v in range(50)] + [("b", 1, 1)]
+    for parts in (1, 7):
+        tables.write_batch(frame(spark, rows, "key string, v int, arrival int").repartition(parts), path, 0)
+        first = {r.key: r.v for r in tables.read_latest(spark, path, "key").collect()}
+        tables.compact_latest(spark, path, "key", str(tmp_path / f"compact{parts}"))
+        again = {r.key: r.v for r in tables.read_latest(spark, str(tmp_path / f"compact{parts}"), "key").collect()}
+        assert first == again and first["a"] % 7 == 6
+    assert tables.read_latest(spark, path, "key").columns == ["key", "v"]
 
 
 def test_totals_merge_in_any_order(spark):
