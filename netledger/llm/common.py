@@ -117,18 +117,19 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root) of each node of (a, b) links; root is the smallest node that can be reached.
 
     Large-star and small-star rounds: each points a node's neighbours at the smallest one, so the
-    number of rounds is about the logarithm of the longest chain. Every round is written to the
-    shared folder; no group is gathered, minima are combined before their exchange.
+    number of rounds is about the logarithm of the longest chain. Every step is written to the
+    shared folder; no group is gathered, minima are combined before their exchange. Being tables, they are joined
+    by exchanges that Spark splits where one node has a large part of all links.
     """
     current = written(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .filter("a <> b").distinct(), "links")
     for _ in range(rounds):
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.join(least, "a").filter("b > a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+        large = written(both.join(least, "a").filter("b > a")
+                        .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct(), "links")
+        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = (large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct())
         following = written(small, "links")

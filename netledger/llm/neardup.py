@@ -162,14 +162,15 @@ def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc
     nodes = written(signed.groupBy("node").agg(F.min("_id").alias("first"), F.first("n_shingles").alias("n_shingles"),
                                                F.first("buckets").alias("buckets")), "nodes")
     members = nodes.select("node", F.explode("buckets").alias("bucket"))
-    stars = (members.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("other"))
-             .filter("center <> other").select("bucket", "center"))
+    # Aggregates are written before they are joined back, so that Spark can split the join at a hot key.
+    stars = written(members.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("other"))
+                    .filter("center <> other").select("bucket", "center"), "stars")
     heaps = components(members.join(stars, "bucket").select(F.col("node").alias("a"), F.col("center").alias("b")))
     heaps = written(heaps.join(nodes.select("node", "first", "n_shingles"), "node"), "heaps")
     edges = _exact(documents.select(key, body), heaps, size, percent, part_nodes, part_shingles)
     classes = components(edges)
     named = nodes.join(classes, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = written(named.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     of_node = named.join(least, "root").select("node", "component_id")
     found = signed.join(of_node, "node").select(F.col("_id"), "n_shingles", "component_id",
                                                 F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -185,8 +186,8 @@ def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc
 
 def _exact(texts: DataFrame, heaps: DataFrame, size: int, percent: int, part_nodes: int, part_shingles: int) -> DataFrame:
     """(a, b) links that span the classes of each heap."""
-    parts = heaps.groupBy("root").agg(F.greatest(
-        F.ceil(F.count("*") / part_nodes), F.ceil(F.sum("n_shingles") / part_shingles)).cast("int").alias("parts"))
+    parts = written(heaps.groupBy("root").agg(F.greatest(
+        F.ceil(F.count("*") / part_nodes), F.ceil(F.sum("n_shingles") / part_shingles)).cast("int").alias("parts")), "parts")
     asked = heaps.join(parts, "root").select(
         "root", "node", "first", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
     wanted = texts.join(asked, F.col("_id").eqNullSafe(F.col("first")))
