@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
+import os
 from array import array
 from collections.abc import Callable, Iterator
 from hashlib import blake2b
@@ -22,27 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_SHIPPED: set[str] = set()
-
-
 def in_arrow(frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
              schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` on workers that can import this package: its sources go along once per application."""
-    context = frame.sparkSession.sparkContext
-    if context.applicationId not in _SHIPPED:
-        root = Path(__file__).resolve().parents[2]
-        archive = Path(tempfile.mkdtemp(prefix="netledger-code-")) / "netledger_code.zip"
-        with zipfile.ZipFile(archive, "w") as bundle:
-            for source in sorted((root / "netledger").rglob("*.py")):
-                bundle.write(source, source.relative_to(root))
-        context.addPyFile(str(archive))
-        _SHIPPED.add(context.applicationId)
+    """``mapInArrow`` on workers that look for this package where the driver found it.
+
+    A cluster whose machines do not have it there gets it as usual, with ``--py-files``.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), frame.sparkSession.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, *known) if x)
     return frame.mapInArrow(run, schema)
 
 
-def text_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
-    """The UTF-8 bytes of a text column."""
-    return batch.column(name).cast(pa.binary()).to_pylist()
+def text_bytes(batch: pa.RecordBatch, name: str, at_once: int = 64) -> Iterator[bytes | None]:
+    """The UTF-8 bytes of a text column; only some texts are copied out of the batch at once."""
+    column = batch.column(name).cast(pa.binary())
+    for place in range(0, len(column), at_once):
+        yield from column.slice(place, at_once).to_pylist()
 
 
 def arrow_columns(frame: DataFrame, compute: Callable[[pa.RecordBatch], list[pa.Array]],
@@ -60,6 +56,8 @@ def arrow_columns(frame: DataFrame, compute: Callable[[pa.RecordBatch], list[pa.
             made = compute(batch)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in passed] + made, [*passed, *fields.names])
+            del batch, made
+        pa.default_memory_pool().release_unused()
 
     schema = T.StructType([frame.schema[c] for c in passed] + list(fields.fields))
     return in_arrow(frame, run, schema)
@@ -151,7 +149,7 @@ class Words(dict):
     on the word alone is then computed once per distinct word and gathered by number.
     """
 
-    def __init__(self, limit: int = 12_000_000) -> None:
+    def __init__(self, limit: int = 8_000_000) -> None:
         super().__init__()
         self.limit, self.held, self.hashes = limit, 0, array("Q")
 
@@ -179,6 +177,8 @@ class Words(dict):
         return np.frombuffer(self.hashes, np.uint64)[numbers] if len(words) else np.zeros(0, np.uint64)
 
 
+#: The words of this worker process, shared by the operators that follow one another in it.
+WORDS = Words()
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 

@@ -30,16 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netledger.llm.common import Words, arrow_columns, components, gram_hashes, in_arrow, mixed, text_bytes, written
+from netledger.llm.common import WORDS, arrow_columns, components, gram_hashes, in_arrow, mixed, text_bytes, written
 
-_WORDS = Words()
 SIGNED = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("node", T.BinaryType()),
                        T.StructField("buckets", T.ArrayType(T.LongType()))])
 
 
 def shingles(data: bytes | None, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles."""
-    hashes = _WORDS.hashed((data or b"").lower().split())
+    hashes = WORDS.hashed((data or b"").lower().split())
     if 0 < len(hashes) < size:
         return gram_hashes(hashes, len(hashes)) ^ np.uint64(len(hashes))
     return np.unique(gram_hashes(hashes, size))

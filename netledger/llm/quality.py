@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netledger.llm.common import Words, arrow_columns, gram_hashes, in_arrow, text_bytes
+from netledger.llm.common import WORDS, arrow_columns, gram_hashes, in_arrow, text_bytes
 
 _SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 _SYMBOLS = b"#*$%&|<>"  # fixed value
@@ -91,7 +91,7 @@ def references(documents: DataFrame, text: str = "text", lang: str = "lang", com
                 if data and language is not None:
                     words.setdefault(language, Counter()).update(data.split())
                     classes[language] = classes.get(language, 0) + classes_of(data)
-                    if sum(map(len, words.values())) > 250_000:
+                    if sum(map(len, words.values())) > 150_000:
                         yield from flush(words, classes)
         yield from flush(words, classes)
 
@@ -170,9 +170,6 @@ class _Model:
         return by_class, by_word
 
 
-_WORDS = Words()
-
-
 def quality(documents: DataFrame, text: str = "text", lang: str = "lang", max_class: float = 0.33, max_word: float = 0.55,
             min_chars: int = 200, min_words: int = 50, common: int = 100, min_reference: int = 1000,
             keep: list[str] | None = None) -> DataFrame:
@@ -187,7 +184,7 @@ def quality(documents: DataFrame, text: str = "text", lang: str = "lang", max_cl
             in_words = sum(map(len, words))
             if not data.isascii():
                 in_words -= int((np.frombuffer(data, np.int8) < -64).sum())
-            repeats = repeated_words(_WORDS.hashed(words)) if len(words) > 5 else 0
+            repeats = repeated_words(WORDS.hashed(words)) if len(words) > 5 else 0
             failed = len(words) < 10 or 100 * repeats > 20 * len(words)
             by_class, by_word = model.distances(language, data, words, (len(data) >= min_chars, len(words) >= min_words))
             kept = not failed and not (by_class or 0) > max_class and not (by_word or 0) > max_word

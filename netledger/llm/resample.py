@@ -26,16 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netledger.llm.common import Words, arrow_columns, gram_hashes, in_arrow, text_bytes, written
+from netledger.llm.common import WORDS, arrow_columns, gram_hashes, in_arrow, text_bytes, written
 
-_WORDS = Words()
 WEIGHTS = T.StructType([
     T.StructField("log_weight", T.DoubleType()), T.StructField("score", T.DoubleType()),
     T.StructField("score_bits", T.LongType()), T.StructField("tie", T.LongType())])
 
 
 def buckets_of(data: bytes | None, buckets: int) -> np.ndarray:
-    hashes = _WORDS.hashed((data or b"").lower().split())
+    hashes = WORDS.hashed((data or b"").lower().split())
     both = np.concatenate([hashes, gram_hashes(hashes, 2)])
     return (both % np.uint64(buckets)).astype(np.int64)
 

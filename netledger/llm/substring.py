@@ -32,9 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netledger.llm.common import Words, arrow_columns, in_arrow, mixed, sift, text_bytes, written
+from netledger.llm.common import WORDS, arrow_columns, in_arrow, mixed, sift, text_bytes, written
 
-_WORDS = Words()
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Words that are worked on at once, besides one longer document.
@@ -152,7 +151,7 @@ def _chunks(batch: pa.RecordBatch, text: str, window: int, rounds: int) -> Itera
 
     for row, data in enumerate(text_bytes(batch, text)):
         words = (data or b"").split()
-        held.append((row, words, _WORDS.hashed(words)))
+        held.append((row, words, WORDS.hashed(words)))
         total += len(words)
         if total >= CHUNK:
             yield from flush()
@@ -284,6 +283,6 @@ def _unsigned(values: list[int]) -> np.ndarray:
 
 
 def _window_hashes(data: bytes, asked: bytes, window: int) -> tuple[np.ndarray, np.ndarray]:
-    hashes = _WORDS.hashed((data or b"").split())
+    hashes = WORDS.hashed((data or b"").split())
     starts = np.frombuffer(asked, np.int32).astype(np.int64)
     return Ranges(hashes, 0)(starts, starts + window), Ranges(hashes, 1)(starts, starts + window)
