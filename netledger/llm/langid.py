@@ -11,8 +11,8 @@ Most texts are of one language. One label for all words is the best path wheneve
 Counts are summed per task and then per key. The model (languages x ``buckets``) is what reaches the driver and the
 tasks; languages with the fewest words beyond ``max_languages`` would have to be split off by the caller, so more raise an error.
 
-Defined results: null texts, and texts without a letter, are ``und`` with score 0 and no span; words without a letter
-take the label of their span and do not count; repeated rows keep their rows; without training rows all is ``und``.
+Defined results: null texts, and texts without a letter, are ``und`` with score 0 and no span; words are runs of letters and of characters
+beyond ASCII, and those without a letter take the label of their span and do not count; repeated rows keep their rows; without training rows all is ``und``.
 """
 
 from __future__ import annotations
@@ -45,10 +45,22 @@ LABELS = T.StructType([
         T.StructField("lang", T.StringType())])))])
 
 
+# Words are runs of letters and of characters beyond ASCII; A-Z in lower case.
+_FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
+
+
+def words_of(data: bytes | None) -> list[bytes]:
+    return data.translate(_FOLD).split() if data else []
+
+
 def spelled(word: bytes) -> tuple[bytes, int]:
-    """A word's letters and marks in lower case, and its script; no bytes and -1 without a letter."""
-    text = "".join(c for c in word.decode("utf-8", "replace").lower() if c.isalpha() or c in "'’-").strip("'’-")
-    letter = next((c for c in text if ord(c) >= 0x80 and c.isalpha()), "a" if text else "")
+    """A word's letters in lower case, and its script; no bytes and -1 without a letter."""
+    if word.isascii():
+        return word, 0
+    text = word.decode("utf-8", "replace").lower()
+    if not text.isalpha():
+        text = "".join(c for c in text if c.isalpha())
+    letter = next((c for c in text if c > "\x7f"), "a" if text else "")
     return text.encode(), _SCRIPT[bisect_right(SCRIPT_STARTS, ord(letter)) - 1] if letter else -1
 
 
@@ -74,7 +86,8 @@ def features(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return (found[order] % np.uint64(buckets)).astype(np.int64), np.bincount(owner, minlength=len(words))
 
 
-_WORDS = Words()
+#: Distinct words whose n-grams are held at once.
+PART = 10_000
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", buckets: int = 1 << 15,
@@ -82,25 +95,25 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", buckets:
     """The model: languages, log probabilities per bucket, and the share of each script per language."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages: dict[str, int] = {}
-        numbers = Words(16_000_000)
+        numbers = Words(6_000_000)
         totals: list[np.ndarray] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             known = [spelled(w) for w in numbers]
             some = np.array([i for i, (w, _) in enumerate(known) if w], np.int64)
-            if len(some):
-                found, sizes = features([known[i][0] for i in some], buckets)
-                scripts = np.array([known[i][1] for i in some])
+            sums = {language: np.zeros(buckets + len(SCRIPTS)) for language in languages}
+            for at in range(0, len(some), PART):
+                part = some[at:at + PART]
+                found, sizes = features([known[i][0] for i in part], buckets)
+                scripts = np.array([known[i][1] for i in part])
                 for language, place in languages.items():
-                    times = np.zeros(max(len(known), len(totals[place])), np.int64)
-                    times[:len(totals[place])] = totals[place]
-                    times = times[some]
-                    grams = np.bincount(found, weights=np.repeat(times, sizes), minlength=buckets)
-                    script = np.bincount(scripts, weights=times, minlength=len(SCRIPTS))
-                    values = np.concatenate([grams, script]).astype(np.int64)
-                    key = np.flatnonzero(values)
-                    yield pa.RecordBatch.from_arrays([pa.array([language] * len(key)), pa.array(key), pa.array(values[key])],
-                                                     ["lang", "key", "n"])
+                    times = totals[place][part]
+                    sums[language][:buckets] += np.bincount(found, weights=np.repeat(times, sizes), minlength=buckets)
+                    sums[language][buckets:] += np.bincount(scripts, weights=times, minlength=len(SCRIPTS))
+            for language, values in sums.items():
+                key = np.flatnonzero(values)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([language] * len(key)), pa.array(key), pa.array(values[key].astype(np.int64))], ["lang", "key", "n"])
             numbers.forget()
             languages.clear()
             totals.clear()
@@ -109,13 +122,14 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", buckets:
             for data, language in zip(text_bytes(batch, text), batch.column(lang).to_pylist(), strict=True):
                 if not data or language is None:
                     continue
-                found = np.bincount(numbers.numbers(data.split()), minlength=0)
+                found = numbers.numbers(words_of(data))
                 place = languages.setdefault(language, len(languages))
                 if place == len(totals):
                     totals.append(np.zeros(1 << 16, np.int64))
-                if len(found) > len(totals[place]):
-                    totals[place] = np.concatenate([totals[place], np.zeros(2 * len(found) - len(totals[place]), np.int64)])
-                totals[place][:len(found)] += found
+                for other, counts in enumerate(totals):
+                    if len(numbers) > len(counts):
+                        totals[other] = np.concatenate([counts, np.zeros(2 * len(numbers) - len(counts), np.int64)])
+                np.add.at(totals[place], found, 1)
                 if numbers.full():
                     yield from flush()
         yield from flush()
@@ -142,7 +156,7 @@ class Labeller:
         self.penalty, self.weight = penalty, weight
         self.barred = model["scripts"] < min_share  # languages x scripts
         self.barred[:, self.barred.all(axis=0)] = False  # a script that none uses narrows nothing
-        self.words = Words(16_000_000)
+        self.words = Words(6_000_000)
         self.scores = np.zeros((0, len(self.languages)), np.float32)
         self.letters = np.zeros(0, bool)
 
@@ -154,8 +168,8 @@ class Labeller:
         known = [spelled(w) for w in new]
         scores = np.zeros((len(new), len(self.languages)), np.float32)
         some = np.array([i for i, (w, _) in enumerate(known) if w], np.int64)
-        for at in range(0, len(some), 20_000):
-            part = some[at:at + 20_000]
+        for at in range(0, len(some), PART):
+            part = some[at:at + PART]
             found, sizes = features([known[i][0] for i in part], self.buckets)
             sums = np.add.reduceat(self.log[found], np.cumsum(sizes) - sizes, axis=0)
             means = sums / sizes[:, None] * self.weight
@@ -194,7 +208,7 @@ class Labeller:
         out: list[tuple[str, float, list[dict]]] = []
         held: list[np.ndarray] = []
         for data in texts:
-            held.append(self.words.numbers((data or b"").split()))
+            held.append(self.words.numbers(words_of(data)))
             if len(held) == 500 or self.words.full():
                 out += self._labelled(held)
                 held = []

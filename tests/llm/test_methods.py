@@ -279,8 +279,8 @@ def test_language_spans(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.train(docs)
     of = {r["lang"]: r["text"] for r in docs.filter("length(text) BETWEEN 300 AND 900").orderBy("doc_id").collect() if "###" not in r["text"]}
-    english, german = of["en"].split(), of["de"].split()
-    mixed = spark.createDataFrame([(1, " ".join(english + german)), (2, "123 456"), (3, of["fr"])], "doc_id long, text string")
+    english, german = (langid.words_of(of[k].encode()) for k in ("en", "de"))
+    mixed = spark.createDataFrame([(1, b" ".join(english + german).decode()), (2, "123 456"), (3, of["fr"])], "doc_id long, text string")
     out = {r["doc_id"]: r for r in langid.identify(mixed, model).collect()}
     assert [s["lang"] for s in out[1]["lang_spans"]] == ["en", "de"]
     assert abs(out[1]["lang_spans"][1]["first_word"] - len(english)) <= 3
