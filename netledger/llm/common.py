@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from hashlib import blake2b
 from pathlib import Path
 
@@ -41,6 +41,21 @@ def text_bytes(batch: pa.RecordBatch, name: str, at_once: int = 64) -> Iterator[
         yield from column.slice(place, at_once).to_pylist()
 
 
+def besides(new: Iterable[str], columns: list[str]) -> list[str]:
+    """The columns that no new one replaces; Spark takes names that differ in case for one."""
+    taken = {n.lower() for n in new}
+    return [c for c in columns if c.lower() not in taken]
+
+
+def aside(columns: list[str]) -> list[Column]:
+    """The columns by place (see ``placed``), so that no name an operator uses inside meets theirs."""
+    return [F.col(f"`{c}`").alias(p) for c, p in zip(columns, placed(columns), strict=True)]
+
+
+def placed(columns: list[str]) -> list[str]:
+    return [f"_kept{i}" for i in range(len(columns))]
+
+
 def arrow_columns(frame: DataFrame, compute: Callable[[pa.RecordBatch], list[pa.Array]],
                   fields: T.StructType, keep: list[str] | None = None) -> DataFrame:
     """Append the columns that ``compute`` makes of each Arrow batch.
@@ -48,8 +63,7 @@ def arrow_columns(frame: DataFrame, compute: Callable[[pa.RecordBatch], list[pa.
     Spark bounds a batch by rows and bytes (``spark.sql.execution.arrow.maxBytesPerBatch``). ``keep``
     names the input columns passed on (all by default); one named like a new column is replaced.
     """
-    new = set(fields.names)
-    passed = [c for c in (frame.columns if keep is None else keep) if c not in new]
+    passed = besides(fields.names, frame.columns if keep is None else keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netledger.llm.common import WORDS, arrow_columns, gram_hashes, in_arrow, text_bytes, written
+from netledger.llm.common import WORDS, arrow_columns, aside, besides, gram_hashes, in_arrow, placed, text_bytes, written
 
 WEIGHTS = T.StructType([
     T.StructField("log_weight", T.DoubleType()), T.StructField("score", T.DoubleType()),
@@ -108,16 +108,18 @@ def resample(documents: DataFrame, target: DataFrame, fraction: float = 0.5, tex
              buckets: int = 10_000, smoothing: float = 1.0, seed: int = 0, keep: list[str] | None = None) -> DataFrame:
     """Documents with log_weight, score and selected."""
     log_ratio = ratios(documents, target, text, doc_id, buckets, smoothing)
-    keyed = documents.withColumn("noise_key", F.xxhash64(F.lit(seed), F.col(doc_id).cast("string"), F.col(text)))
+    names = ["log_weight", "score", "selected"]
+    passed = besides(names, documents.columns if keep is None else keep)
+    keyed = documents.select(*aside(passed), F.col(text).alias("_text"),
+                             F.xxhash64(F.lit(seed), F.col(doc_id).cast("string"), F.col(text)).alias("noise_key"))
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-        weights = np.array([log_ratio[buckets_of(t, buckets)].sum() for t in text_bytes(batch, text)], np.float64)
+        weights = np.array([log_ratio[buckets_of(t, buckets)].sum() for t in text_bytes(batch, "_text")], np.float64)
         keys = batch.column("noise_key").to_numpy(zero_copy_only=False)
         scores = weights - np.log(-np.log(uniform(keys)))
         return [pa.array(weights), pa.array(scores), pa.array(ordered_bits(scores)), pa.array(keys)]
 
-    keep = [c for c in (documents.columns if keep is None else keep) if c != "selected"]
-    scored = written(arrow_columns(keyed, compute, WEIGHTS, keep), "scores")
+    scored = written(arrow_columns(keyed, compute, WEIGHTS, placed(passed)), "scores")
     k = int(np.ceil(fraction * scored.count()))
     if k:
         bits, above = kth_highest(scored, "score_bits", k)
@@ -125,4 +127,4 @@ def resample(documents: DataFrame, target: DataFrame, fraction: float = 0.5, tex
         selected = (F.col("score_bits") > bits) | ((F.col("score_bits") == bits) & (F.col("tie") >= tie))
     else:
         selected = F.lit(False)
-    return scored.withColumn("selected", selected).drop("score_bits", "tie")
+    return scored.withColumn("selected", selected).drop("score_bits", "tie").toDF(*passed, *names)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netledger.llm.common import WORDS, arrow_columns, in_arrow, mixed, sift, text_bytes, written
+from netledger.llm.common import WORDS, arrow_columns, aside, besides, in_arrow, mixed, placed, sift, text_bytes, written
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -182,8 +182,9 @@ def remove_repeats(documents: DataFrame, window: int = 35, text: str = "text", d
     last = "kept_sha256" if digest else "kept_text"
     out = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                         T.StructField(last, T.StringType())])
-    keep = [c for c in (documents.columns if keep is None else keep) if c not in out.names]
-    rows = documents.select(*keep, F.col(text).alias("_text"),
+    passed = besides(out.names, documents.columns if keep is None else keep)
+    keep = placed(passed)
+    rows = documents.select(*aside(passed), F.col(text).alias("_text"),
                             F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col(text)).alias("_row"))
 
     def shown(kept: bytes) -> str:
@@ -275,7 +276,7 @@ def remove_repeats(documents: DataFrame, window: int = 35, text: str = "text", d
         return [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.string()), strict=True)]
 
     rest = undecided.drop(*out.names).join(told, "_row", "left")
-    return clear.union(done).union(arrow_columns(rest, finish, out, keep).select(*keep, *out.names))
+    return clear.union(done).union(arrow_columns(rest, finish, out, keep).select(*keep, *out.names)).toDF(*passed, *out.names)
 
 
 def _unsigned(values: list[int]) -> np.ndarray:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netledger.llm.common import marked
+from netledger.llm.common import aside, besides, marked, placed
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -59,9 +59,10 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
                 salts: int = 32, keep: list[str] | None = None) -> DataFrame:
     """Pages with host, path, rule, listed and verdict."""
     names = ["host", "path", "rule", "listed", "verdict"]
-    keep = [c for c in (pages.columns if keep is None else keep) if c not in names]
+    passed_on = besides(names, pages.columns if keep is None else keep)
+    keep = placed(passed_on)
     urls = listed.select(canonical(F.col(listed_url)).alias("_url")).filter("_url IS NOT NULL").distinct()
-    asked = pages.select(*keep, F.col(url).alias("_asked")).withColumns(
+    asked = pages.select(*aside(passed_on), F.col(url).alias("_asked")).withColumns(
         {"host": host_of(F.col("_asked")), "path": path_of(F.col("_asked")), "_url": canonical(F.col("_asked"))})
     asked = asked.withColumn("_rule", ruled(asked, rules))
     passed = marked(asked, "_url", urls, "_url", "_may", bits, urls_per_block, max_blocks)
@@ -72,4 +73,4 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
     out = hits.select(columns).union(
         passed.filter("NOT _may").withColumn("listed", F.lit(False)).select(columns))
     verdict = F.coalesce("_rule.verdict", F.when(F.col("listed"), "block").otherwise("allow"))
-    return out.select(*keep, "host", "path", F.col("_rule.rule").alias("rule"), "listed", verdict.alias("verdict"))
+    return out.select(*keep, "host", "path", "_rule.rule", "listed", verdict).toDF(*passed_on, *names)
