@@ -170,7 +170,8 @@ def byte_spans(data: bytes) -> list[tuple[int, int, str]]:
     blocks: list[tuple[int, int]] = []
     if b"PRIVATE KEY-----" in data:
         for found in _ARMOUR.finditer(data):
-            body = found[2].replace(b"\r", b"")
+            # Inside a quoted string the line ends are spelled out.
+            body = found[2].replace(b"\\r", b"").replace(b"\\n", b"\n").replace(b"\r", b"")
             if b":" in body:  # encapsulated headers end at an empty line
                 body = body.partition(b"\n\n")[2]
                 # An encrypted body has no inner structure left; its header must name the cipher.
