@@ -15,8 +15,9 @@ A heap of one part (up to ``part_nodes`` nodes) is compared within one bounded t
 per pair of its parts, so its cost grows with the square of its number of parts. No partner is dropped.
 
 Defined results: null or wordless texts have an empty set and link with nothing; texts of fewer words than a
-shingle are one shingle; repeated rows share a node and keep their rows; a null doc_id takes its class's smallest id
-(null if there is none), and kept compares null-safe.
+shingle are one shingle; repeated rows (of one doc_id and one text) share a node, keep their rows and are kept together; a null
+doc_id takes its class's smallest id (null if there is none). One text of each class is kept: that of the smallest doc_id, ties and
+classes without an id by the hash of the row.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netledger.llm.common import WORDS, arrow_columns, components, gram_hashes, in_arrow, mixed, text_bytes, written
+from netledger.llm.common import (WORDS, arrow_columns, aside, besides, components, gram_hashes, in_arrow, mixed, placed,
+                                  text_bytes, written)
 
 SIGNED = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("node", T.BinaryType()),
                        T.StructField("buckets", T.ArrayType(T.LongType()))])
@@ -145,42 +147,44 @@ def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc
                     keep: list[str] | None = None) -> DataFrame:
     """Documents with n_shingles, component_id (smallest doc_id that links reach) and kept."""
     rows = rows_for(percent / 100, bins, miss)
-    key, body = F.col(doc_id).alias("_id"), F.col(text).alias("_text")
+    # A row is named by its id and text, so rows without an id, or of one id, are told apart.
+    row = F.xxhash64(F.col(doc_id).isNull(), F.col(doc_id).cast("string"), F.col(text)).alias("_row")
+    texts = documents.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"), row)
 
     def sign(batch: pa.RecordBatch) -> list[pa.Array]:
         sketch = Sketch(bins, rows)
         counts, nodes, buckets = [], [], []
-        for data, own in zip(text_bytes(batch, "_text"), batch.column("_id").to_pylist(), strict=True):
+        for data, own in zip(text_bytes(batch, "_text"), batch.column("_row").to_pylist(), strict=True):
             found = shingles(data, size)
             counts.append(len(found))
             nodes.append(node_of(found) if len(found) else b"empty" + str(own).encode())
             buckets.append(sketch.buckets(found) if len(found) else [])
         return [pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))]
 
-    signed = written(arrow_columns(documents.select(key, body), sign, SIGNED, ["_id"]), "signed")
-    nodes = written(signed.groupBy("node").agg(F.min("_id").alias("first"), F.first("n_shingles").alias("n_shingles"),
+    signed = written(arrow_columns(texts, sign, SIGNED, ["_id", "_row"]), "signed")
+    least = F.min(F.struct(F.col("_id").isNull().alias("unnamed"), F.col("_id").alias("id"), F.col("_row").alias("row")))
+    nodes = written(signed.groupBy("node").agg(least.alias("first"), F.first("n_shingles").alias("n_shingles"),
                                                F.first("buckets").alias("buckets")), "nodes")
     members = nodes.select("node", F.explode("buckets").alias("bucket"))
     # Aggregates are written before they are joined back, so that Spark can split the join at a hot key.
     stars = written(members.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("other"))
                     .filter("center <> other").select("bucket", "center"), "stars")
     heaps = components(members.join(stars, "bucket").select(F.col("node").alias("a"), F.col("center").alias("b")))
-    heaps = written(heaps.join(nodes.select("node", "first", "n_shingles"), "node"), "heaps")
-    edges = _exact(documents.select(key, body), heaps, size, percent, part_nodes, part_shingles)
+    heaps = written(heaps.join(nodes.select("node", F.col("first.row").alias("row"), "n_shingles"), "node"), "heaps")
+    edges = _exact(texts.select("_row", "_text"), heaps, size, percent, part_nodes, part_shingles)
     classes = components(edges)
     named = nodes.join(classes, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
-    least = written(named.groupBy("root").agg(F.min("first").alias("component_id")), "least")
-    of_node = named.join(least, "root").select("node", "component_id")
-    found = signed.join(of_node, "node").select(F.col("_id"), "n_shingles", "component_id",
-                                                F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    best = written(named.groupBy("root").agg(F.min("first").alias("best")), "least")
+    of_node = named.join(best, "root").select("node", "best")
+    made = ["n_shingles", "component_id", "kept"]
+    found = signed.join(of_node, "node").select("_id", "_row", "n_shingles", F.col("best.id").alias("component_id"),
+                                                (F.col("_row") == F.col("best.row")).alias("kept"))
     keep = [doc_id] if keep is None else keep
     if keep == [doc_id]:
-        return found.withColumnRenamed("_id", doc_id)
-    own = found.groupBy("_id").agg(F.min("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id"),
-                                   F.max("kept").alias("kept"))
-    passed = [c for c in keep if c not in ("n_shingles", "component_id", "kept")]
-    return (documents.select(passed).join(own, F.col(doc_id).eqNullSafe(F.col("_id")))
-            .select(*passed, "n_shingles", "component_id", "kept"))
+        return found.drop("_row").withColumnRenamed("_id", doc_id)
+    own = found.groupBy("_row").agg(*[F.min(c).alias(c) for c in made])
+    passed = besides(made, keep)
+    return documents.select(*aside(passed), row).join(own, "_row").select(*placed(passed), *made).toDF(*passed, *made)
 
 
 def _exact(texts: DataFrame, heaps: DataFrame, size: int, percent: int, part_nodes: int, part_shingles: int) -> DataFrame:
@@ -188,17 +192,21 @@ def _exact(texts: DataFrame, heaps: DataFrame, size: int, percent: int, part_nod
     parts = written(heaps.groupBy("root").agg(F.greatest(
         F.ceil(F.count("*") / part_nodes), F.ceil(F.sum("n_shingles") / part_shingles)).cast("int").alias("parts")), "parts")
     asked = heaps.join(parts, "root").select(
-        "root", "node", "first", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
-    wanted = texts.join(asked, F.col("_id").eqNullSafe(F.col("first")))
+        "root", "node", "row", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
+    wanted = texts.join(asked, F.col("_row") == F.col("row"))
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # repeated rows follow one another; one of them is enough
         for batch in batches:
-            sets = [shingles(t, size) for t in text_bytes(batch, "_text")]
-            same = pa.array([node_of(s) == n for s, n in zip(sets, batch.column("node").to_pylist(), strict=True)])
+            sets, same = [], []
+            for data, node in zip(text_bytes(batch, "_text"), batch.column("node").to_pylist(), strict=True):
+                sets.append(shingles(data, size) if node != last else np.zeros(0, np.uint64))
+                same.append(node != last and node_of(sets[-1]) == node)
+                last = node if same[-1] else last
             made = pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in ("root", "node", "parts", "part")]
                 + [pa.array([s.tobytes() for s in sets], pa.binary())], ["root", "node", "parts", "part", "shingles"])
-            yield made.filter(same)
+            yield made.filter(pa.array(same, pa.bool_()))
 
     sets = in_arrow(wanted, full, "root binary, node binary, parts int, part int, shingles binary")
     partner = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(

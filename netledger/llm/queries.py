@@ -95,7 +95,8 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,16 +11,20 @@ from netledger.llm.queries import vocabulary
 FOLDER = "/root/testdata/sf0.001"
 LONG = " ".join(f"word{i % 977} and{i % 13}" for i in range(60_000))
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
-          "n_words string, kept string, score string, host string, n_hit string, secrets string, component_id string")
+          "n_words string, kept string, score string, host string, n_hit string, secrets string, component_id string, "
+          "_id string, _row string, _text string, open string, tie string, _salt string")
 ROWS = [
     (1, None, "en", "s", None), (2, "", None, None, 0), (3, LONG, "en", "s", 1), (4, "the same row of text", "en", "s", 2),
     (4, "the same row of text", "en", "s", 2), (None, "text without an id", "fr", None, 3), (None, None, None, None, None),
     (5, "  \n\t ", "en", "s", 4), (6, "the same row of text", "de", "s", 5)]
 
 
+EXTRA = ("n", "k", "x", "h", "w", "q", "c", "i", "r", "t", "o", "e", "s")
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.createDataFrame([(*r, "n", "k", "x", "h", "w", "q", "c") for r in ROWS], SCHEMA).repartition(3).cache()
+    return spark.createDataFrame([(*r, *EXTRA) for r in ROWS], SCHEMA).repartition(3).cache()
 
 
 def operators(spark):
@@ -84,11 +88,30 @@ def test_stage_edges(spark, docs, stage):
     if stage != "bpe_encoding":
         assert out.columns == docs.columns
     rows = out.collect()
+    if stage != "bpe_encoding":
+        assert {tuple(r)[5:] for r in rows} <= {EXTRA}
+    if stage == "minhash_near_dedup":
+        kept = [(str(r["doc_id"]), r["text"] and r["text"][:8]) for r in rows]
+        assert sorted(kept, key=repr) == sorted([("1", None), ("2", ""), ("3", LONG[:8]), ("4", "the same"), ("4", "the same"), ("5", "  \n\t "),
+                        ("None", None), ("None", "text wit")], key=repr)
     if stage in ("bpe_encoding", "secret_scan", "benchmark_decontamination"):
         assert len(rows) == len(ROWS)
     assert run(spark, docs.limit(0), FOLDER).collect() == []
 
 
+def test_near_duplicates_without_ids(spark):
+    """Of rows without an id, one text of each class stays; one id with two texts is judged by text."""
+    words = [f"w{k}" for k in range(200)]
+    near = " ".join(["x", *words[1:]])
+    rows = [(None, " ".join(words)), (None, near), (None, near), (None, "quite other words are in here"), (7, "one text of seven words is here"),
+            (7, "another text that seven has besides the first"), (None, ""), (None, None)]
+    table = spark.createDataFrame(rows * 20, "doc_id long, text string")
+    out = neardup.near_duplicates(table, keep=table.columns).filter("kept").groupBy("doc_id", "text").count().collect()
+    texts = [r["text"] for r in out]
+    assert len(texts) == 6 and (near in texts) != (rows[0][1] in texts)
+    assert {r["count"] for r in out} <= {20, 40}
+
+
 def test_chat_edges(spark):
     call = '{"tool_calls":[{"id":"a","name":"t","arguments":{"b":1,"a":"x"}}]}'
     rows = [(1, 0, "assistant", call, 9), (1, 0, "assistant", call, 9), (1, 1, "tool", '{"tool_call_id":"a","content":"r"}', 9),
