@@ -35,7 +35,9 @@ _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _HEX = re.compile(rb"[0-9a-f]{32,}")
 
 _SIGNED = re.compile(rb"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{16,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
-_ARMOUR = re.compile(rb"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([^-]*)-----END \1-----")
+# Headers of the body may hold hyphens, but not five in a row.
+_ARMOUR = re.compile(rb"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----((?:[^-]|-(?!----))*+)-----END \1-----")
+_HEADERS_END = re.compile(rb"\n[\x20\t]*\n")
 _RUN = re.compile(rb"[A-Za-z0-9+/_-]{64,}={0,2}")
 _HEX_RUN = re.compile(rb"[0-9A-Fa-f]{64,}")
 
@@ -172,13 +174,12 @@ def byte_spans(data: bytes) -> list[tuple[int, int, str]]:
         for found in _ARMOUR.finditer(data):
             # Inside a quoted string the line ends are spelled out.
             body = found[2].replace(b"\\r", b"").replace(b"\\n", b"\n").replace(b"\r", b"")
-            if b":" in body:  # encapsulated headers end at an empty line
-                body = body.partition(b"\n\n")[2]
-                # An encrypted body has no inner structure left; its header must name the cipher.
-                sound = b"DEK-Info:" in found[2] and bool(decoded(b"".join(body.split())))
-            else:
-                sound = is_key(decoded(b"".join(body.split())))
-            if sound:
+            headed = b":" in body
+            if headed:  # encapsulated headers end at an empty line
+                body = _HEADERS_END.split(body.lstrip(), maxsplit=1)[-1]
+            value = decoded(b"".join(body.split()))
+            # An encrypted body has no inner structure left; its header must name the cipher.
+            if is_key(value) or headed and b"DEK-Info:" in found[2] and value:
                 out.append((*found.span(), "key_block"))
                 blocks.append(found.span())
     for found in _SIGNED.finditer(data):

@@ -138,6 +138,19 @@ def test_secret_structures():
     assert kinds(armoured.replace(b"MII", b"MIJ")) - {"key_block"} == kinds(armoured.replace(b"MII", b"MIJ"))
 
 
+@pytest.mark.parametrize("line", [b"\n", b"\r\n", b"\\n", b"\n    "])
+def test_encrypted_armour(line):
+    body = base64.encodebytes(bytes(range(256)) * 4).split(b"\n")
+    lines = [b"-----BEGIN RSA PRIVATE KEY-----", b"Proc-Type: 4,ENCRYPTED", b"DEK-Info: AES-256-CBC,0123456789ABCDEF0123456789ABCDEF", b"",
+             *body[:-1], b"-----END RSA PRIVATE KEY-----"]
+    block = line.join(lines)
+    assert ("key_block", 4, 4 + len(block)) in secrets.spans_of(b"see " + block + b" end")
+    for bad in (block.replace(b"DEK-Info:", b"Comment:"), block.replace(b"-----END RSA", b"-----END DSA")):
+        assert "key_block" not in {k for k, _, _ in secrets.spans_of(bad)}
+    plain = line.join([lines[0], b"Comment: made-by-hand", b"", base64.b64encode(rsa()), lines[-1]])
+    assert secrets.spans_of(plain) == [("key_block", 0, len(plain))]
+
+
 def test_base_secrets_equal_plain_patterns():
     patterns = {"assign": r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                 "access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]+"}
