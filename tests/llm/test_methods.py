@@ -151,6 +151,30 @@ def test_encrypted_armour(line):
     assert secrets.spans_of(plain) == [("key_block", 0, len(plain))]
 
 
+def wrapped(digits: bytes, width: int, line: bytes) -> bytes:
+    return line.join(digits[i:i + width] for i in range(0, len(digits), width))
+
+
+def test_encoded_keys_in_any_spelling():
+    key, small = rsa(), der(0x30, integer(1), der(4, b"k" * 32))
+    ssh = b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) + (1).to_bytes(4, "big") \
+        + b"".join(len(x).to_bytes(4, "big") + x for x in (b"public", b"private" * 9))
+    assert len(small) == 39
+    armoured = b"-----BEGIN RSA PRIVATE KEY-----\n" + base64.encodebytes(key) + b"-----END RSA PRIVATE KEY-----\n"
+    sealed = armoured.replace(b"KEY-----\n", b"KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00\n\n", 1)
+    encoded = lambda data: [(s, e) for k, s, e in secrets.spans_of(data) if k == "encoded_key"]
+    for value in (key, small, ssh, armoured, sealed, b"A=1\n" + armoured, b"AB=1\n" + sealed, armoured * 2):
+        for digits in (base64.b64encode(value), base64.urlsafe_b64encode(value).rstrip(b"="), value.hex().encode(), value.hex().upper().encode()):
+            for made in (digits, *(wrapped(digits, w, n) for w in (32, 64, 76) for n in (b"\n", b"\r\n", b"\n    ", b"\\n", b" "))):
+                for before, after in ((b"key: ", b"\nend of it"), (b'"a\\n', b'\\nb"'), (b"", b""), (b"x=", b".")):
+                    spans = encoded(before + made + after)
+                    assert spans and (min(s for s, _ in spans), max(e for _, e in spans)) == (len(before), len(before + made))
+    for value in (key[:-1], key + b"\0", small[:-1], small + b"\0", der(0x30, integer(1), der(4, b"k" * 9)), armoured[:-20], b"PRIVATE KEY-----" * 9):
+        for digits in (base64.b64encode(value), value.hex().encode()):
+            assert encoded(b"see " + digits + b" end") == [] and encoded(wrapped(digits, 64, b"\n")) == []
+    assert encoded(b"MIT MAIN MAKE MIE 30 MI " * 50 + b"30820100 MIIEpAIBAAKCAQEA " * 50) == []
+
+
 def test_base_secrets_equal_plain_patterns():
     patterns = {"assign": r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                 "access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]+"}
