@@ -3,7 +3,11 @@
 The corpus gives each language two references: the histogram of character classes and the frequencies
 of its ``common`` most frequent words (all other words are one bin). A document is compared with the
 reference of its language by Jensen-Shannon distance (0: same, 1: disjoint); one whose language is
-null or has no reference is compared with all, and the nearest counts. Guards: the classes are judged from ``min_chars``
+null or has no reference is compared with all, and the nearest counts. A text without one common word is no
+further than the reference's own bins allow, so two more rules judge the words, both by length: a document lacks its
+reference's words if their share is below ``min_share`` of the reference's and ``noise`` standard deviations (of a
+text of its length drawn from the reference) below it; and it is nearer to another reference if the likelihood ratio of its
+words is above exp(``margin``). A word outside a reference's common ones counts there as its least common one. Guards: the classes are judged from ``min_chars``
 characters on, the words from ``min_words`` words on, because short texts diverge by chance; a language needs
 ``min_reference`` words to be a reference.
 
@@ -151,6 +155,18 @@ class _Model:
         self.classes = [np.array(r["classes"], float) for r in references]
         self.common: list[dict[bytes, int]] = [{w: i for i, w in enumerate(r["words"])} for r in references]
         self.words = [np.array([*r["words"].values(), r["total"] - sum(r["words"].values())], float) for r in references]
+        self.share = np.array([sum(r["words"].values()) / r["total"] for r in references])
+        self.every = {w: k for k, w in enumerate(sorted({w for r in references for w in r["words"]}))}
+        self.own = np.zeros((len(references), len(self.every)), bool)
+        self.log = np.zeros((len(references), len(self.every) + 1))  # the last for all other words
+        for i, r in enumerate(references):
+            least = min(r["words"].values())
+            numbers = np.full(len(self.every) + 1, float(least))
+            for word, n in r["words"].items():
+                self.own[i, self.every[word]] = True
+                numbers[self.every[word]] = n
+            numbers[-1] = max(r["total"] - numbers[:-1].sum(), least)
+            self.log[i] = np.log(numbers / numbers.sum())
 
     def distances(self, language: str | None, data: bytes, words: list[bytes], judged: tuple[bool, bool]) -> tuple:
         which = [self.place[language]] if language in self.place else range(len(self.classes))
@@ -169,10 +185,26 @@ class _Model:
                 by_word = near if by_word is None else min(by_word, near)
         return by_class, by_word
 
+    def foreign(self, language: str | None, words: list[bytes], min_share: float, noise: float, margin: float) -> bool:
+        """Whether the words are too few of the reference's, or nearer to another one."""
+        if not self.common:
+            return False
+        counts, total = Counter(words), len(words)
+        found = np.zeros(len(self.every) + 1)
+        for word in counts.keys() & self.every.keys():
+            found[self.every[word]] = counts[word]
+        found[-1] = total - found.sum()
+        limit = np.minimum(min_share * self.share, self.share - noise * (self.share * (1 - self.share) / total) ** 0.5)
+        few = self.own @ found[:-1] < limit * total
+        if language not in self.place:
+            return bool(few.all())
+        fits = self.log @ found
+        return bool(few[self.place[language]] or fits.max() - fits[self.place[language]] > margin)
+
 
 def quality(documents: DataFrame, text: str = "text", lang: str = "lang", max_class: float = 0.33, max_word: float = 0.55,
             min_chars: int = 200, min_words: int = 50, common: int = 100, min_reference: int = 1000,
-            keep: list[str] | None = None) -> DataFrame:
+            keep: list[str] | None = None, min_share: float = 0.5, noise: float = 4.0, margin: float = 10.0) -> DataFrame:
     """Documents with their counts, both distances (null below the guards), base_failed and kept."""
     model = _Model(references(documents, text, lang, common, min_reference))
 
@@ -188,6 +220,7 @@ def quality(documents: DataFrame, text: str = "text", lang: str = "lang", max_cl
             failed = len(words) < 10 or 100 * repeats > 20 * len(words)
             by_class, by_word = model.distances(language, data, words, (len(data) >= min_chars, len(words) >= min_words))
             kept = not failed and not (by_class or 0) > max_class and not (by_word or 0) > max_word
+            kept = kept and not (len(words) >= min_words and model.foreign(language, words, min_share, noise, margin))
             for column, value in zip(columns, (
                     len(words), in_words, len(data) - len(data.translate(None, _SYMBOLS)), repeated_lines(data),
                     repeats, failed, kept, by_class, by_word), strict=True):

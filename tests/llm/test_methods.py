@@ -312,6 +312,27 @@ def test_distance_and_junk(spark):
     assert not out[-1]["kept"] and not out[-2]["kept"] and not out[-2]["base_failed"]
 
 
+def test_quality_texts_unlike_their_reference(spark):
+    """Made-up words and other languages diverge at every length, clean short texts stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    good = [r for r in quality.quality(docs).filter("kept AND n_words >= 120 AND lang IS NOT NULL").orderBy("doc_id").collect()]
+    pick, rows = random.Random(4), []
+    for n, r in enumerate(good):
+        words = r["text"].split()
+        rows.append((1_000_000 + n, " ".join(words[:60]), r["lang"]))  # a clean short text
+        if r["lang"] != "en":
+            rows.append((2_000_000 + n, " ".join(words[:100]), "en"))
+    for n, size in enumerate((50, 60, 100, 500, 5000)):
+        for k, lang in enumerate(("en", "de", None, "xx" if size < 500 else "fr")):  # xx is too small for a reference
+            made = " ".join("".join(pick.choice("bdfgklmnprst") + pick.choice("aeiou") for _ in range(3)) for _ in range(size))
+            rows.append((3_000_000 + 10 * n + k, made, lang))
+    out = quality.quality(docs.union(spark.createDataFrame(rows, docs.schema))).filter("doc_id >= 1000000").collect()
+    kept = {k: [r["kept"] for r in out if r["doc_id"] // 1_000_000 == k] for k in (1, 2, 3)}
+    assert not any(r["base_failed"] for r in out if r["doc_id"] >= 3_000_000) and len(kept[3]) == 20 and not any(kept[3])
+    assert sum(kept[2]) <= 0.02 * len(kept[2]) and len(kept[2]) > 50
+    assert sum(kept[1]) >= 0.97 * len(kept[1]) and len(kept[1]) > 200
+
+
 def test_language_spans(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.train(docs)
