@@ -127,6 +127,18 @@ def test_chat_edges(spark):
     assert chat.link_tools(table.limit(0), {}).count() == 0
 
 
+def test_chat_text_beside_calls(spark):
+    calls = '"tool_calls":[{"id":"a","name":"t","arguments":{}},{"id":"b","name":"t","arguments":{}}]'
+    rows = [(1, 0, "assistant", '{"content":"I look it up.",%s}' % calls), (1, 0, "assistant", '{"content":"I look it up.",%s}' % calls),
+            (2, 0, "assistant", '{%s,"content":[{"text":"parts","type":"text"}]}' % calls), (3, 0, "assistant", '{"content":"",%s}' % calls),
+            (4, 0, "assistant", '{"content":null,%s}' % calls), (5, 0, "assistant", "{%s}" % calls)]
+    out = chat.link_tools(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), {"t": {}})
+    assert sorted((r["conv_id"], r["place"], r["status"], r["level"], r["record"]) for r in out.filter("kind = 'message'").collect()) == [
+        (1, -1, "plain", 0, '{"content":"I look it up.","role":"assistant","type":"message"}')] * 2 + [
+        (2, -1, "plain", 0, '{"content":"[{\\"text\\":\\"parts\\",\\"type\\":\\"text\\"}]","role":"assistant","type":"message"}')]
+    assert out.filter("kind = 'call'").count() == 12
+
+
 def test_chat_levels_and_validation(spark):
     calls = [("c1", ["c2"], '{"n":"1"}'), ("c2", ["c3"], '{"n":1.5,"x":2}'), ("c3", [], "[]"), ("c4", ["c5"], '{"n":2}'), ("c5", ["c4"], "{}")]
     import json
