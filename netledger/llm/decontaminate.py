@@ -7,8 +7,9 @@ Where the shift is zero, the bucket of that last block selects patterns, and a d
 all words confirms an occurrence. Every document is read whole; overlapping occurrences all count.
 
 Items are searched in blocks of at most about ``block_bytes`` of text; a block is what a task holds
-and what is sent to it, so its bound does not depend on the size of the benchmark. Blocks follow one
-another over the same rows without an exchange.
+and what is sent to it. Up to ``together`` blocks follow one another over the same rows in one stage, each in its own
+Python worker; then the rows with their hits are written to the shared folder, the blocks are given up and the table before is
+deleted. So neither tasks nor the driver hold more than ``together`` blocks, however large the benchmark is. No exchange is needed.
 
 Defined results: null or empty text has no words and no hit; items without id, text or words have no
 window; repeated item ids count once; repeated rows each keep their row; an empty benchmark hits nothing.
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from netledger.llm.common import arrow_columns, text_bytes
+from netledger.session import work_path
+from netledger.sinks.tables import drop
 
 # A-Z in lower case; every other ASCII character but a-z and 0-9 ends a word.
 _FOLD = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A
@@ -123,7 +126,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
                   item_text: str = "text", window: int = 13, block: int = 3, block_bytes: int = 2_000_000,
-                  keep: list[str] | None = None) -> DataFrame:
+                  keep: list[str] | None = None, together: int = 4) -> DataFrame:
     """Documents with n_words, n_hit, item_ids (sorted strings) and hit_spans (int32 word positions,
     start and end of each merged span)."""
     spark = documents.sparkSession
@@ -132,12 +135,22 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, text: str = "text"
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = -(-size // block_bytes) or 1
     keep = list(documents.columns) if keep is None else keep
-    out = documents
+    out, held, before = documents, [], None
     for number in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("i"), F.lit(blocks)) == number).collect()
         sent = spark.sparkContext.broadcast(sorted((r["i"], r["t"].encode()) for r in rows))
         out = _pass(out, sent, text, window, block, number == 0,
                     keep if number == blocks - 1 else [*keep, *({text} - {*keep})])
+        held.append(sent)
+        if len(held) == together and number < blocks - 1:
+            path = work_path(spark, "hits")
+            out.write.parquet(path)
+            out = spark.read.schema(out.schema).parquet(path)
+            while held:
+                held.pop().destroy()
+            if before:
+                drop(spark, before)
+            before = path
     return out
 
 

@@ -61,6 +61,17 @@ def test_benchmark_blocks_give_the_same(spark):
     assert one == many
 
 
+def test_benchmark_blocks_do_not_pile_up(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    bench = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    size = sum(len(r["text"].encode()) for r in bench.collect() if r["text"])
+    one = decontaminate.decontaminate(docs, bench, keep=["doc_id"])
+    many = decontaminate.decontaminate(docs, bench, block_bytes=-(-size // 9), keep=["doc_id"])
+    assert many._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1  # 9 blocks: 4, 4 and 1
+    assert many.columns == one.columns
+    assert sorted(map(str, many.collect())) == sorted(map(str, one.collect()))
+
+
 @pytest.fixture(scope="module")
 def coder():
     return bpe.Bpe(open(vocabulary(), encoding="utf-8").read()), Tokenizer.from_file(vocabulary())
