@@ -24,7 +24,9 @@ EXTRA = ("n", "k", "x", "h", "w", "q", "c", "i", "r", "t", "o", "e", "s")
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.createDataFrame([(*r, *EXTRA) for r in ROWS], SCHEMA).repartition(3).cache()
+    rows = spark.createDataFrame([(*r, *EXTRA) for r in ROWS], SCHEMA).repartition(3).cache()
+    yield rows
+    rows.unpersist()
 
 
 def operators(spark):
