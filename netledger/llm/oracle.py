@@ -94,10 +94,86 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_i
 FROM d LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)
 """
 
+OP11 = """
+WITH p AS (
+  SELECT row_number() OVER (ORDER BY page_id, url) AS r, page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (
+  SELECT payload_digest, min(r) AS first_r, arg_min(page_id, r) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first_r IS NULL OR r = first_r THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN r <> first_r THEN first_id END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+OP12 = """
+WITH RECURSIVE remainders AS (
+  SELECT list(list_reduce(list_prepend(i, range(0, 8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)
+    ORDER BY i) AS t FROM range(0, 256) AS u(i)),
+found AS (
+  SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{00C0}-\\x{00FF}]{7,}')) AS run FROM documents),
+runs AS (SELECT doc_id, run, count(*) AS n FROM found GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, octet_length(b)), lambda k:
+    CAST('0x' || substr(hex(b), 2 * k + 1, 2) AS BIGINT))), lambda c, x: xor(c // 256, t[(xor(c, x) % 256) + 1])), 4294967295) AS h
+  FROM (SELECT run, n, encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run) AS b FROM runs), remainders),
+w AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+gone AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS k FROM w, unnest(range(1, length(word) + 1)) AS u(i)),
+pairs AS (
+  SELECT a.word AS a, b.word AS b FROM gone a JOIN gone b ON a.i = b.i AND a.k = b.k AND a.word <> b.word
+  UNION SELECT w.word, gone.word FROM w JOIN gone ON gone.k = w.word UNION SELECT gone.word, w.word FROM w JOIN gone ON gone.k = w.word),
+ranked AS (
+  SELECT a, b, n AS bn, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS k
+  FROM pairs JOIN w ON w.word = b),
+best AS MATERIALIZED (
+  SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN bn >= 10 * n THEN b END AS form, CASE WHEN bn >= 10 * n THEN bn END AS form_n
+  FROM w LEFT JOIN ranked ON a = w.word AND k = 1),
+chain AS (
+  SELECT word, word AS here, 0 AS steps FROM best
+  UNION ALL SELECT chain.word, best.form, steps + 1 FROM chain JOIN best ON best.word = here WHERE best.form IS NOT NULL)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n
+FROM best JOIN (SELECT word, arg_max(here, steps) AS root FROM chain GROUP BY word) USING (word)
+"""
+
+OP13 = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+x AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM x GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+c AS (SELECT lang, source, term, count(*) AS c FROM x SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+l AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, CAST(sum(total) AS HUGEINT) AS n FROM kept GROUP BY lang),
+gn AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL),
+grid AS MATERIALIZED (
+  SELECT g.lang, g.source, kept.term, coalesce(c.c, 0) AS c,
+    1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 2)) // (CAST(coalesce(gn.n, 0) AS HUGEINT) + 2 * v) AS p,
+    1 + (CAST(1000000000 AS HUGEINT) * (total + 2)) // (l.n + 2 * v) AS q
+  FROM g JOIN kept USING (lang) JOIN l USING (lang) LEFT JOIN gn USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM grid WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1,
     "op5_url_filter": OP5,
     "op6_chat": OP6,
     "op7_substring_dedup": OP7,
     "op8_minhash": OP8,
+    "op11_warc": OP11,
+    "op12_spelling_variants": OP12,
+    "op13_source_divergence": OP13,
 }

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netledger.llm import bpe, chat, decontaminate, langid, neardup, quality, resample, secrets, substring, urlfilter
+from netledger.llm import (bpe, chat, decontaminate, divergence, langid, neardup, quality, resample, secrets, substring, urlfilter,
+                           variants, warc)
 from netledger.llm.common import table
+from netledger.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +110,29 @@ def op10_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents").select("doc_id", "text"), target, keep=["doc_id"])
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses are read with their payloads, revisits by their headers alone."""
+    path = work_path(spark, "warc")
+    warc.archive(table(spark, sf_dir, "pages"), path)
+    responses = warc.read_warc(spark, path).filter("record_type = 'response'").select(
+        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"),
+        "record_type", "refers_to_page")
+    revisits = warc.read_warc(spark, path, payload=False).filter("record_type = 'revisit'").select(
+        "page_id", F.col("payload_length").alias("payload_bytes"), F.substring_index("payload_digest", ":", -1).alias("payload_digest"),
+        "record_type", "refers_to_page")
+    return responses.unionByName(revisits).select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to_page").cast("long").alias("refers_to"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
@@ -119,4 +144,7 @@ QUERIES: dict[str, Query] = {
     "op8_minhash": op8_minhash,
     "op9_quality": op9_quality,
     "op10_resampling": op10_resampling,
+    "op11_warc": op11_warc,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_source_divergence": op13_source_divergence,
 }
