@@ -3,8 +3,8 @@
 1. Single-pass in-memory indexing. Each task adds the terms of its documents to a block of postings (language, term, source ->
    occurrences, documents) until ``HELD`` bytes are in use, then writes the block, sorted by shard, language, term and source, as a run.
 2. A shard (a hash range of language and term) is one task: Spark hands it its pieces of all runs, sorted, and a heap merges them as a
-   stream, a piece at a time. Equal terms follow one another there, so a term's postings are added up, and it is kept if
-   enough documents of its language hold it.
+   stream, a piece of a run at a time. A term's postings are added up, and it is kept if
+   enough documents of its language hold it. More than ``FAN_IN`` runs are merged in several passes.
 3. Probabilities are computed in integers of 1e-9 with long division, so nothing overflows or is rounded.
 4. The divergence of two sources is the number of kept terms times the value of a term that neither has, plus corrections
    streamed from the postings: only terms that at least one of the two has change the sum. Sources are dealt to tiles of bounded
@@ -20,12 +20,13 @@ from __future__ import annotations
 import heapq
 from collections import Counter
 from collections.abc import Iterator
-from itertools import count, groupby, islice
+from itertools import groupby
 from operator import itemgetter
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,37 +34,38 @@ from netledger.llm.common import in_arrow, text_bytes, written
 
 #: ASCII letters fold to lower case, bytes from 0x80 on stay, all others part terms.
 FOLD = bytes(b | 0x20 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-#: Bytes of postings that a task holds before it writes them as a run.
-HELD = 160_000_000
+#: Bytes of postings, and words, that a task holds before it writes them as a run.
+HELD, WORDS_HELD = 128_000_000, 1 << 30
 #: Postings in one row of a run, and rows of a run in one batch.
-PIECE, PIECES = 512, 128
+PIECE, PIECES = 1_024, 64
 #: Runs that one heap merges; more are merged in several passes.
 FAN_IN = 1_024
+#: Postings that a merge step waits for.
+STEP = 100_000
 SCALE = 1_000_000_000
 RUNS = "shard int, run long, piece int, first binary, key array<binary>, source array<string>, n array<long>, docs array<long>"
-RUN_TYPES = {"shard": pa.int32(), "run": pa.int64(), "piece": pa.int32(), "first": pa.binary(), "key": pa.list_(pa.binary()),
-             "source": pa.list_(pa.string()), "n": pa.list_(pa.int64()), "docs": pa.list_(pa.int64())}
-
-
-def _batches(postings: Iterator[tuple[int, int, bytes, str, int, int]]) -> Iterator[pa.RecordBatch]:
-    """Rows of runs from (shard, run, key, source, n, docs), which come in order."""
-    rows: list[tuple] = []
-    for (shard, run), own in groupby(postings, itemgetter(0, 1)):
-        for piece in count():
-            part = list(islice(own, PIECE))
-            if not part:
-                break
-            _, _, keys, sources, n, docs = zip(*part, strict=True)
-            rows.append((shard, run, piece, keys[0], keys, sources, n, docs))
-            if len(rows) == PIECES:
-                yield pa.RecordBatch.from_arrays(_arrays(rows, RUN_TYPES), list(RUN_TYPES))
-                rows = []
-    yield pa.RecordBatch.from_arrays(_arrays(rows, RUN_TYPES), list(RUN_TYPES))
-
-
-def _arrays(rows: list[tuple], types: dict[str, pa.DataType]) -> list[pa.Array]:
-    columns = zip(*rows, strict=True) if rows else [()] * len(types)
-    return [pa.array(c, kind) for c, kind in zip(columns, types.values(), strict=True)]
+POSTING = pa.schema([("key", pa.binary()), ("source", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
+
+
+def _batches(postings: pa.Table, shard: np.ndarray, run: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a run: the postings in order of shard, key and source, cut into pieces of one shard each."""
+    ordered = postings.append_column("shard", pa.array(shard.astype(np.int32)))
+    ordered = ordered.take(pc.sort_indices(ordered, [(c, "ascending") for c in ("shard", "key", "source")])).combine_chunks()
+    shard = ordered.column("shard").to_numpy()
+    cuts = [np.arange(a, b, PIECE) for a, b in zip(*(f(np.flatnonzero(np.diff(shard)) + 1) for f in (
+        lambda c: np.concatenate([[0], c]), lambda c: np.append(c, len(shard)))), strict=True)] if len(shard) else []
+    starts = np.concatenate([*cuts, [len(shard)]]).astype(np.int64)
+    numbers = np.concatenate([np.arange(len(c)) for c in cuts] or [[]]).astype(np.int32)
+    columns = [ordered.column(c).combine_chunks() for c in POSTING.names]
+    for at in range(0, len(numbers), PIECES):
+        own = starts[at:at + PIECES + 1]
+        low, count = int(own[0]), int(own[-1] - own[0])
+        offsets, firsts = pa.array((own - low).astype(np.int32)), pa.array(own[:-1])
+        yield pa.RecordBatch.from_arrays(
+            [ordered.column("shard").combine_chunks().take(firsts), pa.array(np.full(len(firsts), run, np.int64)),
+             pa.array(numbers[at:at + PIECES]), columns[0].take(firsts),
+             *[pa.ListArray.from_arrays(offsets, c.slice(low, count)) for c in columns]],
+            ["shard", "run", "piece", "first", *POSTING.names])
 
 
 def runs(documents: DataFrame, text: str, lang: str, source: str, shards: int) -> DataFrame:
@@ -75,78 +77,86 @@ def runs(documents: DataFrame, text: str, lang: str, source: str, shards: int) -
                               for c, name in ((lang, "lang"), (source, "source"), (text, "text"))],
                             F.spark_partition_id().cast("long").alias("task"))
 
-    def spill(block: dict[tuple[str, str], dict[bytes, int]], run: int) -> Iterator[pa.RecordBatch]:
-        postings = []
+    def spill(block: dict[tuple[str, str], tuple[Counter, Counter]], run: int) -> Iterator[pa.RecordBatch]:
+        tables, hashes = [], []
         while block:
-            (lang_, source_), terms = block.popitem()
+            (lang_, source_), (n, docs) = block.popitem()
             before = lang_.encode() + b"\0"
             salt = crc32(before)
-            postings.extend((crc32(t, salt) % shards, run, before + t, source_, e >> 32, e & 0xFFFFFFFF) for t, e in terms.items())
-        postings.sort()
-        return _batches(iter(postings))
+            terms = list(docs)
+            hashes.append(np.fromiter((crc32(t, salt) for t in terms), np.uint32, len(terms)))
+            keys = pc.binary_join_element_wise(pa.scalar(before, pa.binary()), pa.array(terms, pa.binary()), pa.scalar(b"", pa.binary()))
+            tables.append(pa.Table.from_arrays(
+                [keys, pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(terms), np.int32)), pa.array([source_])).cast(pa.string()),
+                 pa.array(map(n.__getitem__, terms), pa.int64(), size=len(terms)), pa.array(docs.values(), pa.int64(), size=len(terms))],
+                schema=POSTING))
+            del n, docs, terms
+        yield from _batches(pa.concat_tables(tables), np.concatenate(hashes) % shards, run)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held, run = {}, 0, None
+        block, held, words_held, run = {}, 0, 0, None
         for batch in batches:
             if run is None and batch.num_rows:
                 run = batch.column("task")[0].as_py() << 20
             for lang_, source_, data in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(),
                                             text_bytes(batch, "text"), strict=True):
-                # An entry holds the occurrences above and the documents in its lower 32 bits.
-                postings = block.setdefault((lang_, source_), {})
-                before = len(postings)
-                counted = Counter(data.translate(FOLD).split())
-                counted[b""] = 1
-                for term, n in counted.items():
-                    postings[term] = postings.get(term, 0) + (n << 32 | 1)
-                held += 200 * (len(postings) - before)
-                if held > HELD:
+                n, docs = block.get((lang_, source_)) or block.setdefault((lang_, source_), (Counter(), Counter()))
+                before = len(docs)
+                words = data.translate(FOLD).split()
+                words.append(b"")
+                n.update(words)
+                docs.update(set(words))
+                held += 280 * (len(docs) - before)
+                words_held += len(words)
+                if held > HELD or words_held > WORDS_HELD:
                     yield from spill(block, run)
-                    block, held, run = {}, 0, run + 1
+                    block, held, words_held, run = {}, 0, 0, run + 1
         if block:
             yield from spill(block, run)
 
     return in_arrow(rows, index, RUNS)
 
 
-def _merged(pieces: Iterator[tuple]) -> Iterator[tuple[bytes, dict[str, list[int]]]]:
-    """(key, source -> [n, docs]) in order, from the pieces of all runs, which come sorted by their first key.
+def _merged(pieces: Iterator[tuple[bytes, pa.Table]]) -> Iterator[pa.Table]:
+    """The postings of all runs added up by key and source, as tables whose keys follow one another.
 
-    A piece enters the heap when its first key is next, so only pieces that overlap are open at once.
+    Pieces come sorted by their first key and wait in a heap by their last key. No later piece holds a key below the first of the next
+    one: pieces that end below it leave the heap, the others are cut there, and all that is below is added up at once.
+    So only pieces that overlap are open, one or two of each run.
     """
-    heap: list[tuple] = []
-    coming, number = next(pieces, None), 0
-    while heap or coming:
-        while coming and (not heap or coming[0] <= heap[0][0]):
-            heapq.heappush(heap, (coming[0], number, 0, *coming[1:]))
-            coming, number = next(pieces, None), number + 1
-        key, groups = heap[0][0], {}
-        while heap and heap[0][0] == key:
-            _, own, at, keys, sources, n, docs = heap[0]
-            while at < len(keys) and keys[at] == key:
-                entry = groups.get(sources[at])
-                if entry is None:
-                    groups[sources[at]] = [n[at], docs[at]]
-                else:
-                    entry[0] += n[at]
-                    entry[1] += docs[at]
-                at += 1
-            if at < len(keys):
-                heapq.heapreplace(heap, (keys[at], own, at, keys, sources, n, docs))
-            else:
-                heapq.heappop(heap)
-        yield key, groups
-
-
-def _shards(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[tuple[tuple, Iterator]]:
-    """(values of ``by``, merged postings) of each group of pieces; a piece is decoded when it is its turn."""
+    heap: list[tuple[bytes, int, pa.Table]] = []
+    number = waiting = 0
+
+    def below(bound: bytes | None) -> Iterator[pa.Table]:
+        done = []
+        while heap and (bound is None or heap[0][0] < bound):
+            done.append(heapq.heappop(heap)[2])
+        for place, (last, own, piece) in enumerate(heap):
+            cut = pc.sum(pc.less(piece.column("key"), pa.scalar(bound, pa.binary()))).as_py() or 0
+            if cut:
+                done.append(piece.slice(0, cut))
+                heap[place] = (last, own, piece.slice(cut))
+        if done:
+            found = pa.concat_tables(done).group_by(["key", "source"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+            yield found.select(["key", "source", "n_sum", "docs_sum"]).rename_columns(POSTING.names)
+
+    for first, piece in pieces:
+        if waiting > STEP:
+            yield from below(first)
+            waiting = 0
+        heapq.heappush(heap, (piece.column("key")[-1].as_py(), number, piece))
+        number, waiting = number + 1, waiting + piece.num_rows
+    yield from below(None)
+
+
+def _shards(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[tuple[tuple, Iterator[pa.Table]]]:
+    """(values of ``by``, merged postings) of each group of pieces."""
     def pieces() -> Iterator[tuple]:
         for batch in batches:
-            names = [batch.column(c).to_pylist() for c in by]
-            firsts = batch.column("first").to_pylist()
-            columns = [batch.column(c) for c in ("key", "source", "n", "docs")]
-            for k, first in enumerate(firsts):
-                yield tuple(c[k] for c in names), first, *[c[k].values.to_pylist() for c in columns]
+            names = zip(*[batch.column(c).to_pylist() for c in by], strict=True)
+            columns = [batch.column(c) for c in POSTING.names]
+            for k, (name, first) in enumerate(zip(names, batch.column("first").to_pylist(), strict=True)):
+                yield name, first, pa.Table.from_arrays([c[k].values for c in columns], schema=POSTING)
 
     for name, found in groupby(pieces(), itemgetter(0)):
         yield name, _merged(piece[1:] for piece in found)
@@ -160,8 +170,9 @@ def _combined(pieces: DataFrame) -> DataFrame:
                  .sortWithinPartitions("shard", "into", "first", "run", "piece"))
 
         def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from _batches((shard, into, key, source, n, docs) for (shard, into), merged in _shards(batches, ("shard", "into"))
-                                for key, groups in merged for source, (n, docs) in sorted(groups.items()))
+            for (shard, into), merged in _shards(batches, ("shard", "into")):
+                for found in merged:
+                    yield from _batches(found, np.full(found.num_rows, shard), into)
 
         pieces = written(in_arrow(dealt, merge, RUNS), "runs")
     return pieces
@@ -173,20 +184,29 @@ def frequencies(pieces: DataFrame, least_docs: int) -> DataFrame:
     The empty term's rows list all groups, with the number of their documents.
     """
     dealt = _combined(pieces).repartition("shard").sortWithinPartitions("shard", "first", "run", "piece")
-    types = {"lang": pa.string(), "term": pa.string(), "source": pa.string(), "n": pa.int64(), "total": pa.int64(), "first": pa.bool_()}
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
         for _, merged in _shards(batches, ("shard",)):
-            for key, groups in merged:
-                lang, _, term = key.rpartition(b"\0")
-                if not term or sum(docs for _, docs in groups.values()) >= least_docs:
-                    total = sum(n for n, _ in groups.values())
-                    out.extend((lang.decode(), term.decode(), source, n, total, k == 0) for k, (source, (n, _)) in enumerate(groups.items()))
-                    if len(out) > 50_000:
-                        yield pa.RecordBatch.from_arrays(_arrays(out, types), list(types))
-                        out = []
-        yield pa.RecordBatch.from_arrays(_arrays(out, types), list(types))
+            for found in merged:
+                keys = found.column("key").combine_chunks().dictionary_encode()
+                place, names = keys.indices.to_numpy(), keys.dictionary
+                total, docs = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+                np.add.at(total, place, found.column("n").to_numpy())
+                np.add.at(docs, place, found.column("docs").to_numpy())
+                listed = np.flatnonzero(docs >= least_docs)
+                parted = {k: names[k].as_py().rpartition(b"\0") for k in listed.tolist()}
+                for k in np.flatnonzero(pc.ends_with(names, b"\0").to_numpy(zero_copy_only=False)).tolist():
+                    parted[k] = names[k].as_py().rpartition(b"\0")
+                number = np.full(len(names), -1, np.int64)
+                number[list(parted)] = np.arange(len(parted))
+                rows = np.flatnonzero(number[place] >= 0)
+                own = place[rows]
+                once = np.zeros(len(rows), bool)
+                once[np.unique(own, return_index=True)[1]] = True
+                texts = [pa.array([p[k].decode() for p in parted.values()], pa.string()).take(pa.array(number[own])) for k in (0, 2)]
+                yield pa.RecordBatch.from_arrays(
+                    [*texts, found.column("source").combine_chunks().take(pa.array(rows)), pa.array(found.column("n").to_numpy()[rows]),
+                     pa.array(total[own]), pa.array(once)], ["lang", "term", "source", "n", "total", "first"])
 
     return in_arrow(dealt, merge, "lang string, term string, source string, n long, total long, first boolean")
 
