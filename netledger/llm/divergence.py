@@ -35,9 +35,9 @@ from netledger.llm.common import in_arrow, text_bytes, written
 #: ASCII letters fold to lower case, bytes from 0x80 on stay, all others part terms.
 FOLD = bytes(b | 0x20 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 #: Bytes of postings, and words, that a task holds before it writes them as a run.
-HELD, WORDS_HELD = 128_000_000, 1 << 30
-#: Postings in one row of a run, and rows of a run in one batch.
-PIECE, PIECES = 1_024, 64
+HELD, WORDS_HELD = 96_000_000, 1 << 30
+#: Postings in one row of a run (about 10 kB, as Spark hands rows to Python by the ten thousand), and rows of a run in one batch.
+PIECE, PIECES = 256, 256
 #: Runs that one heap merges; more are merged in several passes.
 FAN_IN = 1_024
 #: Postings that a merge step waits for.
@@ -92,6 +92,8 @@ def runs(documents: DataFrame, text: str, lang: str, source: str, shards: int) -
                 schema=POSTING))
             del n, docs, terms
         yield from _batches(pa.concat_tables(tables), np.concatenate(hashes) % shards, run)
+        del tables
+        pa.default_memory_pool().release_unused()
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held, words_held, run = {}, 0, 0, None
@@ -207,6 +209,8 @@ def frequencies(pieces: DataFrame, least_docs: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*texts, found.column("source").combine_chunks().take(pa.array(rows)), pa.array(found.column("n").to_numpy()[rows]),
                      pa.array(total[own]), pa.array(once)], ["lang", "term", "source", "n", "total", "first"])
+                del keys, found
+                pa.default_memory_pool().release_unused()
 
     return in_arrow(dealt, merge, "lang string, term string, source string, n long, total long, first boolean")
 
