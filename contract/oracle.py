@@ -392,6 +392,25 @@ ORACLES: dict[str, str] = {
     "incre_keyed_upsert": """SELECT l_orderkey AS plt_ssn, l_suppkey AS mchnt_id_pay, l_linenumber AS term_id_pay,
         CAST(l_quantity AS DOUBLE) AS qty FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag DESC,
         l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC) AS rn FROM lineitem) t WHERE rn = 1""",
+    "cell_upsert": """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN CASE WHEN o_orderkey % 4 <> 0 THEN 'c' || o_custkey ELSE '' END
+        WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END AS status, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS priority,
+        CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_custkey AS VARCHAR) END AS customer
+        FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0 OR o_orderkey % 5 = 0""",
+    "store_delete": """SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 AND c_custkey % 7 <> 0 THEN c_name END AS name,
+        CASE WHEN c_custkey % 3 <> 0 AND c_custkey % 7 <> 0 THEN c_mktsegment END AS segment,
+        CASE WHEN c_custkey % 2 = 0 THEN CAST(c_nationkey AS VARCHAR) END AS nation
+        FROM customer WHERE c_custkey % 2 = 0 OR (c_custkey % 3 <> 0 AND c_custkey % 7 <> 0)""",
+    "store_upsert_compacted": f"""WITH {NORMAL} SELECT id, mid, resp_code, {_double('txn_amt')} AS txn_amt FROM (
+        SELECT *, row_number() OVER (PARTITION BY id ORDER BY resp_code DESC, l_shipdate DESC,
+          l_extendedprice DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC) AS rn FROM nf) t
+        WHERE rn = 1""",
+    "store_point_read": """WITH l AS (SELECT l_orderkey, CAST(CAST(max(l_extendedprice) AS DECIMAL(14,2)) AS VARCHAR) AS price,
+        max(l_returnflag) AS mode FROM lineitem GROUP BY l_orderkey)
+        SELECT 0 AS place, coalesce(max(price), '') AS value FROM l WHERE l_orderkey = 4
+        UNION ALL SELECT 1, coalesce(max(mode), '') FROM l WHERE l_orderkey = 4 UNION ALL SELECT 2, ''
+        UNION ALL SELECT 3, CASE WHEN count(*) > 0 THEN 'true' ELSE 'false' END FROM l WHERE l_orderkey = 4 UNION ALL SELECT 4, 'false'""",
+    "stream_levels": f"""SELECT {_mid('l_suppkey')} AS mer_no, {_double('sum(CAST(l_extendedprice AS DECIMAL(14,2)))')} AS total
+        FROM lineitem GROUP BY 1""",
     "dimension_upsert": """SELECT lpad(CAST(s_suppkey AS VARCHAR), 15, '0') AS mer_no,
         CASE WHEN s_suppkey % 2 = 0 THEN 2.5 ELSE 1.5 END::DOUBLE AS rate
         FROM supplier WHERE s_suppkey % 3 <> 0 OR s_suppkey % 2 = 0""",
@@ -414,3 +433,4 @@ ORACLES: dict[str, str] = {
         || '","TRAN_STATUS":"' || tran_stat || '","RESP_CODE":"' || resp_code || '","RSV4":"' || rsv4 || '"}}' AS value,
         true AS key_fits FROM nf""",
 }
+ORACLES["store_sql_view"] = ORACLES["normal_specifics"]

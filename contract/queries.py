@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,9 @@ from netledger.operators.totals import merge_maps
 from netledger.plans import export, load, settlement
 from netledger.plans.settlement import INCRE, NORMAL
 from netledger.session import gbk_session, work_path
+from netledger.sinks import levels, tables
 from netledger.sinks import messages as message_sinks
-from netledger.sinks import tables
+from netledger.sinks.store import KeyedStore
 from netledger.sources import dimensions, flowfiles, messages
 from netledger.sources.lines import read_lines, write_lines
 from netledger.streaming.jobs import SettlementStream, running_totals
@@ -560,6 +562,92 @@ def incre_keyed_upsert(spark, folder):
     return tables.read_latest(spark, compacted, "plt_ssn")
 
 
+def _store(spark, label: str, key: str, buckets: int = 8) -> KeyedStore:
+    return KeyedStore(spark, work_path(spark, label), key, buckets)
+
+
+@query
+def cell_upsert(spark, folder):
+    """Three puts of other columns of the orders: what a put does not name stays, NULL is empty text, a row may lack cells."""
+    orders = fx.table(spark, folder, "orders")
+    key, store = F.col("o_orderkey"), _store(spark, "cells", "o_orderkey")
+    store.put_cells(orders.filter(key % 3 != 0).select("o_orderkey", F.col("o_orderstatus").alias("status"),
+                                                       F.col("o_orderpriority").alias("priority")), 0)
+    store.put_cells(orders.filter(key % 2 == 0).select("o_orderkey", F.when(key % 4 != 0, F.concat(F.lit("c"), "o_custkey")).alias("status")), 1)
+    store.put_cells(orders.filter(key % 5 == 0).select("o_orderkey", F.col("o_custkey").alias("customer")), 2)
+    return store.view(["status", "priority", "customer"])
+
+
+@query
+def store_delete(spark, folder):
+    """Puts, a deletion, puts, with a compaction in between: deleted keys are gone until a later put revives them."""
+    customer = fx.table(spark, folder, "customer")
+    key, store = F.col("c_custkey"), _store(spark, "deleted", "c_custkey")
+    store.put_cells(customer.select("c_custkey", F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")), 0)
+    store.delete(customer.filter(key % 3 == 0), 1)
+    store.compact()
+    store.delete(customer.filter(key % 7 == 0), 2)
+    store.put_cells(customer.filter(key % 2 == 0).select("c_custkey", F.col("c_nationkey").alias("nation")), 3)
+    return store.view(["name", "segment", "nation"])
+
+
+@query
+def store_upsert_compacted(spark, folder):
+    """The detail by batches of response codes, some buckets compacted after the first batch, all after the second."""
+    flow = fx.normal_flow(spark, folder)
+    store = _store(spark, "detail", "id")
+    for batch_id, (resp, buckets) in enumerate((("00", [0, 3, 5]), ("05", None), ("10", []))):
+        rows = latest(flow.filter(F.col("resp_code") == resp), NORMAL.dedup_keys)
+        store.put_rows(rows.select("id", "mid", "resp_code", "txn_amt", "arrival"), batch_id, "arrival")
+        if buckets != []:
+            store.compact(buckets)
+    store.vacuum()
+    return _money_out(store.view(["mid", "resp_code", "txn_amt"]))
+
+
+@query
+def store_point_read(spark, folder):
+    """One cell, one absent cell and two existence tests in a store of all order lines."""
+    lines = fx.table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
+        F.max("l_extendedprice").cast("decimal(14,2)").cast("string").alias("price"), F.max("l_returnflag").alias("mode"))
+    store = _store(spark, "points", "l_orderkey", 32)
+    store.put_rows(lines.select("l_orderkey", "price"), 0)
+    store.compact()
+    store.put_cells(lines.filter(F.col("l_orderkey") % 2 == 0).select("l_orderkey", "mode"), 1)
+    cells_ = [store.read_cell(4, "price"), store.read_cell(4, "mode"), store.read_cell(-1, "price")]
+    found = [store.cell_exists(4, "mode"), store.cell_exists(5, "mode")]
+    rows = [c.select(F.lit(k).alias("place"), "value") for k, c in enumerate(cells_)]
+    rows += [f.select(F.lit(len(cells_) + k).alias("place"), F.col("found").cast("string").alias("value")) for k, f in enumerate(found)]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def store_sql_view(spark, folder):
+    """The settled detail in a store, read in another session through the view of the catalog."""
+    detail = settlement.detail(_settled(spark, folder, NORMAL), _layout(NORMAL))
+    store = _store(spark, "views", "id")
+    store.put_rows(detail, 0)
+    store.compact()
+    tables.create_lasting_views(spark, normal=store)
+    return spark.newSession().table("normal_specifics")
+
+
+@query
+def stream_levels(spark, folder):
+    """Totals of 40 batches of suppliers' lines, rolled up under way; equal to the sum over all lines."""
+    lines = fx.table(spark, folder, "lineitem").select(
+        fx.merchant_id(F.col("l_suppkey")).alias("mer_no"), F.col("l_extendedprice").cast("decimal(14,2)").alias("total"),
+        (F.col("l_orderkey") % 40).cast("int").alias("batch"))
+    path, sums = work_path(spark, "totals"), work_path(spark, "sums")
+    merge_maps(lines.withColumn("key", F.struct("mer_no", "batch")), "key", "total", "total").select(
+        "key.*", "total").repartition("batch").write.partitionBy("batch").parquet(sums)
+    schema = spark.read.parquet(sums).select("mer_no", "total").schema
+    for batch in range(40):
+        levels.write(spark.read.schema(schema).parquet(f"{sums}/batch={batch}"), path, batch)
+        levels.roll(spark, path, batch, list(range(batch + 1)), schema)
+    return _money_out(levels.read(spark, path, list(range(40)), schema))
+
+
 @query
 def dimension_upsert(spark, folder):
     """Two loads with keys in common: the second adds some and replaces others."""

@@ -22,7 +22,7 @@ from netledger.session import RECOMMENDED_CONF
 from netledger.sinks import messages as message_sinks
 from netledger.sinks import tables
 from netledger.sources import messages
-from netledger.streaming.jobs import SettlementStream, stored_key
+from netledger.streaming.jobs import SettlementStream
 
 JOBS = {"normal": NORMAL, "incre": INCRE}
 
@@ -84,7 +84,7 @@ def _settle_batch(spark: SparkSession, args) -> None:
 
 def _stream(spark: SparkSession, args) -> None:
     stream = SettlementStream(JOBS[args.flow], lambda s: load.open_dimensions(s, args.dimensions), args.run,
-                              fan_out=args.fan_out)
+                              fan_out=args.fan_out, version=lambda s: load.version_of(s, args.dimensions))
     if args.messages:
         source = messages.file_stream(spark, args.messages, args.max_per_trigger)
     else:
@@ -116,11 +116,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "stream":
         _stream(spark, args)
     elif args.command == "export":
-        export_summary(tables.read_totals(spark, f"{args.run}/totals", f"{args.run}/committed"), args.target)
+        export_summary(SettlementStream(NORMAL, None, args.run).totals(spark), args.target)
     else:
         job = JOBS[args.flow]
-        latest = tables.read_latest(spark, f"{args.run}/detail", stored_key(job), f"{args.run}/committed")
-        tables.create_views(spark, **{job.name: latest})
+        tables.create_views(spark, **{job.name: SettlementStream(job, None, args.run).detail(spark)})
         result = spark.sql(args.sql)
         if args.target:
             result.write.mode("overwrite").parquet(args.target)

@@ -20,6 +20,8 @@ ROW_OVERHEAD = 64
 
 @dataclass(frozen=True)
 class JoinPolicy:
+    """``broadcast_bytes`` is shared by all sides of a plan, which an executor holds at the same time."""
+
     broadcast_bytes: int = 128 << 20
     rows_per_part: int = 1_000_000
     heavy_keys: int = 100_000
@@ -50,10 +52,21 @@ def measure(frames: dict[str, DataFrame]) -> dict[str, int]:
 
 
 def fits_broadcast(frames: dict[str, DataFrame], policy: JoinPolicy) -> set[str]:
-    """Names of the frames whose measured size is within the limit."""
+    """Names of the frames that fit into one budget of memory together; the largest are left out first."""
     if policy.broadcast_bytes <= 0:
         return set()
-    return {n for n, size in measure(frames).items() if size <= policy.broadcast_bytes}
+    return within_budget(measure(frames), policy.broadcast_bytes)
+
+
+def within_budget(sizes: dict[str, int], budget: int) -> set[str]:
+    """The smallest of the sizes whose sum is within the budget."""
+    small, held = set(), 0
+    for name, size in sorted(sizes.items(), key=lambda x: (x[1], x[0])):
+        held += size
+        if held > budget:
+            break
+        small.add(name)
+    return small
 
 
 def _heaviest(counts: DataFrame, keys: list[str], policy: JoinPolicy) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from netledger import schemas
 from netledger.operators.dedup import top_one
 from netledger.operators.lookups import loader_key
 from netledger.plans.settlement import Dimensions
+from netledger.sinks import publish
 from netledger.sources import flowfiles
 from netledger.sources.dimensions import keep_last, parse_dimension, read_dimension
 from netledger.sources.lines import read_lines
@@ -18,40 +20,48 @@ from netledger.sources.lines import read_lines
 def load_dimensions(spark: SparkSession, files: dict[str, str], target: str) -> None:
     """Put each named dimension file into ``target/<name>``: new keys are added, known ones replaced; bad lines go aside.
 
-    A load writes a new ``version=N`` of the table and then appends N to the table's list of published versions, one small
-    file that appears at once. Readers open the last published version; those that still read an older one keep it.
+    A load writes its rows, merged over those of the version before, into a folder of its own and then claims the next version number
+    for it. A load that finds the number taken by another one merges again over that one's rows, so loads at the same time keep the keys
+    of both. Readers open the newest version; those that still read an older one keep it.
     """
     for name, paths in files.items():
         parsed = parse_dimension(read_lines(spark, paths), name)
-        current = published(spark, target, name)
-        number = 0 if current is None else current + 1
+        load = uuid.uuid4().hex
         bad = parsed.filter(F.col("problem").isNotNull()).select("line", "problem")
-        bad.write.mode("overwrite").parquet(f"{target}/quarantine/{name}/version={number}")
+        bad.write.mode("overwrite").parquet(f"{target}/quarantine/{name}/load={load}")
         columns = list(schemas.DIMENSION_COLUMNS[name])
         rows = keep_last(parsed, schemas.LOADER_KEYS[name], columns)
-        if current is not None:
-            # The lines' session can read GBK, so they stand on the left.
-            both = rows.withColumn("_load", F.lit(1)).unionByName(
-                open_version(spark, target, name, current).withColumn("_load", F.lit(0))).withColumn(
-                "_key", loader_key(schemas.LOADER_KEYS[name]))
-            rows = top_one(both, ["_key"], [F.col("_load").desc()]).select(*columns)
-        rows.write.mode("overwrite").parquet(f"{target}/{name}/version={number}")
-        spark.createDataFrame([(name, number)], "name string, version long").coalesce(1).write.mode("append").parquet(
-            f"{target}/published")
+        while True:
+            current = published(spark, target, name)
+            folder = uuid.uuid4().hex
+            merged = rows
+            if current is not None:
+                # The lines' session can read GBK, so they stand on the left.
+                both = rows.withColumn("_load", F.lit(1)).unionByName(
+                    open_version(spark, target, name, current).withColumn("_load", F.lit(0))).withColumn(
+                    "_key", loader_key(schemas.LOADER_KEYS[name]))
+                merged = top_one(both, ["_key"], [F.col("_load").desc()]).select(*columns)
+            merged.write.parquet(f"{target}/{name}/{folder}")
+            if publish.claim(spark, f"{target}/published/{name}", 0 if current is None else current + 1, folder):
+                break
+            publish.remove(spark, f"{target}/{name}/{folder}")
 
 
 def published(spark: SparkSession, target: str, name: str) -> int | None:
-    """The last published version of a table; None before the first load."""
-    try:
-        versions = spark.read.schema("name string, version long").parquet(f"{target}/published")
-    except AnalysisException:
-        return None
-    return versions.filter(F.col("name") == name).agg(F.max("version")).first()[0]
+    """The newest version of a table; None before the first load."""
+    found = publish.newest(spark, f"{target}/published/{name}")
+    return None if found is None else found[0]
+
+
+def version_of(spark: SparkSession, target: str) -> str:
+    """The versions of all tables, from the names of small files: no table is opened."""
+    return ",".join(str(published(spark, target, name)) for name in schemas.DIMENSION_COLUMNS)
 
 
 def open_version(spark: SparkSession, target: str, name: str, version: int) -> DataFrame:
     schema = ", ".join(f"{c} {kind}" for c, kind in schemas.DIMENSION_COLUMNS[name].items())
-    return spark.read.schema(schema).parquet(f"{target}/{name}/version={version}")
+    folder = publish.get_text(spark, f"{target}/published/{name}/{version:012d}")
+    return spark.read.schema(schema).parquet(f"{target}/{name}/{folder}")
 
 
 def read_dimensions(spark: SparkSession, files: dict[str, str]) -> Dimensions:
@@ -66,7 +76,8 @@ def open_dimensions(spark: SparkSession, target: str) -> Dimensions:
     absent = [name for name, version in versions.items() if version is None]
     if absent:
         raise ValueError(f"not loaded into {target}: {', '.join(absent)}")
-    return Dimensions(**{name: open_version(spark, target, name, version) for name, version in versions.items()})
+    return Dimensions(**{name: open_version(spark, target, name, version) for name, version in versions.items()},
+                      version=",".join(map(str, versions.values())))
 
 
 def ingest(spark: SparkSession, flow: str, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:

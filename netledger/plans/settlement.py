@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netledger.functions import money
@@ -28,6 +29,7 @@ class Dimensions:
     groups: DataFrame
     mappings: DataFrame
     fees: DataFrame
+    version: str = ""
 
     def files(self) -> frozenset[str]:
         """The files the tables are read from; empty when some table has none."""
@@ -149,19 +151,24 @@ class Lookups:
 class Attacher:
     """Joins lookup sides to a flow; sides with an equal key share one division of it.
 
-    ``weigh`` is the flow before deduplication: it tells which keys are heavy.
+    ``weigh`` is the flow before deduplication: it tells which keys are heavy. A stream's keys cannot be counted before; for it
+    ``heavy`` names a list of them that was counted earlier (see ``heavy_list``), or is empty. Rows without a key are scattered in any case.
     """
 
-    def __init__(self, tables: Lookups, weigh: DataFrame, plain: bool = False):
-        self.tables, self.weigh, self.plain = tables, weigh, plain
+    def __init__(self, tables: Lookups, weigh: DataFrame, heavy: dict[str, DataFrame] | None = None):
+        self.tables, self.weigh = tables, weigh
         self.spreads: dict[str, Spread] = {}
+        if heavy is not None:
+            for key in dict.fromkeys(SIDE_KEYS.values()):
+                listed = heavy.get(key)
+                if listed is None:
+                    listed = weigh.sparkSession.createDataFrame([], f"{key} string, _parts long")
+                self.spreads[key] = Spread(weigh, [key], f"_part{key}", tables.policy, listed, tables.job.dedup_keys)
 
     def __call__(self, flow: DataFrame, name: str) -> DataFrame:
         key, side = SIDE_KEYS[name], self.tables.side(name)
         if name in self.tables.small:
             return attach(flow, side, [key], True)
-        if self.plain:
-            return flow.join(side.hint("merge"), [key], "left")
         return attach(flow, side, [key], False, self._spread(key))
 
     def _spread(self, key: str) -> Spread:
@@ -184,6 +191,20 @@ def lookup_keys(flow: DataFrame, job: Job) -> DataFrame:
         "_store_item": F.when(store.isNotNull(), job.store_item(store))})
 
 
+def write_heavy_list(flow: DataFrame, job: Job, path: str, policy: JoinPolicy = JoinPolicy()) -> None:
+    """Count the lookup keys of past messages and store the heavy ones, for the streams that follow."""
+    keys = list(dict.fromkeys(SIDE_KEYS.values()))
+    rows = [listed.select(F.lit(key).alias("column"), F.col(key).alias("value"), "_parts")
+            for key, listed in heavy_values(lookup_keys(flow, job), keys, policy).items()]
+    reduce(DataFrame.unionByName, rows).write.mode("overwrite").parquet(path)
+
+
+def read_heavy_list(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """Key column -> its heavy values and their numbers of parts."""
+    rows = spark.read.parquet(path)
+    return {key: rows.filter(F.col("column") == key).select(F.col("value").alias(key), "_parts") for key in dict.fromkeys(SIDE_KEYS.values())}
+
+
 def trades(flow: DataFrame, job: Job) -> DataFrame:
     """Last arrival per key, then the trade filter."""
     return latest(flow, job.dedup_keys).filter(job.trade())
@@ -254,13 +275,13 @@ def with_fee(flow: DataFrame, job: Job) -> DataFrame:
         "exchange": F.lit(0.0)})
 
 
-def enrich(flow: DataFrame, tables: Lookups, weigh: DataFrame | None = None, plain: bool = False) -> DataFrame:
+def enrich(flow: DataFrame, tables: Lookups, weigh: DataFrame | None = None, heavy: dict[str, DataFrame] | None = None) -> DataFrame:
     """All lookups on an already filtered flow; the row count does not change.
 
-    ``plain`` joins large sides without dividing heavy keys, for a stream, whose keys cannot be counted before.
+    ``heavy`` is given for a stream (empty without a list): its keys are not counted.
     """
     job = tables.job
-    attacher = Attacher(tables, flow if weigh is None else weigh, plain)
+    attacher = Attacher(tables, flow if weigh is None else weigh, heavy)
     coded = with_code(lookup_keys(flow, job), attacher)
     # Groups and fee profiles have the same key, so a divided flow is exchanged once.
     profiled = attacher(with_groups(coded, attacher), "fees")

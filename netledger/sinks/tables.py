@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from netledger import schemas
 from netledger.operators.dedup import top_one
+from netledger.sinks.store import KeyedStore
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> str:
@@ -25,11 +26,6 @@ def drop(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def commit(spark: SparkSession, path: str, batch_id: int) -> None:
-    """Mark a batch as whole, after all of its tables are written."""
-    write_batch(spark.range(1).select(F.lit(True).alias("whole")), path, batch_id)
-
-
 def read_batches(spark: SparkSession, path: str, committed: str | None = None) -> DataFrame:
     """All batches, or those that are marked below ``committed``."""
     rows = spark.read.parquet(path)
@@ -59,30 +55,11 @@ def compact_latest(spark: SparkSession, path: str, key: str, target: str) -> Non
     write_batch(_newest(read_batches(spark, path), key).drop("batch_id"), target, last)
 
 
-def read_totals(spark: SparkSession, path: str, committed: str | None = None) -> DataFrame:
-    """mer_no -> total over all batches."""
-    return read_batches(spark, path, committed).groupBy("mer_no").agg(F.sum("total").alias("total"))
-
-
-def compact_totals(spark: SparkSession, path: str, target: str) -> None:
-    """Rewrite the totals as one batch at ``target`` (while no job writes)."""
-    last = read_batches(spark, path).agg(F.max("batch_id")).first()[0]
-    totals = read_totals(spark, path)
-    types = read_batches(spark, path).schema["total"].dataType
-    write_batch(totals.withColumn("total", F.col("total").cast(types)), target, last)
-
-
 def create_if_absent(spark: SparkSession, name: str, schema: str, path: str | None = None) -> None:
     location = f" LOCATION '{path}'" if path else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet{location}")
 
 
-def upsert_cells(rows: DataFrame, path: str, batch_id: int) -> str:
-    """Bulk keyed write; missing values become empty text."""
-    texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in rows.columns]
-    return write_batch(rows.select(*texts), path, batch_id)
-
-
 def specifics(detail: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """The detail as text columns under the names of the SQL views."""
     renamed = {"exchange": "exchanges"}
@@ -90,6 +67,18 @@ def specifics(detail: DataFrame, key: str, columns: list[str]) -> DataFrame:
         F.col(c).cast("string").alias(renamed.get(c, c)) for c in columns])
 
 
+def create_lasting_views(spark: SparkSession, normal: KeyedStore | None = None, incre: KeyedStore | None = None) -> None:
+    """The two views in the catalog, over the published bases of the stores: other sessions open them by name.
+
+    Rows committed after the last compaction are not in them; call again after a compaction.
+    """
+    for store, name, columns in ((normal, "normal_specifics", schemas.NORMAL_VIEW), (incre, "incremental_specifics", schemas.INCRE_VIEW)):
+        if store is not None:
+            texts = {"merNo_terNo_time": f"`{store.key}`"}
+            texts |= {"exchanges" if c == "exchange" else c: f"CAST(`{c}` AS STRING)" for c in columns}
+            spark.sql(f"CREATE OR REPLACE VIEW {name} AS {store.base_sql(texts)}")
+
+
 def create_views(spark: SparkSession, normal: DataFrame | None = None,
                  incre: DataFrame | None = None) -> None:
     """``normal_specifics`` and ``incremental_specifics`` for ``spark.sql``."""

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from netledger import schemas
@@ -22,7 +23,9 @@ from netledger.operators.joins import JoinPolicy
 from netledger.operators.totals import merge_maps
 from netledger.plans.settlement import (NORMAL, Dimensions, Job, Lookups, detail, enrich,
                                         settle_with, with_fee)
-from netledger.sinks.tables import commit, drop, read_latest, read_totals, write_batch
+from netledger.sinks import levels
+from netledger.sinks.store import KeyedStore
+from netledger.sinks.tables import drop, write_batch
 from netledger.sources.messages import with_arrival
 
 INTERVAL = "5 seconds"
@@ -47,8 +50,10 @@ class SettlementStream:
     folder: str
     fan_out: int | None = None
     policy: JoinPolicy = field(default_factory=JoinPolicy)
+    #: Tells which version of the dimensions is published, without opening them (``load.version_of``).
+    version: Callable[[SparkSession], str] | None = None
     _tables: Lookups | None = field(default=None, init=False, repr=False)
-    _files: frozenset[str] = field(default=frozenset(), init=False, repr=False)
+    _files: frozenset[str] | str = field(default=frozenset(), init=False, repr=False)
 
     @property
     def detail_path(self) -> str:
@@ -62,10 +67,13 @@ class SettlementStream:
     def quarantine_path(self) -> str:
         return f"{self.folder}/quarantine"
 
-    @property
-    def committed_path(self) -> str:
-        """Marks of whole batches; readers skip a batch that is still being written."""
-        return f"{self.folder}/committed"
+    def store(self, spark: SparkSession) -> KeyedStore:
+        """The keyed store of the detail. Its mark of a batch is the run's: readers skip a batch that is still being written."""
+        return KeyedStore(spark, self.detail_path, stored_key(self.job), policy=self.policy)
+
+    def committed(self, spark: SparkSession) -> list[int]:
+        """The whole batches."""
+        return self.store(spark).committed()
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Settle one micro-batch; safe to repeat."""
@@ -105,15 +113,23 @@ class SettlementStream:
         write_batch(parse.quarantined(parsed), self.quarantine_path, batch_id)
         settled = settle_with(parse.usable(parsed), self._lookups(spark))
         stored = detail(settled, layout_of(self.job), "arrival")
-        written = write_batch(stored, self.detail_path, batch_id)
-        batch_detail = spark.read.schema(stored.schema).parquet(written)
+        store = self.store(spark)
+        written = store.write(stored, batch_id, "arrival")
+        batch_detail = spark.read.schema(stored.drop("arrival").schema).parquet(written)
         totals = merge_maps(batch_detail.filter(F.col("net").isNotNull())
                             .withColumnRenamed("merNo", "mer_no"), "mer_no", "net", "total")
-        write_batch(totals, self.totals_path, batch_id)
-        commit(spark, self.committed_path, batch_id)
+        levels.write(totals, self.totals_path, batch_id)
+        store.commit(batch_id, [c for c in stored.columns if c not in (store.key, "arrival")])
+        levels.roll(spark, self.totals_path, batch_id, store.committed(), totals.schema)
 
     def _lookups(self, spark: SparkSession) -> Lookups:
-        """The lookup sides; prepared again when the dimensions have other files."""
+        """The lookup sides; prepared again when the dimensions have another version, or other files where no version is told."""
+        if self.version is not None:
+            if self._tables is None or self._files != self.version(spark):
+                self.close()
+                dims = self.dimensions(spark)
+                self._tables, self._files = Lookups(dims, self.job, self.policy).keep(), dims.version
+            return self._tables
         dims = self.dimensions(spark)
         files = dims.files()
         if self._tables is None or not files or files != self._files:
@@ -129,20 +145,28 @@ class SettlementStream:
                 .queryName(f"{self.job.name}_settlement_{self.folder.rsplit('/', 1)[-1]}").start())
 
     def totals(self, spark: SparkSession) -> DataFrame:
-        return read_totals(spark, self.totals_path, self.committed_path)
+        """mer_no -> total over the whole batches; no rows before the first."""
+        version = self.store(spark).version()
+        net = T.DecimalType(38, 9) if version is None else T.DataType.fromDDL(version.columns["net"])
+        total = T.DecimalType(min(38, net.precision + 10), net.scale)
+        return levels.read(spark, self.totals_path, self.committed(spark), T.StructType().add("mer_no", "string").add("total", total))
 
     def detail(self, spark: SparkSession) -> DataFrame:
-        return read_latest(spark, self.detail_path, stored_key(self.job), self.committed_path)
+        """The newest row of each key; no rows (of text columns) before the first batch."""
+        store = self.store(spark)
+        if store.version() is None:
+            return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in layout_of(self.job)))
+        return store.view()
 
 
-def running_totals(messages: DataFrame, dims: Dimensions, job: Job,
-                   policy: JoinPolicy = JoinPolicy()) -> DataFrame:
+def running_totals(messages: DataFrame, dims: Dimensions, job: Job, policy: JoinPolicy = JoinPolicy(),
+                   heavy: dict[str, DataFrame] | None = None) -> DataFrame:
     """Streaming mer_no -> total, kept in the state store (no deduplication).
 
     Dimensions of broadcast size are broadcast; a larger one is joined by an exchange of the micro-batch
-    on its key.
+    on its key. There rows without a key are scattered, and keys of the ``heavy`` list (``read_heavy_list``) divided.
     """
     tables = Lookups(dims, job, policy)
     flow = parse.usable(reader_of(job)(messages)).filter(job.trade())
-    settled = with_fee(enrich(flow, tables, plain=True), job)
+    settled = with_fee(enrich(flow, tables, heavy=heavy or {}), job)
     return merge_maps(settled.filter("settled"), "mer_no", "net", "total")

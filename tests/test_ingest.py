@@ -6,7 +6,9 @@ import json
 
 from netledger import schemas
 from netledger.operators import parse
-from netledger.plans.load import ingest_incre, ingest_normal, load_dimensions, open_dimensions, read_dimensions
+from netledger.plans.load import (ingest_incre, ingest_normal, load_dimensions, open_dimensions, open_version, published,
+                                  read_dimensions)
+from netledger.sinks import publish
 from netledger.sources.dimensions import parse_dimension, read_dimension
 from netledger.sources.flowfiles import bad_lines, delimited_fields, fixed_width_fields
 from netledger.sources.lines import read_lines, split_paths
@@ -157,3 +159,20 @@ def test_load_job(spark, tmp_path):
 def test_session_settings_stay_with_the_caller(spark, tmp_path):
     read_lines(spark, put(tmp_path / "a.txt", "1")).count()
     assert spark.conf.get("spark.sql.legacy.javaCharsets") == "false"
+
+
+def test_two_loads_at_once_keep_the_keys_of_both(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "dims")
+    lines = [FEE.replace(FEE.split("|")[0], f"M{k}", 1) for k in range(3)]
+    load_dimensions(spark, {"fees": put(tmp_path / "f0.txt", lines[0])}, target)
+    claim, waiting = publish.claim, [lines[2]]
+
+    def raced(*args):
+        if waiting:  # another load of the table publishes between this one's merge and its claim
+            load_dimensions(spark, {"fees": put(tmp_path / "f2.txt", waiting.pop())}, target)
+        return claim(*args)
+
+    monkeypatch.setattr(publish, "claim", raced)
+    load_dimensions(spark, {"fees": put(tmp_path / "f1.txt", lines[1])}, target)
+    assert published(spark, target, "fees") == 2
+    assert {r.mer_no for r in open_version(spark, target, "fees", 2).collect()} == {"M0", "M1", "M2"}

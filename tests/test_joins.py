@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from netledger.operators.joins import JoinPolicy, Spread, attach, fits_broadcast, heavy_values, lookup, measure
+from netledger.operators.joins import JoinPolicy, Spread, attach, fits_broadcast, heavy_values, lookup, measure, within_budget
 from tests.helpers import frame
 
 TINY = JoinPolicy(broadcast_bytes=0, rows_per_part=50)
@@ -75,3 +75,34 @@ def test_no_broadcast_of_the_dimension_when_too_large(flow, dim):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("SortMergeJoin") == 1
     assert text.count("BroadcastHashJoin") == 2  # only the bounded list of heavy keys
+
+
+def test_all_sides_share_one_budget(spark):
+    """Five sides just below the limit do not fit together; the largest go to the exchange first."""
+    assert within_budget({"a": 99, "b": 98, "c": 97, "d": 1, "e": 1}, 100) == {"c", "d", "e"}
+    assert within_budget(dict.fromkeys("abcde", 95), 100) == {"a"}
+    sides = {f"s{k}": spark.range(900 + k) for k in range(5)}
+    size = measure({"s": sides["s4"]})["s"]
+    assert fits_broadcast(sides, JoinPolicy(broadcast_bytes=size + 1)) == {"s0"}
+    assert len(fits_broadcast(sides, JoinPolicy(broadcast_bytes=5 * size))) == 5
+
+
+def test_a_stream_join_is_balanced_without_counting(spark):
+    """80 % of the rows have no store key, half of the others one merchant that an earlier count has listed."""
+    flow = spark.range(40_000).repartition(8).select(
+        F.col("id").cast("string").alias("id"), F.when(F.col("id") % 10 < 8, None).when(F.col("id") % 10 == 8, "hot").otherwise(
+            F.concat(F.lit("k"), "id")).alias("_store_item"))
+    side = flow.select("_store_item").na.drop().distinct().withColumn("r", F.lit(1))
+    listed = frame(spark, [("hot", 16)], "_store_item string, _parts bigint")
+    session = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = Spread(flow, ["_store_item"], "_part", TINY, listed, ["id"])
+        joined = attach(flow, side, ["_store_item"], False, spread)
+        rows = [r.n for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert joined.filter("r IS NOT NULL").count() == 8_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", session)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(rows) == 40_000 and len(rows) == 16 and max(rows) <= 2 * 40_000 / 16

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from netledger import schemas
-from netledger.plans.load import open_dimensions
+from netledger.plans.load import open_dimensions, version_of
 from netledger.plans.settlement import INCRE, NORMAL
-from netledger.sinks.tables import compact_latest, compact_totals, read_latest, read_totals
+from netledger.sinks import publish
 from netledger.sources.messages import file_messages, file_stream, union
 from netledger.streaming.jobs import SettlementStream, running_totals
 from tests.helpers import dec, dimensions, frame
@@ -53,7 +54,7 @@ def test_batches_restart_and_quarantine(spark, tmp_path):
     run(spark, stream, source)
     assert totals(spark, stream) == {"M1": dec("79.20")}
     assert {r.id for r in stream.detail(spark).collect()} == {"a", "b", "d"}
-    assert spark.read.parquet(stream.detail_path).select("batch_id").distinct().count() == 3
+    assert stream.committed(spark) == [0, 1, 2]
 
 
 def test_a_repeated_batch_counts_once_and_a_new_version_replaces(spark, tmp_path):
@@ -69,10 +70,17 @@ def test_a_repeated_batch_counts_once_and_a_new_version_replaces(spark, tmp_path
     assert {r.id: r.txnAmt for r in stream.detail(spark).collect()} == {"a": dec("7.00"), "b": dec("100.00")}
 
     stream.close()
-    compact_latest(spark, stream.detail_path, "id", str(tmp_path / "detail2"))
-    compact_totals(spark, stream.totals_path, str(tmp_path / "totals2"))
-    assert read_latest(spark, str(tmp_path / "detail2"), "id").count() == 2
-    assert read_totals(spark, str(tmp_path / "totals2")).first().total == dec("204.93")
+    store = stream.store(spark)
+    store.compact()
+    store.vacuum()
+    assert {r.id: r.txnAmt for r in stream.detail(spark).collect()} == {"a": dec("7.00"), "b": dec("100.00")}
+    assert totals(spark, stream) == {"M1": dec("204.93")}
+
+
+def test_a_run_without_batches_is_empty(spark, tmp_path):
+    stream = SettlementStream(NORMAL, lambda s: dimensions(s), str(tmp_path / "run"))
+    assert stream.detail(spark).count() == stream.totals(spark).count() == 0
+    assert "merNo" in stream.detail(spark).columns
 
 
 def test_dimensions_are_opened_per_batch(spark, tmp_path):
@@ -86,7 +94,8 @@ def test_dimensions_are_opened_per_batch(spark, tmp_path):
     assert totals(spark, stream) == {"M1": dec("197.00")}
 
 
-def test_reloaded_dimension_files_take_effect(spark, tmp_path):
+@pytest.mark.parametrize("told", [False, True])
+def test_reloaded_dimension_files_take_effect(spark, tmp_path, told):
     source, target = tmp_path / "in", str(tmp_path / "dims")
 
     def load(fee):
@@ -95,12 +104,13 @@ def test_reloaded_dimension_files_take_effect(spark, tmp_path):
             table = getattr(dims, name)
             filled = table.select(*[(F.col(c) if c in table.columns else F.lit(None)).cast(kind).alias(c)
                                     for c, kind in columns.items()])
-            filled.write.parquet(f"{target}/{name}/version={fee}")
-            frame(spark, [(name, int(fee))], "name string, version long").write.mode("append").parquet(f"{target}/published")
+            filled.write.parquet(f"{target}/{name}/load{fee}")
+            assert publish.claim(spark, f"{target}/published/{name}", int(fee), f"load{fee}")
 
     load("1")
     before = set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
-    stream = SettlementStream(NORMAL, lambda s: open_dimensions(s, target), str(tmp_path / "run"))
+    stream = SettlementStream(NORMAL, lambda s: open_dimensions(s, target), str(tmp_path / "run"),
+                              version=(lambda s: version_of(s, target)) if told else None)
     put(source, "1.json", message(ID="a"))
     run(spark, stream, source, close=False)
     first = stream._tables

@@ -11,6 +11,7 @@ from netledger.operators.totals import add_totals
 from netledger.plans.export import export_summary
 from netledger.plans.settlement import INCRE, NORMAL, detail, settle
 from netledger.sinks import messages, tables
+from netledger.sinks.store import KeyedStore
 from tests.helpers import dec, dimensions, frame, incre_rows, normal_rows
 
 
@@ -34,10 +35,10 @@ def test_create_if_absent(spark):
 
 
 def test_bulk_upsert_and_delete(spark, tmp_path):
-    path = str(tmp_path / "cells")
-    tables.upsert_cells(frame(spark, [("a", "1"), ("b", None)], "key string, v string"), path, 0)
-    tables.upsert_cells(cells.one_cell(spark, "key", "a", "v", "2"), path, 1)
-    latest = tables.read_latest(spark, path, "key")
+    store = KeyedStore(spark, str(tmp_path / "cells"), "key", buckets=2)
+    store.put_cells(frame(spark, [("a", "1"), ("b", None)], "key string, v string"), 0)
+    store.put_cells(cells.one_cell(spark, "key", "a", "v", "2"), 1)
+    latest = store.view()
     assert {r.key: r.v for r in latest.collect()} == {"a": "2", "b": ""}
     left = cells.delete_keys(latest, frame(spark, [("a",), ("a",), ("z",)], "key string"), "key")
     assert [r.key for r in left.collect()] == ["b"]
