@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from hashlib import blake2b
 from pathlib import Path
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from netledger.session import work_path
+from netledger.sinks.publish import remove
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,14 +79,36 @@ def arrow_columns(frame: DataFrame, compute: Callable[[pa.RecordBatch], list[pa.
     return in_arrow(frame, run, schema)
 
 
-def written(frame: DataFrame, label: str) -> DataFrame:
-    """The frame as a table in the shared folder, which any executor can read again."""
+#: The tables written inside ``discarding`` blocks that are open, innermost last.
+_SCRATCH: list[list[str]] = []
+
+
+def written(frame: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """The frame as a table in the shared folder, which any executor can read again.
+
+    Inside a ``discarding`` block the table goes with the block unless it is to be kept.
+    """
     spark = frame.sparkSession
     path = work_path(spark, label)
     frame.write.parquet(path)
+    if _SCRATCH and not keep:
+        _SCRATCH[-1].append(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def discarding(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables written inside once the block has ended well; what its results are read from is written with ``keep``."""
+    paths: list[str] = []
+    _SCRATCH.append(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH.pop()
+    for path in paths:
+        remove(spark, path)
+
+
 MAX_BLOCKS = 1 << 20
 
 

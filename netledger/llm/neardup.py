@@ -5,14 +5,16 @@
 2. One hash per shingle fills ``bins`` minima; empty bins borrow from full ones along probe sequences that do not depend on
    the text (optimal densification). ``rows`` consecutive minima make a bucket; ``rows`` is the largest number
    by which a pair at the threshold shares no bucket with a probability of at most ``miss``.
-3. Each node of a bucket is joined to the bucket's smallest node only: a star, as many edges as members.
-   Connected stars are a heap. Any two texts that share a bucket are in one heap.
-4. Within a heap all links are found on the full sets: nodes are dealt to parts of bounded size, and each pair of parts is
-   one group whose intersections are counted exactly. A group returns a spanning star per linked class, never its pairs.
-5. Components of these links are the classes.
+3. Candidates are stars: each node of a bucket is joined to the bucket's smallest node only, as many edges as members. In each of
+   ``STAR_ROUNDS`` rounds a node is compared, on the full sets, with the smallest centre that it is not yet connected to. Copies of a
+   text, however many, are connected by about one comparison each.
+4. Connected stars are a heap; any two texts that share a bucket are in one heap. Two nodes of a heap may be alike though neither is
+   like its centres. Heaps that are not one class by then are completed by an exact prefix filter: two sets at the threshold share one of
+   the first few shingles of each, rarest first. Of a shingle's nodes only those outside the largest class are compared with the
+   nodes of other classes there; a shingle whose nodes are one class costs nothing. No partner is dropped.
+5. Components of the links are the classes.
 
-A heap of one part (up to ``part_nodes`` nodes) is compared within one bounded task; a larger heap costs one group
-per pair of its parts, so its cost grows with the square of its number of parts. No partner is dropped.
+Comparisons are dealt by one of their two nodes, in groups of bounded size: no heap, bucket or shingle is gathered in one task.
 
 Defined results: null or wordless texts have an empty set and link with nothing; texts of fewer words than a
 shingle are one shingle; repeated rows (of one doc_id and one text) share a node, keep their rows and are kept together; a null
@@ -27,13 +29,15 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netledger.llm.common import (WORDS, arrow_columns, aside, besides, components, gram_hashes, in_arrow, mixed, placed,
+from netledger.llm.common import (WORDS, arrow_columns, aside, besides, components, discarding, gram_hashes, in_arrow, mixed, placed,
                                   text_bytes, written)
 
+#: Rounds in which nodes are compared with centres before heaps are completed.
+STAR_ROUNDS = 2
 SIGNED = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("node", T.BinaryType()),
                        T.StructField("buckets", T.ArrayType(T.LongType()))])
 
@@ -95,55 +99,24 @@ def rows_for(threshold: float, bins: int, miss: float) -> int:
     return max(r for r in range(1, bins + 1) if (1 - threshold ** r) ** (bins // r) <= miss or r == 1)
 
 
-def links(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """For each set the smallest place in its class; classes link where 100 * intersection >= percent * union.
+def alike(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union, of sorted distinct values."""
+    small, large = sorted((one, other), key=len)
+    if 100 * len(small) < percent * len(large):
+        return False
+    place = np.searchsorted(large, small)
+    place[place == len(large)] = 0
+    both = int((large[place] == small).sum()) if len(large) else 0
+    return 100 * both >= percent * (len(one) + len(other) - both)
 
-    Shingles of many sets are counted by matrix products in slices, those of few by listing their pairs.
-    """
-    count = len(sets)
-    sizes = np.array([len(s) for s in sets], np.int64)
-    every, owner = np.concatenate(sets), np.repeat(np.arange(count), sizes)
-    order = np.argsort(every, kind="stable")
-    every, owner = every[order], owner[order]
-    starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-    spread = np.diff(np.concatenate([starts, [len(every)]]))
-    shared = np.zeros((count, count), np.float32)
-    name = np.repeat(np.arange(len(starts)), spread)
-    few = 24
-    rare = (spread[name] <= few) & (spread[name] > 1)
-    rare_owner, rare_name = owner[rare], name[rare]
-    for step in range(1, few):
-        if step >= len(rare_name):
-            break
-        same = rare_name[step:] == rare_name[:-step]
-        if not same.any():
-            break
-        pair = rare_owner[:-step][same] * count + rare_owner[step:][same]
-        shared += np.bincount(pair, minlength=count * count).reshape(count, count).astype(np.float32)
-    shared += shared.T
-    often = np.flatnonzero(spread > few)
-    for at in range(0, len(often), 4096):
-        part = often[at:at + 4096]
-        matrix = np.zeros((count, len(part)), np.float32)
-        for column, k in enumerate(part):
-            matrix[owner[starts[k]:starts[k] + spread[k]], column] = 1
-        shared += matrix @ matrix.T
-    both = np.rint(shared).astype(np.int64)
-    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
-    label = np.full(count, -1, np.int64)
-    for place in range(count):
-        if label[place] < 0:
-            front = np.array([place])
-            label[place] = place
-            while len(front):
-                reached = linked[front].any(axis=0) & (label < 0)
-                label[reached] = place
-                front = np.flatnonzero(reached)
-    return label
+
+def prefix_length(size: Column, percent: int) -> Column:
+    """How many shingles of a set of this size, in any common order, must meet those of a partner at the threshold."""
+    return size - F.ceil(size * percent / 100) + 1
 
 
 def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80,
-                    bins: int = 256, miss: float = 1e-4, part_nodes: int = 1024, part_shingles: int = 1_000_000,
+                    bins: int = 256, miss: float = 1e-4, part_nodes: int = 256, part_shingles: int = 1_000_000,
                     keep: list[str] | None = None) -> DataFrame:
     """Documents with n_shingles, component_id (smallest doc_id that links reach) and kept."""
     rows = rows_for(percent / 100, bins, miss)
@@ -161,21 +134,25 @@ def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc
             buckets.append(sketch.buckets(found) if len(found) else [])
         return [pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))]
 
-    signed = written(arrow_columns(texts, sign, SIGNED, ["_id", "_row"]), "signed")
-    least = F.min(F.struct(F.col("_id").isNull().alias("unnamed"), F.col("_id").alias("id"), F.col("_row").alias("row")))
-    nodes = written(signed.groupBy("node").agg(least.alias("first"), F.first("n_shingles").alias("n_shingles"),
-                                               F.first("buckets").alias("buckets")), "nodes")
-    members = nodes.select("node", F.explode("buckets").alias("bucket"))
-    # Aggregates are written before they are joined back, so that Spark can split the join at a hot key.
-    stars = written(members.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("other"))
-                    .filter("center <> other").select("bucket", "center"), "stars")
-    heaps = components(members.join(stars, "bucket").select(F.col("node").alias("a"), F.col("center").alias("b")))
-    heaps = written(heaps.join(nodes.select("node", F.col("first.row").alias("row"), "n_shingles"), "node"), "heaps")
-    edges = _exact(texts.select("_row", "_text"), heaps, size, percent, part_nodes, part_shingles)
-    classes = components(edges)
-    named = nodes.join(classes, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
-    best = written(named.groupBy("root").agg(F.min("first").alias("best")), "least")
-    of_node = named.join(best, "root").select("node", "best")
+    with discarding(documents.sparkSession):
+        signed = written(arrow_columns(texts, sign, SIGNED, ["_id", "_row"]), "signed", keep=True)
+        least = F.min(F.struct(F.col("_id").isNull().alias("unnamed"), F.col("_id").alias("id"), F.col("_row").alias("row")))
+        nodes = written(signed.groupBy("node").agg(least.alias("first"), F.first("n_shingles").alias("n_shingles"),
+                                                   F.first("buckets").alias("buckets")), "nodes")
+        members = nodes.select("node", F.explode("buckets").alias("bucket"))
+        # Aggregates are written before they are joined back, so that Spark can split the join at a hot key.
+        stars = written(members.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("other"))
+                        .filter("center <> other").select("bucket", "center"), "stars")
+        # A bucket of one node has no star, a centre is no edge of its own.
+        edges = written(members.join(stars, "bucket").filter("node <> center").select(
+            F.col("node").alias("a"), F.col("center").alias("b")).distinct(), "stars")
+        heaps = written(components(edges).withColumnRenamed("root", "heap"), "heaps")
+        sets = _sets(texts.select("_row", "_text"), heaps.join(nodes.select("node", F.col("first.row").alias("row")), "node"), size)
+        edges = _links(edges, heaps, sets, percent, part_nodes, part_shingles)
+        classes = components(edges)
+        named = nodes.join(classes, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+        best = written(named.groupBy("root").agg(F.min("first").alias("best")), "least")
+        of_node = written(named.join(best, "root").select("node", "best"), "best", keep=True)
     made = ["n_shingles", "component_id", "kept"]
     found = signed.join(of_node, "node").select("_id", "_row", "n_shingles", F.col("best.id").alias("component_id"),
                                                 (F.col("_row") == F.col("best.row")).alias("kept"))
@@ -187,13 +164,9 @@ def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc
     return documents.select(*aside(passed), row).join(own, "_row").select(*placed(passed), *made).toDF(*passed, *made)
 
 
-def _exact(texts: DataFrame, heaps: DataFrame, size: int, percent: int, part_nodes: int, part_shingles: int) -> DataFrame:
-    """(a, b) links that span the classes of each heap."""
-    parts = written(heaps.groupBy("root").agg(F.greatest(
-        F.ceil(F.count("*") / part_nodes), F.ceil(F.sum("n_shingles") / part_shingles)).cast("int").alias("parts")), "parts")
-    asked = heaps.join(parts, "root").select(
-        "root", "node", "row", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
-    wanted = texts.join(asked, F.col("_row") == F.col("row"))
+def _sets(texts: DataFrame, heaps: DataFrame, size: int) -> DataFrame:
+    """(heap, node, n, shingles) of every node that has a star."""
+    wanted = texts.join(heaps, F.col("_row") == F.col("row"))
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # repeated rows follow one another; one of them is enough
@@ -204,21 +177,102 @@ def _exact(texts: DataFrame, heaps: DataFrame, size: int, percent: int, part_nod
                 same.append(node != last and node_of(sets[-1]) == node)
                 last = node if same[-1] else last
             made = pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("root", "node", "parts", "part")]
-                + [pa.array([s.tobytes() for s in sets], pa.binary())], ["root", "node", "parts", "part", "shingles"])
+                [batch.column("heap"), batch.column("node"), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([s.tobytes() for s in sets], pa.binary())], ["heap", "node", "n", "shingles"])
             yield made.filter(pa.array(same, pa.bool_()))
 
-    sets = in_arrow(wanted, full, "root binary, node binary, parts int, part int, shingles binary")
-    partner = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(
-        F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: p != F.col("part")))
-    pairs = (sets.withColumn("_with", F.explode(partner))
-             .select("root", F.least("part", "_with").alias("i"), F.greatest("part", "_with").alias("j"), "node", "shingles"))
+    found = written(in_arrow(wanted, full, "heap binary, node binary, n long, shingles binary"), "sets")
+    # Repeated rows that came in several batches gave their node more than once.
+    twice = written(found.groupBy("node").count().filter("count > 1").select("node"), "twice")
+    if twice.isEmpty():
+        return found
+    once = found.join(twice, "node", "left_semi").groupBy("heap", "node", "n").agg(F.first("shingles").alias("shingles"))
+    return written(found.join(twice, "node", "left_anti").select(found.columns).unionByName(once), "sets")
 
-    def group(found: pa.Table) -> pa.Table:
-        names = found.column("node").to_pylist()
-        own = {n: np.frombuffer(s, np.uint64) for n, s in zip(names, found.column("shingles").to_pylist(), strict=True)}
-        names = sorted(own)
-        label = links([own[n] for n in names], percent)
-        return pa.table({"a": pa.array(names, pa.binary()), "b": pa.array([names[k] for k in label], pa.binary())})
 
-    return pairs.groupBy("root", "i", "j").applyInArrow(group, "a binary, b binary").filter("a <> b")
+def compared(pairs: DataFrame, sets: DataFrame, percent: int, part_nodes: int, part_shingles: int) -> DataFrame:
+    """The (a, b) pairs that are at the threshold on their full sets.
+
+    Pairs are dealt by ``b`` and a part of its partners; the set of ``b`` is copied once per part, that of ``a`` once per pair.
+    """
+    left = pairs.join(sets.select(F.col("node").alias("a"), "n"), "a")
+    parts = written(left.groupBy("b").agg(F.greatest(
+        F.ceil(F.count("*") / part_nodes), F.ceil(F.sum("n") / part_shingles)).cast("int").alias("parts")), "parts")
+    asked = pairs.join(parts, "b").withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
+    members = asked.join(sets.select(F.col("node").alias("a"), "shingles"), "a").select(
+        "b", "part", "a", F.col("shingles").alias("set"))
+    centres = (parts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+               .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("own")), "b").select(
+                   F.col("b").alias("centre"), F.col("part").alias("share"), "own"))
+
+    def judge(found: pa.Table, centre: pa.Table) -> pa.Table:
+        own = np.frombuffer(centre.column("own")[0].as_py(), np.uint64) if centre.num_rows else np.zeros(0, np.uint64)
+        kept = [alike(np.frombuffer(s.as_py(), np.uint64), own, percent) for s in found.column("set")]
+        return found.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return written(members.groupBy("b", "part").cogroup(centres.groupBy("centre", "share")).applyInArrow(judge, "a binary, b binary"), "links")
+
+
+def _links(stars: DataFrame, heaps: DataFrame, sets: DataFrame, percent: int, part_nodes: int, part_shingles: int) -> DataFrame:
+    """(a, b) links that span the classes of every heap."""
+    links, classes, left = None, None, stars
+    for _ in range(STAR_ROUNDS):
+        if classes is not None:
+            one, other = (classes.select(F.col("node").alias(c), F.col("root").alias(f"{c}_class")) for c in "ab")
+            left = left.join(one, "a", "left").join(other, "b", "left").filter(
+                F.coalesce("a_class", "a") != F.coalesce("b_class", "b")).select("a", "b")
+        chosen = written(left.groupBy("a").agg(F.min("b").alias("b")), "chosen")
+        if chosen.isEmpty():
+            break
+        left = left.join(chosen.withColumnRenamed("b", "done"), "a").filter("b <> done").select("a", "b")
+        found = compared(chosen, sets, percent, part_nodes, part_shingles)
+        links = found if links is None else links.unionByName(found)
+        classes = components(links)
+    if links is None:
+        return stars
+    return links.unionByName(_completed(heaps, classes, sets, percent, part_nodes, part_shingles))
+
+
+def _completed(heaps: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, part_nodes: int, part_shingles: int) -> DataFrame:
+    """Links between nodes of different classes of a heap, all that there are."""
+    classed = heaps.join(classes, "node", "left").select("node", "heap", F.coalesce("root", "node").alias("class"))
+    mixed_ = written(classed.groupBy("heap").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
+                     .select("heap"), "mixed")
+    open_ = written(sets.select("node", "n", "shingles").join(classed.join(mixed_, "heap"), "node"), "open")
+    often = written(in_arrow(open_.select("heap", "shingles"), _exploded, "token long").groupBy("token").agg(F.count("*").alias("often"))
+                    .filter("often > 1"), "often")
+    rows = in_arrow(open_.select("heap", "node", "n", "shingles"), _placed, "node binary, n long, token long")
+    # A set's shingles that no other set of the heap holds come first; they use up places but meet nobody.
+    order, whole = Window.partitionBy("node").orderBy("often", "token"), Window.partitionBy("node")
+    held = (rows.join(often, "token").withColumn("place", F.row_number().over(order)).withColumn("shared", F.count("*").over(whole))
+            .filter(F.col("place") + F.col("n") - F.col("shared") <= prefix_length(F.col("n"), percent)).select("token", "node", "n"))
+    held = written(held.join(open_.select("node", "class"), "node"), "prefixes")
+    by_class = held.groupBy("token", "class").agg(F.count("*").alias("c"))
+    largest = written(by_class.groupBy("token").agg(F.max(F.struct("c", "class"))["class"].alias("largest"), F.count("*").alias("classes"))
+                      .filter("classes > 1").select("token", "largest"), "largest")
+    outside = held.join(largest, "token").filter(F.col("class") != F.col("largest"))
+    outside = written(outside.select("token", F.col("node").alias("b"), F.col("class").alias("b_class"), F.col("n").alias("m"), "largest"), "outside")
+    pairs = held.select("token", F.col("node").alias("a"), "class", "n").join(outside, "token").filter(
+        (F.col("class") != F.col("b_class")) & ((F.col("class") == F.col("largest")) | (F.col("a") > F.col("b")))
+        & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
+    return compared(written(pairs.select("a", "b").distinct(), "pairs"), sets, percent, part_nodes, part_shingles)
+
+
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _by_token(batches, [])
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _by_token(batches, ["node", "n"])
+
+
+def _by_token(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """A row per shingle, some sets at a time. The token stands for a shingle of one heap."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 64):
+            part = batch.slice(at, 64)
+            sets = [mixed(np.frombuffer(s.as_py(), np.uint64) ^ np.frombuffer(h.as_py()[:8], np.uint64))
+                    for s, h in zip(part.column("shingles"), part.column("heap"), strict=True)]
+            owner = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+            yield pa.RecordBatch.from_arrays([*[part.column(c).take(owner) for c in columns], pa.array(np.concatenate(sets).view(np.int64))],
+                                             [*columns, "token"])
