@@ -1,11 +1,10 @@
-"""Near duplicates without all pairs: many copies of one template, chains, and heaps of texts that are not alike."""
+"""Near duplicates around the threshold in heaps of texts that share a passage."""
 
 from __future__ import annotations
 
 import random
 
 from netledger.llm import neardup
-from netledger.llm.common import table
 
 
 def classes_by_hand(texts, size, percent):
@@ -27,7 +26,6 @@ def classes_by_hand(texts, size, percent):
 
 
 def test_links_of_mixed_heaps_equal_brute_force(spark):
-    """Texts around the threshold that share a passage: stars link some, the prefix filter finds the rest."""
     draw = random.Random(8)
     shared = [f"s{k}" for k in range(60)]
     texts = []
@@ -41,30 +39,3 @@ def test_links_of_mixed_heaps_equal_brute_force(spark):
         found = neardup.near_duplicates(frame, size=2, percent=percent, bins=bins, part_nodes=7)
         assert {r["doc_id"]: r["component_id"] for r in found.collect()} == dict(enumerate(want))
     assert 5 < len(set(classes_by_hand(texts, 2, 80))) < 140
-
-
-def test_copies_of_a_template_are_compared_about_once(spark, monkeypatch):
-    draw = random.Random(9)
-    words = [f"w{k}" for k in range(120)]
-    texts = []
-    for k in range(3_000):
-        own = list(words)
-        own[draw.randrange(120)] = f"x{k}"
-        texts.append(" ".join(own))
-    asked = []
-    compared = neardup.compared
-    monkeypatch.setattr(neardup, "compared", lambda pairs, *more: asked.append(pairs.count()) or compared(pairs, *more))
-    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(8)
-    found = neardup.near_duplicates(frame, size=3, percent=85).groupBy("component_id").count().collect()
-    assert [tuple(r) for r in found] == [(0, 3_000)]
-    assert sum(asked) < 2 * 3_000
-
-
-def test_intermediate_tables_are_removed(spark, tmp_path):
-    from pathlib import Path
-
-    from netledger.session import shared_folder
-    before = set(Path(shared_folder(spark), "netledger").glob("*"))
-    neardup.near_duplicates(table(spark, "/root/testdata/sf0.001", "documents")).collect()
-    left = {p.name.split("-")[0] for p in set(Path(shared_folder(spark), "netledger").glob("*")) - before}
-    assert left == {"signed", "best"}
