@@ -47,21 +47,34 @@ FROM c LEFT JOIN best USING (page_id)
 """
 
 OP6 = """
-WITH c AS (
-  SELECT *, conv_id || ':' || turn AS own, conv_id || ':' || (turn - 1) AS asked, CAST(to_json(text) AS VARCHAR) AS j FROM conversations),
-firsts AS (SELECT conv_id, own, count(*) AS n FROM c WHERE role = 'user' GROUP BY ALL),
+WITH RECURSIVE c AS (
+  SELECT *, conv_id || ':' || turn AS own, conv_id || ':' || (turn - 1) AS asked, CAST(to_json(text) AS VARCHAR) AS j,
+    length(text) % 5 AS fault, CASE length(text) % 8 WHEN 0 THEN [turn + 2] WHEN 1 THEN [turn - 2, turn + 2] WHEN 2 THEN [turn - 2]
+      WHEN 3 THEN [turn - 2] ELSE [] END AS needs FROM conversations),
+e AS (
+  SELECT a.conv_id, a.turn AS a, b.turn AS b FROM (SELECT conv_id, turn, unnest(needs) AS need FROM c WHERE role = 'user') a
+  JOIN c b ON b.conv_id = a.conv_id AND b.turn = a.need AND b.role = 'user'),
+paths AS (
+  SELECT conv_id, turn AS s, turn AS here, 0 AS steps, [turn] AS seen, false AS cycle FROM c WHERE role = 'user'
+  UNION ALL SELECT p.conv_id, s, b, steps + CASE WHEN b >= here THEN 1 ELSE 0 END, list_append(seen, b), list_contains(seen, b)
+  FROM paths p JOIN e ON e.conv_id = p.conv_id AND a = here WHERE NOT cycle),
+levels AS (SELECT conv_id, s, CAST(CASE WHEN bool_or(cycle) THEN -1 ELSE max(steps) END AS INTEGER) AS level FROM paths GROUP BY ALL),
 answers AS (SELECT conv_id, asked, min(turn) AS answered FROM c WHERE role = 'assistant' GROUP BY ALL)
 SELECT c.conv_id, turn, 0 AS place, 'message' AS kind, NULL AS call_id, 'plain' AS status, '' AS problems, 0 AS level,
   '{"content":' || j || ',"role":"' || role || '","type":"message"}' AS record
 FROM c WHERE role NOT IN ('user', 'assistant')
 UNION ALL
-SELECT c.conv_id, turn, 0, 'call', own, CASE WHEN answered IS NULL THEN 'unanswered' ELSE 'linked' END, '', 0,
-  '{"arguments":{"message":' || j || ',"turn":' || turn || '},"id":"' || own || '","name":"reply","type":"tool_call"}'
-FROM c LEFT JOIN answers a ON a.conv_id = c.conv_id AND a.asked = c.own WHERE role = 'user'
+SELECT c.conv_id, turn, 0, 'call', own, CASE WHEN answered IS NULL THEN 'unanswered' ELSE 'linked' END,
+  CASE fault WHEN 0 THEN 'turn is no integer' WHEN 1 THEN 'unknown note' WHEN 2 THEN 'missing message' WHEN 3 THEN 'no object' ELSE '' END,
+  level, CASE fault WHEN 0 THEN '{"arguments":{"message":' || j || ',"turn":"' || turn || '"}'
+    WHEN 1 THEN '{"arguments":{"message":' || j || ',"note":true,"turn":' || turn || '}' WHEN 2 THEN '{"arguments":{"turn":' || turn || '}'
+    WHEN 3 THEN '{"arguments_text":"turn ' || turn || '"' ELSE '{"arguments":{"message":' || j || ',"turn":' || turn || '}' END
+  || ',"id":"' || own || '","name":"reply","type":"tool_call"}'
+FROM c JOIN levels l ON l.conv_id = c.conv_id AND l.s = c.turn LEFT JOIN answers a ON a.conv_id = c.conv_id AND a.asked = c.own WHERE role = 'user'
 UNION ALL
-SELECT c.conv_id, turn, 0, 'result', c.asked, CASE WHEN f.own IS NULL THEN 'orphan' ELSE 'linked' END, '', 0,
+SELECT c.conv_id, turn, 0, 'result', c.asked, CASE WHEN l.level IS NULL THEN 'orphan' ELSE 'linked' END, '', coalesce(l.level, 0),
   '{"content":' || j || ',"id":"' || c.asked || '","type":"tool_result"}'
-FROM c LEFT JOIN firsts f ON f.conv_id = c.conv_id AND f.own = c.asked WHERE role = 'assistant'
+FROM c LEFT JOIN levels l ON l.conv_id = c.conv_id AND l.s = c.turn - 1 WHERE role = 'assistant'
 """
 
 OP7 = """

@@ -73,16 +73,27 @@ REPLY = {"reply": {"message": ("string", True), "turn": ("integer", True)}}
 
 
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The turns as tool traffic: a user's turn is a call that needs the one before, the assistant's turn after it its result."""
+    """The turns as tool traffic: a user's turn is a call, the assistant's turn after it its result.
+
+    The lengths of the texts decide which calls need the call before, the one after or both (so that some form cycles), and which
+    have arguments of a wrong type, unknown or missing ones, or text that is no JSON.
+    """
     turns = table(spark, sf_dir, "conversations")
+    letters = F.length("text")
 
     def name(turn: Column) -> Column:
         return F.concat_ws(":", "conv_id", turn)
 
-    call = F.to_json(F.struct(F.array(F.struct(
-        name(F.col("turn")).alias("id"), F.lit("reply").alias("name"),
-        F.struct(F.col("text").alias("message"), F.col("turn")).alias("arguments"),
-        F.array(name(F.col("turn") - 2)).alias("after"))).alias("tool_calls")))
+    before, behind = name(F.col("turn") - 2), name(F.col("turn") + 2)
+    after = (F.when(letters % 8 == 0, F.array(behind)).when(letters % 8 == 1, F.array(before, behind))
+             .when(letters % 8 <= 3, F.array(before)).otherwise(F.array().cast("array<string>")))
+    message, turn, fault = F.col("text").alias("message"), F.col("turn"), letters % 5
+    arguments = (F.when(fault == 0, F.to_json(F.struct(message, turn.cast("string").alias("turn"))))
+                 .when(fault == 1, F.to_json(F.struct(turn, F.lit(True).alias("note"), message)))
+                 .when(fault == 2, F.to_json(F.struct(turn))).when(fault == 3, F.concat_ws(" ", F.lit("turn"), turn))
+                 .otherwise(F.to_json(F.struct(turn, message))))
+    call = F.to_json(F.struct(F.array(F.struct(name(turn).alias("id"), F.lit("reply").alias("name"), arguments.alias("arguments"),
+                                               after.alias("after"))).alias("tool_calls")))
     result = F.to_json(F.struct(name(F.col("turn") - 1).alias("tool_call_id"), F.col("text").alias("content")))
     traffic = turns.select(
         "conv_id", "turn", F.when(F.col("role") == "user", "assistant").when(F.col("role") == "assistant", "tool")

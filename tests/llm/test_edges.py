@@ -142,13 +142,26 @@ def test_chat_text_beside_calls(spark):
 
 
 def test_chat_levels_and_validation(spark):
-    calls = [("c1", ["c2"], '{"n":"1"}'), ("c2", ["c3"], '{"n":1.5,"x":2}'), ("c3", [], "[]"), ("c4", ["c5"], '{"n":2}'), ("c5", ["c4"], "{}")]
+    calls = [("c1", ["c2"], '{"n":"1"}'), ("c2", ["c3"], '{"n":1.5,"x":2}'), ("c3", [], "[]"), ("c4", ["c5"], '{"n":2}'), ("c5", ["c4"], "{}"),
+             ("c6", ["c2", "c3", "none"], '{"n":1.0}'), ("c7", ["c3"], '{"n":7}')]
     import json
     rows = [(7, k, "assistant", json.dumps({"tool_calls": [{"id": i, "name": "t" if i != "c5" else "u", "arguments": json.loads(a), "after": after}]}))
             for k, (i, after, a) in enumerate(calls)]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     out = {r["call_id"]: r for r in chat.link_tools(table, {"t": {"n": ("integer", True)}}).collect()}
-    assert {k: r["level"] for k, r in out.items()} == {"c1": 2, "c2": 1, "c3": 0, "c4": -1, "c5": -1}
+    assert {k: r["level"] for k, r in out.items()} == {"c1": 2, "c2": 1, "c3": 0, "c4": -1, "c5": -1, "c6": 1, "c7": 0}
     assert {k: r["problems"] for k, r in out.items()} == {
-        "c1": "n is no integer", "c2": "unknown x; n is no integer", "c3": "no object", "c4": "", "c5": "unknown tool"}
+        "c1": "n is no integer", "c2": "unknown x; n is no integer", "c3": "no object", "c4": "", "c5": "unknown tool", "c6": "", "c7": ""}
+    assert out["c6"]["record"] == '{"arguments":{"n":1},"id":"c6","name":"t","type":"tool_call"}'
     assert all(r["status"] == "unanswered" for r in out.values())
+
+
+def test_chat_arguments_that_are_no_json_are_kept(spark):
+    import json
+    texts = ["{broken", '{"a":1,"a":2}', "", "word " * 100_000]
+    rows = [(k, 0, "assistant", json.dumps({"tool_calls": [{"id": "a", "name": "t", "arguments": a}]})) for k, a in enumerate(texts)]
+    table = spark.createDataFrame([(*r, "x", 1) for r in rows], "kind long, level long, role string, text string, conv_id string, `a.b` int")
+    out = chat.link_tools(table, {"t": {}}, conv="kind", turn="level")
+    found = {r["conv_id"]: r for r in out.collect()}
+    assert {k: json.loads(r["record"])["arguments_text"] for k, r in found.items()} == dict(enumerate(texts))
+    assert {r["problems"] for r in found.values()} == {"no object"} and len(set(out.columns)) == len(out.columns)
