@@ -368,7 +368,7 @@ ORACLES: dict[str, str] = {
         SELECT plt_ssn, mchnt_id_pay, term_id_pay, {_double(f'trans_amt * {_CENT}')} FROM inf""",
     "stream_equals_batch": NORMAL_TOTALS,
     "stream_equals_batch_incre": INCRE_TOTALS,
-    "stream_running_totals": NORMAL_TOTALS,
+    "stream_running_totals": NORMAL_TOTALS.replace("SELECT * FROM nd WHERE NOT", "SELECT * FROM nf WHERE NOT"),
     "delimited_load": f"""WITH {FEES} SELECT mer_no, apptype_id, '商户' || mapp_main AS mapp_main,
         credit_calc_type, {_double('credit_calc_rate')} AS credit_calc_rate,
         {_double('credit_calc_amt')} AS credit_calc_amt, {_double('credit_min_amt')} AS credit_min_amt,
@@ -387,7 +387,7 @@ ORACLES: dict[str, str] = {
         mchnt_id_pay, term_id_pay, trans_cd_pay, pay_st, CAST(trans_amt AS VARCHAR) AS trans_amt,
         rtrim(rsvd1) AS rsvd1, CAST(rsvd6 AS VARCHAR) AS rsvd6 FROM inf""",
     "file_to_settlement": INCRE_TOTALS,
-    "stream_running_totals_divided": NORMAL_TOTALS,
+    "stream_running_totals_divided": NORMAL_TOTALS.replace("SELECT * FROM nd WHERE NOT", "SELECT * FROM nf WHERE NOT"),
     "stream_with_duplicates": NORMAL_TOTALS.replace("PARTITION BY id ORDER", "PARTITION BY id, resp_code ORDER"),
     "incre_keyed_upsert": """SELECT l_orderkey AS plt_ssn, l_suppkey AS mchnt_id_pay, l_linenumber AS term_id_pay,
         CAST(l_quantity AS DOUBLE) AS qty FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag DESC,

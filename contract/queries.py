@@ -178,8 +178,9 @@ def like_lookup(spark, folder):
         "id", F.when(F.length("msg_type") >= 3, F.substring("msg_type", 2, 2)).alias("msg_part"),
         F.when(F.length("proc_code") >= 2, F.substring("proc_code", 1, 2)).alias("proc_part"),
         F.col("ser_concode").alias("ser_part"))
-    index = lookups.first_like(flow, fx.txn_codes(spark, folder))
-    return lookup(flow, index, ["msg_part", "proc_part", "ser_part"]).select(
+    path = work_path(spark, "patterns")  # written, so that it is not computed once to be measured and again to be joined
+    lookups.first_like(flow, fx.txn_codes(spark, folder)).write.parquet(path)
+    return lookup(flow, spark.read.parquet(path), ["msg_part", "proc_part", "ser_part"]).select(
         "id", "msg_part", "proc_part", "ser_part", "txn_key")
 
 
@@ -467,11 +468,14 @@ def union_flows(spark, folder):
 # Streams
 
 def _message_files(spark, folder, job) -> tuple[str, int]:
-    """The deduplicated flow as JSON text files; returns the folder and files per batch."""
+    """The whole flow, with its repeated keys, as JSON text files; returns the folder and files per batch.
+
+    All rows of a key are in one file, so batches of files deduplicate as the whole does; messages carry their order.
+    """
     flow = fx.normal_flow(spark, folder) if job is NORMAL else fx.incre_flow(spark, folder)
-    keys = schemas.NORMAL_KEYS if job is NORMAL else schemas.INCRE_KEYS
     path = work_path(spark, "messages")
-    latest(flow, job.dedup_keys).select(parse.message_text(keys).alias("value")).write.text(path)
+    text = _positioned(flow) if job is NORMAL else parse.message_text(schemas.INCRE_KEYS).alias("value")
+    flow.repartition(6, *job.dedup_keys).select(text).write.text(path)
     return path, max(1, -(-len(spark.read.text(path).inputFiles()) // 3))
 
 

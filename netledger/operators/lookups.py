@@ -74,36 +74,34 @@ def best_profile(fees: DataFrame) -> DataFrame:
         F.col("credit_calc_amt").asc(), F.col("credit_min_amt").asc(), F.col("credit_max_amt").asc()])
 
 
-def _pairs_of(text: Column) -> Column:
-    """The distinct two-character pieces of a text."""
-    return F.when(F.length(text) >= 2, F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substring(text, i, F.lit(2))))
+def _pieces(text: Column, size: int) -> Column:
+    """The distinct pieces of a text that are ``size`` characters long."""
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length(text) - (size - 1)), lambda i: F.substring(text, i, F.lit(size))))
     ).otherwise(F.array().cast("array<string>"))
 
 
-def pattern_index(txn_codes: DataFrame) -> DataFrame:
-    """Per key, each two-character pair, each pair after the first such one, and what follows: (msg_part, proc_part, rest, txn_key).
-
-    A key matches ``%aa%bb%c%`` when ``bb`` follows the first ``aa`` and ``c`` stands in the rest after the first such
-    ``bb``. The rows per key grow with the square of its length.
-    """
-    def after_first(text: Column, part: Column) -> Column:
-        return F.substr(text, F.instr(text, part) + 2)
-
-    keys = txn_codes.select("txn_key").distinct()
-    first = keys.select("txn_key", F.explode(_pairs_of(F.col("txn_key"))).alias("msg_part")).withColumn(
-        "rest", after_first(F.col("txn_key"), F.col("msg_part")))
-    return first.select("txn_key", "msg_part", "rest", F.explode(_pairs_of(F.col("rest"))).alias("proc_part")).withColumn(
-        "rest", after_first(F.col("rest"), F.col("proc_part")))
+def like_postings(txn_codes: DataFrame) -> DataFrame:
+    """(piece, txn_key): every key under its pieces of two characters, of one, and the empty one; as many rows as the key is long."""
+    key = F.col("txn_key")
+    pieces = F.concat(_pieces(key, 2), _pieces(key, 1), F.array(F.lit("")))
+    return txn_codes.select("txn_key").na.drop().distinct().select("txn_key", F.explode(pieces).alias("piece"))
 
 
 def first_like(patterns: DataFrame, txn_codes: DataFrame) -> DataFrame:
-    """(msg_part, proc_part, ser_part) -> first txn_key for each distinct pattern that some key matches.
+    """(msg_part, proc_part, ser_part) -> first txn_key like ``%msg%proc%ser%`` (as literal text) for each distinct pattern that has one.
 
-    The pairs are joined by equality, so the text comparison only sees keys that hold both.
+    A pattern meets the keys that hold its rarest piece by equality; only those are compared with the whole of it.
     """
     parts = ["msg_part", "proc_part", "ser_part"]
-    asked = patterns.select(*parts).na.drop("any").distinct()
-    found = asked.join(pattern_index(txn_codes), parts[:2]).filter(
-        (F.col("ser_part") == "") | (F.instr("rest", F.col("ser_part")) > 0))
-    return found.groupBy(*parts).agg(F.min("txn_key").alias("txn_key"))
+    asked, postings = patterns.select(*parts).na.drop("any").distinct(), like_postings(txn_codes)
+    two, one = (F.flatten(F.array(*[_pieces(F.col(c), size) for c in parts])) for size in (2, 1))
+    pieces = F.when(F.size(two) > 0, two).when(F.size(one) > 0, one).otherwise(F.array(F.lit("")))
+    rarest = (asked.withColumn("piece", F.explode(pieces)).join(postings.groupBy("piece").agg(F.count("*").alias("keys")), "piece", "left")
+              .groupBy(*parts).agg(F.min(F.struct(F.coalesce("keys", F.lit(0)).alias("keys"), "piece")).alias("least"))
+              .filter("least.keys > 0").select(*parts, F.col("least.piece").alias("piece")))
+    rest, fits = F.col("txn_key"), F.lit(True)
+    for part in map(F.col, parts):
+        fits = fits & (F.instr(rest, part) > 0)
+        rest = F.substr(rest, F.instr(rest, part) + F.length(part))
+    return rarest.join(postings, "piece").filter(fits).groupBy(*parts).agg(F.min("txn_key").alias("txn_key"))

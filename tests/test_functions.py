@@ -67,8 +67,8 @@ def test_rule_text_is_the_trade_filter(spark):
 
 
 def test_pattern_index_is_like(spark):
-    keys = ["0200|01|00", "0400|20|00", "02000200", "0202020", "2|0", ""]
-    pairs = ["20", "02", "00", "01", "|0", "40", "99"]
+    keys = ["0200|01|00", "0400|20|00", "02000200", "0202020", "2|0", "", "0123456789" * 5]
+    pairs = ["20", "02", "00", "01", "|0", "40", "99", "", "2", "567890123456"]
     texts = ["", "0", "00", "20", "|00", "7", "0200"]
     asked = frame(spark, [(a, b, c) for a in pairs for b in pairs for c in texts], "msg_part string, proc_part string, ser_part string")
     index = {(r.msg_part, r.proc_part, r.ser_part): r.txn_key
