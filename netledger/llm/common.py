@@ -33,6 +33,9 @@ def in_arrow(frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterato
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:
         environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, *known) if x)
+    names = frame.columns
+    if any(set(".`") & set(n) for n in names):  # Spark would read such a name as a path
+        return frame.toDF(*placed(names)).mapInArrow(lambda batches: run(b.rename_columns(names) for b in batches), schema)
     return frame.mapInArrow(run, schema)
 
 

@@ -9,7 +9,7 @@ Most texts are of one language. One label for all words is the best path wheneve
 ``penalty`` elsewhere, which a running sum tells; the step-by-step recursion runs for all other texts.
 
 Counts are summed per task and then per key. The model (languages x ``buckets``) is what reaches the driver and the
-tasks; languages with the fewest words beyond ``max_languages`` would have to be split off by the caller, so more raise an error.
+tasks; any number of languages, each with as many numbers in the model.
 
 Defined results: null texts, and texts without a letter, are ``und`` with score 0 and no span; words are runs of letters and of characters
 beyond ASCII, and those without a letter take the label of their span and do not count; repeated rows keep their rows; without training rows all is ``und``.
@@ -91,8 +91,11 @@ PART = 10_000
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", buckets: int = 1 << 15,
-          smoothing: float = 0.1, max_languages: int = 200) -> dict:
-    """The model: languages, log probabilities per bucket, and the share of each script per language."""
+          smoothing: float = 0.1) -> dict:
+    """The model: languages, log probabilities per bucket, and the share of each script per language.
+
+    It has ``buckets`` numbers per language, whatever the size of the corpus; a language is one packed row of what the driver gathers.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages: dict[str, int] = {}
         numbers = Words(6_000_000)
@@ -136,13 +139,11 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", buckets:
 
     counts = (in_arrow(labelled.select(text, lang), count, "lang string, key long, n long")
               .groupBy("lang", "key").agg(F.sum("n").alias("n")))
-    languages = [r["lang"] for r in counts.select("lang").distinct().orderBy("lang").limit(max_languages + 1).collect()]
-    if len(languages) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
+    packed = counts.groupBy("lang").agg(F.collect_list(F.struct("key", "n")).alias("c")).select("lang", "c.key", "c.n").toArrow().sort_by("lang")
+    languages = packed.column("lang").to_pylist()
     values = np.zeros((len(languages), buckets + len(SCRIPTS)))
-    place = {x: i for i, x in enumerate(languages)}
-    for row in counts.collect():
-        values[place[row["lang"]], row["key"]] = row["n"]
+    for place, (keys, n) in enumerate(zip(packed.column("key"), packed.column("n"), strict=True)):
+        values[place, keys.values.to_numpy()] = n.values.to_numpy()
     grams, scripts = values[:, :buckets] + smoothing, values[:, buckets:]
     return {"languages": languages, "log": np.log(grams / grams.sum(axis=1, keepdims=True)).T.astype(np.float32),
             "scripts": scripts / np.maximum(scripts.sum(axis=1, keepdims=True), 1), "buckets": buckets}

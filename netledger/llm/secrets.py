@@ -389,4 +389,4 @@ def redacted(documents: DataFrame, text: str = "text", mark: str = "[secret]") -
         return [pa.array([clean(t) for t in text_bytes(batch, text)], pa.string())]
 
     return arrow_columns(documents, compute, T.StructType([T.StructField(text, T.StringType())])).select(
-        documents.columns)
+        *[f"`{c}`" for c in documents.columns])

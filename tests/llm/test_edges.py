@@ -12,14 +12,14 @@ FOLDER = "/root/testdata/sf0.001"
 LONG = " ".join(f"word{i % 977} and{i % 13}" for i in range(60_000))
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
           "n_words string, kept string, score string, host string, n_hit string, secrets string, component_id string, "
-          "_id string, _row string, _text string, open string, tie string, _salt string")
+          "_id string, _row string, _text string, open string, tie string, _salt string, `a.b` string")
 ROWS = [
     (1, None, "en", "s", None), (2, "", None, None, 0), (3, LONG, "en", "s", 1), (4, "the same row of text", "en", "s", 2),
     (4, "the same row of text", "en", "s", 2), (None, "text without an id", "fr", None, 3), (None, None, None, None, None),
     (5, "  \n\t ", "en", "s", 4), (6, "the same row of text", "de", "s", 5)]
 
 
-EXTRA = ("n", "k", "x", "h", "w", "q", "c", "i", "r", "t", "o", "e", "s")
+EXTRA = ("n", "k", "x", "h", "w", "q", "c", "i", "r", "t", "o", "e", "s", "d")
 
 
 @pytest.fixture(scope="module")

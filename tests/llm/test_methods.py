@@ -370,6 +370,28 @@ def test_viterbi_short_cut_is_exact():
         assert value(labeller.path(scores), scores) == pytest.approx(best)
 
 
+def test_language_model_equals_plain_counts(spark):
+    """Counts of hashed n-grams and scripts, scores and the label of a text, word by word."""
+    rows = [(k, t, lang) for k, t, lang in duckdb.sql(f"SELECT doc_id, text, lang FROM '{FOLDER}/documents.parquet' LIMIT 60").fetchall()]
+    rows += [(900 + k, f"слово {k} words", f"x{k:03}") for k in range(230)] + [(2000, None, "en"), (2001, "words", None)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5), buckets=1 << 10)
+    want = {}
+    for _, text, lang in rows:
+        if text and lang is not None:
+            sums = want.setdefault(lang, np.zeros((1 << 10) + len(langid.SCRIPTS)))
+            for word in langid.words_of(text.encode()):
+                letters, script = langid.spelled(word)
+                if letters:
+                    found, _ = langid.features([letters], 1 << 10)
+                    np.add.at(sums, found, 1)
+                    sums[(1 << 10) + script] += 1
+    assert model["languages"] == sorted(want) and len(want) > 230
+    for place, lang in enumerate(sorted(want)):
+        grams, scripts = want[lang][:1 << 10] + 0.1, want[lang][1 << 10:]
+        assert np.allclose(model["log"][:, place], np.log(grams / grams.sum()), atol=1e-4)
+        assert np.allclose(model["scripts"][place], scripts / max(scripts.sum(), 1))
+
+
 def test_held_out_accuracy(spark):
     out = contract.queries()["op2_language_id"](spark, "/root/testdata/sf0.01").toPandas()
     truth = dict(duckdb.sql("SELECT doc_id, lang FROM '/root/testdata/sf0.01/documents.parquet'").fetchall())
