@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -499,6 +500,22 @@ def stream_equals_batch_incre(spark, folder):
     return _streamed(spark, folder, INCRE)
 
 
+@query
+def stream_restarted(spark, folder):
+    """A stream with its interval and one file a batch, stopped in the middle and started again: the totals are those of one run."""
+    path, _ = _message_files(spark, folder, NORMAL)
+    stream = SettlementStream(NORMAL, lambda s: fx.dimensions(s, folder), work_path(spark, "run"))
+    try:
+        running = stream.start(messages.file_stream(spark, path, 1))
+        while running.isActive and len(stream.committed(spark)) < 2:
+            time.sleep(0.1)
+        running.stop()
+        stream.start(messages.file_stream(spark, path, 1), once=True).awaitTermination()
+    finally:
+        stream.close()
+    return _money_out(stream.totals(spark))
+
+
 def _running_totals(spark, folder, policy):
     path, per_batch = _message_files(spark, folder, NORMAL)
     totals = running_totals(messages.file_stream(spark, path, per_batch), fx.dimensions(spark, folder), NORMAL, policy)

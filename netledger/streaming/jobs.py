@@ -159,6 +159,15 @@ class SettlementStream:
         return store.view()
 
 
+def progress(query: StreamingQuery) -> list[dict]:
+    """What Spark measured of the last batches of a query: their rows, rates and times.
+
+    ``rows`` shows that a batch stays under the cap of its source, ``ms`` that it fits into the interval.
+    """
+    return [{"batch_id": p["batchId"], "rows": p["numInputRows"], "rows_per_second": p["processedRowsPerSecond"],
+             "ms": p["durationMs"].get("triggerExecution", 0)} for p in query.recentProgress if p["numInputRows"]]
+
+
 def running_totals(messages: DataFrame, dims: Dimensions, job: Job, policy: JoinPolicy = JoinPolicy(),
                    heavy: dict[str, DataFrame] | None = None) -> DataFrame:
     """Streaming mer_no -> total, kept in the state store (no deduplication).

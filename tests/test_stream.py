@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from netledger.plans.load import open_dimensions, version_of
 from netledger.plans.settlement import INCRE, NORMAL
 from netledger.sinks import publish
 from netledger.sources.messages import file_messages, file_stream, union
-from netledger.streaming.jobs import SettlementStream, running_totals
+from netledger.streaming.jobs import SettlementStream, progress, running_totals
 from tests.helpers import dec, dimensions, frame
 
 
@@ -77,6 +78,25 @@ def test_a_repeated_batch_counts_once_and_a_new_version_replaces(spark, tmp_path
     assert totals(spark, stream) == {"M1": dec("204.93")}
 
 
+def test_batches_stay_under_the_cap_and_go_on_after_a_stop(spark, tmp_path):
+    source = tmp_path / "in"
+    for k in range(5):
+        put(source, f"{k}.json", *[message(ID=f"{k}-{i}") for i in range(k + 1)])
+    stream = SettlementStream(NORMAL, lambda s: dimensions(s), str(tmp_path / "run"))
+    running = stream.start(file_stream(spark, str(source), 2))
+    while running.isActive and not stream.committed(spark):
+        time.sleep(0.1)
+    running.stop()
+    before = stream.committed(spark)
+    again = stream.start(file_stream(spark, str(source), 2), once=True)
+    again.awaitTermination()
+    stream.close()
+    assert 1 <= len(before) < 3 and stream.committed(spark) == [0, 1, 2]
+    measured = progress(again)
+    assert {p["batch_id"] for p in measured} >= {2} and all(0 < p["rows"] <= 9 and p["ms"] > 0 for p in measured)
+    assert totals(spark, stream) == {"M1": dec("1485.00")}
+
+
 def test_a_run_without_batches_is_empty(spark, tmp_path):
     stream = SettlementStream(NORMAL, lambda s: dimensions(s), str(tmp_path / "run"))
     assert stream.detail(spark).count() == stream.totals(spark).count() == 0
