@@ -368,6 +368,7 @@ ORACLES: dict[str, str] = {
         SELECT plt_ssn, mchnt_id_pay, term_id_pay, {_double(f'trans_amt * {_CENT}')} FROM inf""",
     "stream_equals_batch": NORMAL_TOTALS,
     "stream_equals_batch_incre": INCRE_TOTALS,
+    "stream_stored_sides": NORMAL_TOTALS,
     "stream_restarted": NORMAL_TOTALS,
     "stream_running_totals": NORMAL_TOTALS.replace("SELECT * FROM nd WHERE NOT", "SELECT * FROM nf WHERE NOT"),
     "delimited_load": f"""WITH {FEES} SELECT mer_no, apptype_id, '商户' || mapp_main AS mapp_main,

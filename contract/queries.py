@@ -20,7 +20,7 @@ from netledger.operators import cells, filters, lookups, parse, pointreads
 from netledger.operators.dedup import latest, top_one
 from netledger.operators.joins import JoinPolicy, lookup
 from netledger.operators.totals import merge_maps
-from netledger.plans import export, load, settlement
+from netledger.plans import export, load, settlement, sides
 from netledger.plans.settlement import INCRE, NORMAL
 from netledger.session import gbk_session, work_path
 from netledger.sinks import levels, tables
@@ -500,6 +500,25 @@ def stream_equals_batch_incre(spark, folder):
     return _streamed(spark, folder, INCRE)
 
 
+# Too little memory for most sides, enough for the rows of heavy keys.
+STORED = JoinPolicy(broadcast_bytes=16 << 10, rows_per_part=500)
+
+
+@query
+def stream_stored_sides(spark, folder):
+    """The stream over stored lookup sides: micro-batches are joined with their buckets, heavy keys and rows without a key are scattered."""
+    path, per_batch = _message_files(spark, folder, NORMAL)
+    target = work_path(spark, "sides")
+    sides.write_sides(fx.dimensions(spark, folder), target, buckets=8)
+    stream = SettlementStream(NORMAL, lambda s: sides.open_sides(s, None, target), work_path(spark, "run"), policy=STORED,
+                              version=lambda s: sides.sides_version(s, target))
+    try:
+        stream.start(messages.file_stream(spark, path, per_batch), once=True).awaitTermination()
+    finally:
+        stream.close()
+    return _money_out(stream.totals(spark))
+
+
 @query
 def stream_restarted(spark, folder):
     """A stream with its interval and one file a batch, stopped in the middle and started again: the totals are those of one run."""

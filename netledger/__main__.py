@@ -15,7 +15,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from netledger import schemas
-from netledger.plans import load
+from netledger.plans import load, sides
 from netledger.plans.export import export_summary
 from netledger.plans.settlement import INCRE, NORMAL
 from netledger.session import RECOMMENDED_CONF
@@ -83,8 +83,8 @@ def _settle_batch(spark: SparkSession, args) -> None:
 
 
 def _stream(spark: SparkSession, args) -> None:
-    stream = SettlementStream(JOBS[args.flow], lambda s: load.open_dimensions(s, args.dimensions), args.run,
-                              fan_out=args.fan_out, version=lambda s: load.version_of(s, args.dimensions))
+    stream = SettlementStream(JOBS[args.flow], lambda s: sides.open_sides(s, None, args.dimensions), args.run,
+                              fan_out=args.fan_out, version=lambda s: sides.sides_version(s, args.dimensions))
     if args.messages:
         source = messages.file_stream(spark, args.messages, args.max_per_trigger)
     else:

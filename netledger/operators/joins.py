@@ -150,6 +150,44 @@ def attach(flow: DataFrame, dim: DataFrame, keys: list[str], broadcast: bool,
     return divided.join(spread.copy(dim).hint("merge"), keys + [spread.part], how)
 
 
+def heavy_rows(side: DataFrame, key: str, heavy: DataFrame) -> tuple[DataFrame | None, int]:
+    """The listed keys with their row of ``side`` (NULL where it has none), and their bytes; (None, 0) for an empty list.
+
+    One scan of the side that exchanges nothing but the few rows found.
+    """
+    if heavy.isEmpty():
+        return None, 0
+    values = F.struct(*[c for c in side.columns if c != key])
+    found = side.join(F.broadcast(heavy.select(key)), key, "left_semi").select(key, values.alias("_found"))
+    rows = heavy.select(key, F.lit(True).alias("_heavy")).join(found, key, "left")
+    ensure_checkpoint_dir(side.sparkSession)
+    rows = rows.checkpoint()
+    return rows, measure({"rows": rows})["rows"]
+
+
+def attach_stored(flow: DataFrame, side: DataFrame, key: str, heavy: DataFrame | None, mark: list[str]) -> DataFrame:
+    """Left join of a side that is stored in buckets of its key and is not exchanged.
+
+    Flow rows of ``heavy`` keys take their values from the broadcast ``heavy_rows``. They and rows without a key are dealt to the buckets by
+    ``mark``, under a key whose values are not taken should the side hold it. The division stays for the next side with the same key.
+    """
+    away, bucket = f"_away{key}", f"_bucket{key}"
+    values = [c for c in side.columns if c != key]
+    if heavy is not None:
+        flow = flow.join(F.broadcast(heavy), key, "left")
+    if bucket not in flow.columns:
+        listed = F.lit(False) if heavy is None else F.coalesce("_heavy", F.lit(False))
+        scattered = F.concat(F.lit("\0"), F.xxhash64(F.spark_partition_id(), *mark).cast("string"))
+        flow = (flow.withColumns({away: F.col(key).isNull() | listed, "_mark": scattered})
+                .withColumn(bucket, F.when(F.col(away), F.col("_mark")).otherwise(F.col(key))).drop("_mark"))
+    renamed = side.select(F.col(key).alias(bucket), *[F.col(c).alias(f"_side_{c}") for c in values])
+    joined = flow.join(renamed.hint("merge"), bucket, "left")
+    taken = {c: F.when(~F.col(away), F.col(f"_side_{c}")) for c in values}
+    if heavy is not None:
+        taken = {c: F.when(F.col(away), F.col(f"_found.{c}")).otherwise(F.col(f"_side_{c}")) for c in values}
+    return joined.withColumns(taken).drop("_heavy", "_found", *[f"_side_{c}" for c in values])
+
+
 def lookup(flow: DataFrame, dim: DataFrame, keys: list[str], policy: JoinPolicy = JoinPolicy(),
            how: str = "left", bound: DataFrame | None = None) -> DataFrame:
     """``attach`` after measuring; ``how`` may also be left_semi or left_anti.

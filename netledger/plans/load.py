@@ -11,6 +11,7 @@ from netledger import schemas
 from netledger.operators.dedup import top_one
 from netledger.operators.lookups import loader_key
 from netledger.plans.settlement import Dimensions
+from netledger.plans.sides import write_sides
 from netledger.sinks import publish
 from netledger.sources import flowfiles
 from netledger.sources.dimensions import keep_last, parse_dimension, read_dimension
@@ -22,7 +23,8 @@ def load_dimensions(spark: SparkSession, files: dict[str, str], target: str) ->
 
     A load writes its rows, merged over those of the version before, into a folder of its own and then claims the next version number
     for it. A load that finds the number taken by another one merges again over that one's rows, so loads at the same time keep the keys
-    of both. Readers open the newest version; those that still read an older one keep it.
+    of both. Readers open the newest version; those that still read an older one keep it. Once all tables are loaded, their lookup
+    sides are stored for the streams as well.
     """
     for name, paths in files.items():
         parsed = parse_dimension(read_lines(spark, paths), name)
@@ -45,6 +47,8 @@ def load_dimensions(spark: SparkSession, files: dict[str, str], target: str) ->
             if publish.claim(spark, f"{target}/published/{name}", 0 if current is None else current + 1, folder):
                 break
             publish.remove(spark, f"{target}/{name}/{folder}")
+    if all(published(spark, target, name) is not None for name in schemas.DIMENSION_COLUMNS):
+        write_sides(open_dimensions(spark, target), target)
 
 
 def published(spark: SparkSession, target: str, name: str) -> int | None:

@@ -19,7 +19,7 @@ from netledger.functions import money
 from netledger.functions.text import key_of, slice_text
 from netledger.operators import filters, lookups
 from netledger.operators.dedup import latest
-from netledger.operators.joins import JoinPolicy, Spread, attach, fits_broadcast, heavy_values
+from netledger.operators.joins import JoinPolicy, Spread, attach, attach_stored, fits_broadcast, heavy_rows, heavy_values, within_budget
 from netledger.operators.totals import merchant_totals
 
 
@@ -30,9 +30,13 @@ class Dimensions:
     mappings: DataFrame
     fees: DataFrame
     version: str = ""
+    #: Sides that a load has stored (``plans.sides``): name -> the bucketed table and its bytes.
+    stored: dict[str, tuple[DataFrame, int]] | None = None
 
     def files(self) -> frozenset[str]:
-        """The files the tables are read from; empty when some table has none."""
+        """The files the tables are read from, or the publication of the stored sides; empty when some table has none."""
+        if self.stored:
+            return frozenset([self.version])
         names = [df.inputFiles() for df in (self.codes, self.groups, self.mappings, self.fees)]
         return frozenset(f for part in names for f in part) if all(names) else frozenset()
 
@@ -96,17 +100,45 @@ SIDE_KEYS = {"codes": "txn_key", "groups": "_merchant", "fees": "_merchant",
 SIDES = tuple(SIDE_KEYS)
 
 
+def stored_name(name: str, job: Job) -> str:
+    """The name under which a side is stored; the flows differ in their stores only."""
+    return f"stores_{job.name}" if name == "stores" else name
+
+
+def reduced(dims: Dimensions, job: Job, name: str) -> DataFrame:
+    """A side from its dimension: at most one row per key."""
+    if name == "codes":
+        return lookups.codes(dims.codes)
+    if name == "groups":
+        return lookups.group_lists(dims.groups).withColumnRenamed("item", "_merchant")
+    if name == "terminals":
+        return lookups.first_mapping(dims.mappings, lookups.TERMINAL_TYPE, "_terminal_item", "_terminal_result")
+    if name == "stores":
+        return lookups.first_mapping(dims.mappings, job.store_type, "_store_item", "_store_result")
+    return lookups.best_profile(dims.fees).select(
+        F.col("mer_no").alias("_merchant"), F.lit(True).alias("_has_profile"), "credit_calc_type",
+        "credit_calc_rate", "credit_calc_amt", "credit_min_amt", "credit_max_amt")
+
+
 class Lookups:
     """The dimensions reduced to one row per key, with the measured way to join each.
 
     A reduced side is never larger than its input (a joined group list holds the same
     characters plus separators, covered by the row overhead), so measuring the input
-    bounds what is broadcast and needs no shuffle.
+    bounds what is broadcast and needs no shuffle. Stored sides are reduced and measured already.
     """
 
     def __init__(self, dims: Dimensions, job: Job, policy: JoinPolicy = JoinPolicy(),
                  names: tuple[str, ...] = SIDES):
         self.dims, self.job, self.policy, self.names = dims, job, policy, names
+        self._kept: dict[str, DataFrame] = {}
+        #: What the sides of broadcast size leave of the budget, known for stored sides only.
+        self.budget = 0
+        if dims.stored:
+            sizes = {name: dims.stored[stored_name(name, job)][1] for name in names}
+            self.small = within_budget(sizes, policy.broadcast_bytes) if policy.broadcast_bytes > 0 else set()
+            self.budget = policy.broadcast_bytes - sum(sizes[name] for name in self.small)
+            return
         mappings = dims.mappings.select("type_id", "src_item", "map_result")
         inputs = {
             "codes": dims.codes.select("txn_key", "sett_flg", "dc_flg"),
@@ -116,7 +148,6 @@ class Lookups:
             "fees": dims.fees,
         }
         self.small = fits_broadcast({name: inputs[name] for name in names}, policy)
-        self._kept: dict[str, DataFrame] = {}
 
     def keep(self) -> Lookups:
         """Cache the sides of broadcast size, for use by many batches."""
@@ -132,31 +163,24 @@ class Lookups:
         """The reduced dimension: at most one row per key."""
         if name in self._kept:
             return self._kept[name]
-        dims = self.dims
-        if name == "codes":
-            return lookups.codes(dims.codes)
-        if name == "groups":
-            return lookups.group_lists(dims.groups).withColumnRenamed("item", "_merchant")
-        if name == "terminals":
-            return lookups.first_mapping(dims.mappings, lookups.TERMINAL_TYPE, "_terminal_item",
-                                         "_terminal_result")
-        if name == "stores":
-            return lookups.first_mapping(dims.mappings, self.job.store_type, "_store_item",
-                                         "_store_result")
-        return lookups.best_profile(dims.fees).select(
-            F.col("mer_no").alias("_merchant"), F.lit(True).alias("_has_profile"), "credit_calc_type",
-            "credit_calc_rate", "credit_calc_amt", "credit_min_amt", "credit_max_amt")
+        if self.dims.stored:
+            return self.dims.stored[stored_name(name, self.job)][0]
+        return reduced(self.dims, self.job, name)
 
 
 class Attacher:
     """Joins lookup sides to a flow; sides with an equal key share one division of it.
 
+    A stored side is joined bucket by bucket without an exchange of its own while the rows of its heavy keys fit into what is left
+    of the broadcast budget, else divided like any other.
+
     ``weigh`` is the flow before deduplication: it tells which keys are heavy. A stream's keys cannot be counted before; for it
     ``heavy`` names a list of them that was counted earlier (see ``heavy_list``), or is empty. Rows without a key are scattered in any case.
     """
 
     def __init__(self, tables: Lookups, weigh: DataFrame, heavy: dict[str, DataFrame] | None = None):
         self.tables, self.weigh = tables, weigh
+        self.budget = tables.budget
         self.spreads: dict[str, Spread] = {}
         if heavy is not None:
             for key in dict.fromkeys(SIDE_KEYS.values()):
@@ -169,7 +193,13 @@ class Attacher:
         key, side = SIDE_KEYS[name], self.tables.side(name)
         if name in self.tables.small:
             return attach(flow, side, [key], True)
-        return attach(flow, side, [key], False, self._spread(key))
+        spread = self._spread(key)
+        if self.tables.dims.stored:
+            rows, size = heavy_rows(side, key, spread.heavy)
+            if size <= self.budget:
+                self.budget -= size
+                return attach_stored(flow, side, key, rows, self.tables.job.dedup_keys)
+        return attach(flow, side, [key], False, spread)
 
     def _spread(self, key: str) -> Spread:
         """All large sides' keys are counted together on the first use."""
