@@ -27,23 +27,36 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
 OP5 = """
-WITH a AS (
-  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS s FROM pages),
+WITH u AS (SELECT page_id, url, html, row_number() OVER () AS r FROM pages),
+own AS (
+  SELECT *, translate(regexp_extract(CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END, '^[^/?#]*'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS h0 FROM u),
+bad AS (
+  SELECT *, regexp_matches(h0, '(^|[.])(spam-farm|cheap-pills)[.]') AS site FROM own
+  WHERE regexp_matches(h0, '(^|[.])(spam-farm|cheap-pills)[.]')
+    OR len(regexp_extract_all(regexp_extract(html, '<title>([^<]*)</title>', 1), '[%*#$]{3}')) >= 2),
+links AS (SELECT h0, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS t FROM bad WHERE site),
+everything AS (
+  SELECT r, page_id, url FROM u UNION ALL SELECT NULL, NULL, url FROM bad
+  UNION ALL SELECT NULL, NULL, CASE WHEN instr(t, '://') > 0 THEN t WHEN starts_with(t, '/') THEN 'http://' || h0 || t END FROM links),
+a AS (
+  SELECT r, page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS s FROM everything),
 p AS (
-  SELECT page_id, translate(regexp_extract(s, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  SELECT r, page_id, translate(regexp_extract(s, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(s, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
-c AS (
+e AS (
   SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)[.]', '')
     || regexp_replace(regexp_replace(path, '[.]html$', ''), '/$', '') END AS canon FROM p),
-listed AS (SELECT DISTINCT canon FROM c WHERE regexp_matches(host, '(^|[.])(spam-farm|cheap-pills)[.]')),
+listed AS (SELECT DISTINCT canon FROM e WHERE r IS NULL),
+c AS (SELECT * FROM e WHERE r IS NOT NULL),
 rules(verdict, h, t) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
   ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
 best AS (
-  SELECT page_id, max_by(h || t, length(h || t)) AS rule, max_by(verdict, length(h || t)) AS v FROM c, rules
-  WHERE (host = h OR host LIKE '%.' || h) AND starts_with(path, t) GROUP BY page_id)
+  SELECT r, max_by(h || t, length(h || t)) AS rule, max_by(verdict, length(h || t)) AS v FROM c, rules
+  WHERE (host = h OR host LIKE '%.' || h) AND starts_with(path, t) GROUP BY r)
 SELECT page_id, host, path, rule,
   coalesce(v, CASE WHEN canon IN (SELECT canon FROM listed WHERE canon IS NOT NULL) THEN 'block' ELSE 'allow' END) AS verdict
-FROM c LEFT JOIN best USING (page_id)
+FROM c LEFT JOIN best USING (r)
 """
 
 OP6 = """

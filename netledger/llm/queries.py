@@ -61,11 +61,20 @@ URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block",
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list: the URLs of sites that are known for spam, as far as the pages hold them."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    """The list: what pages of two spam sites link to, and the URLs of pages that are spam by their site or by a title full of symbols.
+
+    A page is listed under one form of its URL and found under any; most pages with a listed host or path are not listed.
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     host = urlfilter.host_of(F.col("url"))
-    listed = pages.filter(F.col("url").isNotNull() & host.rlike(r"(^|\.)(spam-farm|cheap-pills)\."))
-    judged = urlfilter.filter_urls(pages, listed, URL_RULES, keep=["page_id"])
+    site = F.coalesce(host.rlike(r"(^|\.)(spam-farm|cheap-pills)\."), F.lit(False))
+    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    noisy = F.coalesce(F.size(F.regexp_extract_all(title, F.lit("[%*#$]{3}"), 0)) >= 2, F.lit(False))
+    links = F.transform(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"')), lambda to: F.when(
+        F.instr(to, "://") > 0, to).when(to.startswith("/"), F.concat(F.lit("http://"), host, to)))
+    listed = pages.filter(site | noisy).select(F.explode(F.concat(
+        F.array("url"), F.when(site & F.col("html").isNotNull(), links).otherwise(F.array().cast("array<string>")))).alias("url"))
+    judged = urlfilter.filter_urls(pages.drop("html"), listed, URL_RULES, keep=["page_id"])
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -4,14 +4,15 @@ Listed URLs are brought to canonical form and hashed. The hash picks one 64-bit
 ``bits`` bits in it; the filter is the bitwise or of the listed masks per block. It has at most
 ``max_blocks`` blocks, so the broadcast side is at most 16 MB however long the list is (a longer list passes more
 false positives, no fewer hits). A page whose bits are all set goes on to a hash join with the listed URLs
-themselves, which removes false positives; all other pages never leave their task. A page that many rows
-share is divided by a salt, and its listed URL is copied to the salts, so no key gathers in one task.
+themselves, which removes false positives; all other pages never leave their task. URLs that more than a part's rows share are
+counted before; their rows go to as many parts as they need, and the listed URL is copied to each. The list is written once in canonical form.
 
 Rules of (verdict, host, path) come first: a rule fits its host and all subdomains of it where the path
 starts with the rule's; the longest fitting rule (host and path together) decides.
 
 Only built-in column functions run here. Defined results: null or ``://``-less URLs have an empty host and path, fit no
-rule, are not listed and are allowed; repeated rows keep their rows; an empty list allows all that no rule blocks.
+rule, are not listed and are allowed; repeated rows keep their rows; an empty list allows all that no rule blocks; of fitting rules of
+equal length, which the same host and path make equal, the one given last decides; very long URLs are hashed and compared whole.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netledger.llm.common import aside, besides, marked, placed
+from netledger.llm.common import aside, besides, marked, placed, written
+from netledger.operators.joins import JoinPolicy, Spread, attach
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -56,19 +58,19 @@ def ruled(pages: DataFrame, rules: list[tuple[str, str, str]]) -> Column:
 
 def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]], url: str = "url",
                 listed_url: str = "url", bits: int = 6, urls_per_block: int = 5, max_blocks: int = 1 << 20,
-                salts: int = 32, keep: list[str] | None = None) -> DataFrame:
+                policy: JoinPolicy = JoinPolicy(), keep: list[str] | None = None) -> DataFrame:
     """Pages with host, path, rule, listed and verdict."""
     names = ["host", "path", "rule", "listed", "verdict"]
     passed_on = besides(names, pages.columns if keep is None else keep)
     keep = placed(passed_on)
-    urls = listed.select(canonical(F.col(listed_url)).alias("_url")).filter("_url IS NOT NULL").distinct()
+    urls = written(listed.select(canonical(F.col(listed_url)).alias("_url")).filter("_url IS NOT NULL").distinct(), "listed")
     asked = pages.select(*aside(passed_on), F.col(url).alias("_asked")).withColumns(
         {"host": host_of(F.col("_asked")), "path": path_of(F.col("_asked")), "_url": canonical(F.col("_asked"))})
     asked = asked.withColumn("_rule", ruled(asked, rules))
     passed = marked(asked, "_url", urls, "_url", "_may", bits, urls_per_block, max_blocks)
-    salted = passed.filter("_may").withColumn("_salt", F.pmod(F.xxhash64(*keep, "_asked"), F.lit(salts)).cast("int"))
-    exact = urls.withColumn("listed", F.lit(True)).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    hits = salted.join(exact.hint("shuffle_hash"), ["_url", "_salt"], "left")
+    may = passed.filter("_may")
+    spread = Spread(may, ["_url"], "_part", policy, mark=["_asked"])
+    hits = attach(may, urls.withColumn("listed", F.lit(True)), ["_url"], False, spread)
     columns = [*keep, "host", "path", "_rule", F.coalesce("listed", F.lit(False)).alias("listed")]
     out = hits.select(columns).union(
         passed.filter("NOT _may").withColumn("listed", F.lit(False)).select(columns))

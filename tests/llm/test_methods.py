@@ -14,6 +14,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
@@ -21,6 +22,7 @@ import corpus_pipeline
 from netledger.llm import bpe, decontaminate, langid, neardup, quality, resample, secrets, substring, urlfilter
 from netledger.llm.common import Words, components
 from netledger.llm.queries import vocabulary
+from netledger.operators.joins import JoinPolicy
 from tests.compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
@@ -212,6 +214,22 @@ def test_url_filter_has_no_false_positive(spark):
         assert {r["page_id"] for r in out.filter("verdict = 'block'").collect()} == set(range(0, 3000, 7)) and out.count() == 3000
 
 
+def test_url_filter_divides_a_url_that_many_rows_share(spark):
+    """Equal rows of one listed URL go to as many parts as they need; the extra map column and clashing names stay."""
+    pages = spark.range(0, 9000, 1, 16).selectExpr(
+        "id AS page_id", "if(id % 3 = 0, 'http://www.hot.example/a.html?x', concat('http://h.example/', id % 500)) AS url", "map('k', id) AS listed")
+    listed = spark.createDataFrame([("https://m.hot.example/a/",), ("http://h.example/7#x",), (None,), ("no host",)], "url string")
+    out = urlfilter.filter_urls(pages, listed, [], policy=JoinPolicy(rows_per_part=200))
+    blocked = out.filter("verdict = 'block'")
+    assert blocked.count() == sum(1 for i in range(9000) if i % 3 == 0 or i % 500 == 7) and out.count() == 9000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else such small parts are put together again
+    try:
+        held = out.filter("host = 'www.hot.example'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in held) == 3000 and len(held) > 2
+
+
 @given(st.lists(st.lists(st.sampled_from("abc"), max_size=40), max_size=5), st.integers(2, 6), st.integers(0, 5))
 @settings(max_examples=200, deadline=None)
 def test_equal_windows_have_equal_anchors(docs, window, rounds):
