@@ -23,8 +23,9 @@ whole; repeated rows count as documents of their own, so they repeat each other;
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from hashlib import sha256
+from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +33,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netledger.llm.common import WORDS, arrow_columns, aside, besides, in_arrow, mixed, placed, sift, text_bytes, written
+from netledger.llm.common import arrow_columns, aside, besides, in_arrow, mixed, placed, sift, text_bytes, written
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Words that are worked on at once, besides one longer document.
 CHUNK = 40_000
+#: Bytes of a text whose words are hashed at once, and the longest word that is hashed by table.
+BLOCK, LONG = 1 << 18, 64
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_AFTER = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def recompress(hashes: np.ndarray, fixed: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,6 +81,38 @@ def recompress(hashes: np.ndarray, fixed: np.ndarray, rounds: int) -> tuple[np.n
     return low, high
 
 
+#: A 64-bit number for each byte at each place of a word.
+_TABLE = mixed(mixed(np.arange(LONG * 256, dtype=np.uint64) * _A + _B) + _C)
+
+
+def word_hashes(data: bytes | None) -> np.ndarray:
+    """The 64-bit hashes of a text's words in their order, by tabulation: sums of a number per byte and place in the word.
+
+    A text is read block by block (a block ends with a word); the few words longer than the table are hashed one by one.
+    """
+    if not data:
+        return np.zeros(0, np.uint64)
+    out, at = [], 0
+    while at < len(data):
+        cut = _AFTER.search(data, at + BLOCK)
+        end = cut.start() if cut else len(data)
+        codes = np.frombuffer(data, np.uint8, end - at, at)
+        solid = ~_SPACE[codes]
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], solid, [False]]).astype(np.int8)))
+        head, tail = edges[::2], edges[1::2]
+        if len(head):
+            size = tail - head
+            first = np.cumsum(size) - size  # among the bytes of words
+            place = np.minimum(np.arange(int(size.sum())) - np.repeat(first, size), LONG - 1)
+            sums = np.add.reduceat(_TABLE[place * 256 + codes[solid]], first)
+            found = mixed(sums + size.astype(np.uint64) * _C)
+            for k in np.flatnonzero(size > LONG).tolist():
+                found[k] = int.from_bytes(blake2b(data[at + head[k]:at + tail[k]], digest_size=8).digest(), "little")
+            out.append(found)
+        at = end
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 class Ranges:
     """Hashes of word ranges by prefix sums; the two ways are independent."""
 
@@ -94,6 +131,28 @@ class Ranges:
         return mixed((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
 
 
+def _least_over(first: np.ndarray, last: np.ndarray, count: int) -> np.ndarray:
+    """For each of ``count`` places the number of the first interval (in the order given) that covers it, else their number.
+
+    An interval is two overlapping ones of a power of two places; those of one size hand down to the next smaller, so the work
+    does not grow with the intervals' length.
+    """
+    none = len(first)
+    depth = np.frexp(last - first + 1)[1] - 1
+    out = np.full(count, none)
+    for level in range(int(depth.max(initial=0)), -1, -1):
+        size = 1 << level
+        given = np.flatnonzero(depth == level)[::-1]  # written last, the first interval stays
+        for at in (first[given], last[given] - size + 1):
+            own = np.full(count, none)
+            own[at] = given
+            np.minimum(out, own, out=out)
+        if level:
+            half = size >> 1
+            np.minimum(out[half:], out[:-half].copy(), out=out[half:])
+    return out
+
+
 def anchors(texts: list[np.ndarray], window: int, rounds: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each text the anchor key of each of its windows, and where the first symbol of this key in it begins."""
     long = [t for t in texts if len(t) >= window]
@@ -115,19 +174,15 @@ def anchors(texts: list[np.ndarray], window: int, rounds: int) -> list[tuple[np.
     low, high = low[whole], high[whole]
     ranges = Ranges(hashes, 0)
     key = ranges(low, high + 1)
+    # The windows that hold a range run from its begin to its low: their least range by key, then place.
+    begin = np.maximum(low - (window - (high - low)) + 1, 0)
+    order = np.lexsort((low, key))
+    least = _least_over(begin[order], low[order], count)
+    bare = least == len(order)
     best, spot = np.full(count, _NONE), np.arange(count)
-    reach = window - (high - low)  # windows from ``reach`` - 1 words before a range up to its start hold it
-    for step in range(int(reach.max(initial=0))):
-        fits = (low >= step) & (step < reach)
-        np.minimum.at(best, low[fits] - step, key[fits])
-    bare = np.flatnonzero(best[:count - window] == _NONE)
+    best[~bare], spot[~bare] = key[order[least[~bare]]], low[order[least[~bare]]]
+    bare = np.flatnonzero(bare[:count - window])
     best[bare] = ranges(bare, bare + window)
-    spot[best != _NONE] = count
-    spot[bare] = bare
-    for step in range(int(reach.max(initial=0))):
-        fits = (low >= step) & (step < reach)
-        fits[fits] = best[low[fits] - step] == key[fits]
-        np.minimum.at(spot, low[fits] - step, low[fits])
     found = iter([(best[at:at + n - window + 1], spot[at:at + n - window + 1]) for at, n in zip(place, size, strict=True)])
     return [next(found) if len(t) >= window else none for t in texts]
 
@@ -140,19 +195,19 @@ def stretches(best: np.ndarray, spot: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return head, np.append(head[1:], len(best)) - 1
 
 
-def _chunks(batch: pa.RecordBatch, text: str, window: int, rounds: int) -> Iterator[tuple[int, list[bytes], np.ndarray, tuple]]:
-    """(row, words, hashes, anchors) of each row; many short texts are worked on at once."""
-    held: list[tuple[int, list[bytes], np.ndarray]] = []
+def _chunks(batch: pa.RecordBatch, text: str, window: int, rounds: int) -> Iterator[tuple[int, bytes, np.ndarray, tuple]]:
+    """(row, text, hashes of its words, anchors) of each row; many short texts are worked on at once."""
+    held: list[tuple[int, bytes, np.ndarray]] = []
     total = 0
 
     def flush():
-        for (row, words, hashes), best in zip(held, anchors([h for _, _, h in held], window, rounds), strict=True):
-            yield row, words, hashes, best
+        for (row, data, hashes), best in zip(held, anchors([h for _, _, h in held], window, rounds), strict=True):
+            yield row, data, hashes, best
 
     for row, data in enumerate(text_bytes(batch, text)):
-        words = (data or b"").split()
-        held.append((row, words, WORDS.hashed(words)))
-        total += len(words)
+        hashes = word_hashes(data)
+        held.append((row, data or b"", hashes))
+        total += len(hashes)
         if total >= CHUNK:
             yield from flush()
             held, total = [], 0
@@ -218,8 +273,9 @@ def remove_repeats(documents: DataFrame, window: int = 35, text: str = "text", d
         sure = batch.column("sure").to_pylist() if "sure" in batch.schema.names else [None] * batch.num_rows
         undecided = batch.column("open").to_pylist() if "open" in batch.schema.names else [None] * batch.num_rows
         columns: list[list] = [[] for _ in second.names]
-        for place, words, hashes, best in _chunks(batch, "_text", window, rounds) if any(s is not None for s in sure) else (
-                (k, (t or b"").split(), None, None) for k, t in enumerate(text_bytes(batch, "_text"))):
+        for place, data, _, best in _chunks(batch, "_text", window, rounds) if any(s is not None for s in sure) else (
+                (k, t or b"", None, None) for k, t in enumerate(text_bytes(batch, "_text"))):
+            words = data.split()
             covered, asked = np.zeros(len(words), bool), b""
             if sure[place]:
                 covered = _cover(len(words), np.flatnonzero(np.isin(best[0], _unsigned(sure[place]))), window)
@@ -284,6 +340,6 @@ def _unsigned(values: list[int]) -> np.ndarray:
 
 
 def _window_hashes(data: bytes, asked: bytes, window: int) -> tuple[np.ndarray, np.ndarray]:
-    hashes = WORDS.hashed((data or b"").split())
+    hashes = word_hashes(data)
     starts = np.frombuffer(asked, np.int32).astype(np.int64)
     return Ranges(hashes, 0)(starts, starts + window), Ranges(hashes, 1)(starts, starts + window)

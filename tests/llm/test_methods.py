@@ -246,6 +246,30 @@ def test_equal_windows_have_equal_anchors(docs, window, rounds):
     assert all(len(keys) == 1 for keys in seen.values())
 
 
+@given(st.text(st.sampled_from("ab\u00e9\u4e2d \t\n\x0b\x1f\u00a0"), max_size=60), st.integers(1, 40))
+@settings(max_examples=300, deadline=None)
+def test_word_hashes_tell_words_apart(text, block):
+    data = (text + " " + "x" * 64 + " " + "x" * 65 + "\n" + text).encode()
+    before, substring.BLOCK = substring.BLOCK, block
+    try:
+        hashes = substring.word_hashes(data).tolist()
+    finally:
+        substring.BLOCK = before
+    words = data.split()
+    assert len(hashes) == len(words) and hashes == substring.word_hashes(data).tolist()
+    assert len(set(zip(words, hashes, strict=True))) == len(set(words)) == len(set(hashes))
+    assert substring.word_hashes(None).size == substring.word_hashes(b" \n").size == 0
+
+
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_first_interval_over_each_place(pairs):
+    spans = [(min(p), max(p)) for p in pairs]
+    first, last = (np.array([s[k] for s in spans], np.int64) for k in (0, 1))
+    assert substring._least_over(first, last, 31).tolist() == [
+        next((k for k, (a, b) in enumerate(spans) if a <= place <= b), len(spans)) for place in range(31)]
+
+
 def removed(docs: dict, window: int) -> dict:
     places: dict[tuple, list] = {}
     for name, words in docs.items():
