@@ -12,7 +12,11 @@ def square(value: Column) -> Column:
 
 
 def register(spark: SparkSession) -> None:
-    """Register ``sqr(x)`` and ``decode_list(text)`` as temporary SQL functions."""
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION sqr(x INT) RETURNS INT RETURN x * x")
+    """Register ``sqr(x)`` and ``decode_list(text)`` as temporary SQL functions.
+
+    ``sqr`` is the product of two Java ints, of which the low 32 bits remain; ANSI arithmetic would stop at |x| > 46340.
+    """
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION sqr(x INT) RETURNS INT RETURN "
+              "CAST(shiftright(shiftleft(CAST(x AS BIGINT) * CAST(x AS BIGINT), 32), 32) AS INT)")
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION decode_list(t STRING) RETURNS INT "
               f"RETURN {decode_list_sql('t')}")

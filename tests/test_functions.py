@@ -43,6 +43,14 @@ def test_sqr(spark):
     assert spark.sql("SELECT sqr(-3) AS v").first().v == 9
 
 
+def test_sqr_of_large_values(spark):
+    register(spark)
+    for x in (46340, 46341, 89999, -65536, 2147483647, -2147483648):
+        wrapped = (x * x + (1 << 31)) % (1 << 32) - (1 << 31)
+        assert spark.sql(f"SELECT sqr(CAST({x}L AS INT)) AS v").first().v == wrapped
+    assert spark.sql("SELECT sqr(NULL) AS v").first().v is None
+
+
 def test_text_helpers(spark):
     df = frame(spark, [("abcdef", "a,APL", None)], "a string, g string, n string")
     row = df.select(slice_text("a", 2, 4).alias("s"), slice_text("a", 4, 50).alias("t"),
