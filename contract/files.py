@@ -12,11 +12,13 @@ from netledger.sources.lines import write_lines
 
 SHOP = "商户"
 PURCHASE = "消费"
+#: Lines in one compressed file.
+FILE_ROWS = 500_000
 
 
 def _write(lines: DataFrame, spark: SparkSession, label: str) -> str:
     path = work_path(spark, label)
-    write_lines(lines, path)
+    write_lines(lines, path, file_rows=FILE_ROWS)
     return path
 
 

@@ -37,10 +37,14 @@ def read_lines(spark: SparkSession, paths: str | list[str], charset: str = "GBK"
         F.monotonically_increasing_id().alias("row")).alias("position"))
 
 
-def write_lines(lines: DataFrame, path: str, charset: str = "GBK") -> None:
+def write_lines(lines: DataFrame, path: str, charset: str = "GBK", file_rows: int | None = None) -> None:
     """Write the single string column of ``lines`` as text in ``charset``.
 
-    ``lines`` has to belong to a GBK-capable session when ``charset`` is GBK.
+    ``lines`` has to belong to a GBK-capable session when ``charset`` is GBK. With ``file_rows`` the files are compressed, which
+    readers see by their names, and hold so many lines at most, as a compressed file is read by one task.
     """
-    (lines.write.mode("overwrite").options(**ONE_COLUMN).option("escapeQuotes", "false")
-     .option("emptyValue", "").option("encoding", charset).csv(path))
+    writer = (lines.write.mode("overwrite").options(**ONE_COLUMN).option("escapeQuotes", "false")
+              .option("emptyValue", "").option("encoding", charset))
+    if file_rows:
+        writer = writer.option("compression", "gzip").option("maxRecordsPerFile", file_rows)
+    writer.csv(path)
