@@ -28,11 +28,15 @@ def _digits(value: Column, width: int) -> Column:
     return F.lpad(value.cast("string"), width, "0")
 
 
-def normal_flow(spark: SparkSession, folder: str) -> DataFrame:
+def normal_flow(spark: SparkSession, folder: str, parts: int | None = None) -> DataFrame:
+    """The NORMAL flow; with ``parts`` its rows are dealt to so many by their id (the table's rows, which are narrower)."""
     li = table(spark, folder, "lineitem")
     part = F.col("l_partkey")
+    id_ = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    if parts:
+        li = li.repartition(parts, id_)
     return li.select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"),
+        id_.alias("id"),
         F.when(part % 2 == 0, "0200").otherwise("0400").alias("msg_type"),
         _digits(F.col("l_linenumber"), 2).alias("proc_code"),
         _digits(part % 3, 2).alias("ser_concode"),
@@ -47,10 +51,13 @@ def normal_flow(spark: SparkSession, folder: str) -> DataFrame:
         F.struct("l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey", "l_quantity").alias("arrival"))
 
 
-def incre_flow(spark: SparkSession, folder: str) -> DataFrame:
+def incre_flow(spark: SparkSession, folder: str, parts: int | None = None) -> DataFrame:
+    """The INCRE flow; with ``parts`` its rows are dealt to so many by ``plt_ssn``."""
     orders = table(spark, folder, "orders")
     merchants = table(spark, folder, "supplier").agg(F.count(F.lit(1))).scalar()
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    if parts:
+        orders = orders.repartition(parts, _digits(key, 12))
     codes = F.array(*[F.lit(c) for c in ("02S221X1", "02V523X1", "07S30609", "02S221X0", "02V523X0",
                                          "02R222X0", "99Z")])
     return orders.select(

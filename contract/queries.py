@@ -468,16 +468,22 @@ def union_flows(spark, folder):
 
 # Streams
 
-def _message_files(spark, folder, job) -> tuple[str, int]:
-    """The whole flow, with its repeated keys, as JSON text files; returns the folder and files per batch.
+#: Messages in one compressed file; a flow of fewer than six times as many is dealt to six files.
+FILE_ROWS = 250_000
+
+
+def _message_files(spark, folder, job, batches: int = 3) -> tuple[str, int]:
+    """The whole flow, with its repeated keys, as compressed JSON text files; returns the folder and files per batch.
 
     All rows of a key are in one file, so batches of files deduplicate as the whole does; messages carry their order.
+    The number of files grows with the table, that of batches does not.
     """
-    flow = fx.normal_flow(spark, folder) if job is NORMAL else fx.incre_flow(spark, folder)
+    name, flow_of = ("lineitem", fx.normal_flow) if job is NORMAL else ("orders", fx.incre_flow)
+    flow = flow_of(spark, folder, max(6, -(-fx.table(spark, folder, name).count() // FILE_ROWS)))
     path = work_path(spark, "messages")
     text = _positioned(flow) if job is NORMAL else parse.message_text(schemas.INCRE_KEYS).alias("value")
-    flow.repartition(6, *job.dedup_keys).select(text).write.text(path)
-    return path, max(1, -(-len(spark.read.text(path).inputFiles()) // 3))
+    flow.select(text).write.text(path, compression="gzip")
+    return path, max(1, -(-len(spark.read.text(path).inputFiles()) // batches))
 
 
 def _streamed(spark, folder, job):
@@ -521,15 +527,15 @@ def stream_stored_sides(spark, folder):
 
 @query
 def stream_restarted(spark, folder):
-    """A stream with its interval and one file a batch, stopped in the middle and started again: the totals are those of one run."""
-    path, _ = _message_files(spark, folder, NORMAL)
+    """A stream with its interval and a sixth of the files a batch, stopped in the middle and started again: the totals are those of one run."""
+    path, per_batch = _message_files(spark, folder, NORMAL, batches=6)
     stream = SettlementStream(NORMAL, lambda s: fx.dimensions(s, folder), work_path(spark, "run"))
     try:
-        running = stream.start(messages.file_stream(spark, path, 1))
+        running = stream.start(messages.file_stream(spark, path, per_batch))
         while running.isActive and len(stream.committed(spark)) < 2:
             time.sleep(0.1)
         running.stop()
-        stream.start(messages.file_stream(spark, path, 1), once=True).awaitTermination()
+        stream.start(messages.file_stream(spark, path, per_batch), once=True).awaitTermination()
     finally:
         stream.close()
     return _money_out(stream.totals(spark))
@@ -566,7 +572,8 @@ def stream_with_duplicates(spark, folder):
     try:
         for code in ("00", "05", "10"):
             part = flow.filter(F.col("resp_code") == code)
-            part.select(_positioned(part)).write.mode("append").text(path)
+            (part.select(_positioned(part)).write.mode("append").option("maxRecordsPerFile", FILE_ROWS)
+             .text(path, compression="gzip"))
             stream.start(messages.file_stream(spark, path), once=True).awaitTermination()
     finally:
         stream.close()

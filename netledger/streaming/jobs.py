@@ -48,6 +48,7 @@ class SettlementStream:
     job: Job
     dimensions: Callable[[SparkSession], Dimensions]
     folder: str
+    #: The fewest tasks a batch is parsed in; a batch that comes in more keeps them.
     fan_out: int | None = None
     policy: JoinPolicy = field(default_factory=JoinPolicy)
     #: Tells which version of the dimensions is published, without opening them (``load.version_of``).
@@ -106,7 +107,10 @@ class SettlementStream:
 
     def _parse(self, batch: DataFrame) -> DataFrame:
         rows = with_arrival(batch)
-        return reader_of(self.job)(rows.repartition(self.fan_out) if self.fan_out else rows)
+        if self.fan_out and batch.rdd.getNumPartitions() < self.fan_out:
+            rows = rows.repartition(self.fan_out)
+        # Only the quarantine takes the text.
+        return reader_of(self.job)(rows).withColumn("value", F.when(F.col("problem").isNotNull(), F.col("value")))
 
     def _settle(self, parsed: DataFrame, batch_id: int) -> None:
         spark = parsed.sparkSession
