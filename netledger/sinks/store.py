@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netledger.operators.dedup import top_one
+from netledger.operators.dedup import top_one_of_many
 from netledger.operators.joins import JoinPolicy, lookup
 from netledger.sinks import publish
 
@@ -110,17 +110,30 @@ class KeyedStore:
         version = self._known(rows, arrival)
         columns = [c for c in rows.columns if c not in (self.key, arrival)]
         listed = F.array(*map(F.lit, columns)) if columns else F.array().cast("array<string>")
-        own = {"_bucket": self._bucket(F.col(f"`{self.key}`"), version.buckets), "_names": listed if names is None else names, "_gone": F.lit(gone),
-               "_tie": F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])}
-        out = rows.withColumns(own)
+        own = {"_names": listed if names is None else names, "_gone": F.lit(gone),
+               "_tie": F.xxhash64(*[F.col(f"`{'_arrival' if c == arrival else c}`") for c in rows.columns])}
+        out = rows.withColumnRenamed(arrival, "_arrival") if arrival else rows
         target = f"{self.path}/batches/batch_id={batch_id}"
-        self._files(out.withColumnRenamed(arrival, "_arrival") if arrival else out, target)
+        self._files(self._placed(out, version), target, own)
         return target
 
-    def _files(self, rows: DataFrame, target: str) -> None:
-        """One file per bucket, sorted by key, with Bloom filters of the keys."""
-        (rows.filter(F.col(f"`{self.key}`").isNotNull()).repartition("_bucket").sortWithinPartitions("_bucket", f"`{self.key}`")
-         .write.mode("overwrite").option(f"parquet.bloom.filter.enabled#{self.key}", "true").partitionBy("_bucket").parquet(target))
+    def _placed(self, rows: DataFrame, version: Version) -> DataFrame:
+        """Rows with their bucket and their part of it, which follow from the key."""
+        key = F.col(f"`{self.key}`")
+        # Some parts for each task, so that tasks get nearly equal shares of them.
+        parts = max(1, 4 * int(self.spark.conf.get("spark.sql.shuffle.partitions")) // version.buckets)
+        return rows.withColumns({"_bucket": self._bucket(key, version.buckets),
+                                 "_part": F.pmod(F.shiftright(F.xxhash64(key), 32), F.lit(parts)).cast("int")})
+
+    def _files(self, rows: DataFrame, target: str, own: dict[str, Column]) -> None:
+        """Files per bucket, one of each task that holds parts of it, sorted by key, with Bloom filters of the keys.
+
+        The columns ``own`` are added last: names of columns repeat in every row, and neither the exchange nor the sort carries them.
+        """
+        dealt = rows.filter(F.col(f"`{self.key}`").isNotNull()).repartition("_bucket", "_part")
+        (dealt.sortWithinPartitions("_bucket", f"`{self.key}`").drop("_part").withColumns(own)
+         .write.mode("overwrite").option(f"parquet.bloom.filter.enabled#{self.key}", "true")
+         .option("parquet.bloom.filter.adaptive.enabled", "true").partitionBy("_bucket").parquet(target))
 
     def commit(self, batch_id: int, columns: list[str], gone: bool = False) -> None:
         """Mark a batch as whole: readers take it from now on."""
@@ -192,8 +205,9 @@ class KeyedStore:
         """One row per key with ``_names``; ``whole`` says that every put wrote all columns."""
         order = ["batch_id", *(["_arrival"] if "_arrival" in rows.columns else []), "_tie"]
         if whole:
-            last = top_one(rows, [self.key], [F.col(c).desc() for c in order])
-            return last.filter("NOT _gone").select(self.key, *columns, "_names")
+            place = [c for c in ("_bucket", "_part") if c in rows.columns]
+            last = top_one_of_many(rows, [self.key], [F.col(c).desc() for c in order], dealt=tuple(place))
+            return last.filter("NOT _gone").select(self.key, *columns, "_names", *place)
         gone = F.max(F.when(F.col("_gone"), F.col("batch_id"))).alias("_hidden")
         cells = [F.max(F.when(F.array_contains("_names", c), F.struct(*order, F.col(f"`{c}`").alias("v")))).alias(c) for c in columns]
         put = F.max(F.when(~F.col("_gone"), F.col("batch_id"))).alias("_put")
@@ -207,6 +221,14 @@ class KeyedStore:
         return merged.filter(F.col("_put") > hidden).select(
             self.key, *[F.when(shown(c), F.col(f"`{c}`.v")).alias(c) for c in columns], names.alias("_names"))
 
+    def _first_base(self, version: Version, batches: dict[int, dict], buckets: list[int]) -> DataFrame | None:
+        """The merged rows of buckets without a base and of batches of whole rows: placed, without the names, which are all columns."""
+        columns = self._columns(version)
+        if any(b in version.bases for b in buckets) or any(not b["gone"] and set(b["columns"]) != set(columns) for b in batches.values()):
+            return None
+        recent = self._placed(self._recent(version, batches, None if len(buckets) == version.buckets else buckets), version)
+        return self._merge(recent, columns, True).drop("_names")
+
     def _rows(self, version: Version, columns: list[str], buckets: list[int] | None = None, key_is: Column | None = None,
               batches: dict[int, dict] | None = None) -> DataFrame:
         if batches is None:
@@ -217,6 +239,7 @@ class KeyedStore:
         base = base.select(self.key, *columns, "_names")
         if not batches:
             return base
+        based = any(v[0] for b, v in version.bases.items() if buckets is None or b in buckets)
         arrival = ["_arrival"] if "_arrival" in recent.columns else []
         recent = recent.select(self.key, *columns, "_names", "_gone", "_tie", "batch_id", *arrival)
         if key_is is not None:  # few rows: merged without looking which keys are touched
@@ -226,7 +249,7 @@ class KeyedStore:
         if as_rows:
             # A put replaces the row, so the rows of the bases are needed only for keys that no batch touches.
             merged = self._merge(recent, columns, True)
-            return self._untouched(base, recent).unionByName(merged)
+            return self._untouched(base, recent).unionByName(merged) if based else merged
         listed = recent.select(self.key)
         old = lookup(base, listed.distinct(), [self.key], self.policy, "left_semi", bound=listed)
         return self._untouched(base, recent).unionByName(self._merge(recent.unionByName(self._older(old, recent)), columns, False))
@@ -294,9 +317,13 @@ class KeyedStore:
             return
         own = list(range(version.buckets)) if buckets is None else sorted(buckets)
         upto, folder = max(batches), uuid.uuid4().hex
-        rows = self._rows(version, self._columns(version), own, batches=batches).withColumns(
-            {"_bucket": self._bucket(F.col(f"`{self.key}`"), version.buckets), "_gone": F.lit(False), "_tie": F.lit(0).cast("long")})
-        self._files(rows, f"{self.path}/bases/{folder}")
+        columns, added = self._columns(version), {"_gone": F.lit(False), "_tie": F.lit(0).cast("long")}
+        rows = self._first_base(version, batches, own)
+        if rows is None:
+            rows = self._placed(self._rows(version, columns, own, batches=batches), version)
+        else:
+            added["_names"] = F.array(*map(F.lit, columns)) if columns else F.array().cast("array<string>")
+        self._files(rows, f"{self.path}/bases/{folder}", added)
         there = {int(n.split("=")[1]) for n in publish.names(self.spark, f"{self.path}/bases/{folder}") if n.startswith("_bucket=")}
 
         def swap(current: Version) -> Version:
