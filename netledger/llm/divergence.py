@@ -35,7 +35,7 @@ from netledger.llm.common import in_arrow, text_bytes, written
 #: ASCII letters fold to lower case, bytes from 0x80 on stay, all others part terms.
 FOLD = bytes(b | 0x20 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 #: Bytes of postings, and words, that a task holds before it writes them as a run.
-HELD, WORDS_HELD = 96_000_000, 1 << 30
+HELD, WORDS_HELD = 48_000_000, 1 << 30
 #: Postings in one row of a run (about 10 kB, as Spark hands rows to Python by the ten thousand), and rows of a run in one batch.
 PIECE, PIECES = 256, 256
 #: Runs that one heap merges; more are merged in several passes.
