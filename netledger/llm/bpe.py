@@ -27,9 +27,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from netledger.llm.common import arrow_columns, text_bytes
+from netledger.llm.common import arrow_columns, keeps, text_bytes
 
-CACHE_CHARS = 16_000_000
+CACHE_CHARS = 8_000_000
 # Fixed value: the piece pattern of this vocabulary family.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # The same pattern for texts of Latin script below U+0250, where the classes are short, and what such a
@@ -237,6 +237,7 @@ _BUILT: dict[str, Bpe] = {}
 
 def _bpe(content: str) -> Bpe:
     key = hashlib.sha256(content.encode()).hexdigest()
+    keeps(_BUILT.clear)
     if key not in _BUILT:
         _BUILT.clear()
         _BUILT[key] = Bpe(content)

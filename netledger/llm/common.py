@@ -23,13 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch. Spark and the Python worker each hold some copies of one, for every task that runs.
+BATCH_BYTES = 8_000_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def in_arrow(frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
              schema: T.StructType | str) -> DataFrame:
     """``mapInArrow`` on workers that look for this package where the driver found it.
 
-    A cluster whose machines do not have it there gets it as usual, with ``--py-files``.
+    A cluster whose machines do not have it there gets it as usual, with ``--py-files``. The session's batches are
+    bounded by ``BATCH_BYTES`` unless it has a bound of its own; no result depends on it.
     """
-    root, environment = str(Path(__file__).resolve().parents[2]), frame.sparkSession.sparkContext.environment
+    spark = frame.sparkSession
+    if _BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:
         environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, *known) if x)
@@ -65,7 +74,7 @@ def arrow_columns(frame: DataFrame, compute: Callable[[pa.RecordBatch], list[pa.
                   fields: T.StructType, keep: list[str] | None = None) -> DataFrame:
     """Append the columns that ``compute`` makes of each Arrow batch.
 
-    Spark bounds a batch by rows and bytes (``spark.sql.execution.arrow.maxBytesPerBatch``). ``keep``
+    Spark bounds a batch by rows and bytes (see ``in_arrow``). ``keep``
     names the input columns passed on (all by default); one named like a new column is replaced.
     """
     passed = besides(fields.names, frame.columns if keep is None else keep)
@@ -220,6 +229,24 @@ class Words(dict):
 
 #: The words of this worker process, shared by the operators that follow one another in it.
 WORDS = Words()
+#: Empties the tables that this worker process keeps from task to task.
+_KEPT: list[Callable[[], None]] = []
+
+
+def keeps(forget: Callable[[], None]) -> None:
+    """From now on this worker process keeps the tables that ``forget`` empties; other operators' tables are given up."""
+    if _KEPT != [forget]:
+        for other in _KEPT:
+            other()
+        _KEPT[:] = [forget]
+
+
+def hashed(words: list[bytes]) -> np.ndarray:
+    """The 64-bit hash of each word, by the table of this worker process."""
+    keeps(WORDS.forget)
+    return WORDS.hashed(words)
+
+
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 

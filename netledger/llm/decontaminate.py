@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netledger.llm.common import arrow_columns, text_bytes
+from netledger.llm.common import arrow_columns, keeps, text_bytes
 from netledger.session import work_path
 from netledger.sinks.tables import drop
 
@@ -108,6 +108,7 @@ _BUILT: dict[str, Search] = {}
 def _search(items: list[tuple[str, bytes]], window: int, block: int) -> Search:
     """One worker process keeps the tables of the block it works on."""
     key = hashlib.sha256(repr((items, window, block)).encode()).hexdigest()
+    keeps(_BUILT.clear)
     if key not in _BUILT:
         _BUILT.clear()
         _BUILT[key] = Search(items, window, block)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netledger.llm.common import (WORDS, arrow_columns, aside, besides, components, gram_hashes, in_arrow, mixed, placed,
+from netledger.llm.common import (arrow_columns, aside, besides, components, gram_hashes, hashed, in_arrow, mixed, placed,
                                   text_bytes, written)
 
 SIGNED = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("node", T.BinaryType()),
@@ -40,7 +40,7 @@ SIGNED = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField(
 
 def shingles(data: bytes | None, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles."""
-    hashes = WORDS.hashed((data or b"").lower().split())
+    hashes = hashed((data or b"").lower().split())
     if 0 < len(hashes) < size:
         return gram_hashes(hashes, len(hashes)) ^ np.uint64(len(hashes))
     return np.unique(gram_hashes(hashes, size))
@@ -98,38 +98,45 @@ def rows_for(threshold: float, bins: int, miss: float) -> int:
 def links(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """For each set the smallest place in its class; classes link where 100 * intersection >= percent * union.
 
-    Shingles of many sets are counted by matrix products in slices, those of few by listing their pairs.
+    Shingles of many sets are counted by matrix products in slices, those of few by listing their pairs. Besides the
+    counts (4 bytes a pair) and the links (one), everything is computed for a slice of columns or rows at once.
     """
     count = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
-    every, owner = np.concatenate(sets), np.repeat(np.arange(count), sizes)
+    every, owner = np.concatenate(sets), np.repeat(np.arange(count, dtype=np.int32), sizes)
     order = np.argsort(every, kind="stable")
     every, owner = every[order], owner[order]
+    del order
     starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
     spread = np.diff(np.concatenate([starts, [len(every)]]))
+    del every
     shared = np.zeros((count, count), np.float32)
-    name = np.repeat(np.arange(len(starts)), spread)
     few = 24
-    rare = (spread[name] <= few) & (spread[name] > 1)
-    rare_owner, rare_name = owner[rare], name[rare]
+    rare = np.repeat((spread <= few) & (spread > 1), spread)
+    rare_owner, rare_name = owner[rare], np.repeat(np.arange(len(starts), dtype=np.int32), spread)[rare]
+    del rare
     for step in range(1, few):
         if step >= len(rare_name):
             break
         same = rare_name[step:] == rare_name[:-step]
         if not same.any():
             break
-        pair = rare_owner[:-step][same] * count + rare_owner[step:][same]
-        shared += np.bincount(pair, minlength=count * count).reshape(count, count).astype(np.float32)
+        pair = rare_owner[:-step][same].astype(np.int64) * count + rare_owner[step:][same]
+        np.add.at(shared.reshape(-1), pair, np.float32(1))
+    del rare_owner, rare_name
     shared += shared.T
     often = np.flatnonzero(spread > few)
-    for at in range(0, len(often), 4096):
-        part = often[at:at + 4096]
+    for at in range(0, len(often), 1024):
+        part = often[at:at + 1024]
         matrix = np.zeros((count, len(part)), np.float32)
         for column, k in enumerate(part):
             matrix[owner[starts[k]:starts[k] + spread[k]], column] = 1
         shared += matrix @ matrix.T
-    both = np.rint(shared).astype(np.int64)
-    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+    linked = np.empty((count, count), bool)
+    for at in range(0, count, 128):
+        both = np.rint(shared[at:at + 128]).astype(np.int64)
+        linked[at:at + 128] = 100 * both >= percent * (sizes[at:at + 128, None] + sizes[None, :] - both)
+    del shared
     label = np.full(count, -1, np.int64)
     for place in range(count):
         if label[place] < 0:
@@ -216,7 +223,7 @@ def _exact(texts: DataFrame, heaps: DataFrame, size: int, percent: int, part_nod
 
     def group(found: pa.Table) -> pa.Table:
         names = found.column("node").to_pylist()
-        own = {n: np.frombuffer(s, np.uint64) for n, s in zip(names, found.column("shingles").to_pylist(), strict=True)}
+        own = {n: np.frombuffer(s.as_buffer(), np.uint64) for n, s in zip(names, found.column("shingles"), strict=True)}
         names = sorted(own)
         label = links([own[n] for n in names], percent)
         return pa.table({"a": pa.array(names, pa.binary()), "b": pa.array([names[k] for k in label], pa.binary())})

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netledger.llm.common import WORDS, arrow_columns, gram_hashes, in_arrow, text_bytes
+from netledger.llm.common import arrow_columns, gram_hashes, hashed, in_arrow, text_bytes
 
 _SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 _SYMBOLS = b"#*$%&|<>"  # fixed value
@@ -216,7 +216,7 @@ def quality(documents: DataFrame, text: str = "text", lang: str = "lang", max_cl
             in_words = sum(map(len, words))
             if not data.isascii():
                 in_words -= int((np.frombuffer(data, np.int8) < -64).sum())
-            repeats = repeated_words(WORDS.hashed(words)) if len(words) > 5 else 0
+            repeats = repeated_words(hashed(words)) if len(words) > 5 else 0
             failed = len(words) < 10 or 100 * repeats > 20 * len(words)
             by_class, by_word = model.distances(language, data, words, (len(data) >= min_chars, len(words) >= min_words))
             kept = not failed and not (by_class or 0) > max_class and not (by_word or 0) > max_word

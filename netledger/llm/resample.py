@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netledger.llm.common import WORDS, arrow_columns, aside, besides, gram_hashes, in_arrow, placed, text_bytes, written
+from netledger.llm.common import arrow_columns, aside, besides, gram_hashes, hashed, in_arrow, placed, text_bytes, written
 
 WEIGHTS = T.StructType([
     T.StructField("log_weight", T.DoubleType()), T.StructField("score", T.DoubleType()),
@@ -34,7 +34,7 @@ WEIGHTS = T.StructType([
 
 
 def buckets_of(data: bytes | None, buckets: int) -> np.ndarray:
-    hashes = WORDS.hashed((data or b"").lower().split())
+    hashes = hashed((data or b"").lower().split())
     both = np.concatenate([hashes, gram_hashes(hashes, 2)])
     return (both % np.uint64(buckets)).astype(np.int64)
 
