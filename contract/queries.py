@@ -28,7 +28,7 @@ from netledger.sinks import messages as message_sinks
 from netledger.sinks.store import KeyedStore
 from netledger.sources import dimensions, flowfiles, messages
 from netledger.sources.lines import read_lines, write_lines
-from netledger.streaming.jobs import SettlementStream, running_totals
+from netledger.streaming.jobs import LatestStream, SettlementStream, running_totals, running_totals_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -541,9 +541,8 @@ def stream_restarted(spark, folder):
     return _money_out(stream.totals(spark))
 
 
-def _running_totals(spark, folder, policy):
-    path, per_batch = _message_files(spark, folder, NORMAL)
-    totals = running_totals(messages.file_stream(spark, path, per_batch), fx.dimensions(spark, folder), NORMAL, policy)
+def _kept_totals(spark, totals):
+    """Runs a stream of running totals over what is there; the newest total of each merchant."""
     out, checkpoint = work_path(spark, "state"), work_path(spark, "checkpoint")
     (totals.writeStream.outputMode("update").trigger(availableNow=True)
      .option("checkpointLocation", checkpoint)
@@ -554,13 +553,22 @@ def _running_totals(spark, folder, policy):
 
 @query
 def stream_running_totals(spark, folder):
-    return _running_totals(spark, folder, JoinPolicy())
+    path, per_batch = _message_files(spark, folder, NORMAL)
+    return _kept_totals(spark, running_totals(messages.file_stream(spark, path, per_batch), fx.dimensions(spark, folder), NORMAL))
 
 
 @query
 def stream_running_totals_divided(spark, folder):
-    """The same with no dimension of broadcast size."""
-    return _running_totals(spark, folder, DIVIDED)
+    """Totals in the state store over the last message of each key, with no dimension of broadcast size.
+
+    All messages reach the first stream, which deduplicates each micro-batch; the second looks up, prices and adds.
+    """
+    path, per_batch = _message_files(spark, folder, NORMAL)
+    first = LatestStream(NORMAL, work_path(spark, "latest"))
+    first.start(messages.file_stream(spark, path, per_batch), once=True).awaitTermination()
+    files_ = len(spark.read.parquet(first.records_path).inputFiles())
+    records = first.records(spark, max(1, -(-files_ // 3)))
+    return _kept_totals(spark, running_totals_of(records, fx.dimensions(spark, folder), NORMAL, DIVIDED))
 
 
 @query

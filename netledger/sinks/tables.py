@@ -26,6 +26,12 @@ def drop(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def read_batches(spark: SparkSession, path: str, committed: str | None = None) -> DataFrame:
     """All batches, or those that are marked below ``committed``."""
     rows = spark.read.parquet(path)

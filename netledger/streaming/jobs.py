@@ -19,13 +19,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from netledger import schemas
 from netledger.operators import parse
+from netledger.operators.dedup import latest
 from netledger.operators.joins import JoinPolicy
 from netledger.operators.totals import merge_maps
 from netledger.plans.settlement import (NORMAL, Dimensions, Job, Lookups, detail, enrich,
                                         settle_with, with_fee)
 from netledger.sinks import levels
 from netledger.sinks.store import KeyedStore
-from netledger.sinks.tables import drop, write_batch
+from netledger.sinks.tables import drop, exists, write_batch
 from netledger.sources.messages import with_arrival
 
 INTERVAL = "5 seconds"
@@ -179,7 +180,47 @@ def running_totals(messages: DataFrame, dims: Dimensions, job: Job, policy: Join
     Dimensions of broadcast size are broadcast; a larger one is joined by an exchange of the micro-batch
     on its key. There rows without a key are scattered, and keys of the ``heavy`` list (``read_heavy_list``) divided.
     """
-    tables = Lookups(dims, job, policy)
-    flow = parse.usable(reader_of(job)(messages)).filter(job.trade())
-    settled = with_fee(enrich(flow, tables, heavy=heavy or {}), job)
+    return running_totals_of(parse.usable(reader_of(job)(messages)), dims, job, policy, heavy)
+
+
+def running_totals_of(flow: DataFrame, dims: Dimensions, job: Job, policy: JoinPolicy = JoinPolicy(),
+                      heavy: dict[str, DataFrame] | None = None) -> DataFrame:
+    """``running_totals`` of a stream of parsed messages."""
+    settled = with_fee(enrich(flow.filter(job.trade()), Lookups(dims, job, policy), heavy=heavy or {}), job)
     return merge_maps(settled.filter("settled"), "mer_no", "net", "total")
+
+
+@dataclass
+class LatestStream:
+    """The last message of each key of a micro-batch, parsed, as files that the next stream reads.
+
+    A stream cannot both keep the last row of a key and add up totals, so the one hands its rows to the other.
+    """
+
+    job: Job
+    folder: str
+
+    @property
+    def records_path(self) -> str:
+        return f"{self.folder}/records"
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        """Deduplicate one micro-batch; a batch that is there whole stays, as the next stream may have read it."""
+        if exists(batch.sparkSession, f"{self.records_path}/batch_id={batch_id}/_SUCCESS"):
+            return
+        kept = latest(parse.usable(reader_of(self.job)(with_arrival(batch))), self.job.dedup_keys)
+        write_batch(kept.drop("arrival"), self.records_path, batch_id)
+
+    def start(self, messages: DataFrame, once: bool = False) -> StreamingQuery:
+        """Run every ``INTERVAL`` until stopped, or over what is there with ``once``."""
+        trigger = {"availableNow": True} if once else {"processingTime": INTERVAL}
+        return (messages.writeStream.foreachBatch(self.process).trigger(**trigger)
+                .option("checkpointLocation", f"{self.folder}/checkpoint").start())
+
+    def records(self, spark: SparkSession, max_files_per_trigger: int | None = None) -> DataFrame:
+        """The kept records as a stream; start it when a batch is whole, since files of one appear one by one."""
+        schema = spark.read.parquet(self.records_path).drop("batch_id").schema
+        reader = spark.readStream.schema(schema)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        return reader.parquet(f"{self.records_path}/batch_id=*")

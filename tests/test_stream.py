@@ -9,11 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from netledger import schemas
+from netledger.operators.joins import JoinPolicy
 from netledger.plans.load import open_dimensions, version_of
 from netledger.plans.settlement import INCRE, NORMAL
 from netledger.sinks import publish
 from netledger.sources.messages import file_messages, file_stream, union
-from netledger.streaming.jobs import SettlementStream, progress, running_totals
+from netledger.streaming.jobs import LatestStream, SettlementStream, progress, running_totals, running_totals_of
 from tests.helpers import dec, dimensions, frame
 
 
@@ -200,3 +201,20 @@ def test_runs_until_stopped(spark, tmp_path):
     running.stop()
     stream.close()
     assert totals(spark, stream) == {"M1": dec("99.00")}
+
+
+def test_running_totals_count_the_last_message_of_a_key(spark, tmp_path):
+    """Repeated ids of a micro-batch reach the first stream and count once in the state store, with divided joins too."""
+    source = tmp_path / "in"
+    put(source, "1.json", message(ID="a", TXN_AMT="40.00"), message(ID="a", TXN_AMT="50.00"), "{broken", message(ID="b", TXN_AMT="20.00"))
+    put(source, "2.json", message(ID="c", TXN_AMT="10.00"), message(ID="c", TXN_AMT="30.00", PROC_CODE="01"))
+    first = LatestStream(NORMAL, str(tmp_path / "latest"))
+    first.start(file_stream(spark, str(source), 1), once=True).awaitTermination()
+    first.process(file_messages(spark, str(source)), 0)  # a whole batch stays
+    assert spark.read.parquet(first.records_path).count() == 3
+    totals_ = running_totals_of(first.records(spark, 1), dimensions(spark), NORMAL, JoinPolicy(broadcast_bytes=0, rows_per_part=1))
+    seen = []
+    (totals_.writeStream.outputMode("complete").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp"))
+     .foreachBatch(lambda df, i: seen.append({r.mer_no: r.total for r in df.collect()}) and None).start().awaitTermination())
+    # 50 - 0.50 and 20 - 0.20; the last message of c is no trade.
+    assert seen[-1] == {"M1": dec("69.30")}
