@@ -22,7 +22,7 @@ from netledger.operators.joins import JoinPolicy, lookup
 from netledger.operators.totals import merge_maps
 from netledger.plans import export, load, settlement, sides
 from netledger.plans.settlement import INCRE, NORMAL
-from netledger.session import gbk_session, work_path
+from netledger.session import gbk_session, large_writes, work_path
 from netledger.sinks import levels, tables
 from netledger.sinks import messages as message_sinks
 from netledger.sinks.store import KeyedStore
@@ -482,7 +482,8 @@ def _message_files(spark, folder, job, batches: int = 3) -> tuple[str, int]:
     flow = flow_of(spark, folder, max(6, -(-fx.table(spark, folder, name).count() // FILE_ROWS)))
     path = work_path(spark, "messages")
     text = _positioned(flow) if job is NORMAL else parse.message_text(schemas.INCRE_KEYS).alias("value")
-    flow.select(text).write.text(path, compression="gzip")
+    with large_writes(spark):
+        flow.select(text).write.text(path, compression="gzip")
     return path, max(1, -(-len(spark.read.text(path).inputFiles()) // batches))
 
 

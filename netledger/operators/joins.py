@@ -137,6 +137,16 @@ class Spread:
                 .withColumn(self.part, F.explode(parts)).drop("_parts"))
 
 
+    def copies(self, dim: DataFrame) -> int:
+        """Rows that ``copy`` adds."""
+        return dim.join(F.broadcast(self.heavy), self.keys).agg(F.sum(F.col("_parts") - 1)).first()[0] or 0
+
+    def join(self, flow: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+        """Left join of a divided flow with a side that has the keys of the division besides its own."""
+        on = list(dict.fromkeys([key, *self.keys, self.part]))
+        return flow.join(self.copy(dim).hint("merge"), on, "left")
+
+
 def attach(flow: DataFrame, dim: DataFrame, keys: list[str], broadcast: bool,
            spread: Spread | None = None, how: str = "left") -> DataFrame:
     """Join ``dim`` (at most one row per key) to ``flow`` on equally named columns.
@@ -188,6 +198,37 @@ def attach_stored(flow: DataFrame, side: DataFrame, key: str, heavy: DataFrame |
     return joined.withColumns(taken).drop("_heavy", "_found", *[f"_side_{c}" for c in values])
 
 
+def heavy_sides(side: DataFrame, home: str, heavy: DataFrame) -> tuple[DataFrame | None, int]:
+    """All rows of ``side`` that belong to the listed homes, and their bytes; (None, 0) for an empty list."""
+    if heavy.isEmpty():
+        return None, 0
+    ensure_checkpoint_dir(side.sparkSession)
+    rows = side.join(F.broadcast(heavy.select(home)), home, "left_semi").checkpoint()
+    return rows, measure({"rows": rows})["rows"]
+
+
+def deal_to_buckets(flow: DataFrame, home: str, heavy: DataFrame, buckets: int, mark: list[str]) -> DataFrame:
+    """Exchange a flow to the buckets of sides that are stored by ``home``; rows of heavy homes go to any bucket, by ``mark``."""
+    away, bucket = f"_away{home}", f"_bucket{home}"
+    scattered = F.concat(F.lit("\0"), F.xxhash64(F.spark_partition_id(), *mark).cast("string"))
+    listed = flow.join(F.broadcast(heavy.select(home, F.lit(True).alias("_heavy"))), home, "left")
+    dealt = listed.withColumn(away, F.coalesce("_heavy", F.lit(False))).withColumn(bucket, F.when(F.col(away), scattered).otherwise(F.col(home)))
+    return dealt.drop("_heavy").repartition(buckets, bucket)
+
+
+def attach_in_buckets(flow: DataFrame, side: DataFrame, key: str, home: str, heavy: DataFrame | None) -> DataFrame:
+    """Left join, in its buckets, of a side stored by ``home`` with at most one row per home and key; heavy homes' rows are broadcast."""
+    away, bucket = f"_away{home}", f"_bucket{home}"
+    values = [c for c in side.columns if c not in (key, home)]
+    renamed = side.select(F.col(home).alias(bucket), key, *[F.col(c).alias(f"_side_{c}") for c in values])
+    joined = flow.join(renamed.hint("merge"), [bucket, key], "left")
+    taken = {c: F.when(~F.col(away), F.col(f"_side_{c}")) for c in values}
+    if heavy is not None:
+        joined = joined.join(F.broadcast(heavy.select(home, key, F.struct(*values).alias("_found"))), [home, key], "left")
+        taken = {c: F.when(F.col(away), F.col(f"_found.{c}")).otherwise(F.col(f"_side_{c}")) for c in values}
+    return joined.withColumns(taken).drop("_found", *[f"_side_{c}" for c in values])
+
+
 def lookup(flow: DataFrame, dim: DataFrame, keys: list[str], policy: JoinPolicy = JoinPolicy(),
            how: str = "left", bound: DataFrame | None = None) -> DataFrame:
     """``attach`` after measuring; ``how`` may also be left_semi or left_anti.

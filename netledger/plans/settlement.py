@@ -19,7 +19,8 @@ from netledger.functions import money
 from netledger.functions.text import key_of, slice_text
 from netledger.operators import filters, lookups
 from netledger.operators.dedup import latest
-from netledger.operators.joins import JoinPolicy, Spread, attach, attach_stored, fits_broadcast, heavy_rows, heavy_values, within_budget
+from netledger.operators.joins import (JoinPolicy, Spread, attach, attach_in_buckets, attach_stored, deal_to_buckets, fits_broadcast,
+                                       heavy_rows, heavy_sides, heavy_values, within_budget)
 from netledger.operators.totals import merchant_totals
 
 
@@ -32,6 +33,9 @@ class Dimensions:
     version: str = ""
     #: Sides that a load has stored (``plans.sides``): name -> the bucketed table and its bytes.
     stored: dict[str, tuple[DataFrame, int]] | None = None
+    #: Those of them whose keys begin with the merchant, in buckets of the merchant (``HOME``), and their number of buckets.
+    homes: dict[str, DataFrame] | None = None
+    buckets: int = 0
 
     def files(self) -> frozenset[str]:
         """The files the tables are read from, or the publication of the stored sides; empty when some table has none."""
@@ -70,6 +74,8 @@ class Job:
     store_item: Callable[[Column], Column]
     store_type: str
     settle_when: bool
+    #: Whether a store's key begins with the merchant, as a terminal's does.
+    store_of_merchant: bool
     rate_divisor: int = 100
     unbounded_negative_cap: bool = False
 
@@ -81,7 +87,7 @@ NORMAL = Job(
     amount=lambda: F.col("txn_amt"),
     store=_normal_store, store_upper=_normal_store_any_group,
     store_item=lambda store: F.concat_ws(",", F.col("mid"), store),
-    store_type=lookups.NORMAL_STORE_TYPE, settle_when=False)
+    store_type=lookups.NORMAL_STORE_TYPE, settle_when=False, store_of_merchant=True)
 
 INCRE = Job(
     name="incre", row_key="plt_ssn", dedup_keys=["plt_ssn", "mchnt_id_pay", "term_id_pay"],
@@ -91,7 +97,7 @@ INCRE = Job(
     amount=lambda: money.to_yuan(F.col("trans_amt")),
     store=_incre_store, store_upper=_incre_store,
     store_item=lambda store: store,
-    store_type=lookups.INCRE_STORE_TYPE, settle_when=True)
+    store_type=lookups.INCRE_STORE_TYPE, settle_when=True, store_of_merchant=False)
 
 
 # The five lookup sides of a settlement and their keys.
@@ -100,6 +106,11 @@ SIDE_KEYS = {"codes": "txn_key", "groups": "_merchant", "fees": "_merchant",
 SIDES = tuple(SIDE_KEYS)
 
 
+def of_merchant(job: Job) -> list[str]:
+    """The sides whose keys are or begin with the merchant."""
+    return ["groups", "fees", "terminals", *(["stores"] if job.store_of_merchant else [])]
+
+
 def stored_name(name: str, job: Job) -> str:
     """The name under which a side is stored; the flows differ in their stores only."""
     return f"stores_{job.name}" if name == "stores" else name
@@ -126,11 +137,13 @@ class Lookups:
     A reduced side is never larger than its input (a joined group list holds the same
     characters plus separators, covered by the row overhead), so measuring the input
     bounds what is broadcast and needs no shuffle. Stored sides are reduced and measured already.
+
+    ``together`` lets the large sides of the merchant share one exchange of the flow, in jobs run with ``session.large_writes``.
     """
 
     def __init__(self, dims: Dimensions, job: Job, policy: JoinPolicy = JoinPolicy(),
-                 names: tuple[str, ...] = SIDES):
-        self.dims, self.job, self.policy, self.names = dims, job, policy, names
+                 names: tuple[str, ...] = SIDES, together: bool = False):
+        self.dims, self.job, self.policy, self.names, self.together = dims, job, policy, names, together
         self._kept: dict[str, DataFrame] = {}
         #: What the sides of broadcast size leave of the budget, known for stored sides only.
         self.budget = 0
@@ -167,6 +180,14 @@ class Lookups:
             return self.dims.stored[stored_name(name, self.job)][0]
         return reduced(self.dims, self.job, name)
 
+    def home_side(self, name: str) -> DataFrame:
+        """A stored side in buckets of ``HOME``."""
+        stored = stored_name(name, self.job)
+        if stored in self.dims.homes:
+            return self.dims.homes[stored]
+        side = self.dims.stored[stored][0]
+        return side.select(F.col(SIDE_KEYS[name]).alias(HOME), *side.columns)
+
 
 class Attacher:
     """Joins lookup sides to a flow; sides with an equal key share one division of it.
@@ -182,6 +203,11 @@ class Attacher:
         self.tables, self.weigh = tables, weigh
         self.budget = tables.budget
         self.spreads: dict[str, Spread] = {}
+        #: Sides by the merchant (``gather``), and the division of the flow that they share.
+        self.gathered: dict[str, DataFrame] = {}
+        self.home: Spread | None = None
+        #: Stored sides by the merchant -> their rows of heavy merchants.
+        self.stored: dict[str, DataFrame | None] = {}
         if heavy is not None:
             for key in dict.fromkeys(SIDE_KEYS.values()):
                 listed = heavy.get(key)
@@ -193,6 +219,10 @@ class Attacher:
         key, side = SIDE_KEYS[name], self.tables.side(name)
         if name in self.tables.small:
             return attach(flow, side, [key], True)
+        if name in self.gathered:
+            return self.home.join(flow, self.gathered[name], key)
+        if name in self.stored:
+            return attach_in_buckets(flow, self.tables.home_side(name), key, HOME, self.stored[name])
         spread = self._spread(key)
         if self.tables.dims.stored:
             rows, size = heavy_rows(side, key, spread.heavy)
@@ -201,17 +231,64 @@ class Attacher:
                 return attach_stored(flow, side, key, rows, self.tables.job.dedup_keys)
         return attach(flow, side, [key], False, spread)
 
+    def gather(self, flow: DataFrame) -> DataFrame:
+        """Exchange the flow once for all large sides of the merchant, before their keys are made, so it is narrow.
+
+        Such a side is dealt by the merchant as well and joined by its own key. Heavy merchants are divided; a side that would need
+        more than ``rows_per_part`` copies for that keeps the exchange by its own key.
+        """
+        job, policy = self.tables.job, self.tables.policy
+        large = [n for n in of_merchant(job) if n in self.tables.names and n not in self.tables.small]
+        if not self.tables.together or len({SIDE_KEYS[n] for n in large}) < 2 or (self.tables.dims.stored and not self.tables.dims.homes):
+            return flow
+        merchant = F.coalesce(F.col(job.merchant), F.lit(""))
+        heavy = heavy_values(self.weigh.select(merchant.alias(HOME)), [HOME], policy)[HOME]
+        if self.tables.dims.stored:
+            rows = {n: heavy_sides(self.tables.home_side(n), HOME, heavy) for n in large}
+            size = sum(size for _, size in rows.values())
+            if size > self.budget:
+                return flow
+            self.budget -= size
+            self.stored = {n: found for n, (found, _) in rows.items()}
+            return deal_to_buckets(flow.withColumn(HOME, merchant), HOME, heavy, self.tables.dims.buckets, job.dedup_keys)
+        self.home = Spread(self.weigh, [HOME], f"_part{HOME}", policy, heavy, job.dedup_keys)
+        sides = {n: by_merchant(self.tables.side(n), SIDE_KEYS[n]) for n in large}
+        divided = not heavy.isEmpty()
+        self.gathered = {n: side for n, side in sides.items() if not divided or self.home.copies(side) <= policy.rows_per_part}
+        if len({SIDE_KEYS[n] for n in self.gathered}) < 2:
+            self.gathered = {}
+            return flow
+        # With the number of parts given they are not put together again: rows are sorted for several joins in a task, and are wider then.
+        parts = int(flow.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return self.home.divide(flow.withColumn(HOME, merchant)).repartition(parts, HOME, self.home.part)
+
     def _spread(self, key: str) -> Spread:
         """All large sides' keys are counted together on the first use."""
         if not self.spreads:
             job, policy = self.tables.job, self.tables.policy
-            large = [SIDE_KEYS[n] for n in self.tables.names if n not in self.tables.small]
+            large = [SIDE_KEYS[n] for n in self.tables.names if n not in self.tables.small and n not in self.gathered and n not in self.stored]
             weigh = lookup_keys(self.weigh, job)
             for column, heavy in heavy_values(weigh, list(dict.fromkeys(large)), policy).items():
                 self.spreads[column] = Spread(weigh, [column], f"_part{column}", policy, heavy, job.dedup_keys)
         return self.spreads[key]
 
 
+#: The merchant as rows are dealt by it: empty text where there is none, as in the keys that begin with it.
+HOME = "_home"
+
+
+def by_merchant(side: DataFrame, key: str) -> DataFrame:
+    """A side with the merchant of its key as ``HOME``.
+
+    A longer key holds the merchant before one of its commas, as merchants may hold commas themselves; its row is there once for each.
+    """
+    if key == SIDE_KEYS["groups"]:
+        return side.withColumn(HOME, F.coalesce(F.col(key), F.lit("")))
+    commas = F.size(F.split(F.col(key), ",")) - 1
+    before = F.transform(F.sequence(F.lit(1), F.greatest(commas, F.lit(1))), lambda i: F.call_function("substring_index", F.col(key), F.lit(","), i))
+    return side.filter(F.contains(F.col(key), F.lit(","))).withColumn(HOME, F.explode(before))
+
+
 def lookup_keys(flow: DataFrame, job: Job) -> DataFrame:
     """The keys that are known before any lookup; a store key may still be withdrawn."""
     store = job.store_upper()
@@ -312,6 +389,8 @@ def enrich(flow: DataFrame, tables: Lookups, weigh: DataFrame | None = None, hea
     """
     job = tables.job
     attacher = Attacher(tables, flow if weigh is None else weigh, heavy)
+    if heavy is None and "codes" in tables.small:
+        flow = attacher.gather(flow)
     coded = with_code(lookup_keys(flow, job), attacher)
     # Groups and fee profiles have the same key, so a divided flow is exchanged once.
     profiled = attacher(with_groups(coded, attacher), "fees")
@@ -328,9 +407,9 @@ def settle_with(flow: DataFrame, tables: Lookups, deduplicate: bool = True) -> D
 
 
 def settle(flow: DataFrame, dims: Dimensions, job: Job, policy: JoinPolicy = JoinPolicy(),
-           deduplicate: bool = True) -> DataFrame:
+           deduplicate: bool = True, together: bool = False) -> DataFrame:
     """The settled flow: every kept trade with its enrichment, fee and net amount."""
-    return settle_with(flow, Lookups(dims, job, policy), deduplicate)
+    return settle_with(flow, Lookups(dims, job, policy, together=together), deduplicate)
 
 
 def summary(settled: DataFrame) -> DataFrame:

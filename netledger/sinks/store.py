@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from netledger.operators.dedup import top_one_of_many
 from netledger.operators.joins import JoinPolicy, lookup
+from netledger.session import large_writes
 from netledger.sinks import publish
 
 _OWN = "_bucket int, _names array<string>, _gone boolean, _tie long"
@@ -114,7 +115,7 @@ class KeyedStore:
                "_tie": F.xxhash64(*[F.col(f"`{'_arrival' if c == arrival else c}`") for c in rows.columns])}
         out = rows.withColumnRenamed(arrival, "_arrival") if arrival else rows
         target = f"{self.path}/batches/batch_id={batch_id}"
-        self._files(self._placed(out, version), target, own)
+        self._files(self._placed(out, version).repartition("_bucket", "_part"), target, own)
         return target
 
     def _placed(self, rows: DataFrame, version: Version) -> DataFrame:
@@ -130,19 +131,23 @@ class KeyedStore:
 
         The columns ``own`` are added last: names of columns repeat in every row, and neither the exchange nor the sort carries them.
         """
-        dealt = rows.filter(F.col(f"`{self.key}`").isNotNull()).repartition("_bucket", "_part")
-        (dealt.sortWithinPartitions("_bucket", f"`{self.key}`").drop("_part").withColumns(own)
-         .write.mode("overwrite").option(f"parquet.bloom.filter.enabled#{self.key}", "true")
-         .option("parquet.bloom.filter.adaptive.enabled", "true").partitionBy("_bucket").parquet(target))
+        kept = rows.filter(F.col(f"`{self.key}`").isNotNull())
+        with large_writes(self.spark):
+            (kept.sortWithinPartitions("_bucket", f"`{self.key}`").drop("_part").withColumns(own)
+             .write.mode("overwrite").option(f"parquet.bloom.filter.enabled#{self.key}", "true")
+             .option("parquet.bloom.filter.adaptive.enabled", "true").partitionBy("_bucket").parquet(target))
 
-    def commit(self, batch_id: int, columns: list[str], gone: bool = False) -> None:
-        """Mark a batch as whole: readers take it from now on."""
-        publish.put_text(self.spark, f"{self.path}/committed/{batch_id}", json.dumps({"columns": columns, "gone": gone}))
+    def commit(self, batch_id: int, columns: list[str], gone: bool = False, once: bool = False) -> None:
+        """Mark a batch as whole: readers take it from now on. ``once`` says that no key comes twice in it."""
+        publish.put_text(self.spark, f"{self.path}/committed/{batch_id}", json.dumps({"columns": columns, "gone": gone, "once": once}))
 
-    def put_rows(self, rows: DataFrame, batch_id: int, arrival: str | None = None) -> None:
-        """Put all columns of ``rows``; NULL is a value. Of a key's rows the last by ``arrival`` wins, then by a hash."""
+    def put_rows(self, rows: DataFrame, batch_id: int, arrival: str | None = None, once: bool = False) -> None:
+        """Put all columns of ``rows``; NULL is a value. Of a key's rows the last by ``arrival`` wins, then by a hash.
+
+        ``once`` says that no key comes twice, as after a deduplication by it; then a first compaction has nothing to merge.
+        """
         self.write(rows, batch_id, arrival)
-        self.commit(batch_id, [c for c in rows.columns if c not in (self.key, arrival)])
+        self.commit(batch_id, [c for c in rows.columns if c not in (self.key, arrival)], once=once)
 
     def put_cells(self, cells: DataFrame, batch_id: int, arrival: str | None = None) -> None:
         """Put the columns of ``cells`` as text; NULL becomes empty text. Columns that are not put keep what they hold."""
@@ -222,12 +227,17 @@ class KeyedStore:
             self.key, *[F.when(shown(c), F.col(f"`{c}`.v")).alias(c) for c in columns], names.alias("_names"))
 
     def _first_base(self, version: Version, batches: dict[int, dict], buckets: list[int]) -> DataFrame | None:
-        """The merged rows of buckets without a base and of batches of whole rows: placed, without the names, which are all columns."""
+        """The merged rows of buckets without a base and of batches of whole rows: dealt, without the names, which are all columns.
+
+        The rows of a single batch that holds each key once lie in their buckets already and are not exchanged.
+        """
         columns = self._columns(version)
         if any(b in version.bases for b in buckets) or any(not b["gone"] and set(b["columns"]) != set(columns) for b in batches.values()):
             return None
-        recent = self._placed(self._recent(version, batches, None if len(buckets) == version.buckets else buckets), version)
-        return self._merge(recent, columns, True).drop("_names")
+        recent = self._recent(version, batches, None if len(buckets) == version.buckets else buckets)
+        if [b.get("once") and not b["gone"] for b in batches.values()] == [True]:
+            return recent.select(self.key, *columns, "_bucket")
+        return self._merge(self._placed(recent, version), columns, True).drop("_names").repartition("_bucket", "_part")
 
     def _rows(self, version: Version, columns: list[str], buckets: list[int] | None = None, key_is: Column | None = None,
               batches: dict[int, dict] | None = None) -> DataFrame:
@@ -320,7 +330,7 @@ class KeyedStore:
         columns, added = self._columns(version), {"_gone": F.lit(False), "_tie": F.lit(0).cast("long")}
         rows = self._first_base(version, batches, own)
         if rows is None:
-            rows = self._placed(self._rows(version, columns, own, batches=batches), version)
+            rows = self._placed(self._rows(version, columns, own, batches=batches), version).repartition("_bucket", "_part")
         else:
             added["_names"] = F.array(*map(F.lit, columns)) if columns else F.array().cast("array<string>")
         self._files(rows, f"{self.path}/bases/{folder}", added)

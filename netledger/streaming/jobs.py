@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +23,7 @@ from netledger.operators.joins import JoinPolicy
 from netledger.operators.totals import merge_maps
 from netledger.plans.settlement import (NORMAL, Dimensions, Job, Lookups, detail, enrich,
                                         settle_with, with_fee)
+from netledger.session import large_writes
 from netledger.sinks import levels
 from netledger.sinks.store import KeyedStore
 from netledger.sinks.tables import drop, exists, write_batch
@@ -78,25 +78,22 @@ class SettlementStream:
         return self.store(spark).committed()
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        """Settle one micro-batch; safe to repeat."""
-        parsed = self._parse(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self._settle(parsed, batch_id)
-        finally:
-            parsed.unpersist()
-
-    def process_all(self, messages: DataFrame, batch_id: int = 0) -> None:
-        """Settle a large batch of messages.
+        """Settle one micro-batch; safe to repeat.
 
-        The parsed messages become a table of the run instead of cached blocks, so the
+        The parsed messages become a table of the run instead of cached blocks, so executors hold none of them, the
         lookups and the quarantine read columns, and a lost executor costs no parsing. It is dropped
         when the batch is whole.
         """
-        parsed = self._parse(messages)
-        written = write_batch(parsed, f"{self.folder}/parsed", batch_id)
+        spark, parsed = batch.sparkSession, self._parse(batch)
+        with large_writes(spark):
+            written = write_batch(parsed, f"{self.folder}/parsed", batch_id)
+            self._settle(spark.read.schema(parsed.schema).parquet(written), batch_id)
+            drop(spark, written)
+
+    def process_all(self, messages: DataFrame, batch_id: int = 0) -> None:
+        """Settle all messages as one batch, and free the lookup sides."""
         try:
-            self._settle(messages.sparkSession.read.schema(parsed.schema).parquet(written), batch_id)
-            drop(messages.sparkSession, written)
+            self.process(messages, batch_id)
         finally:
             self.close()
 
@@ -117,14 +114,16 @@ class SettlementStream:
         spark = parsed.sparkSession
         write_batch(parse.quarantined(parsed), self.quarantine_path, batch_id)
         settled = settle_with(parse.usable(parsed), self._lookups(spark))
-        stored = detail(settled, layout_of(self.job), "arrival")
+        # The order of arrival is kept only where a key of the store can come more than once in a batch.
+        arrival = [] if self.job.dedup_keys == [self.job.row_key] else ["arrival"]
+        stored = detail(settled, layout_of(self.job), *arrival)
         store = self.store(spark)
-        written = store.write(stored, batch_id, "arrival")
+        written = store.write(stored, batch_id, *arrival)
         batch_detail = spark.read.schema(stored.drop("arrival").schema).parquet(written)
         totals = merge_maps(batch_detail.filter(F.col("net").isNotNull())
                             .withColumnRenamed("merNo", "mer_no"), "mer_no", "net", "total")
         levels.write(totals, self.totals_path, batch_id)
-        store.commit(batch_id, [c for c in stored.columns if c not in (store.key, "arrival")])
+        store.commit(batch_id, [c for c in stored.columns if c not in (store.key, "arrival")], once=not arrival)
         levels.roll(spark, self.totals_path, batch_id, store.committed(), totals.schema)
 
     def _lookups(self, spark: SparkSession) -> Lookups:
@@ -133,13 +132,13 @@ class SettlementStream:
             if self._tables is None or self._files != self.version(spark):
                 self.close()
                 dims = self.dimensions(spark)
-                self._tables, self._files = Lookups(dims, self.job, self.policy).keep(), dims.version
+                self._tables, self._files = Lookups(dims, self.job, self.policy, together=True).keep(), dims.version
             return self._tables
         dims = self.dimensions(spark)
         files = dims.files()
         if self._tables is None or not files or files != self._files:
             self.close()
-            self._tables, self._files = Lookups(dims, self.job, self.policy).keep(), files
+            self._tables, self._files = Lookups(dims, self.job, self.policy, together=True).keep(), files
         return self._tables
 
     def start(self, messages: DataFrame, once: bool = False) -> StreamingQuery:
