@@ -516,7 +516,8 @@ def stream_stored_sides(spark, folder):
     """The stream over stored lookup sides: micro-batches are joined with their buckets, heavy keys and rows without a key are scattered."""
     path, per_batch = _message_files(spark, folder, NORMAL)
     target = work_path(spark, "sides")
-    sides.write_sides(fx.dimensions(spark, folder), target, buckets=8)
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))  # a micro-batch is joined in as many tasks
+    sides.write_sides(fx.dimensions(spark, folder), target, buckets)
     stream = SettlementStream(NORMAL, lambda s: sides.open_sides(s, None, target), work_path(spark, "run"), policy=STORED,
                               version=lambda s: sides.sides_version(s, target))
     try:

@@ -2,7 +2,8 @@
 
 A load writes them once per version, so a micro-batch neither reduces nor measures nor exchanges a side: it sends its own
 rows to the side's buckets. All sides of a version have the same number of buckets, so sides with the same key share one
-exchange of the flow.
+exchange of the flow. Sides whose keys begin with the merchant are there in buckets of the merchant too, so these share one as well
+(``Lookups.together``).
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from netledger.operators.joins import measure
-from netledger.plans.settlement import INCRE, NORMAL, SIDE_KEYS, SIDES, Dimensions, reduced, stored_name
+from netledger.plans.settlement import (HOME, INCRE, NORMAL, SIDE_KEYS, SIDES, Dimensions, by_merchant, of_merchant,
+                                        reduced, stored_name)
 from netledger.sinks import publish
 
 BUCKET_BYTES = 128 << 20
@@ -34,13 +36,17 @@ def write_sides(dims: Dimensions, target: str, buckets: int | None = None) -> in
         if buckets > 1:
             buckets = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
     load = uuid.uuid4().hex
-    for name, (side, key) in sides.items():
-        table = f"netledger_{name}_{uuid.uuid4().hex}"
-        (side.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet")
-         .option("path", f"{target}/sides/{load}/{name}").saveAsTable(table))
-        spark.sql(f"DROP TABLE {table}")  # the entry in the catalog; the files stay
+    homes = {stored_name(name, job): by_merchant(reduced(dims, job, name), SIDE_KEYS[name])
+             for job in (NORMAL, INCRE) for name in of_merchant(job) if SIDE_KEYS[name] != SIDE_KEYS["groups"]}
+    for kind, tables in (("sides", sides), ("homes", {name: (side, HOME) for name, side in homes.items()})):
+        for name, (side, key) in tables.items():
+            table = f"netledger_{name}_{uuid.uuid4().hex}"
+            (side.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet")
+             .option("path", f"{target}/sides/{load}/{_folder(kind, name)}").saveAsTable(table))
+            spark.sql(f"DROP TABLE {table}")  # the entry in the catalog; the files stay
     text = json.dumps({"versions": dims.version, "load": load, "buckets": buckets, "bytes": sizes,
-                       "columns": {name: side.schema.toDDL() for name, (side, _) in sides.items()}})
+                       "columns": {name: side.schema.toDDL() for name, (side, _) in sides.items()},
+                       "homes": {name: side.schema.toDDL() for name, side in homes.items()}})
     while True:
         newest = publish.newest(spark, f"{target}/published/sides")
         if newest is not None and _covers(json.loads(newest[1])["versions"], dims.version):
@@ -51,6 +57,10 @@ def write_sides(dims: Dimensions, target: str, buckets: int | None = None) -> in
             return number
 
 
+def _folder(kind: str, name: str) -> str:
+    return name if kind == "sides" else f"{name}_by_merchant"
+
+
 def _covers(published: str, versions: str) -> bool:
     """Whether a publication was made from the same or newer versions of every table."""
     if not published or not versions:
@@ -74,8 +84,11 @@ def open_sides(spark: SparkSession, dims: Dimensions | None, target: str) -> Dim
     for name, columns in text["columns"].items():
         key = SIDE_KEYS[name.split("_")[0]]
         stored[name] = (_bucketed(spark, f"{target}/sides/{text['load']}/{name}", columns, key, text["buckets"]), text["bytes"][name])
+    # Publications of older loads have none.
+    homes = {name: _bucketed(spark, f"{target}/sides/{text['load']}/{_folder('homes', name)}", columns, HOME, text["buckets"])
+             for name, columns in text.get("homes", {}).items()}
     whole = (None,) * 4 if dims is None else (dims.codes, dims.groups, dims.mappings, dims.fees)
-    return Dimensions(*whole, version=str(number), stored=stored)
+    return Dimensions(*whole, version=str(number), stored=stored, homes=homes or None, buckets=text["buckets"])
 
 
 def _bucketed(spark: SparkSession, path: str, columns: str, key: str, buckets: int) -> DataFrame:
