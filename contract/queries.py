@@ -230,9 +230,9 @@ def fee_calc_open_cap(spark, folder):
 
 # Settlement
 
-def _settled(spark, folder, job, policy=JoinPolicy()):
+def _settled(spark, folder, job, policy=JoinPolicy(), together=False):
     flow = fx.normal_flow(spark, folder) if job is NORMAL else fx.incre_flow(spark, folder)
-    return settlement.settle(flow, fx.dimensions(spark, folder), job, policy)
+    return settlement.settle(flow, fx.dimensions(spark, folder), job, policy, together=together)
 
 
 def _layout(job):
@@ -681,9 +681,9 @@ def store_point_read(spark, folder):
 @query
 def store_sql_view(spark, folder):
     """The settled detail in a store, read in another session through the view of the catalog."""
-    detail = settlement.detail(_settled(spark, folder, NORMAL), _layout(NORMAL))
+    detail = settlement.detail(_settled(spark, folder, NORMAL, together=True), _layout(NORMAL))
     store = _store(spark, "views", "id")
-    store.put_rows(detail, 0)
+    store.put_rows(detail, 0, once=True)  # deduplicated by id
     store.compact()
     tables.create_lasting_views(spark, normal=store)
     return spark.newSession().table("normal_specifics")
